@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, token_counts, urls
+from . import langid, mixing, neardup, packing, pii, quality, token_counts, urls
+from .common import held_out
 
 #: (verdict, host, path)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -21,10 +22,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(documents.filter(~F.col("held_out")).join(labels, "doc_id"))
+    return quality.score_quality(documents, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    model = langid.fit(documents.filter(~F.col("held_out")).select("text", "lang"))
+    return langid.identify(documents, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -34,12 +52,23 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"), pii.fit())
+
+    def joined(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op5_url_filter, op7_pack, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_mix_sources, op4_language, op5_url_filter, op7_pack, op8_personal_data, op10_token_counts)}
 
 ORACLE_SQL = {
     "op3_mix_sources": r"""
