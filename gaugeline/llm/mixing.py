@@ -79,6 +79,11 @@ def thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
     return found.select("source", F.col("h").alias("threshold"), share.alias("tie_share"))
 
 
+def row_hash(key: Column, text: Column) -> Column:
+    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
 def mix(df: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: float = 2.0, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Sizes, targets and taken words of every row.
 
@@ -93,9 +98,30 @@ def mix(df: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: floa
     repeated rows are ordinary rows. An empty table gives an empty result. Sources of size 0
     have target 0. Other columns are not carried.
     """
-    digest = F.md5(F.concat(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(f"`{text}`"), F.lit(""))).cast("binary"))
-    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long").alias("h"))
+    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), row_hash(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"))
     rows = materialize(rows, "mix-sizes")
+    out = with_share(rows, mix_plan(rows, weights, share, cap))
+    taken = F.col("base") * F.col("size") + F.floor(F.col("size") * F.col("part") + 0.5).cast("long")
+    copies = F.col("base") + F.floor(F.col("part") + 0.5).cast("long")
+    return out.select(F.col("key").alias(key), F.col("source").alias(source), "h", "size", "source_size", "target", copies.alias("copies"), taken.alias("taken"))
+
+
+def mixed_rows(df: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: float = 2.0, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """All columns of ``df``, each row as often as the mix takes it (``copies`` of ``mix``); rows of no copies go.
+
+    Only keys, sizes and hashes are written for the histograms; the texts are read once more
+    and filtered by the thresholds. Nulls and repeated rows are treated as in ``mix``.
+    """
+    rows = df.select(F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), row_hash(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"))
+    plan = mix_plan(materialize(rows, "mix-sizes"), weights, share, cap)
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{source}`").alias("source"), row_hash(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"))
+    out = with_share(whole, plan)
+    copies = (F.col("base") + F.floor(F.col("part") + 0.5)).cast("int")
+    return out.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")
+
+
+def mix_plan(rows: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
+    """A row for each source: size, target, whole copies, threshold of one more copy and share of ties."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, share, cap), "mix-targets")
     times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -103,11 +129,11 @@ def mix(df: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: floa
     edge = thresholds(rows, goals.filter(F.col("budget") > 0))
     edge = edge.withColumnRenamed("source", "edge_source")
     plan = goals.join(edge, F.col("source").eqNullSafe(F.col("edge_source")), "left").select(F.col("source").alias("plan_source"), "source_size", "target", "base", "threshold", "tie_share")
-    plan = materialize(plan, "mix-plan")
+    return materialize(plan, "mix-plan")
+
+
+def with_share(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Join the plan; ``part`` is the share of one more copy of the row: 1 below the threshold, 0 above."""
     out = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
     at_edge = F.col("h") == F.col("threshold")
-    part = F.when(F.col("h") < F.col("threshold"), F.lit(1.0)).when(at_edge, F.col("tie_share")).otherwise(0.0)
-    out = out.withColumn("part", part)
-    taken = F.col("base") * F.col("size") + F.floor(F.col("size") * F.col("part") + 0.5).cast("long")
-    copies = F.col("base") + F.floor(F.col("part") + 0.5).cast("long")
-    return out.select(F.col("key").alias(key), F.col("source").alias(source), "h", "size", "source_size", "target", copies.alias("copies"), taken.alias("taken"))
+    return out.withColumn("part", F.when(F.col("h") < F.col("threshold"), F.lit(1.0)).when(at_edge, F.col("tie_share")).otherwise(0.0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neardup, packing, pii, quality, token_counts, urls
+from . import embeddings, langid, mixing, neardup, packing, pii, quality, token_counts, topk, urls
 from .common import held_out
 
 #: (verdict, host, path)
@@ -47,6 +47,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -63,12 +67,16 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_mix_sources, op4_language, op5_url_filter, op7_pack, op8_personal_data, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_mix_sources, op4_language, op5_url_filter, op6_near_vectors, op7_pack, op8_personal_data, op9_top_products, op10_token_counts)}
 
 ORACLE_SQL = {
     "op3_mix_sources": r"""
