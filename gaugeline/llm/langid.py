@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bounded_sample, slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -174,7 +174,7 @@ def train(windows: list[bytes], labels: list[str], epochs: int = 4, batch: int =
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_rows: int = 4000, per_row: int = 3) -> LanguageModel:
     """Learn from (text, lang) rows.
 
-    At most ``max_rows`` rows are used, those with the smallest hash of their text, and of each
+    At most ``max_rows`` rows with different texts are used, those with the smallest hash, and of each
     ``per_row`` windows at places given by the hash; this bounds the driver's memory. Rows
     with a null text or language, or without a letter, are left out.
     """
@@ -182,7 +182,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_rows: i
     rows = labelled.filter(t.rlike(r"\p{L}") & F.col(f"`{lang}`").isNotNull())
     places = [F.substring(t, (F.pmod(F.xxhash64(t, F.lit(i)), F.greatest(F.lit(1), F.length(t) - WINDOW + 1)) + 1).cast("int"), F.lit(WINDOW)) for i in range(per_row)]
     rows = rows.select(F.xxhash64(t).alias("h"), F.array(*places).alias("w"), F.col(f"`{lang}`").alias("lang"))
-    sample = rows.orderBy("h", "lang", "w").limit(max_rows).collect()
+    sample = bounded_sample(rows, "h", max_rows).collect()
     if not sample:
         return LanguageModel([UND], {w: np.zeros((w, K, FILTERS), np.float32) for w in WIDTHS}, np.zeros(FILTERS * len(WIDTHS), np.float32), np.zeros((FILTERS * len(WIDTHS), 1), np.float32), np.zeros(1, np.float32))
     pairs = [(x.encode("utf-8", "surrogatepass"), r["lang"]) for r in sample for x in r["w"]]

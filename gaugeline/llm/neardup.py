@@ -10,7 +10,7 @@ similarity. Only points below a bound that fills all registers are made.
 Exact copies (equal multisets) are one class from the start, and only classes are
 compared. In every band bucket each class is compared with one pivot; after the
 components of the verified links are known, the buckets that still hold
-different components are compared across those.
+different components are compared across those, chunk against chunk.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 BLOCK_CHARS, BLOCK_TEXTS = 1 << 22, 4096
 DOC_BITS = 12
+CHUNK = 512
 #: Fixed odd multipliers (of SplitMix64, and one for polynomial hashes).
 MIX_1, MIX_2, GOLDEN, BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x2545F4914F6CDD1D))
 
@@ -200,6 +201,64 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, threshold: f
     return materialize(both.filter(overlap("text_a", "text_b") >= threshold).select("a", "b"), "links")
 
 
+def block_links(members: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
+    """Links between different parts within buckets: members (band, n, uid, part) with the texts of ``rows``.
+
+    A bucket's members are dealt to chunks of about CHUNK, and each pair of chunks is compared
+    exactly in one task that returns only links which join parts. So no pairs are emitted,
+    and memory is bounded by two chunks whatever the size of the bucket.
+    """
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    dealt = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("uid", "band"), F.col("chunks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    dealt = dealt.join(rows.select("uid", "text"), "uid").withColumn("other", other)
+    dealt = dealt.select("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "uid", "part", "text")
+
+    def compare(block: pa.Table) -> pa.Table:
+        found = linked_parts(block["uid"].to_numpy(), block["part"].to_numpy(), [t or "" for t in block["text"].to_pylist()], threshold)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return dealt.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def linked_parts(uid: np.ndarray, part: np.ndarray, texts: list[str], threshold: float) -> list[tuple[int, int]]:
+    """Links of the threshold or more that join the parts of a block: a spanning forest of them."""
+    order = np.argsort(uid, kind="stable")
+    uid, part, texts = uid[order], part[order].copy(), [texts[i] for i in order]
+    if len(set(part.tolist())) < 2:
+        return []
+    doc, feature = [], []
+    for a, b in slices([max(len(t), BLOCK_CHARS // BLOCK_TEXTS) for t in texts], BLOCK_CHARS):
+        d, s, c = shingle_bags(texts[a:b])
+        # the n-th occurrence of a shingle is a feature of its own, so shared features count the multiset overlap
+        level = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        doc.append(np.repeat(d + a, c))
+        feature.append(mix(np.repeat(s, c) ^ (level.astype(np.uint64) << np.uint64(52))))
+    doc, feature = np.concatenate(doc), np.concatenate(feature)
+    n = len(texts)
+    total = np.bincount(doc, minlength=n).astype(np.float32)
+    _, column, times = np.unique(feature, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    doc, column = doc[shared], np.unique(column[shared], return_inverse=True)[1]
+    sort = np.argsort(column, kind="stable")
+    doc, column = doc[sort], column[sort]
+    common = np.zeros((n, n), np.float32)
+    for lo in range(0, int(column.max(initial=-1)) + 1, 4096):
+        u, v = np.searchsorted(column, [lo, lo + 4096])
+        piece = np.zeros((n, 4096), np.float32)
+        piece[doc[u:v], column[u:v] - lo] = 1
+        common += piece @ piece.T
+    similarity = common / np.maximum(total[:, None] + total[None] - common, 1)
+    a, b = np.nonzero(np.triu((similarity >= threshold - 1e-6) & (part[:, None] != part[None]), 1))
+    found = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        both = total[x] + total[y] - common[x, y]
+        if part[x] != part[y] and float(common[x, y]) >= threshold * float(both):
+            found.append((int(uid[x]), int(uid[y])))
+            part[part == part[y]] = part[x]
+    return found
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, slack: float = 0.15, keep_columns: bool = False) -> DataFrame:
     """The class of every row: the smallest key among the rows that verified links connect.
 
@@ -218,20 +277,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     classes = materialize(classes.select("c1", "c2", "one.*"), "classes")
 
     spread = classes.select("uid", F.explode("bands").alias("band"))
-    buckets = spread.groupBy("band").agg(F.min("uid").alias("pivot"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("band", "pivot")
+    buckets = spread.groupBy("band").agg(F.min("uid").alias("pivot"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     members = materialize(spread.join(buckets, "band"), "members")
     star = members.filter(F.col("uid") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("uid").alias("b")).distinct()
     links = verified(materialize(star, "pairs"), classes, rows, threshold, slack)
     parts = materialize(components(links), "parts")
 
     own = F.coalesce("c", F.col("uid")).alias("part")
-    placed = materialize(members.join(parts.withColumnRenamed("v", "uid"), "uid", "left").select("band", "uid", "pivot", own), "placed")
+    placed = materialize(members.join(parts.withColumnRenamed("v", "uid"), "uid", "left").select("band", "n", "uid", own), "placed")
     mixed = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
     rest = materialize(placed.join(mixed, "band"), "mixed")
-    left = rest.filter(F.col("uid") != F.col("pivot")).select("band", F.col("uid").alias("a"), F.col("part").alias("part_a"))
-    right = left.toDF("band", "b", "part_b")
-    across = left.join(right, "band").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b"))).select("a", "b").distinct()
-    more = verified(materialize(across, "pairs"), classes, rows, threshold, slack)
+    more = materialize(block_links(rest, rows, threshold), "links")
     if more.limit(1).count():
         parts = materialize(components(links.union(more)), "parts")
 

@@ -16,6 +16,8 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_sample
+
 PIECE = 512
 LEVEL = 1
 
@@ -86,16 +88,16 @@ def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, flo
 def fit(labelled: DataFrame, text: str = "text", label: str = "label", max_rows: int = 4000, max_chars: int = 4096, dictionary_size: int = 65536) -> QualityModel:
     """Learn from (text, label 0/1) rows.
 
-    At most ``max_rows`` rows are used, those with the smallest hash of their text, and of
-    each one window of ``max_chars`` characters at a place given by the hash; this bounds the
-    driver's memory. Rows with a null text or label are left out. With no row of one class
+    At most ``max_rows`` rows with different texts are used, those with the smallest hash of their
+    text, and of each one window of ``max_chars`` characters at a place given by the hash; this
+    bounds the driver's memory. Rows with a null text or label are left out. With no row of one class
     that class's dictionary is empty text and scores stay near one half.
     """
     h = F.xxhash64(F.col(f"`{text}`"))
     at = F.pmod(h, F.greatest(F.lit(1), F.length(F.col(f"`{text}`")) - max_chars + 1)) + 1
     rows = labelled.filter(F.col(f"`{text}`").isNotNull() & F.col(f"`{label}`").isin(0, 1))
     rows = rows.select(h.alias("h"), F.substring(F.col(f"`{text}`"), at.cast("int"), F.lit(max_chars)).alias("t"), F.col(f"`{label}`").cast("int").alias("y"))
-    sample = rows.orderBy("h", "t", "y").limit(max_rows).collect()
+    sample = bounded_sample(rows, "h", max_rows).collect()
     # every other row builds the dictionaries, the rest calibrates
     texts = {k: [r["t"] for r in sample[::2] if r["y"] == k] for k in (0, 1)}
     raw = QualityModel(*(dictionary(texts[k], dictionary_size) or b" " for k in (1, 0)), 1.0, 0.0)

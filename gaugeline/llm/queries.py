@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import embeddings, langid, mixing, neardup, packing, pii, quality, token_counts, topk, urls
-from .common import held_out
+from .common import bounded_sample, held_out
 
+#: Labelled documents that the quality model is fitted on, at most.
+FIT_ROWS = 4000
 #: (verdict, host, path)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -24,8 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    model = quality.fit(documents.filter(~F.col("held_out")).join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1))
+    labels = labels.select("doc_id", F.col("quality").alias("label"), F.xxhash64("doc_id").alias("h"))
+    # FIT_ROWS rows of two numbers, whatever the input
+    chosen = F.broadcast(bounded_sample(labels, "h", FIT_ROWS))
+    model = quality.fit(documents.join(chosen, "doc_id").select("text", "label"), max_rows=FIT_ROWS)
     return quality.score_quality(documents, model).select("doc_id", "held_out", "score", "predicted")
 
 
