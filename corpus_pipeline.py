@@ -31,7 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return neardup.near_duplicates(docs, keep_columns=True).filter("kept").select(*docs.columns)
+    return neardup.near_duplicates(docs, keep_columns=True, class_col="_class", kept_col="_kept").filter("_kept").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,8 +187,8 @@ def agreement(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array((a == b).mean(axis=1), pa.float64())
 
 
-def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, threshold: float, slack: float) -> DataFrame:
-    """The pairs (a, b) of classes whose texts overlap by ``threshold`` or more.
+def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float, slack: float) -> DataFrame:
+    """The pairs (a, b) of classes whose texts (uid, text) overlap by ``threshold`` or more.
 
     Pairs whose signatures agree by ``slack`` less than that (four standard errors) are
     not looked up; the others are joined with both texts and compared exactly.
@@ -196,13 +196,12 @@ def verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, threshold: f
     sig = classes.select("uid", "sig")
     near = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
     near = materialize(near.filter(agreement("sig_a", "sig_b") >= threshold - slack).select("a", "b"), "near")
-    texts = rows.select("uid", "text")
     both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return materialize(both.filter(overlap("text_a", "text_b") >= threshold).select("a", "b"), "links")
 
 
-def block_links(members: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
-    """Links between different parts within buckets: members (band, n, uid, part) with the texts of ``rows``.
+def block_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links between different parts within buckets: members (band, n, uid, part) with their texts (uid, text).
 
     A bucket's members are dealt to chunks of about CHUNK, and each pair of chunks is compared
     exactly in one task that returns only links which join parts. So no pairs are emitted,
@@ -211,7 +210,7 @@ def block_links(members: DataFrame, rows: DataFrame, threshold: float) -> DataFr
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     dealt = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("uid", "band"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    dealt = dealt.join(rows.select("uid", "text"), "uid").withColumn("other", other)
+    dealt = dealt.join(texts, "uid").withColumn("other", other)
     dealt = dealt.select("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "uid", "part", "text")
 
     def compare(block: pa.Table) -> pa.Table:
@@ -259,19 +258,23 @@ def linked_parts(uid: np.ndarray, part: np.ndarray, texts: list[str], threshold:
     return found
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, slack: float = 0.15, keep_columns: bool = False) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, slack: float = 0.15, keep_columns: bool = False, class_col: str = "class_id", kept_col: str = "kept") -> DataFrame:
     """The class of every row: the smallest key among the rows that verified links connect.
 
-    Result: ``key`` (under its own name) or, with ``keep_columns``, all columns of ``df``; and
-    ``class_id``, ``kept``. ``kept`` is true for exactly one row of a class, one with the smallest key.
+    Result: ``key`` (under its own name) or, with ``keep_columns``, all columns of ``df`` but those named as
+    results; and ``class_id``, ``kept``. ``kept`` is true for exactly one row of a class, one with the smallest key.
     Links join texts whose five-word multisets have a weighted Jaccard similarity of at
     least ``threshold``; pairs at the threshold share a band with probability 0.9999. Texts with
     equal multisets are one class whatever their number. Null texts and texts without words
     are linked with nothing: their class is their own key. Repeated rows form one class; null
     keys are treated as larger than others; an empty table gives an empty result.
     """
-    base = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row") if keep_columns else F.lit(0).alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("uid"))
-    rows = materialize(add_sketch(base, "text"), "sketches")
+    shown = [c for c in df.columns if c not in (class_col, kept_col)] if keep_columns else [key]
+    base = df.select(F.struct(*[F.col(f"`{c}`") for c in shown]).alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("uid"))
+    rows = add_sketch(base, "text")
+    # kept columns hold the text already
+    rows = materialize(rows.drop("text") if text in shown else rows, "sketches")
+    whole = F.col("row").getField(text) if text in shown else F.col("text")
     one = F.struct(F.col("key").isNull().alias("late"), "key", "uid", "bands", "sig")
     classes = rows.filter(F.col("total") > 0).groupBy("c1", "c2").agg(F.min(one).alias("one"))
     classes = materialize(classes.select("c1", "c2", "one.*"), "classes")
@@ -280,14 +283,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     buckets = spread.groupBy("band").agg(F.min("uid").alias("pivot"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     members = materialize(spread.join(buckets, "band"), "members")
     star = members.filter(F.col("uid") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("uid").alias("b")).distinct()
-    links = verified(materialize(star, "pairs"), classes, rows, threshold, slack)
+    # the only pass that moves whole texts: those of classes that share a bucket, a set that grows with the corpus
+    asked = members.select("uid").distinct().hint("merge")
+    texts = materialize(rows.select("uid", whole.alias("text")).join(asked, "uid", "left_semi"), "texts")
+    links = verified(materialize(star, "pairs"), classes, texts, threshold, slack)
     parts = materialize(components(links), "parts")
 
     own = F.coalesce("c", F.col("uid")).alias("part")
     placed = materialize(members.join(parts.withColumnRenamed("v", "uid"), "uid", "left").select("band", "n", "uid", own), "placed")
     mixed = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
     rest = materialize(placed.join(mixed, "band"), "mixed")
-    more = materialize(block_links(rest, rows, threshold), "links")
+    more = materialize(block_links(rest, texts, threshold), "links")
     if more.limit(1).count():
         parts = materialize(components(links.union(more)), "parts")
 
@@ -295,7 +301,6 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     heads = grouped.groupBy("part").agg(F.min("one").alias("head"))
     heads = materialize(heads.select("part", F.col("head.key").alias("class_id"), F.col("head.uid").alias("head")), "heads")
     table = materialize(grouped.join(heads, "part").select("c1", "c2", "class_id", "head"), "class-table")
-    shown = ["row.*"] if keep_columns else [F.col("key").alias(key)]
     out = rows.select("row", "key", "uid", "c1", "c2").join(table, ["c1", "c2"], "left")
     lone = F.col("head").isNull()
-    return out.select(*shown, F.when(lone, F.col("key")).otherwise(F.col("class_id")).alias("class_id"), (lone | (F.col("head") == F.col("uid"))).alias("kept"))
+    return out.select("row.*", F.when(lone, F.col("key")).otherwise(F.col("class_id")).alias(class_col), (lone | (F.col("head") == F.col("uid"))).alias(kept_col))
