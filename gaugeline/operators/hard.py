@@ -53,6 +53,30 @@ class Verdict:
     blank: list[tuple[str, Column]] = field(default_factory=list)
 
 
+class Fields:
+    """A payload read once, by kind, in a projection below the rules: numbers, booleans, and the names of fields that are present, text or filled text."""
+
+    def __init__(self, payload: Column):
+        names = lambda test: F.map_keys(F.map_filter(payload, lambda _, v: test(v)))
+        nested = F.try_variant_get(payload["band_powers_db"], "$", "map<string,variant>")
+        self.columns = {
+            "_numbers": F.transform_values(payload, lambda _, v: V.number(v)), "_clock": V.boolean(payload["source_node_clock_ok"]), "_present": names(V.is_present), "_texts": names(V.is_text), "_filled": names(V.is_filled_text),
+            "_fix": unreliable_fix(payload["gpsFixStatus"]), "_nested": F.map_filter(F.transform_values(nested, lambda _, x: V.model_number(x)), lambda _, x: x.isNotNull()),
+        }
+
+    def number(self, name: str) -> Column:
+        return F.col("_numbers")[name]
+
+    def present(self, name: str) -> Column:
+        return F.array_contains("_present", name)
+
+    def is_text(self, name: str) -> Column:
+        return F.array_contains("_texts", name)
+
+    def is_filled(self, name: str) -> Column:
+        return F.array_contains("_filled", name)
+
+
 def any_of(conditions: list[Column]) -> Column:
     out = F.lit(False)
     for c in conditions:
@@ -67,8 +91,8 @@ def count_of(conditions: list[Column]) -> Column:
     return out
 
 
-def environment(p: Column, limits: dict) -> Verdict:
-    get = lambda name: V.number(V.field(p, name))
+def environment(p: Fields, limits: dict) -> Verdict:
+    get = p.number
     bad = [V.outside(get(f), 0, 100) for f in ("moist_pc", "sleeper_rh", "humidity_pct")]
     flood = get("flood_flag")
     bad.append(F.coalesce(~flood.isin(0.0, 1.0), F.lit(False)))
@@ -80,8 +104,7 @@ def environment(p: Column, limits: dict) -> Verdict:
         blank.append((f, over))
     missing = []
     for f, sentinel in (("year", 0xFFFF), *((part, 0xFF) for part in ("month", "day", "hour", "minute", "second"))):
-        v = V.field(p, f)
-        hit = F.coalesce(~V.is_text(v) & (V.number(v) == float(sentinel)), F.lit(False))
+        hit = F.coalesce(~p.is_text(f) & (get(f) == float(sentinel)), F.lit(False))
         missing.append(hit)
         blank.append((f, hit))
     wrong, no_time = any_of(bad), any_of(missing)
@@ -98,17 +121,16 @@ def structural(bad: list[Column], flag: str | None = None, incomplete: Column |
     return Verdict(flags, suspect=suspect, invalid=wrong, invalid_fields=count_of(bad))
 
 
-def present_but(p: Column, name: str, wrong) -> Column:
+def present_but(p: Fields, name: str, wrong) -> Column:
     """The field is present and not a number, or a number for which ``wrong`` holds."""
-    v = V.field(p, name)
-    x = V.number(v)
-    return V.is_present(v) & (x.isNull() | wrong(x))
+    x = p.number(name)
+    return p.present(name) & (x.isNull() | wrong(x))
 
 
-def gas(p: Column) -> Verdict:
-    conc, kind = V.field(p, "gasConc"), V.field(p, "gasType")
-    bad = [present_but(p, "gasConc", lambda x: F.lit(False)), V.is_present(kind) & ~V.is_filled_text(kind)]
-    return structural(bad, "incomplete_gas_measurement", V.is_filled_text(kind) & ~V.is_present(conc))
+def gas(p: Fields) -> Verdict:
+    named = p.is_filled("gasType")
+    bad = [present_but(p, "gasConc", lambda x: F.lit(False)), p.present("gasType") & ~named]
+    return structural(bad, "incomplete_gas_measurement", named & ~p.present("gasConc"))
 
 
 def unreliable_fix(v: Column) -> Column:
@@ -119,36 +141,35 @@ def unreliable_fix(v: Column) -> Column:
     return ~V.is_absent(v) & F.coalesce(by_kind, F.lit(False))
 
 
-def gps_status(p: Column) -> Verdict:
+def gps_status(p: Fields) -> Verdict:
     bad = [present_but(p, f, lambda x: V.below(x, 0)) for f in ("horizontalDilution", "numSatellites")]
-    return structural(bad, "gps_fix_unreliable", unreliable_fix(V.field(p, "gpsFixStatus")))
+    return structural(bad, "gps_fix_unreliable", F.coalesce("_fix", F.lit(False)))
 
 
-def network_context(p: Column) -> Verdict:
+def network_context(p: Fields) -> Verdict:
     return structural([present_but(p, "Bandwidth", lambda x: V.at_most(x, 0)), present_but(p, "SpreadFactor", lambda x: V.outside(x, 6, 12))])
 
 
-def device_telemetry(p: Column) -> Verdict:
-    has = {f: V.is_present(V.field(p, f)) for f in ("batteryVoltage", "inputVoltage", "batteryCharge", "MapStatus")}
+def device_telemetry(p: Fields) -> Verdict:
+    has = {f: p.present(f) for f in ("batteryVoltage", "inputVoltage", "batteryCharge", "MapStatus")}
     bad = [present_but(p, f, lambda x: V.at_most(x, 0)) for f in ("batteryVoltage", "inputVoltage")]
     bad.append(present_but(p, "batteryCharge", lambda x: F.lit(False)))
     alone = (has["batteryCharge"] | has["MapStatus"]) & ~(has["batteryVoltage"] | has["inputVoltage"])
     return structural(bad, "incomplete_device_telemetry", alone)
 
 
-def microphone_bands(p: Column) -> tuple[Column, Column]:
+def microphone_bands(p: Fields) -> tuple[Column, Column]:
     """(band values by name, scale): the six linear bands if any is a number, else the map in decibels, else unknown."""
-    linear = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, BANDS)), F.array(*[V.number(V.field(p, b)) for b in BANDS])), lambda _, x: x.isNotNull())
-    nested = F.try_variant_get(V.field(p, "band_powers_db"), "$", "map<string,variant>")
-    decibel = F.map_filter(F.transform_values(nested, lambda _, x: V.model_number(x)), lambda _, x: x.isNotNull())
+    linear = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, BANDS)), F.array(*[p.number(b) for b in BANDS])), lambda _, x: x.isNotNull())
+    decibel = F.col("_nested")
     has_linear = F.size(linear) > 0
     none = F.create_map().cast("map<string,double>")
-    return F.when(has_linear, linear).otherwise(F.coalesce(decibel, none)), F.when(has_linear, "linear").when(nested.isNotNull(), "db").otherwise("unknown")
+    return F.when(has_linear, linear).otherwise(F.coalesce(decibel, none)), F.when(has_linear, "linear").when(decibel.isNotNull(), "db").otherwise("unknown")
 
 
-def microphone_fft(p: Column, limits: dict) -> Verdict:
-    get = lambda name: V.number(V.field(p, name))
-    bands, scale = microphone_bands(p)
+def microphone_fft(p: Fields, limits: dict) -> Verdict:
+    get = p.number
+    bands, scale = F.col("_bands"), F.col("_scale")
     levels, is_linear = F.map_values(bands), scale == "linear"
     power, power_db = get("total_power"), get("total_power_db")
     wrong = V.at_most(power, 0) | V.outside(get("spectral_flatness"), 0, 1) | (is_linear & F.exists(levels, lambda x: V.below(x, 0)))
@@ -164,23 +185,19 @@ def microphone_fft(p: Column, limits: dict) -> Verdict:
     return Verdict([("invalid_value", wrong)], invalid=wrong, tags=[("noise_like", ~wrong & (quiet | quiet_db)), ("flatwheel_candidate", ~wrong & wheel), ("squeal_candidate", ~wrong & squeal)])
 
 
-def ae(p: Column, limits: dict) -> Verdict:
-    get = lambda name: V.number(V.field(p, name))
+def ae(p: Fields, limits: dict) -> Verdict:
+    get = p.number
     duration = F.coalesce(get("duration_s"), get("duration_us") / 1e6)
     energy = F.coalesce(get("energy_marse"), get("energy"))
     amplitude, floor = get("amplitude_v"), get("threshold_v")
-    clock = F.coalesce(~V.boolean(V.field(p, "source_node_clock_ok")), F.lit(False))
+    clock = F.coalesce(~F.col("_clock"), F.lit(False))
     wrong = V.at_most(duration, 0) | V.below(get("counts"), 0) | V.below(energy, 0) | V.at_most(floor, 0)
     weak = V.at_most(amplitude, floor) & V.at_most(energy, limits["low_energy_threshold"]) & floor.isNotNull()
     strong = V.at_least(amplitude, floor + limits["event_amplitude_margin"]) & V.at_least(energy, limits["event_energy_threshold"]) & floor.isNotNull()
     return Verdict([("invalid_value", wrong), ("time_unreliable", clock)], suspect=clock, invalid=wrong, tags=[("noise_like", ~wrong & weak), ("event_candidate", ~wrong & strong)])
 
 
-def rules(payload: Column, limits: dict) -> dict[str, Verdict]:
-    return {
-        "environment": environment(payload, limits["environment"]), "gas": gas(payload), "gps_status": gps_status(payload), "network_context": network_context(payload),
-        "device_telemetry": device_telemetry(payload), "microphone_fft": microphone_fft(payload, limits["microphone_fft"]), "ae": ae(payload, limits["ae"]),
-    }
+RULES = {"environment": environment, "gas": gas, "gps_status": gps_status, "network_context": network_context, "device_telemetry": device_telemetry, "microphone_fft": microphone_fft, "ae": ae}
 
 
 def normalize_semantics(df: DataFrame) -> DataFrame:
@@ -204,8 +221,10 @@ def apply_hard(df: DataFrame, overrides: dict | None = None) -> DataFrame:
     df = normalize_semantics(df).withColumn("function_id", V.function_id(F.col("function_id")))
     p, family = F.col("payload"), F.coalesce(F.col("family"), F.lit(""))
     no_object = family.isin(FAMILIES) & p.isNull()
+    fields = Fields(p)
     flags, tags, rank, count, blank = [F.when(no_object, F.lit("invalid_payload"))], [], F.when(no_object, 2).otherwise(0), F.lit(0), []
-    for name, v in rules(p, limits).items():
+    for name, rule in RULES.items():
+        v = rule(fields, limits[name]) if name in limits else rule(fields)
         here = (family == name) & p.isNotNull()
         flags += [F.when(here & c, F.lit(f)) for f, c in v.flags]
         tags += [F.when(here & c, F.lit(t)) for t, c in v.tags]
@@ -219,11 +238,13 @@ def apply_hard(df: DataFrame, overrides: dict | None = None) -> DataFrame:
     rank = F.greatest(rank, F.when(mismatch, 1).otherwise(0), V.state_rank(F.col("quality_state")))
     blanked = F.array_compact(F.array(*blank))
     clean = F.when(F.size(blanked) > 0, F.map_filter(p, lambda k, _: ~F.array_contains(blanked, k))).otherwise(p)
-    return df.withColumns({
+    names = [*df.columns, "invalid_fields"]
+    bands, scale = microphone_bands(fields)
+    return df.withColumns(fields.columns).withColumns({"_bands": bands, "_scale": scale}).withColumns({
         "quality_flags": F.array_sort(F.array_union(F.col("quality_flags"), F.array_compact(F.array(*flags)))),
         "analysis_tags": F.array_sort(F.array_union(F.col("analysis_tags"), F.array_compact(F.array(*tags)))) if tags else F.col("analysis_tags"),
         "quality_state": V.state_of(rank), "invalid_fields": count, "payload": clean,
-    })
+    }).select(*dict.fromkeys(names))
 
 
 def hard_report(df: DataFrame) -> DataFrame:

@@ -205,8 +205,8 @@ def decide(effective: str, valid: int, failures: int, complete: list[bool], cand
     return next((("shadow", why) for hit, why in reasons if hit), ("enforce", "ready"))
 
 
-def auto_modes(series: DataFrame, m: ModelFilter, validated: bool, events: bool) -> DataFrame:
-    """(seq, effective_mode, reason) after each row of (seq, complete, candidate), in order of seq.
+def auto_modes(series: DataFrame, m: ModelFilter, validated: bool, events: bool, keys: Sequence[str] = ("seq",)) -> DataFrame:
+    """(keys, effective_mode, reason) after each row of (keys, complete, candidate), in order of the keys.
 
     ``complete`` null: the record says nothing about the model (another family or a duplicate);
     ``candidate`` null: it was not scored. The mode is one chain over all records, so this narrow
@@ -228,6 +228,8 @@ def auto_modes(series: DataFrame, m: ModelFilter, validated: bool, events: bool)
                 effective, why = decide(effective, valid, 0, complete, candidates, m, validated, events)
                 modes.append(effective)
                 reasons.append(why)
-            yield pdf[["seq"]].assign(effective_mode=modes, reason=reasons)
+            yield pdf[list(keys)].assign(effective_mode=modes, reason=reasons)
 
-    return series.select("seq", "complete", "candidate").coalesce(1).sortWithinPartitions("seq").mapInPandas(fold, "seq long, effective_mode string, reason string")
+    narrow = series.select(*keys, F.col("complete").cast("int"), F.col("candidate").cast("int"))
+    kinds = ", ".join(f"{k} {narrow.schema[k].dataType.simpleString()}" for k in keys)
+    return narrow.coalesce(1).sortWithinPartitions(*keys).mapInPandas(fold, f"{kinds}, effective_mode string, reason string")

@@ -243,7 +243,7 @@ class DeviceScan:
     def events(self, r: dict, found: list[Finding]) -> tuple[list[dict], set[str]]:
         e, out, flags = self.config.events, [], set()
         if not e.enabled:
-            return [], {f["candidate_flag"] for f in found if f.get("candidate_flag") and e.enforcement_policy == "point"}
+            return [], flags
         for f in found:
             flag = f.get("candidate_flag")
             for name in (sorted(set(f.get("affected_fields") or ())) or [f.get("field") or "record"]) if flag else ():
@@ -266,9 +266,6 @@ class DeviceScan:
                         out.append({**event, "status": "confirmed"})
                     elif e.enforcement_policy == "confirmed_event":
                         out.append({**event, "status": "updated"})
-                    if e.enforcement_policy == "confirmed_event":
-                        flags.add(flag)
-                elif e.enforcement_policy == "point":
                     flags.add(flag)
         return out, flags
 
@@ -299,6 +296,8 @@ class DeviceScan:
                     own, skip = self.adaptive(r, blocked)
             found = context + own + list(r.get("extra", ())) + sequence
             summaries, flags = self.events(r, found) if not duplicate and self.keeps_state(r) else ([], set())
+            if self.config.events.enforcement_policy == "point":
+                flags = {f["candidate_flag"] for f in found if f.get("candidate_flag")}
             updates.append((r, skip, duplicate, any(f.get("candidate_flag") for f in found)))
             if not duplicate and self.keeps_state(r):
                 self.seen.add(r["fingerprint"])
@@ -310,7 +309,8 @@ class DeviceScan:
             if not duplicate and self.keeps_state(r):
                 if self.config.enabled:
                     self.accept(r, skip)
-                self.state.ledger = [*self.state.ledger, r["fingerprint"]][-self.config.deduplication_capacity :]
+                self.state.ledger.append(r["fingerprint"])
+                del self.state.ledger[: -self.config.deduplication_capacity]
 
     def trust(self, where: dict[str, dict], r: dict) -> None:
         now = where.get(r["family"])
@@ -330,39 +330,56 @@ def is_confirmed(event: dict, e: Events) -> bool:
 
 FINDING = "layer:string,rule_id:string,field:string,affected_fields:array<string>,candidate_flag:string,observed:double,reference:double,score:double,threshold:double,elapsed_seconds:double,event_id:string,state:string,silent_family:string"
 EVENT = "event_id:string,family:string,field:string,candidate_flag:string,start_us:long,end_us:long,point_count:long,record_ids:array<string>,status:string"
-RESULT = f"device_id string, seq long, record_id string, duplicate boolean, flags array<string>, findings array<struct<{FINDING}>>, events array<struct<{EVENT}>>"
+RESULT = f"device_id string, seq long, record_id string, duplicate boolean, flags array<string>, findings array<struct<{FINDING}>>, events array<struct<{EVENT}>>, state string"
 _FINDING = [x.partition(":")[0] for x in FINDING.split(",")]
 _EVENT = [x.partition(":")[0] for x in EVENT.split(",")]
 
 
 def as_record(row: Any, fields_: list[str]) -> dict:
     values = {f: float(x) for f in fields_ if (x := getattr(row, f)) is not None and x == x and abs(x) != float("inf")}
-    us = row.ts_us
-    return {"seq": int(row.seq), "record_id": row.record_id or "", "family": row.family or "", "us": None if us is None or us != us else int(us), "state": row.quality_state, "values": values, "keys": set(fields_), "fingerprint": row.fingerprint, "extra": [dict(x) for x in (getattr(row, "extra", None) if getattr(row, "extra", None) is not None else ())]}
+    us, extra = row.ts_us, getattr(row, "extra", None)
+    return {"seq": int(row.seq), "record_id": row.record_id or "", "family": row.family or "", "us": None if us is None or us != us else int(us), "state": row.quality_state, "values": values, "keys": set(fields_), "fingerprint": row.fingerprint, "extra": [x.asDict() if hasattr(x, "asDict") else dict(x) for x in (() if extra is None else extra)]}
 
 
 def scan_rows(device: str, pdf: pd.DataFrame, fields_: list[str], config: DynamicConfig, state: DeviceState) -> pd.DataFrame:
+    """Findings of one device's rows; the last row carries the new state."""
+    pdf = pdf.assign(ts_us=pdf["ts_us"].astype("Int64").astype(object).where(pdf["ts_us"].notna(), None))
     pdf = pdf.sort_values(["ts_us", "family", "record_id", "seq"], na_position="last")
     records = [as_record(r, fields_) for r in pdf.itertuples(index=False)]
     ids = {r["seq"]: r["record_id"] for r in records}
-    rows = []
-    for x in DeviceScan(device, config, state).run(records):
-        rows.append((device, x["seq"], ids[x["seq"]], x["duplicate"], sorted(x["flags"]), [{k: f.get(k) for k in _FINDING} for f in x["findings"]], [{k: e.get(k) for k in _EVENT} for e in x["events"]]))
-    return pd.DataFrame(rows, columns=["device_id", "seq", "record_id", "duplicate", "flags", "findings", "events"])
+    scan, rows = DeviceScan(device, config, state), []
+    for x in scan.run(records):
+        rows.append([device, x["seq"], ids[x["seq"]], x["duplicate"], sorted(x["flags"]), [{k: f.get(k) for k in _FINDING} for f in x["findings"]], [{k: e.get(k) for k in _EVENT} for e in x["events"]], None])
+    if rows:
+        rows[-1][-1] = scan.state.dump()
+    return pd.DataFrame(rows, columns=["device_id", "seq", "record_id", "duplicate", "flags", "findings", "events", "state"])
 
 
-def scan_devices(df: DataFrame, fields_: list[str], config: DynamicConfig) -> DataFrame:
+def scan_devices(df: DataFrame, fields_: list[str], config: DynamicConfig, states: DataFrame | None = None) -> DataFrame:
     """Exact findings for records (device_id, seq, record_id, family, ts_us, quality_state, fingerprint, value columns[, extra]).
 
-    One device is one task: its state is a chain. ``ts_us`` may be null.
+    One device is one task: its state is a chain. ``ts_us`` may be null. ``states`` (device_id, state) are the states that
+    an earlier run left; ``next_states`` gives those after this one.
     """
+    needed = ["device_id", "seq", "record_id", "family", "ts_us", "quality_state", "fingerprint", *fields_, *(["extra"] if "extra" in df.columns else [])]
+    rows = df.select(*needed).groupBy("device_id")
+    if states is None:
+        return rows.applyInPandas(lambda key, pdf: scan_rows(key[0], pdf, fields_, config, DeviceState()), RESULT)
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf["ts_us"] = pdf["ts_us"].astype("Int64").astype(object).where(pdf["ts_us"].notna(), None)
-        return scan_rows(key[0], pdf, fields_, config, DeviceState())
+    def both(key, pdf: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
+        return scan_rows(key[0], pdf, fields_, config, DeviceState.load(kept["state"].iloc[0] if len(kept) else None))
 
-    needed = ["device_id", "seq", "record_id", "family", "ts_us", "quality_state", "fingerprint", *fields_, *(["extra"] if "extra" in df.columns else [])]
-    return df.select(*needed).groupBy("device_id").applyInPandas(one, RESULT)
+    return rows.cogroup(states.select("device_id", "state").groupBy("device_id")).applyInPandas(both, RESULT)
+
+
+def next_states(scanned: DataFrame, states: DataFrame | None = None) -> DataFrame:
+    """(device_id, state) after a scan; devices without records keep the state they had."""
+    new = scanned.filter(F.col("state").isNotNull()).select("device_id", "state")
+    return new if states is None else new.union(states.select("device_id", "state").join(new.select("device_id"), "device_id", "left_anti"))
+
+
+def reset_device(states: DataFrame, device: str) -> DataFrame:
+    return states.filter(F.col("device_id") != device)
 
 
 def findings_of(scanned: DataFrame) -> DataFrame:
