@@ -7,6 +7,8 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +60,10 @@ def slices(lengths: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+def text_blocks(texts: pa.Array, most: int) -> Iterator[list[str]]:
+    """The texts in order, in lists of about ``most`` bytes; null is empty. Only one list is turned into Python strings at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for a, b in slices(sizes.tolist(), most):
+        yield [t or "" for t in texts.slice(a, b - a).to_pylist()]

@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slices
+from .common import bounded_sample, slices, text_blocks
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 BLOCK = 128
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 UND = "und"
 
 
@@ -201,7 +201,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", lang_col:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = np.array(model.languages, object)
         for batch in batches:
-            p = model.predict([x or "" for x in batch.to_pylist()])
+            p = np.concatenate([np.empty((0, len(names))), *map(model.predict, text_blocks(batch, BLOCK_BYTES))])
             best = p.argmax(axis=1) if len(p) else np.zeros(0, int)
             score = np.clip(p[np.arange(len(p)), best], 0, 1)
             yield pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64())], names=["lang", "score"])

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import materialize, slices
+from .common import materialize, slices, text_blocks
 from .graph import components
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
-BLOCK_CHARS, BLOCK_TEXTS = 1 << 22, 4096
+BLOCK_CHARS, BLOCK_TEXTS, SEGMENT = 1 << 20, 4096, 1 << 19
 DOC_BITS = 12
 CHUNK = 512
 #: Fixed odd multipliers (of SplitMix64, and one for polynomial hashes).
@@ -49,10 +49,39 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_powers: list[np.ndarray] = []
 INVERSE = pow(int(BASE), -1, 1 << 64)
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_powers: list[np.ndarray] = []
+
+
+def power_tables(n: int) -> list[np.ndarray]:
+    """Powers of BASE and of its inverse; kept for parts of the usual size only."""
+    if n > SEGMENT + 4096:
+        return [powers(int(BASE), n), powers(INVERSE, n)]
+    if not _powers:
+        _powers[:] = [powers(int(BASE), SEGMENT + 4096), powers(INVERSE, SEGMENT + 4096)]
+    return _powers
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of each word of a text that begins and ends with white space, in parts of about SEGMENT bytes cut at white space."""
+    starts, hashes, at = [], [], 0
+    while at < len(data) - 1:
+        end = min(len(data) - 1, at + SEGMENT)
+        while not SPACES[data[end]]:
+            blank = np.flatnonzero(SPACES[data[end : end + 4096]])
+            end = end + int(blank[0]) if len(blank) else end + 4096
+        part = data[at : end + 1]
+        up, down = power_tables(len(part) + 1)
+        blank = SPACES[part]
+        start = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+        stop = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], dtype=np.uint64)))
+        hashes.append(mix((sums[stop] - sums[start]) * down[start]))
+        starts.append(start + at)
+        at = end
+    return np.concatenate(starts or [np.zeros(0, np.int64)]), np.concatenate(hashes or [np.zeros(0, np.uint64)])
 
 
 def shingle_bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,15 +92,7 @@ def shingle_bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     raw = [(" " + t.lower() + " ").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"".join(raw), np.uint8)
-    if not _powers or len(_powers[0]) < len(data) + 1:
-        n = max(len(data) + 1, BLOCK_CHARS * 2)
-        _powers[:] = [powers(int(BASE), n), powers(INVERSE, n)]
-    up, down = _powers
-    blank = SPACES[data]
-    start = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
-    end = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)))
-    words = mix((sums[end] - sums[start]) * down[start])
+    start, words = word_hashes(data)
     first = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
     bounds = np.searchsorted(start, first)
     n_words = np.diff(bounds)
@@ -150,9 +171,10 @@ def add_sketch(df: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.struct([("c1", pa.int64()), ("c2", pa.int64()), ("total", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
         for batch in batches:
-            texts, rows = [t or "" for t in batch.to_pylist()], []
-            for a, b in slices([max(len(t), BLOCK_CHARS // BLOCK_TEXTS) for t in texts], BLOCK_CHARS):
-                rows += sketch(texts[a:b])
+            rows = []
+            for texts in text_blocks(batch, BLOCK_CHARS):
+                for at in range(0, len(texts), BLOCK_TEXTS):
+                    rows += sketch(texts[at : at + BLOCK_TEXTS])
             yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(kind)], fields=list(kind))
 
     return df.withColumn("sketch", run(F.coalesce(F.col(text), F.lit("")))).select("*", "sketch.*").drop("sketch")

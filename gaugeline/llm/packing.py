@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import materialize, text_blocks
 from .token_counts import byte_alphabet
 
 BLOCK_CHARS = 1 << 20
@@ -70,11 +70,11 @@ def pieces(df: DataFrame, tokenizer_path: str, size: int, end_id: int, key: str,
         encode, part, seen = encoder(tokenizer_path), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices([len(x or "") for x in texts], BLOCK_CHARS):
+            done = 0
+            for texts in text_blocks(batch.column(1), BLOCK_CHARS):
                 rows, tokens, start, length, ids, nth = [], [], [], [], [], []
-                for i in range(a, b):
-                    own = np.concatenate((encode(texts[i] or ""), end))
+                for i, text in enumerate(texts, done):
+                    own = np.concatenate((encode(text), end))
                     for at in range(0, len(own), size):
                         cut = own[at : at + size]
                         rows.append(i)
@@ -84,6 +84,7 @@ def pieces(df: DataFrame, tokenizer_path: str, size: int, end_id: int, key: str,
                         ids.append(cut.astype("<u4").tobytes())
                         nth.append(seen[len(cut)])
                         seen[len(cut)] += 1
+                done += len(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (tokens, start, length)), pa.array(ids, pa.binary()), pa.array([part] * len(rows), pa.int32()), pa.array(nth, pa.int64())], names=["key", "doc_tokens", "start", "length", "ids", "part", "nth"])
 
     return df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import text_blocks
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -448,8 +448,7 @@ def find_spans(df: DataFrame, model: TaggerModel, text: str = "text", base_col:
     @F.arrow_udf("struct<base:array<struct<kind:string,start:long,end:long>>,spans:array<struct<kind:string,start:long,end:long>>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
-            both = [r for a, b in slices([len(t) for t in texts], BLOCK_CHARS) for r in all_spans(model, texts[a:b])]
+            both = [r for texts in text_blocks(batch, BLOCK_CHARS) for r in all_spans(model, texts)]
             as_array = lambda k: pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in r[k]] for r in both], pa.list_(SPAN_TYPE))
             yield pa.StructArray.from_arrays([as_array(0), as_array(1)], names=["base", "spans"])
 

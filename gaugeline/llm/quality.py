@@ -16,10 +16,11 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample
+from .common import bounded_sample, text_blocks
 
 PIECE = 512
 LEVEL = 1
+BLOCK_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -120,7 +121,7 @@ def score_quality(df: DataFrame, model: QualityModel, text: str = "text", score_
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array(model.score([t or "" for t in batch.to_pylist()]), pa.float64())
+            yield pa.array(np.concatenate([np.empty(0), *map(model.score, text_blocks(batch, BLOCK_BYTES))]), pa.float64())
 
     out = df.withColumn(score_col, run(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     return out.withColumn(predicted_col, (F.col(score_col) >= 0.5).cast("int"))
