@@ -95,16 +95,18 @@ def score(df: DataFrame, model: Autoencoder, inputs: Sequence[str]) -> DataFrame
 def model_input(df: DataFrame, payload: str = "payload", family: str = "family") -> DataFrame:
     """Add ``in_<feature>`` columns and ``skip_reason`` of the first feature that fails; null where the record can be scored."""
     p = F.col(payload)
+    # the numbers are read once, in a projection below
+    df = df.withColumn("_inputs", F.transform_values(F.map_filter(p, lambda k, _: k.isin(FEATURES)), lambda _, v: V.model_number(v)))
     reason = F.when(F.coalesce(F.col(family), F.lit("")) != "environment", "family_not_applicable").when(p.isNull(), "missing_payload")
     made = {}
     for i, f in enumerate(FEATURES):
-        x = V.model_number(V.field(p, f))
+        x = F.col("_inputs")[f]
         reason = reason.when(x.isNull(), f"missing_or_non_numeric:{f}")
         if i >= TEMPERATURES:
             reason = reason.when((x < 0) | (x > 100), f"out_of_range:{f}")
         made[f"in_{f}"] = x / 100 if i < TEMPERATURES else x
     df = df.withColumn("skip_reason", reason)
-    return df.withColumns({k: F.when(F.col("skip_reason").isNull(), v) for k, v in made.items()})
+    return df.withColumns({k: F.when(F.col("skip_reason").isNull(), v) for k, v in made.items()}).drop("_inputs")
 
 
 # ---- training

@@ -59,7 +59,7 @@ def filter_records(records: DataFrame, fields: Sequence[str] = (), mode: str | N
     if mode == "off":
         return Filtered(clean, hard.hard_report(clean))
     config = config or DynamicConfig()
-    ordered = numbered(clean)
+    ordered = numbered(clean.withColumn("device_id", F.coalesce("device_id", F.lit("unknown"))))
     ordered = ordered.withColumns({f: V.finite_number(F.col("payload")[f]) for f in fields})
     if model is not None and config.model.enabled:
         ordered = model_findings(ordered, model)

@@ -50,17 +50,27 @@ def sensor_hex(packet: Column, strict: bool = True) -> Column:
     return F.when(~is_empty(packet), out)
 
 
-def with_frame(df: DataFrame, packets: list[Column], name: str, strict: bool = True) -> DataFrame:
-    """Add the environment values of the last packet that has some, as a struct; null if none has.
+def last_hex(packets: list[Column], strict: bool = True) -> Column:
+    """The last packet that holds environment values."""
+    return F.coalesce(*[sensor_hex(p, strict) for p in reversed(packets)])
 
-    The packet is chosen in a projection of its own, so one is unpacked, not each.
-    """
-    chosen = F.coalesce(*[sensor_hex(p, strict) for p in reversed(packets)])
+
+def unpacked(hexes: Column) -> Column:
+    """The environment values of a packet as a struct; null for null."""
     fields, at = [], HEADER
     for field, size, signed in LAYOUT:
-        fields.append(integer(F.col("_hex"), at, size, signed).alias(field))
+        fields.append(integer(hexes, at, size, signed).alias(field))
         at += size
-    return df.withColumn("_hex", chosen).withColumn(name, F.when(F.col("_hex").isNotNull(), F.struct(*fields))).drop("_hex")
+    return F.when(hexes.isNotNull(), F.struct(*fields))
+
+
+def with_frame(df: DataFrame, packets: list[Column], name: str, strict: bool = True) -> DataFrame:
+    """Add the environment values of the last packet that has some; null if none has.
+
+    The packet is chosen in a projection of its own, so one is unpacked, not each. Don't filter on
+    the result: the optimizer would copy all of it into the filter.
+    """
+    return df.withColumn("_hex", last_hex(packets, strict)).withColumn(name, unpacked(F.col("_hex"))).drop("_hex")
 
 
 def export_records(rows: DataFrame, strict: bool = True, source_type: str = "sensor_export") -> DataFrame:
@@ -71,11 +81,10 @@ def export_records(rows: DataFrame, strict: bool = True, source_type: str = "sen
     """
     cell = lambda name: F.col("row")[name]
     packets = [V.as_text(cell(s)) for s in SLOTS]
-    df = with_frame(rows.withColumns({"_time": text_of(cell("time")), "_device": V.as_text(cell("ControllerName"))}), packets, "_frame", strict)
+    df = rows.withColumns({"_time": text_of(cell("time")), "_device": V.as_text(cell("ControllerName")), "_hex": last_hex(packets, strict)})
     ok = F.col("_time").isNotNull() & F.col("_device").isNotNull() & V.number(cell("Latitude")).isNotNull() & V.number(cell("Longitude")).isNotNull()
-    if strict:
-        df = df.withColumn("_frame", F.when(ok, F.col("_frame")).otherwise(F.raise_error(F.lit("a row lacks its time, device or place")).cast(df.schema["_frame"].dataType)))
-    df = df.filter(ok & F.col("_frame").isNotNull()) if not strict else df.filter(F.col("_frame").isNotNull())
+    lacking = F.raise_error(F.lit("a row lacks its time, device or place")).cast("boolean") if strict else F.lit(False)
+    df = df.filter(F.when(ok, F.col("_hex").isNotNull()).otherwise(lacking))
     used = F.transform(F.array(*[F.struct(F.lit(s).alias("k"), text_of(cell(s)).alias("x")) for s in SLOTS]), lambda c: F.when(c["x"].isNotNull(), F.concat(c["k"], F.lit("="), c["x"])))
     identity = F.concat_ws("|", F.col("_device"), F.col("_time"), F.array_join(F.array_sort(F.array_compact(used)), "&"))
     filled = F.map_filter("row", lambda k, v: text_of(v).isNotNull() | (~V.is_absent(v) & ~V.is_text(v)))
@@ -83,6 +92,6 @@ def export_records(rows: DataFrame, strict: bool = True, source_type: str = "sen
     return df.select(
         F.concat(F.lit("sensor:"), F.sha2(identity, 256)).alias("record_id"), F.lit("decoded_record/v1").alias("schema_version"), F.col("_device").alias("device_id"), F.lit("environment").alias("family"),
         F.lit(None).cast("string").alias("function_id"), F.col("_time").alias("timestamp"), F.col("_time").alias("source_time_utc"), F.lit(None).cast("string").alias("ingest_time_utc"), F.lit(source_type).alias("source_type"), F.lit("decoded").alias("quality_state"),
-        empty.alias("quality_flags"), empty.alias("analysis_tags"), V.parse_payload(F.to_json("_frame")).alias("payload"),
+        empty.alias("quality_flags"), empty.alias("analysis_tags"), V.parse_payload(F.to_json(unpacked(F.col("_hex")))).alias("payload"),
         F.map_filter(filled, lambda k, _: k.isin(META)).alias("platform_meta"), F.map_filter(filled, lambda k, _: ~k.isin([*META, "time"])).alias("raw_unmapped"),
     )
