@@ -208,6 +208,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", lang_col:
 
     t = F.col(f"`{text}`")
     has_letter = F.coalesce(t.rlike(r"\p{L}"), F.lit(False))
-    told = run(F.coalesce(t, F.lit("")))
+    # declared nondeterministic, so that a filter on the result doesn't run the network a second time below it
+    told = run.asNondeterministic()(F.coalesce(t, F.lit("")))
     out = df.withColumn("_identified_", F.struct(has_letter.alias("ok"), told.alias("of")))
     return out.withColumns({lang_col: F.when(F.col("_identified_.ok"), F.col("_identified_.of.lang")).otherwise(UND), score_col: F.when(F.col("_identified_.ok"), F.col("_identified_.of.score")).otherwise(0.0)}).drop("_identified_")
