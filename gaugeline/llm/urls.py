@@ -68,8 +68,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str
     """Verdict for every page: its own rule's, else its aliases', else ``default``.
 
     Result: ``key`` (under its own name), ``host``, ``path``, ``rule``, ``verdict``, ``alias_of``
-    (component, null without links). Aliases are the addresses connected by canonical links and
-    refresh redirects found in ``html``; targets need not be pages themselves. A page with a rule
+    (component, null without links to other addresses). Aliases are the addresses connected by canonical
+    links and refresh redirects found in ``html``, and those of one ``alias_key``; targets need not be pages themselves. A page with a rule
     always follows it. Without one, an allow rule anywhere in the component wins over block
     rules; a block rule there blocks. Null or malformed addresses have empty host and path, no
     rule and no aliases. Repeated rows, null keys and null html are ordinary; an empty table
@@ -91,8 +91,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str
     links = base.filter(F.size("links") > 0).select("v", F.explode("links").alias("to"))
     parts = components(links.select(F.col("v").alias("a"), F.col("to.v").alias("b")))
     decided = base.select("v", "own").union(links.select("to.v", "to.own")).filter(F.col("own").isNotNull() & F.col("v").isNotNull()).distinct()
-    votes = parts.join(decided, "v").groupBy("c").agg(F.max(F.col("own") == "allow").alias("allowed"))
-    votes = materialize(votes, "votes")
-    alias = materialize(parts.join(votes, "c", "left").select("v", "c", F.when(F.col("allowed"), "allow").when(~F.col("allowed"), "block").alias("voted")), "aliases")
+    # an address without links to others, such as one whose canonical differs by a closing slash, is its own component
+    votes = decided.join(parts, "v", "left").groupBy(F.coalesce("c", "v").alias("c")).agg(F.max(F.col("own") == "allow").alias("allowed"))
+    votes = materialize(votes.select("c", F.when(F.col("allowed"), "allow").otherwise("block").alias("voted")), "votes")
+    lone = votes.withColumnRenamed("c", "v").join(parts, "v", "left_anti").select("v", F.lit(None).cast("string").alias("c"), "voted")
+    alias = materialize(parts.join(votes, "c", "left").select("v", "c", "voted").union(lone), "aliases")
     out = base.select("key", "host", "path", "rule", "own", "v").join(alias, "v", "left")
     return out.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce("own", "voted", F.lit(default)).alias("verdict"), F.col("c").alias("alias_of"))

@@ -149,3 +149,20 @@ def test_aliases_take_decisions(spark):
     want = [(1, "block"), (2, "block"), (3, "allow"), (4, "block"), (5, "block"), (6, "allow"), (7, "allow"), (8, "block"), (9, "block"), (9, "block"), (None, "block")]
     assert got == sorted(want, key=str)
     assert urls.judge_urls(df.limit(0), RULES).count() == 0
+
+
+def test_addresses_of_one_key_share_decisions(spark):
+    """Addresses that differ by scheme or closing slashes are one, also where nothing links them with another."""
+    rows = [
+        (1, "http://foo.net", LINK.format("http://foo.net/")),  # the rule fits its canonical only
+        (2, "http://x.example.com/de", REFRESH.format("https://x.example.com/de/")),
+        (3, "http://bar.net", None),  # two pages of one key without links
+        (4, "https://bar.net/", None),
+        (5, "http://baz.net", None),  # no other page, no link: no rule
+        (6, "http://o.org/fr", LINK.format("/fr/")),
+        (7, "http://p.com", LINK.format("http://p.com/")),  # no decision anywhere
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.verdict, r.rule, r.alias_of) for r in urls.judge_urls(df, RULES, default="none").collect()}
+    want = {1: "block", 2: "block", 3: "block", 4: "block", 5: "none", 6: "allow", 7: "none"}
+    assert got == {i: (v, "net/" if i == 4 else None, None) for i, v in want.items()}
