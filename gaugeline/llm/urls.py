@@ -40,8 +40,21 @@ def alias_key(url: Column) -> Column:
     return F.when(host_of(url) != "", F.md5(F.concat(host_of(url), F.rtrim(path_of(url), F.lit("/")), query).cast("binary")))
 
 
+def fold_dots(url: Column) -> Column:
+    """The address with the segments ``.`` and ``..`` of its path removed as in RFC 3986, 5.2.4."""
+    head, path, tail = (F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$", i) for i in (1, 2, 3))
+    kept = F.filter(F.split(path, "/"), lambda s: s != ".")
+
+    def step(done: Column, s: Column) -> Column:
+        return F.when(s != "..", F.concat(done, F.array(s))).when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+
+    folded = F.array_join(F.aggregate(kept, F.array().cast("array<string>"), step), "/")
+    closing = F.when(path.rlike(r"/\.\.?$"), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(head, folded, closing, tail)).otherwise(url)
+
+
 def resolve(link: Column, url: Column) -> Column:
-    """The absolute address of a link on the page ``url``; null if the link is empty or null."""
+    """The absolute address of a link on the page ``url``, without dot segments; null if the link is empty or null."""
     scheme, base = F.regexp_extract(url, r"^([^:/?#]*):", 1), F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
     joined = (
@@ -50,7 +63,8 @@ def resolve(link: Column, url: Column) -> Column:
         .when(link.startswith("/"), F.concat(base, link))
         .otherwise(F.concat(F.regexp_replace(folder, r"(://[^/]*)$", "$1/"), link))
     )
-    return F.when(F.length(link) > 0, F.replace(joined, F.lit("&amp;"), F.lit("&")))
+    address = F.array(F.when(F.length(link) > 0, F.replace(joined, F.lit("&amp;"), F.lit("&"))))
+    return F.transform(address, fold_dots)[0]
 
 
 def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -71,21 +85,21 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str
     (component, null without links to other addresses). Aliases are the addresses connected by canonical
     links and refresh redirects found in ``html``, and those of one ``alias_key``; targets need not be pages themselves. A page with a rule
     always follows it. Without one, an allow rule anywhere in the component wins over block
-    rules; a block rule there blocks. Null or malformed addresses have empty host and path, no
+    rules; a block rule there blocks. Every tag of a page counts. Null or malformed addresses have empty host and path, no
     rule and no aliases. Repeated rows, null keys and null html are ordinary; an empty table
     gives an empty result. Other columns are not carried.
     """
     u, body = F.col(f"`{url}`"), F.col(f"`{html}`")
 
     def found(kind: str) -> Column:
-        return resolve(F.regexp_extract(F.coalesce(body, F.lit("")), TAGS[kind], 1), u)
+        return F.transform(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(TAGS[kind]), F.lit(1)), lambda link: resolve(link, u))
 
     def vertex(address: Column) -> Column:
         return F.struct(alias_key(address).alias("v"), match_rule(host_of(address), path_of(address), rules)[1].alias("own"))
 
-    base = pages.select(F.col(f"`{key}`").alias("key"), u.alias("u"), F.array_compact(F.array(found("canonical"), found("refresh"))).alias("links"))
+    base = pages.select(F.col(f"`{key}`").alias("key"), u.alias("u"), F.array_distinct(F.array_compact(F.concat(found("canonical"), found("refresh")))).alias("links"))
     rule, own = match_rule(F.col("host"), F.col("path"), rules)
-    base = base.withColumns({"host": host_of(F.col("u")), "path": path_of(F.col("u")), "v": alias_key(F.col("u"))}).withColumns({"rule": rule, "own": own, "links": F.transform("links", vertex)})
+    base = base.withColumns({"host": host_of(F.col("u")), "path": path_of(F.col("u")), "v": alias_key(fold_dots(F.col("u")))}).withColumns({"rule": rule, "own": own, "links": F.transform("links", vertex)})
     base = materialize(base.drop("u"), "pages")
 
     links = base.filter(F.size("links") > 0).select("v", F.explode("links").alias("to"))

@@ -166,3 +166,25 @@ def test_addresses_of_one_key_share_decisions(spark):
     got = {r.page_id: (r.verdict, r.rule, r.alias_of) for r in urls.judge_urls(df, RULES, default="none").collect()}
     want = {1: "block", 2: "block", 3: "block", 4: "block", 5: "none", 6: "allow", 7: "none"}
     assert got == {i: (v, "net/" if i == 4 else None, None) for i, v in want.items()}
+
+
+def test_every_tag_and_dot_segments_count(spark):
+    rows = [
+        (1, "http://a.com/", LINK.format("http://b.com/") + LINK.format("http://bad.net/1")),  # the second tag decides
+        (2, "http://c.com/", "<p>" + REFRESH.format("/x") + LINK.format("/y") + REFRESH.format("//bad.net/2") + "</p>"),
+        (3, "http://d.com/a/b/c", LINK.format("../../e/./f")),
+        (4, "http://d.com/e/f", LINK.format("http://bad.net/3")),
+        (5, "http://e.com/a/../g/?q=..", LINK.format("http://bad.net/4")),
+        (6, "http://e.com/h", REFRESH.format("../../g/x/..?q=..")),  # up from the root stays at the root
+        (7, "http://f.com/", LINK.format("http://example.net/de/../en/1")),  # the rule of the folded path
+        (8, "http://g.com/", LINK.format("http://ok.com/") * 2),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(df, RULES, default="none").collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "block", 7: "allow", 8: "none"}
+
+
+def test_fold_dots(spark):
+    cases = {"http://h/a/b/c/./../../g": "http://h/a/g", "http://h/..": "http://h/", "http://h/a/.": "http://h/a/", "http://h/a//../b#/..": "http://h/a/b#/..", "http://h/..a/b../...": "http://h/..a/b../...", "http://h?/../x": "http://h?/../x", "x/../y": "x/../y"}
+    df = spark.createDataFrame(list(cases.items()), "url string, want string")
+    assert {r.url: r.got for r in df.select("url", urls.fold_dots(df.url).alias("got")).collect()} == cases
