@@ -183,8 +183,9 @@ def add_sketch(df: DataFrame, text: str) -> DataFrame:
 def overlaps(left: list[str], right: list[str]) -> np.ndarray:
     """Weighted Jaccard similarity of each pair of texts: shared occurrences over all occurrences."""
     result = np.zeros(len(left))
-    for i, j in slices([len(a) + len(b) for a, b in zip(left, right, strict=True)], BLOCK_CHARS // 2):
-        for i, j in ((k, min(k + BLOCK_TEXTS // 2, j)) for k in range(i, j, BLOCK_TEXTS // 2)):  # noqa: B020, PLW2901
+    for lo, hi in slices([len(a) + len(b) for a, b in zip(left, right, strict=True)], BLOCK_CHARS // 2):
+        for i in range(lo, hi, BLOCK_TEXTS // 2):
+            j = min(i + BLOCK_TEXTS // 2, hi)
             m = j - i
             doc, shingle, count = shingle_bags(left[i:j] + right[i:j])
             pair = doc % m

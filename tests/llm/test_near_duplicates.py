@@ -93,3 +93,10 @@ def test_signatures_estimate_the_weighted_jaccard_similarity():
     doc, shingle, count = neardup.shingle_bags([a, b])
     sig = neardup.signatures(doc, shingle, count, 2, registers=6000)
     assert (sig[0] == sig[1]).mean() == pytest.approx(similarity(bag(a), bag(b)), abs=0.03)
+
+
+def test_overlaps_of_many_short_pairs():
+    """A slice by characters holds more pairs than one block of texts."""
+    left = [f"a{i} b c d e f g" for i in range(5000)]
+    right = [t if i % 3 else t + f" h{i}" for i, t in enumerate(left)]
+    assert neardup.overlaps(left, right) == pytest.approx([similarity(bag(a), bag(b)) for a, b in zip(left, right, strict=True)])
