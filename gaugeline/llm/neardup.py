@@ -255,7 +255,7 @@ def linked_parts(uid: np.ndarray, part: np.ndarray, texts: list[str], threshold:
         # the n-th occurrence of a shingle is a feature of its own, so shared features count the multiset overlap
         level = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
         doc.append(np.repeat(d + a, c))
-        feature.append(mix(np.repeat(s, c) ^ (level.astype(np.uint64) << np.uint64(52))))
+        feature.append(mix(mix(np.repeat(s, c)) ^ level.astype(np.uint64)))
     doc, feature = np.concatenate(doc), np.concatenate(feature)
     n = len(texts)
     total = np.bincount(doc, minlength=n).astype(np.float32)
