@@ -1,9 +1,10 @@
 """Near-duplicate vectors: small-world graphs per shard, verified links, components.
 
 Equal vectors are one class. Classes are dealt to shards by hash; each shard's graph is
-built once and written. Every shard is then queried with the vectors of every shard, block
-by block, with beams that widen until recall audits pass; candidates are verified in
-double precision.
+built once, audited with moved copies of its own vectors and written with the beam that it
+needs. Every shard is then queried with the vectors of every shard, block by block, from that
+beam on, wider until recall audits pass, and exactly where none does; candidates are verified
+in double precision.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 from .graph import components
-from .hnsw import DEGREE, Graph, audited_query
+from .hnsw import DEGREE, Graph, audited_query, graph_beam
 
 SHARDS, SHARD_ROWS = 8, 32_768
-INDEX = "dim int, shard int, n int, ids binary, vectors binary, layers array<binary>"
+INDEX = "dim int, shard int, n int, beam int, ids binary, vectors binary, layers array<binary>"
 SLACK = 1e-4
 
 
@@ -40,19 +41,20 @@ def stack(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def build_index(shard: pa.Table) -> pa.Table:
-    """One row with the graph of a shard's vectors (dim, shard, uid, vector)."""
+def build_index(shard: pa.Table, least: float, beam: int, audit: int, target: float) -> pa.Table:
+    """One row with the graph of a shard's vectors (dim, shard, uid, vector) and its beam."""
     shard = shard.sort_by("uid")
     ids, dim = shard["uid"].to_numpy(), shard["dim"][0].as_py()
     order = np.random.default_rng(0).permutation(len(ids))
     vectors = stack(shard["vector"], dim)[order]
     graph = Graph.build(unit(vectors))
+    beam = graph_beam(graph, least - SLACK, beam, audit, target)
     layers = [near.astype("<i4").tobytes() for near in graph.layers]
-    row = {"dim": dim, "shard": shard["shard"][0].as_py(), "n": len(ids), "ids": ids[order].astype("<i8").tobytes(), "vectors": vectors.astype("<f8").tobytes(), "layers": layers}
-    return pa.Table.from_pylist([row], schema=pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary()), ("layers", pa.list_(pa.binary()))]))
+    row = {"dim": dim, "shard": shard["shard"][0].as_py(), "n": len(ids), "beam": beam, "ids": ids[order].astype("<i8").tobytes(), "vectors": vectors.astype("<f8").tobytes(), "layers": layers}
+    return pa.Table.from_pylist([row], schema=pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("n", pa.int32()), ("beam", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary()), ("layers", pa.list_(pa.binary()))]))
 
 
-def query_index(rows: Iterator[pa.RecordBatch], least: float, beam: int, audit: int, target: float) -> Iterator[pa.RecordBatch]:
+def query_index(rows: Iterator[pa.RecordBatch], least: float, audit: int, target: float) -> Iterator[pa.RecordBatch]:
     """Verified links (a < b) between the vectors of one shard and the graph of another."""
     for batch in rows:
         for r in batch.to_pylist():
@@ -62,7 +64,7 @@ def query_index(rows: Iterator[pa.RecordBatch], least: float, beam: int, audit:
             q_ids = np.frombuffer(r["q_ids"], "<i8")
             q = np.frombuffer(r["q_vectors"], "<f8").reshape(-1, dim)
             graph = Graph(unit(x), [np.frombuffer(b, "<i4").reshape(-1, DEGREE).astype(np.int64) for b in r["layers"]])
-            found_q, found_n = audited_query(graph, unit(q), least - SLACK, beam, audit, target)
+            found_q, found_n = audited_query(graph, unit(q), least - SLACK, r["beam"], audit, target)
             keep = q_ids[found_q] != ids[found_n]
             found_q, found_n = found_q[keep], found_n[keep]
             for i in range(0, len(found_q), 1 << 16):
@@ -98,12 +100,12 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     count = classes.count()
     parts = shards or max(SHARDS, -(-count // SHARD_ROWS))
     dealt = classes.select("dim", F.pmod(F.xxhash64("uid"), F.lit(parts)).cast("int").alias("shard"), "uid", "vector")
-    index = materialize(dealt.groupBy("dim", "shard").applyInArrow(build_index, INDEX), "vector-index")
+    index = materialize(dealt.groupBy("dim", "shard").applyInArrow(lambda t: build_index(t, least, beam, audit, target), INDEX), "vector-index")
     asked = index.select("dim", F.col("shard").alias("q_shard"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(max(parts, min(parts * parts, 4096)), "q_shard", "shard")
     both = asked.join(index.hint("shuffle_hash"), ["dim", "shard"])
     both = both.repartition(max(parts, min(parts * parts, 4096)), "q_shard", "shard")
-    pairs = both.mapInArrow(lambda rows: query_index(rows, least, beam, audit, target), "a long, b long")
+    pairs = both.mapInArrow(lambda rows: query_index(rows, least, audit, target), "a long, b long")
     links = materialize(pairs.distinct(), "vector-links")
 
     size = classes.select("uid", "n")

@@ -188,15 +188,50 @@ class Graph:
         return np.concatenate(out_q or [np.empty(0, int)]), np.concatenate(out_n or [np.empty(0, int)])
 
 
+def exact_query(graph: Graph, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) of cosine at least ``least``, by comparison with all nodes."""
+    out_q, out_n = [np.empty(0, int)], [np.empty(0, int)]
+    for i in range(0, len(q), QUERY_BATCH):
+        r, c = np.nonzero(q[i : i + QUERY_BATCH] @ graph.x.T >= least)
+        out_q.append(r + i)
+        out_n.append(c)
+    return np.concatenate(out_q), np.concatenate(out_n)
+
+
+def enough_beam(graph: Graph, q: np.ndarray, least: float, beam: int, target: float) -> int:
+    """The beam, doubled until the recall reaches ``target`` as the mean over the queries that have links; 0 if a beam of all nodes doesn't."""
+    truth = q @ graph.x.T >= least
+    links = truth.sum(axis=1)
+    while beam:
+        pq, pn = graph.query(q, least, beam)
+        share = (np.bincount(pq[truth[pq, pn]], minlength=len(q)) / np.maximum(links, 1))[links > 0]
+        if not len(share) or share.mean() >= target:
+            break
+        beam = 2 * beam if beam < len(graph.x) else 0
+    return beam
+
+
+def graph_beam(graph: Graph, least: float, beam: int, audit: int, target: float) -> int:
+    """The beam that a graph needs for moved copies of its own nodes, at cosines from ``least`` to 1; 0 if it needs exact comparison.
+
+    Each copy has its node as a link, so that no probe is empty. Of 4 * ``audit`` copies, the
+    ``audit`` with the fewest links and as many evenly spaced ones must each reach the target.
+    """
+    probe = np.unique(np.linspace(0, len(graph.x) - 1, min(4 * audit, len(graph.x))).astype(int))
+    x = graph.x[probe]
+    away = np.random.default_rng(0).normal(size=x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
+    cosine = np.linspace(least, 1, len(probe))[:, None]
+    q = (cosine * x + np.sqrt(1 - cosine**2) * away).astype(np.float32)
+    few = np.argsort((q @ graph.x.T >= least - 1e-6).sum(axis=1), kind="stable")[:audit]
+    for own in (few, np.arange(0, len(q), max(1, len(q) // audit))):
+        beam = enough_beam(graph, q[own], least - 1e-6, beam, target)
+    return beam
+
+
 def audited_query(graph: Graph, q: np.ndarray, least: float, beam: int, audit: int, target: float) -> tuple[np.ndarray, np.ndarray]:
-    """Query with beams widened until ``audit`` evenly spaced queries, compared with all nodes, reach the target recall."""
+    """Query with beams widened until ``audit`` evenly spaced queries, compared with all nodes, reach the target recall; exactly if none does, or with a beam of 0."""
     probe = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-    truth = q[probe] @ graph.x.T >= least
-    while True:
-        pq, pn = graph.query(q[probe], least, beam)
-        hit = np.zeros(truth.shape, bool)
-        hit[pq, pn] = True
-        if (hit & truth).sum() >= target * truth.sum() or beam >= len(graph.x):
-            break
-        beam *= 2
-    return graph.query(q, least, beam)
+    beam = enough_beam(graph, q[probe], least, beam, target)
+    return graph.query(q, least, beam) if beam else exact_query(graph, q, least)

@@ -101,3 +101,31 @@ def test_tree_covers_its_points():
     for n in range(len(tree.centre)):
         own = tree.order[tree.lo[n] : tree.hi[n]]
         assert np.linalg.norm(x[own] - x[tree.centre[n]], axis=1).max() <= tree.radius[n] + 1e-6
+
+
+def hot_and_small():
+    """A graph whose first 400 nodes are one group that can be walked; 30 pairs after them have no links."""
+    rng = np.random.default_rng(5)
+    hot = rng.normal(size=32) + rng.normal(size=(400, 32)) * 0.02
+    small = np.repeat(rng.normal(size=(30, 32)), 2, axis=0) + rng.normal(size=(60, 32)) * 0.02
+    x = np.concatenate((hot, small))
+    near = np.full((460, hnsw.DEGREE), -1)
+    near[:400] = (np.arange(400)[:, None] + np.arange(1, hnsw.DEGREE + 1)) % 400
+    return hnsw.Graph((x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32), [near])
+
+
+def test_a_hot_group_hides_no_small_ones():
+    graph = hot_and_small()
+    found = np.zeros((460, 460), bool)
+    found[hnsw.audited_query(graph, graph.x, 0.9, 8, 64, 0.99)] = True
+    assert (found == (graph.x @ graph.x.T >= 0.9)).all()
+
+
+def test_a_graph_is_audited_with_moved_copies():
+    graph = hot_and_small()
+    assert hnsw.graph_beam(graph, 0.9, 8, 64, 0.99) == 0
+    whole = hnsw.Graph.build(graph.x)
+    assert hnsw.graph_beam(whole, 0.9, 8, 64, 0.99) >= 8
+    q, n = hnsw.exact_query(whole, graph.x[::7], 0.9)
+    truth = graph.x[::7] @ graph.x.T >= 0.9
+    assert truth[q, n].all() and len(q) == truth.sum()
