@@ -39,13 +39,13 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == 1
 
 
-def bounded_sample(rows: DataFrame, h: str, max_rows: int) -> DataFrame:
+def bounded_sample(rows: DataFrame, h: str, max_rows: int, count: int | None = None) -> DataFrame:
     """At most ``max_rows`` rows with different ``h``, those with the smallest, wherever they lie.
 
     A threshold on the hash passes about twice ``max_rows`` rows before they are ordered, so
-    neither tasks nor the driver handle more when the input grows.
+    neither tasks nor the driver handle more when the input grows. ``count``: the number of rows, if known.
     """
-    share = min(1.0, 2 * max_rows / max(1, rows.count()))
+    share = min(1.0, 2 * max_rows / max(1, rows.count() if count is None else count))
     below = F.col(h) < F.lit(int(-(2**63) + share * (2**64 - 1))) if share < 1 else F.col(h).isNotNull()
     return rows.filter(below).dropDuplicates([h]).orderBy(h).limit(max_rows)
 

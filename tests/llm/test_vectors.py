@@ -69,22 +69,35 @@ def test_graph_recall_and_widening():
 
 
 def brute_top(rows, k=5):
-    ok = [(i, np.floor(np.array(v, np.float64) * 256)) for i, v, _ in rows if usable(v)]
-    out = set()
-    for q, x in ok:
+    ok = [(i, [math.floor(c * 256) for c in v]) for i, v, _ in rows if i is not None and usable(v)]
+    out = []
+    for at, (q, x) in enumerate(ok):
         if q % 50 == 0:
-            scores = sorted((-int(x @ y), i) for i, y in ok if i != q and len(x) == len(y))[:k]
-            out |= {(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)}
-    return out
+            scores = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for j, (i, y) in enumerate(ok) if j != at and len(x) == len(y))[:k]
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_top_products_equal_brute_force(spark, monkeypatch, seed):
+    """With small blocks and shards, odd rows, repeated rows (rows of their own) and a hot group of equal vectors."""
     monkeypatch.setattr(topk, "BLOCK_ROWS", 4)
-    rows = [(i, v, "clash") for i, v in enumerate(clustered(700, 8, seed).tolist())] + odd_rows()
-    rows.append(rows[0])
+    monkeypatch.setattr(topk, "SHARD_ROWS", 100)
+    rows = [(i, v, "clash") for i, v in enumerate(clustered(700, 8, seed).tolist())] + odd_rows() + [(None, [1.0] * 8, "x")]
+    rows += [rows[0], rows[650], rows[650]]
     out = topk.top_products(spark.createDataFrame(rows, SCHEMA).repartition(4), F.col("vec_id") % 50 == 0)
-    assert {tuple(r) for r in out.select("query_id", "rank", "vec_id", "score").collect()} == brute_top(rows[:-1])
+    assert sorted(tuple(r) for r in out.select("query_id", "rank", "vec_id", "score").collect()) == brute_top(rows)
+
+
+def test_products_beyond_exact_doubles(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(2**19, 2**20, (300, 4)).astype(float)
+    x[7] = x[8] = x[0]
+    x[8, 0] += 1
+    rows = [(i, v, "x") for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n_links string")
+    out = topk.top_products(df, F.col("vec_id") % 50 == 0)
+    assert sorted(tuple(r) for r in out.collect()) == brute_top(rows)
 
 
 def test_fewer_candidates_than_asked(spark):
@@ -94,13 +107,46 @@ def test_fewer_candidates_than_asked(spark):
     assert topk.top_products(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_tree_covers_its_points():
-    x = clustered(500, 6, 4).astype(float)
-    tree = topk.CoverTree.build(x)
-    assert sorted(tree.order.tolist()) == list(range(500))
-    for n in range(len(tree.centre)):
-        own = tree.order[tree.lo[n] : tree.hi[n]]
-        assert np.linalg.norm(x[own] - x[tree.centre[n]], axis=1).max() <= tree.radius[n] + 1e-6
+@pytest.mark.parametrize("n, dim, leaf", [(500, 6, 8), (1, 3, 8), (40, 2, 1), (300, 3, 300)])
+def test_tree_invariants(n, dim, leaf):
+    x = clustered(n, dim, 4).astype(float) if n > 12 else np.ones((n, dim))
+    tree, order = topk.CoverTree.build(x, leaf)
+    nodes = tree.nodes
+    assert sorted(order.tolist()) == list(range(n)) and (tree.x == x[order]).all()
+    assert (nodes["lo"][0], nodes["hi"][0]) == (0, n)
+    leaves = nodes[nodes["child_lo"] == nodes["child_hi"]]
+    assert sorted((leaves["lo"].tolist())) == [0, *sorted(leaves["hi"].tolist())[:-1]]
+    top = np.linalg.norm(x - x[0], axis=1).max()
+    for m in nodes:
+        own = tree.x[m["lo"] : m["hi"]]
+        assert np.linalg.norm(own - tree.x[m["centre"]], axis=1).max() <= m["radius"]
+        children = nodes[m["child_lo"] : m["child_hi"]]
+        if len(children):
+            assert children["centre"][0] == m["centre"]  # nesting
+            assert sorted(children["lo"].tolist()) == [m["lo"], *sorted(children["hi"].tolist())[:-1]]
+            d = np.linalg.norm(tree.x[children["centre"]] - tree.x[m["centre"]], axis=1)
+            assert d.max() <= top / topk.BASE ** (children["level"][0] - 1) + 1e-9  # covering
+    centres = {int(m["centre"]): int(m["level"]) for m in nodes[::-1]}  # the level where a centre begins
+    for level in range(max(centres.values()) + 1):
+        own = [c for c, at in centres.items() if at <= level]
+        d = np.linalg.norm(tree.x[own][:, None] - tree.x[own][None], axis=2) + np.eye(len(own)) * 1e9
+        assert d.min() >= top / topk.BASE**level - 1e-9  # separation
+
+
+def test_pairs_are_pruned_in_few_dimensions():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(20_000, 3))
+    x = np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True))
+    data, order = topk.CoverTree.build(x, topk.DATA_LEAF)
+    queries, q_order = topk.CoverTree.build(x[::50], topk.QUERY_LEAF)
+    rows = np.arange(len(x))
+    search = topk.DualSearch(queries, rows[::50][q_order], np.full(400, -np.inf), data, rows[order], rows[order], 5)
+    search.run()
+    assert search.scored < 0.2 * 400 * len(x)
+    for i, row in enumerate(rows[::50][q_order][::40]):
+        full = x[row] @ x.T
+        full[row] = -np.inf
+        assert search.found[40 * i].tolist() == np.lexsort((rows, -full))[:5].tolist()
 
 
 def hot_and_small():
