@@ -34,6 +34,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [named(c) for c in df.columns]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32 of the id as text leaves 1 modulo 3 (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == 1

@@ -1,14 +1,19 @@
 """Personal data by fixed patterns and a bidirectional LSTM with CRF transitions.
 
 The patterns give the base spans. A small recurrent network, trained in numpy from
-labelled spans, reads every text in overlapping windows and adds spans that the
-patterns miss, such as national telephone numbers or a card number with digits
-attached. Each character is a step of the network but for runs of letters, of white space
-and of other marks: a run is one step, as no kind depends on which letters it has.
+labelled spans, reads texts character by character in overlapping windows and adds spans
+that the patterns miss, such as national telephone numbers or a card number with digits
+attached. Two windows tell of each place; what they tell is blended, and one Viterbi search decodes
+the whole text. A span has the form of its kind, so it lies in a stretch of non-blank characters
+with an ``@`` or in one of digits and their separators with enough digits. Everything
+outside such stretches is tagged O, which splits the search into independent parts without changing
+its result; windows that touch no stretch cannot matter and are not read.
 """
 
 from __future__ import annotations
 
+import functools
+import random
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -19,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_blocks
+from .common import free_name, named, slices, text_blocks
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -88,58 +93,44 @@ def base_spans(text: str) -> list[Span]:
 
 # ---- steps of the network
 
-PAD, L1, L2, L4, NUM, BLANK, LINE, OTHER = range(8)
 MARKS = "@.-_+%()/:,;#='\"<>[]*|!?&"
-N_SYMBOL = 8 + len(MARKS)
-RUNS = (L1, BLANK, OTHER)
-_symbols: np.ndarray | None = None
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+PAD, LETTER, BLANK, LINE, OTHER = range(5)
+SYMBOLS = LETTERS + "0123456789" + MARKS
+N_SYMBOL = 5 + len(SYMBOLS)
 
 
+@functools.cache
 def symbol_table() -> np.ndarray:
-    global _symbols
-    if _symbols is None:
-        table = np.full(0x110000, OTHER, np.uint8)
-        for c in range(0x110000):
-            if unicodedata.category(chr(c))[0] in "LM":
-                table[c] = L1
-        for ch in "0123456789":
-            table[ord(ch)] = NUM
-        for ch in " \t ":
-            table[ord(ch)] = BLANK
-        for ch in "\n\r\x0b\x0c":
-            table[ord(ch)] = LINE
-        for i, ch in enumerate(MARKS):
-            table[ord(ch)] = 8 + i
-        _symbols = table
-    return _symbols
-
-
-def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Steps of all texts, the code point where each starts in its text, and the first step of each text (with an end)."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    codes = symbol_table()[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)]
-    first = np.concatenate(([0], np.cumsum(sizes)))
-    new = np.ones(len(codes) + 1, bool)
-    new[1:-1] = (codes[1:] != codes[:-1]) | ~np.isin(codes[1:], RUNS)
-    new[first] = True
-    at = np.flatnonzero(new[:-1])
-    length = np.diff(np.append(at, len(codes)))
-    steps = codes[at]
-    letters = steps == L1
-    steps = np.where(letters & (length >= 4), L4, np.where(letters & (length >= 2), L2, steps)).astype(np.uint8)
-    bounds = np.searchsorted(at, first)
-    own = np.repeat(first[:-1], np.diff(bounds))
-    return steps, at - own, bounds
+    """The step of each code point: a symbol of its own for ASCII letters, digits and MARKS, else a class."""
+    table = np.full(0x110000, OTHER, np.uint8)
+    for c in range(0x80, 0x110000):
+        if unicodedata.category(chr(c))[0] in "LM":
+            table[c] = LETTER
+    table[0] = PAD
+    for symbols, step in ((" \t\xa0", BLANK), ("\n\r\x0b\x0c", LINE)):
+        for ch in symbols:
+            table[ord(ch)] = step
+    for i, ch in enumerate(SYMBOLS):
+        table[ord(ch)] = 5 + i
+    return table
+
+
+def encode(windows: list[str]) -> np.ndarray:
+    """(WIDTH, windows) steps; shorter windows are padded at their end."""
+    codes = np.frombuffer("".join(w.ljust(WIDTH, "\0") for w in windows).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return symbol_table()[codes].reshape(len(windows), WIDTH).T.astype(np.intp)
 
 
 # ---- the network
 
-HIDDEN = 8
+HIDDEN = 12
 TAGS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
 N_TAG = len(TAGS)
-WIDTH, LEFT, RIGHT = 192, 24, 40
-STRIDE = WIDTH - LEFT - RIGHT
+STRIDE = 48
+WIDTH = 2 * STRIDE
 BATCH = 1024
+NEVER = np.float32(-1e4)
 
 
 @dataclass
@@ -155,13 +146,13 @@ class TaggerModel:
         """
         t_max, n = x.shape
         table, u = self.p["x" + side], self.p["u" + side]
-        scale = np.ones(4 * HIDDEN, np.float32)
+        scale = np.ones(4 * HIDDEN, table.dtype)
         scale[: 3 * HIDDEN] = 0.5
         table, u = table * scale, u * scale
-        h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
-        out = np.empty((t_max, n, HIDDEN), np.float32)
+        h, c = np.zeros((n, HIDDEN), table.dtype), np.zeros((n, HIDDEN), table.dtype)
+        out = np.empty((t_max, n, HIDDEN), table.dtype)
         saved = []
-        z, r = np.empty((n, 4 * HIDDEN), np.float32), np.empty((n, 4 * HIDDEN), np.float32)
+        z, r = np.empty((n, 4 * HIDDEN), table.dtype), np.empty((n, 4 * HIDDEN), table.dtype)
         for t in range(t_max) if side == "f" else range(t_max - 1, -1, -1):
             np.take(table, x[t], axis=0, out=z, mode="clip")
             np.dot(h, u, out=r)
@@ -183,89 +174,75 @@ class TaggerModel:
     def emissions(self, x: np.ndarray) -> np.ndarray:
         return self.run(x, "f") @ self.p["wf"] + self.run(x, "b") @ self.p["wb"] + self.p["c"]
 
-    def decode(self, x: np.ndarray) -> np.ndarray:
-        """Best tags (T, B) by Viterbi; windows where every other path is provably worse than no span at all are not searched."""
-        e, a = self.emissions(x), self.p["a"] + FORBIDDEN
-        tags = np.zeros(x.shape, np.int8)
-        enter = np.maximum((a - a[0, 0]).max(axis=0), self.p["s"] - self.p["s"][0])
-        leave = max(0.0, float((a[:, 0] - a[0, 0]).max()))
-        gain = (e[:, :, 1:] - e[:, :, :1] + enter[1:] + leave).max(axis=(0, 2))
-        open_ = np.flatnonzero(gain > 0)
-        if not len(open_):
-            return tags
-        e = e[:, open_]
-        best = self.p["s"] + START + e[0]
-        back = np.zeros((len(x), len(open_), N_TAG), np.int8)
-        for t in range(1, len(x)):
-            score = best[:, :, None] + a
-            back[t] = score.argmax(axis=1)
-            best = np.take_along_axis(score, back[t][:, None].astype(np.intp), axis=1)[:, 0] + e[t]
-        state = best.argmax(axis=1)
-        for t in range(len(x) - 1, -1, -1):
-            tags[t, open_] = state
-            state = back[t][np.arange(len(open_)), state]
-        return tags
+    def moves(self) -> np.ndarray:
+        return self.p["a"] + FORBIDDEN
 
 
+#: I tags follow only B and I of their kind.
 FORBIDDEN = np.zeros((N_TAG, N_TAG), np.float32)
 for _i in range(2, N_TAG, 2):
-    FORBIDDEN[:, _i] = -1e4
+    FORBIDDEN[:, _i] = NEVER
     FORBIDDEN[[_i - 1, _i], _i] = 0
-START = np.where(np.arange(N_TAG) % 2 == 0, -1e4, 0).astype(np.float32)
-START[0] = 0
-
-
-def log_sum(z: np.ndarray, axis: int) -> np.ndarray:
-    top = z.max(axis=axis, keepdims=True)
-    return (np.log(np.exp(z - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
+#: A text begins with O or a B tag.
+START = np.where((np.arange(N_TAG) % 2 == 0) & (np.arange(N_TAG) > 0), NEVER, 0).astype(np.float32)
 
 
 def gradients(model: TaggerModel, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean negative log-likelihood of the tags (T, B) and its gradients, by forward-backward and through time."""
+    """Mean negative log-likelihood of the tags (T, B) and its gradients, by forward-backward and through time.
+
+    A window may begin within a span, so every tag may come first.
+    """
     p = model.p
+    kind = p["c"].dtype
     t_max, n = x.shape
     (hf, kf), (hb, kb) = model.run(x, "f", True), model.run(x, "b", True)
     e = (hf @ p["wf"] + hb @ p["wb"] + p["c"]).astype(np.float64)
-    a, s = (p["a"] + FORBIDDEN).astype(np.float64), (p["s"] + START).astype(np.float64)
-    alpha, beta = np.empty_like(e), np.zeros_like(e)
-    alpha[0] = s + e[0]
-    for t in range(1, t_max):
-        alpha[t] = log_sum(alpha[t - 1][:, :, None] + a, 1) + e[t]
+    a, s = model.moves().astype(np.float64), p["s"].astype(np.float64)
+    # probabilities of tags, scaled at each step; ``c`` holds the scales
+    top = e.max(axis=2, keepdims=True)
+    own, move = np.exp(e - top), np.exp(a)
+    alpha, beta, c = np.empty_like(e), np.ones_like(e), np.empty((t_max, n, 1))
+    now = np.exp(s) * own[0]
+    for t in range(t_max):
+        if t:
+            now = (alpha[t - 1] @ move) * own[t]
+        c[t] = now.sum(axis=1, keepdims=True)
+        alpha[t] = now / c[t]
+    ahead = own / c
     for t in range(t_max - 2, -1, -1):
-        beta[t] = log_sum(a[None] + (e[t + 1] + beta[t + 1])[:, None], 2)
-    z = log_sum(alpha[-1], 1)
-    node = np.exp(alpha + beta - z[None, :, None])
+        beta[t] = (ahead[t + 1] * beta[t + 1]) @ move.T
+    z = (np.log(c) + top).sum(axis=(0, 2))
     g = {k: np.zeros_like(v) for k, v in p.items()}
-    for t in range(1, t_max):
-        pair = np.exp(alpha[t - 1][:, :, None] + a + (e[t] + beta[t])[:, None] - z[:, None, None])
-        g["a"] += pair.sum(axis=0)
-    np.add.at(g["a"], (y[:-1].ravel(), y[1:].ravel()), -1)
-    rows = np.arange(n)
-    gold = (s[y[0]] + e[np.arange(t_max)[:, None], rows, y].sum(axis=0)) + a[y[:-1], y[1:]].sum(axis=0)
-    de = node
-    de[np.arange(t_max)[:, None], rows, y] -= 1
-    g["s"] += de[0].sum(axis=0)
-    de = (de / n).astype(np.float32)
-    g["a"] /= n
-    g["s"] /= n
+    pair = move * np.tensordot(alpha[:-1], ahead[1:] * beta[1:], ((0, 1), (0, 1)))
+    np.add.at(pair, (y[:-1].ravel(), y[1:].ravel()), -1)
+    rows, steps = np.arange(n), np.arange(t_max)[:, None]
+    gold = (s[y[0]] + e[steps, rows, y].sum(axis=0)) + a[y[:-1], y[1:]].sum(axis=0)
+    de = alpha * beta
+    de[steps, rows, y] -= 1
+    g["s"] += (de[0].sum(axis=0) / n).astype(kind)
+    g["a"] += (pair / n).astype(kind)
+    de = (de / n).astype(kind)
     g["c"] += de.sum(axis=(0, 1))
+    hot = (np.arange(N_SYMBOL)[:, None] == x.ravel()).astype(kind)
     for side, hs, kept in (("f", hf, kf), ("b", hb, kb)):
         g["w" + side] += np.tensordot(hs, de, ((0, 1), (0, 1)))
-        back = de @ p["w" + side].T
-        dh, dc = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+        back, u = de @ p["w" + side].T, p["u" + side].T
+        dh, dc = np.zeros((n, HIDDEN), kind), np.zeros((n, HIDDEN), kind)
+        dz, before = np.empty((t_max, n, 4 * HIDDEN), kind), np.empty((t_max, n, HIDDEN), kind)
         for t, gate, c_before, tc, h_before in reversed(kept):
             i, f, o, q = (gate[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
             dh = dh + back[t]
             dc = dc + dh * o * (1 - tc * tc)
-            dz = np.concatenate((dc * q * i * (1 - i), dc * c_before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - q * q)), axis=1)
-            np.add.at(g["x" + side], x[t], dz)
-            g["u" + side] += h_before.T @ dz
-            dh, dc = dz @ p["u" + side].T, dc * f
+            dz[t] = np.concatenate((dc * q * i * (1 - i), dc * c_before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - q * q)), axis=1)
+            before[t] = h_before
+            dh, dc = dz[t] @ u, dc * f
+        g["x" + side] += hot @ dz.reshape(-1, 4 * HIDDEN)
+        g["u" + side] += np.tensordot(before, dz, ((0, 1), (0, 1)))
     return float((z - gold).mean()), g
 
 
-def train(windows: np.ndarray, tags: np.ndarray, steps: int, batch: int = 64, rate: float = 0.02, seed: int = 5) -> TaggerModel:
-    """Adam over (T, N) windows and tags."""
+def train(windows: np.ndarray, tags: np.ndarray, steps: int, batch: int = 32, rate: float = 0.02, seed: int = 5) -> TaggerModel:
+    """Adam over (WIDTH, N) windows and tags."""
     rng = np.random.default_rng(seed)
     p = {}
     for side in "fb":
@@ -289,32 +266,29 @@ def train(windows: np.ndarray, tags: np.ndarray, steps: int, batch: int = 64, ra
     return model
 
 
-def tag_windows(texts: list[str], spans: list[list[Span]], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(width, texts) steps and tags of the first ``width`` steps of short labelled texts."""
-    steps, at, bounds = encode(texts)
-    x, y = np.zeros((width, len(texts)), np.intp), np.zeros((width, len(texts)), np.intp)
-    for i, own in enumerate(spans):
-        lo, hi = bounds[i], bounds[i + 1]
-        m = min(width, hi - lo)
-        x[:m, i] = steps[lo : lo + m]
+def tagged_windows(texts: list[str], spans: list[list[Span]]) -> tuple[np.ndarray, np.ndarray]:
+    """(WIDTH, windows) steps and tags of all windows of labelled texts."""
+    cut, tags = [], []
+    for text, own in zip(texts, spans, strict=True):
+        y = np.zeros(len(text) + WIDTH, np.intp)
         for kind, a, b in own:
-            u, v = np.searchsorted(at[lo:hi], [a, b])
-            k = 1 + 2 * KINDS.index(kind)
-            y[u:v, i] = k + 1
-            if u < width:
-                y[u, i] = k
-    return x, y
+            y[a:b] = 2 + 2 * KINDS.index(kind)
+            y[a] -= 1
+        for at in range(0, max(1, len(text)), STRIDE):
+            cut.append(text[at : at + WIDTH])
+            tags.append(y[at : at + WIDTH])
+    return encode(cut), np.stack(tags, axis=1)
 
 
 def labelled_examples(n: int, seed: int = 11) -> tuple[list[str], list[list[Span]]]:
     """Invented texts with labelled spans: each kind in several spellings among look-alikes that are none."""
-    rng = np.random.default_rng(seed)
-    number = lambda k: "".join(map(str, rng.integers(0, 10, k)))
-    word = lambda a=1, b=10: "".join(rng.choice(list("etaoinshrdlu"), rng.integers(a, b)))
-    pick = lambda *x: x[rng.integers(len(x))]
+    rng = random.Random(seed)
+    number = lambda k: "".join(rng.choices("0123456789", k=k))
+    word = lambda a=1, b=10: "".join(rng.choices("etaoinshrdlu", k=rng.randrange(a, b)))
+    pick = lambda *x: rng.choice(x)
 
     def card() -> str:
-        d = pick("4", "5", "37", "60") + number(int(rng.integers(12, 15)))
+        d = pick("4", "5", "37", "60") + number(rng.randrange(12, 15))
         d += next(c for c in "0123456789" if luhn(d + c))
         sep = pick("", "", " ", "-")
         return sep.join(d[i : i + 4] for i in range(0, len(d), 4))
@@ -328,11 +302,11 @@ def labelled_examples(n: int, seed: int = 11) -> tuple[list[str], list[list[Span
         return pick(word(2), f"{word()}.{number(2)}", f"{word()}_{word()}", f"{word()}+{word()}", f"{word()}.{word()}") + "@" + host
 
     def ip() -> str:
-        return ".".join(str(rng.integers(0, 256)) for _ in range(4))
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
 
     def other() -> str:
         return pick(
-            number(int(rng.integers(1, 12))), f"{number(2)}.{number(2)}", f"{rng.integers(1900, 2030)}", f"{number(2)}:{number(2)}", f"{rng.integers(1900, 2030)}-{number(2)}-{number(2)}",
+            number(rng.randrange(1, 12)), f"{number(2)}.{number(2)}", f"{rng.randrange(1900, 2030)}", f"{number(2)}:{number(2)}", f"{rng.randrange(1900, 2030)}-{number(2)}-{number(2)}",
             f"{number(1)}.{number(1)}.{number(1)}", f"{word()}={number(3)}{word(2)}{number(4)}{word(1)}", f"v{number(1)}.{number(1)}", f"${number(3)}.{number(2)}", f"{number(3)}-{number(3)}", f"{number(1)},{number(3)},{number(3)}",
             f"http://{word()}.com/{word()}/{number(4)}", f"@{word()}", f"{word()}@ {word()}", f"({number(4)})", f"+{number(1)}", f"#{number(6)}", f"{number(2)}/{number(2)}/{number(4)}", f'"{word()}{number(9)}{word()}{number(3)}"', f"{word(3).upper()}{number(2)}{word(3).upper()}", f"{number(1)}.", "***", "&&&", "|", "!!",
         )
@@ -341,17 +315,17 @@ def labelled_examples(n: int, seed: int = 11) -> tuple[list[str], list[list[Span
     texts, spans = [], []
     for _ in range(n):
         parts, own, size = [], [], 0
-        for _ in range(int(rng.integers(3, 12))):
-            kind = rng.choice([*KINDS, "other", "words"], p=[0.08, 0.08, 0.08, 0.12, 0.22, 0.42])
+        for _ in range(rng.randrange(3, 12)):
+            kind = rng.choices([*KINDS, "other", "words"], [0.08, 0.08, 0.08, 0.12, 0.22, 0.42])[0]
             if kind in makers:
                 piece = makers[kind]()
                 lead = pick("", "", "", "(", '"', "<", "tel:", "") if kind != "email" else pick("", "", "<", "(")
                 parts.append(lead + piece)
-                own.append((str(kind), size + len(lead), size + len(lead) + len(piece)))
+                own.append((kind, size + len(lead), size + len(lead) + len(piece)))
             elif kind == "other":
                 parts.append(other())
             else:
-                parts.append(" ".join(word() for _ in range(rng.integers(1, 9))))
+                parts.append(" ".join(word() for _ in range(rng.randrange(1, 9))))
             parts.append(pick(" ", " ", " ", ". ", ", ", "\n", ") ", "; "))
             size += len(parts[-1]) + len(parts[-2])
         texts.append("".join(parts))
@@ -359,11 +333,16 @@ def labelled_examples(n: int, seed: int = 11) -> tuple[list[str], list[list[Span
     return texts, spans
 
 
-def fit(texts: list[str] | None = None, spans: list[list[Span]] | None = None, width: int = 64, steps: int = 400) -> TaggerModel:
-    """Train from labelled spans; without any, from ``labelled_examples``. Reads the first ``width`` steps of each text."""
+def fit(texts: list[str] | None = None, spans: list[list[Span]] | None = None, steps: int = 500) -> TaggerModel:
+    """Train from labelled spans; without any, from ``labelled_examples``, once in a process."""
     if texts is None:
-        texts, spans = labelled_examples(3000)
-    return train(*tag_windows(texts, spans, width), steps=steps)
+        return _own_model(steps)
+    return train(*tagged_windows(texts, spans), steps=steps)
+
+
+@functools.cache
+def _own_model(steps: int) -> TaggerModel:
+    return train(*tagged_windows(*labelled_examples(3000)), steps=steps)
 
 
 # ---- whole texts
@@ -371,45 +350,137 @@ def fit(texts: list[str] | None = None, spans: list[list[Span]] | None = None, w
 LIKELY = {
     "email": lambda s: s.count("@") == 1 and "." in s.partition("@")[2] and not re.search(r"\s", s),
     "ip": lambda s: re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", s) is not None and valid_ip(s),
-    "card": valid_card,
+    "card": lambda s: re.fullmatch(r"[0-9 ().-]+", s) is not None and valid_card(s),
     "phone": lambda s: re.fullmatch(r"\+?[0-9 ().-]+", s) is not None and 9 <= len(digits_of(s)) <= 15 and len(re.findall(r"[ ().-]+", s)) >= 2 and s.count("(") == s.count(")"),
 }
+# What LIKELY demands of characters: numbers have at least nine digits or are four with dots between.
+GAPS = frozenset(" +().-")
+NUMBERS = (re.compile(r"(?:[0-9][ +().-]*+){9,}+"), re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"))
+IN_NUMBER = GAPS | frozenset("0123456789")
+MAIL, NUMBER = 1, 2
+#: Characters that are put into windows at once, and steps of sequences that are decoded side by side.
+PIECE, AREA = 1 << 16, 1 << 18
+#: Tags that a character may have, by MAIL + NUMBER.
+OPEN = np.array([[0] + [0 if (stretch & (MAIL if k == "email" else NUMBER)) else NEVER for k in KINDS for _ in "BI"] for stretch in range(4)], np.float32)
+
+
+def grown(text: str, a: int, b: int, low: int, inside: Callable[[str], bool]) -> tuple[int, int]:
+    while a > low and inside(text[a - 1]):
+        a -= 1
+    while b < len(text) and inside(text[b]):
+        b += 1
+    return a, b
+
+
+def stretches(text: str) -> list[tuple[int, int, int]]:
+    """(begin, end, MAIL or NUMBER) of the longest runs in which a span of a likely form may lie."""
+    out = []
+    at, end = text.find("@"), 0
+    while at >= 0:
+        a, end = grown(text, at, at + 1, end, lambda ch: not ch.isspace())
+        out.append((a, end, MAIL))
+        at = text.find("@", end)
+    if DIGIT.search(text):
+        for pattern in NUMBERS:
+            end = 0
+            for m in pattern.finditer(text):
+                if m.end() > end:
+                    a, end = grown(text, *m.span(), end, IN_NUMBER.__contains__)
+                    out.append((a, end, NUMBER))
+    return sorted(out)
+
+
+def segments(text: str) -> list[tuple[int, int, np.ndarray]]:
+    """(begin, end, OPEN's row of each character): stretches that touch are one segment."""
+    joined: list[list] = []
+    for a, b, kind in stretches(text):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(b, joined[-1][1])
+            joined[-1][2].append((a, b, kind))
+        else:
+            joined.append([a, b, [(a, b, kind)]])
+    out = []
+    for begin, end, own in joined:
+        kinds = np.zeros(end - begin, np.uint8)
+        for a, b, kind in own:
+            kinds[a - begin : b - begin] |= kind
+        out.append((begin, end, kinds))
+    return out
 
 
-def network_spans(model: TaggerModel, texts: list[str]) -> list[list[Span]]:
-    """Spans that the network finds in each text.
+def blended(model: TaggerModel, pieces: list[tuple[str, int, int]]) -> np.ndarray:
+    """Emissions (characters, tags) of ranges of texts, one after the other.
 
-    Windows of WIDTH steps overlap; a span counts in the window in whose core it starts, so
-    each place is decided once, by a window that sees LEFT steps before it and at least
-    RIGHT after the core. A span is kept if its text has the form of its kind.
+    Windows begin at the multiples of STRIDE. Of the two that hold a character, the one in whose middle it
+    lies counts more, in proportion to the distance from the window's ends.
     """
-    steps, at, bounds = encode(texts)
-    size = np.diff(bounds)
-    n_win = np.maximum(1, -(-(size - LEFT - RIGHT) // STRIDE))
-    text_of = np.repeat(np.arange(len(texts)), n_win)
-    number = np.arange(len(text_of)) - np.repeat(np.cumsum(n_win) - n_win, n_win)
-    begin = number * STRIDE
+    at: dict[tuple[int, int], int] = {}
+    cut: list[str] = []
+    places, late, early = [], [], []
+    for text, a, b in pieces:
+        windows = range(max(0, a // STRIDE - 1), (b - 1) // STRIDE + 1)
+        for w in windows:
+            if (id(text), w) not in at:
+                at[id(text), w] = len(cut)
+                cut.append(text[w * STRIDE : w * STRIDE + WIDTH])
+        index, t = np.array([at[id(text), w] for w in windows]), np.arange(a, b)
+        places.append(t)
+        late.append(index[t // STRIDE - windows[0]])
+        early.append(index[np.maximum(t // STRIDE - 1, 0) - windows[0]])
+    e = np.concatenate([model.emissions(encode(cut[i : i + BATCH])).transpose(1, 0, 2) for i in range(0, len(cut), BATCH)])
+    t, late, early = map(np.concatenate, (places, late, early))
+    inside, alone = t % STRIDE, t < STRIDE
+    share = np.where(alone, 1, (inside + 0.5) / STRIDE).astype(e.dtype)[:, None]
+    return share * e[late, inside] + (1 - share) * e[early, np.where(alone, inside, inside + STRIDE)]
+
+
+def viterbi(e: np.ndarray, sizes: np.ndarray, first: np.ndarray, moves: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Best tags (T, B) of B sequences of ``sizes`` steps, the longest first: emissions (T, B, tags), scores of the first and of the last tag (B, tags)."""
+    t_max, n = e.shape[:2]
+    best = first + e[0]
+    back = np.zeros((t_max, n, N_TAG), np.int8)
+    back[:] = np.arange(N_TAG, dtype=np.int8)
+    for t in range(1, t_max):
+        m = int(np.searchsorted(-sizes, -t, side="left"))  # those with more than t steps
+        score = best[:m, :, None] + moves
+        back[t, :m] = score.argmax(axis=1)
+        best[:m] = score.max(axis=1) + e[t, :m]
+    state = (best + last).argmax(axis=1)
+    tags = np.zeros((t_max, n), np.int8)
+    for t in range(t_max - 1, -1, -1):
+        tags[t] = state
+        state = back[t, np.arange(n), state]
+    return tags
+
+
+def network_spans(model: TaggerModel, texts: list[str]) -> list[list[Span]]:
+    """Spans that the network finds in each text, those whose text has the form of their kind."""
     found: list[list[Span]] = [[] for _ in texts]
-    for i in range(0, len(text_of), BATCH):
-        who, lo = text_of[i : i + BATCH], begin[i : i + BATCH]
-        place = lo[None] + np.arange(WIDTH)[:, None]
-        inside = place < size[who]
-        x = np.where(inside, steps[np.minimum(bounds[who] + place, max(0, len(steps) - 1))] if len(steps) else PAD, PAD).astype(np.intp)
-        tags = model.decode(x)
-        core_from = np.where(lo == 0, 0, LEFT)
-        core_to = np.where(number[i : i + BATCH] == n_win[who] - 1, WIDTH, LEFT + STRIDE)
-        starts = (tags % 2 == 1) & (np.arange(WIDTH)[:, None] >= core_from) & (np.arange(WIDTH)[:, None] < core_to) & inside
-        for t, j in zip(*np.nonzero(starts), strict=True):
+    parts = [(i, a, b, kinds) for i, text in enumerate(texts) for a, b, kinds in segments(text)]
+    parts.sort(key=lambda s: s[1] - s[2])
+    moves, start = model.moves(), model.p["s"] + START
+    while parts:
+        many = max(1, AREA // (parts[0][2] - parts[0][1]))
+        own, parts = parts[:many], parts[many:]
+        pieces = [(texts[i], x, min(b, x + PIECE)) for i, a, b, _ in own for x in range(a, b, PIECE)]
+        told = np.concatenate([blended(model, pieces[x:y]) for x, y in slices([b - a for _, a, b in pieces], PIECE)])
+        told += OPEN[np.concatenate([k for *_, k in own])]
+        sizes = np.array([b - a for _, a, b, _ in own])
+        ends = np.cumsum(sizes)
+        e = np.zeros((sizes[0], len(own), N_TAG), np.float32)
+        for j, n in enumerate(sizes.tolist()):
+            e[:n, j] = told[ends[j] - n : ends[j]]
+        first = np.stack([start if a == 0 else moves[0] for _, a, _, _ in own])
+        last = np.stack([0 * start if b == len(texts[i]) else moves[:, 0] for i, _, b, _ in own])
+        tags = viterbi(e, sizes, first, moves, last)
+        for t, j in zip(*np.nonzero(tags % 2 == 1), strict=True):
+            i, a, b, _ = own[j]
             end, kind = t + 1, tags[t, j]
-            while end < WIDTH and tags[end, j] == kind + 1 and inside[end, j]:
+            while end < b - a and tags[end, j] == kind + 1:
                 end += 1
-            d = who[j]
-            last = bounds[d] + lo[j] + end
-            a = at[bounds[d] + lo[j] + t]
-            b = at[last] if last < bounds[d + 1] else len(texts[d])
             name = KINDS[kind // 2]
-            if LIKELY[name](texts[d][a:b]):
-                found[d].append((name, int(a), int(b)))
+            if t < b - a and LIKELY[name](texts[i][a + t : a + end]):
+                found[i].append((name, int(a + t), int(a + end)))
     return found
 
 
@@ -435,7 +506,7 @@ def all_spans(model: TaggerModel, texts: list[str]) -> list[tuple[list[Span], li
 
 
 SPAN_TYPE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 21
 
 
 def find_spans(df: DataFrame, model: TaggerModel, text: str = "text", base_col: str = "base_spans", spans_col: str = "spans") -> DataFrame:
@@ -452,22 +523,29 @@ def find_spans(df: DataFrame, model: TaggerModel, text: str = "text", base_col:
             as_array = lambda k: pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in r[k]] for r in both], pa.list_(SPAN_TYPE))
             yield pa.StructArray.from_arrays([as_array(0), as_array(1)], names=["base", "spans"])
 
-    out = df.withColumn("_found_", run(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    return out.withColumns({base_col: F.col("_found_.base"), spans_col: F.col("_found_.spans")}).drop("_found_")
+    found = free_name(df, "found")
+    out = df.withColumn(found, run(F.coalesce(named(text), F.lit(""))))
+    return out.withColumns({base_col: named(found)["base"], spans_col: named(found)["spans"]}).drop(found)
+
+
+def replaced(text: str, spans: list[dict]) -> str:
+    parts, at = [], 0
+    for s in sorted(spans, key=lambda s: (s["start"], s["end"], s["kind"])):
+        if s["start"] >= at:
+            parts += [text[at : s["start"]], f"[{s['kind'].upper()}]"]
+        at = max(at, s["end"])
+    return "".join([*parts, text[at:]])
 
 
 def redact(df: DataFrame, text: str = "text", spans_col: str = "spans") -> DataFrame:
     """Replace each span of ``text`` by its kind in brackets, such as ``[EMAIL]``; a null text stays null.
 
-    Overlapping spans are replaced together by the kind of the first.
+    Overlapping spans are replaced together by the kind of the first. Only texts with spans go to Python.
     """
-    ordered = F.array_sort(F.transform(F.col(spans_col), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    source = F.col(f"`{text}`")
 
-    def step(acc, s):
-        plain = F.substring(source, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.when(s["start"] < acc["at"], F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))).otherwise(F.struct(F.concat(acc["out"], plain, F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out"), s["end"].alias("at")))
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([t and replaced(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    done = F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], F.substring(source, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-    return df.withColumn(text, F.when(F.size(spans_col) > 0, done).otherwise(source))
+    some = F.size(named(spans_col)) > 0
+    return df.withColumn(text, F.coalesce(run(F.when(some, named(text)), F.when(some, named(spans_col))), named(text)))
