@@ -165,14 +165,23 @@ class Graph:
             entry = found[level][:, :EXPAND]
         return found
 
+    def widest(self) -> int:
+        """Beyond this beam a comparison with all nodes is cheaper."""
+        return max(128, len(self.x) // 8)
+
     def query(self, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) of cosine at least ``least``. The beam of a query doubles until it ends below that."""
+        """(query, node) of cosine at least ``least``. The beam of a query doubles until it ends below that; one that would need an eighth of all nodes is compared with all."""
         out_q, out_n = [], []
         todo = np.arange(len(q))
         while len(todo):
             again = []
             for i in range(0, len(todo), QUERY_BATCH):
                 own = todo[i : i + QUERY_BATCH]
+                if beam > self.widest():
+                    found, node = exact_query(self, q[own], least)
+                    out_q.append(own[found])
+                    out_n.append(node)
+                    continue
                 entry = np.zeros((len(own), 1), int)
                 for near in self.layers[:0:-1]:
                     ids, sims = beam_search(near, self.x, q[own], entry, 2 * EXPAND)
@@ -183,7 +192,7 @@ class Graph:
                 r, c = np.nonzero((sims >= least) & ~full[:, None])
                 out_q.append(own[r])
                 out_n.append(ids[r, c])
-            todo = np.concatenate(again)
+            todo = np.concatenate(again or [np.empty(0, int)])
             beam *= 2
         return np.concatenate(out_q or [np.empty(0, int)]), np.concatenate(out_n or [np.empty(0, int)])
 
@@ -198,16 +207,24 @@ def exact_query(graph: Graph, q: np.ndarray, least: float) -> tuple[np.ndarray,
     return np.concatenate(out_q), np.concatenate(out_n)
 
 
-def enough_beam(graph: Graph, q: np.ndarray, least: float, beam: int, target: float) -> int:
-    """The beam, doubled until the recall reaches ``target`` as the mean over the queries that have links; 0 if a beam of all nodes doesn't."""
+def true_links(graph: Graph, q: np.ndarray, least: float, own: np.ndarray | None = None) -> np.ndarray:
+    """(queries, nodes): links by comparison with all nodes, without the node ``own`` of each query."""
     truth = q @ graph.x.T >= least
+    if own is not None:
+        truth[np.arange(len(q)), own] = False
+    return truth
+
+
+def enough_beam(graph: Graph, q: np.ndarray, least: float, beam: int, target: float, own: np.ndarray | None = None) -> int:
+    """The beam, doubled until the recall reaches ``target`` as the mean over the queries that have links to nodes other than ``own``; 0 if no beam that is worth it does."""
+    truth = true_links(graph, q, least, own)
     links = truth.sum(axis=1)
     while beam:
         pq, pn = graph.query(q, least, beam)
         share = (np.bincount(pq[truth[pq, pn]], minlength=len(q)) / np.maximum(links, 1))[links > 0]
         if not len(share) or share.mean() >= target:
             break
-        beam = 2 * beam if beam < len(graph.x) else 0
+        beam = 2 * beam if 2 * beam <= graph.widest() else 0
     return beam
 
 
@@ -230,8 +247,7 @@ def graph_beam(graph: Graph, least: float, beam: int, audit: int, target: float)
     return beam
 
 
-def audited_query(graph: Graph, q: np.ndarray, least: float, beam: int, audit: int, target: float) -> tuple[np.ndarray, np.ndarray]:
-    """Query with beams widened until ``audit`` evenly spaced queries, compared with all nodes, reach the target recall; exactly if none does, or with a beam of 0."""
+def audited_beam(graph: Graph, q: np.ndarray, least: float, beam: int, audit: int, target: float, same: bool = False) -> int:
+    """The beam at which ``audit`` evenly spaced queries, compared with all nodes, reach the target recall; 0 for exact comparison. ``same``: the queries are the graph's own nodes in order."""
     probe = np.unique(np.linspace(0, len(q) - 1, min(audit, len(q))).astype(int))
-    beam = enough_beam(graph, q[probe], least, beam, target)
-    return graph.query(q, least, beam) if beam else exact_query(graph, q, least)
+    return enough_beam(graph, q[probe], least, beam, target, probe if same else None)

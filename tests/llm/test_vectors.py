@@ -50,6 +50,48 @@ def test_links_equal_brute_force(spark, shards):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in out} == brute_links(rows)
 
 
+def near_threshold(n, dim, seed):
+    """Pairs at cosines around 0.9, a hot group and rows of their own."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    half = n // 3
+    cosine = rng.uniform(0.88, 0.95, half)[:, None]
+    u = x[:half] / np.linalg.norm(x[:half], axis=1, keepdims=True)
+    away = rng.normal(size=(half, dim))
+    away -= (away * u).sum(axis=1, keepdims=True) * u
+    x[half : 2 * half] = cosine * u + np.sqrt(1 - cosine**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    x[2 * half : 2 * half + n // 8] = x[2 * half] + rng.normal(size=(n // 8, dim)) * 0.25
+    return x[rng.permutation(n)].astype(np.float32)
+
+
+def test_recall_near_the_threshold(spark):
+    x = near_threshold(10_000, 64, 8)
+    report = {}
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = np.array([(r.vec_id, r.n_links) for r in embeddings.near_vectors(df, report=report).collect()])
+    n = got[np.argsort(got[:, 0]), 1]
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = (u @ u.T >= 0.9).sum(axis=1) - 1
+    assert (n <= want).all() and want.max() > 500
+    linked = want > 0
+    assert (n[linked] / want[linked]).mean() >= 0.99 and n.sum() >= 0.99 * want.sum()
+    assert report["true"] > 100 and report["found"] >= 0.99 * report["true"]
+
+
+def test_a_hot_group_gives_a_forest():
+    """As many edges as vectors, not as pairs."""
+    x = np.random.default_rng(2).normal(size=16) + np.random.default_rng(3).normal(size=(600, 16)) * 0.01
+    sides = []
+    for rows in (slice(0, 300), slice(300, 600)):
+        g = hnsw.Graph.build(embeddings.unit(x[rows]))
+        ids = np.arange(600)[rows]
+        sides.append(embeddings.Shard({"dim": 16, "beam": 24, "ids": ids.tobytes(), "sizes": np.ones(300, np.int64).tobytes(), "vectors": x[rows].tobytes(), "layers": [near.astype("<i4").tobytes() for near in g.layers]}))
+    for host, guest, links in ((sides[0], sides[1], 300), (sides[0], sides[0], 299)):
+        rows = np.concatenate(embeddings.pair_rows(host, guest, host is guest, 0.9, 32, 0.99))
+        assert set(rows[rows[:, 0] == embeddings.COUNT, 2]) == {links}
+        assert (rows[:, 0] == embeddings.EDGE).sum() == (599 if host is not guest else 299)
+
+
 def test_links_of_nothing(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert embeddings.near_vectors(df).count() == 0
@@ -64,7 +106,7 @@ def test_graph_recall_and_widening():
     q, least = x[:200], 0.6
     truth = q @ x.T >= least
     found = np.zeros(truth.shape, bool)
-    found[hnsw.audited_query(graph, q, least, 8, 64, 0.99)] = True
+    found[graph.query(q, least, hnsw.audited_beam(graph, q, least, 8, 64, 0.99))] = True
     assert (found & truth).sum() / truth.sum() > 0.95 and not (found & ~truth).any()
 
 
@@ -163,7 +205,8 @@ def hot_and_small():
 def test_a_hot_group_hides_no_small_ones():
     graph = hot_and_small()
     found = np.zeros((460, 460), bool)
-    found[hnsw.audited_query(graph, graph.x, 0.9, 8, 64, 0.99)] = True
+    beam = hnsw.audited_beam(graph, graph.x, 0.9, 8, 64, 0.99, same=True)
+    found[graph.query(graph.x, 0.9, beam) if beam else hnsw.exact_query(graph, graph.x, 0.9)] = True
     assert (found == (graph.x @ graph.x.T >= 0.9)).all()
 
 
