@@ -14,24 +14,42 @@ from pyspark.sql import functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local folder only where it is unset."""
+    """This application's folder in the one that driver and executors share, ``spark.checkpoint.dir``.
+
+    Only a local session may do without that setting; it gets a temporary folder. Elsewhere a
+    machine-local folder would lose the executors' files, so that is an error.
+    """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + os.path.join(tempfile.gettempdir(), f"gaugeline-{os.getpid()}")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.gettempdir()
+    return f"{root.rstrip('/')}/gaugeline-{context.applicationId}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and read it back.
 
     This cuts the lineage, keeps a single computation for several readers, and
-    survives the loss of executors because the files are on shared storage.
+    survives the loss of executors because the files are on shared storage. ``discard`` removes what
+    later steps have written anew; the rest stays as long as a returned table may be read, and all of
+    it lies in one folder for each application.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` gave and nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def named(name: str) -> Column:
@@ -56,15 +74,21 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == 1
 
 
-def bounded_sample(rows: DataFrame, h: str, max_rows: int, count: int | None = None) -> DataFrame:
+def bounded_sample(rows: DataFrame, h: str, max_rows: int, different: int | None = None) -> DataFrame:
     """At most ``max_rows`` rows with different ``h``, those with the smallest, wherever they lie.
 
     A threshold on the hash passes about twice ``max_rows`` rows before they are ordered, so
-    neither tasks nor the driver handle more when the input grows. ``count``: the number of rows, if known.
+    neither tasks nor the driver handle more when the input grows. Of rows with the same ``h`` the one
+    whose other columns sort first is taken, so that the sample is the same in every run.
+    ``different``: about how many values ``h`` has, if known.
     """
-    share = min(1.0, 2 * max_rows / max(1, rows.count() if count is None else count))
+    if different is None:
+        different = rows.agg(F.approx_count_distinct(h)).first()[0]
+    share = min(1.0, 2 * max_rows / max(1, different))
     below = F.col(h) < F.lit(int(-(2**63) + share * (2**64 - 1))) if share < 1 else F.col(h).isNotNull()
-    return rows.filter(below).dropDuplicates([h]).orderBy(h).limit(max_rows)
+    others = [c for c in rows.columns if c != h]
+    first = rows.filter(below).groupBy(h).agg(F.min(F.struct(*map(named, others))).alias("r"))
+    return first.orderBy(h).limit(max_rows).select(*[F.col("r").getField(c).alias(c) if c != h else F.col(h) for c in rows.columns])
 
 
 def slices(lengths: Sequence[int], most: int) -> Iterator[tuple[int, int]]:

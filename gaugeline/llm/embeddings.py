@@ -169,7 +169,9 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     once = (F.col("back") * 2 < parts) | (turn < F.col("shard"))
     guests = index.withColumn("back", F.explode(F.sequence(F.lit(0), F.lit(parts // 2)))).filter(once)
     guests = guests.select("dim", turn.alias("shard"), *[F.col(c).alias(f"g_{c}") for c in index.columns if c != "dim"])
-    both = guests.join(index.hint("shuffle_hash"), ["dim", "shard"])
+    # as many partitions on both sides, so that pairs meet without another exchange and few hosts share a task
+    spots = 4 * parts
+    both = guests.repartition(spots, "dim", "shard").join(index.repartition(spots, "dim", "shard").hint("shuffle_hash"), ["dim", "shard"])
     found = materialize(both.mapInArrow(lambda rows: query_pairs(rows, least, audit, target), "kind int, a long, b long"), "vector-links")
     if report is not None:
         seen = found.filter(F.col("kind") == AUDIT).agg(F.coalesce(F.sum("a"), F.lit(0)).alias("true"), F.coalesce(F.sum("b"), F.lit(0)).alias("found")).first()
@@ -179,7 +181,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     joined = components(found.filter(F.col("kind") == EDGE)).withColumnRenamed("v", "uid")
     told = classes.select("uid", "h1", "h2", "late", "key", "n").join(joined, "uid", "left").join(degree, "uid", "left")
     told = materialize(told.select("h1", "h2", "late", "key", F.coalesce("c", "uid").alias("part"), (F.col("n") - 1 + F.coalesce("far", F.lit(0))).alias("n_links")), "vector-told")
-    least_key = told.groupBy("part").agg(F.min(F.struct("late", "key")).alias("m")).select("part", F.col("m.key").alias("component_id"))
+    # written first, so that the join sits on two exchanges and Spark splits the tasks of a large component
+    least_key = materialize(told.groupBy("part").agg(F.min(F.struct("late", "key")).alias("m")).select("part", F.col("m.key").alias("component_id")), "vector-heads")
     told = materialize(told.join(least_key, "part").select("h1", "h2", "n_links", "component_id"), "vector-parts")
     out = df.select(*row, own_key.alias("key")).join(told, ["h1", "h2"], "left")
     part = F.when(F.col("n_links").isNull(), F.col("key")).otherwise(F.col("component_id"))

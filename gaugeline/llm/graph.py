@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -19,15 +19,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     ends = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
     e = materialize(ends.distinct(), "edges")
     while e.limit(1).count():
+        old = e
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "minima").select("u", F.least("u", "m").alias("m"))
+        minima = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "minima")
+        least = minima.select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.distinct(), "edges")
+        discard(old, minima)
         least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
         small = large.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = materialize(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        done = not small.limit(1).count()
+        discard(large, least)
         # done when every vertex has one parent and no parent has a parent
-        if not small.limit(1).count() and not e.select(F.col("v").alias("u")).distinct().join(e, "u", "left_semi").limit(1).count():
+        if done and not e.select(F.col("v").alias("u")).distinct().join(e, "u", "left_semi").limit(1).count():
             break
     roots = e.select("v", F.col("v").alias("c")).distinct()
     return e.select(F.col("u").alias("v"), F.col("v").alias("c")).union(roots)

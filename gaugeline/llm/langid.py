@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, slices, text_blocks
+from .common import bounded_sample, free_name, named, slices, text_blocks
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -178,10 +178,10 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", max_rows: i
     ``per_row`` windows at places given by the hash; this bounds the driver's memory. Rows
     with a null text or language, or without a letter, are left out.
     """
-    t = F.col(f"`{text}`")
-    rows = labelled.filter(t.rlike(r"\p{L}") & F.col(f"`{lang}`").isNotNull())
+    t = named(text)
+    rows = labelled.filter(t.rlike(r"\p{L}") & named(lang).isNotNull())
     places = [F.substring(t, (F.pmod(F.xxhash64(t, F.lit(i)), F.greatest(F.lit(1), F.length(t) - WINDOW + 1)) + 1).cast("int"), F.lit(WINDOW)) for i in range(per_row)]
-    rows = rows.select(F.xxhash64(t).alias("h"), F.array(*places).alias("w"), F.col(f"`{lang}`").alias("lang"))
+    rows = rows.select(F.xxhash64(t).alias("h"), F.array(*places).alias("w"), named(lang).alias("lang"))
     sample = bounded_sample(rows, "h", max_rows).collect()
     if not sample:
         return LanguageModel([UND], {w: np.zeros((w, K, FILTERS), np.float32) for w in WIDTHS}, np.zeros(FILTERS * len(WIDTHS), np.float32), np.zeros((FILTERS * len(WIDTHS), 1), np.float32), np.zeros(1, np.float32))
@@ -206,9 +206,11 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", lang_col:
             score = np.clip(p[np.arange(len(p)), best], 0, 1)
             yield pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64())], names=["lang", "score"])
 
-    t = F.col(f"`{text}`")
+    t = named(text)
     has_letter = F.coalesce(t.rlike(r"\p{L}"), F.lit(False))
     # declared nondeterministic, so that a filter on the result doesn't run the network a second time below it
     told = run.asNondeterministic()(F.coalesce(t, F.lit("")))
-    out = df.withColumn("_identified_", F.struct(has_letter.alias("ok"), told.alias("of")))
-    return out.withColumns({lang_col: F.when(F.col("_identified_.ok"), F.col("_identified_.of.lang")).otherwise(UND), score_col: F.when(F.col("_identified_.ok"), F.col("_identified_.of.score")).otherwise(0.0)}).drop("_identified_")
+    found = free_name(df, "identified")
+    out = df.withColumn(found, F.struct(has_letter.alias("ok"), told.alias("of")))
+    ok, of = named(found)["ok"], named(found)["of"]
+    return out.withColumns({lang_col: F.when(ok, of["lang"]).otherwise(UND), score_col: F.when(ok, of["score"]).otherwise(0.0)}).drop(found)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, named
 
 BITS = 10
 HASH_BITS = 60
@@ -98,7 +98,7 @@ def mix(df: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: floa
     repeated rows are ordinary rows. An empty table gives an empty result. Sources of size 0
     have target 0. Other columns are not carried.
     """
-    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), row_hash(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"))
+    rows = df.select(named(key).alias("key"), named(source).alias("source"), word_count(named(text)).alias("size"), row_hash(named(key), named(text)).alias("h"))
     rows = materialize(rows, "mix-sizes")
     out = with_share(rows, mix_plan(rows, weights, share, cap))
     taken = F.col("base") * F.col("size") + F.floor(F.col("size") * F.col("part") + 0.5).cast("long")
@@ -112,9 +112,9 @@ def mixed_rows(df: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), shar
     Only keys, sizes and hashes are written for the histograms; the texts are read once more
     and filtered by the thresholds. Nulls and repeated rows are treated as in ``mix``.
     """
-    rows = df.select(F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), row_hash(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"))
+    rows = df.select(named(source).alias("source"), word_count(named(text)).alias("size"), row_hash(named(key), named(text)).alias("h"))
     plan = mix_plan(materialize(rows, "mix-sizes"), weights, share, cap)
-    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{source}`").alias("source"), row_hash(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"))
+    whole = df.select(F.struct(*[named(c) for c in df.columns]).alias("row"), named(source).alias("source"), row_hash(named(key), named(text)).alias("h"))
     out = with_share(whole, plan)
     copies = (F.col("base") + F.floor(F.col("part") + 0.5)).cast("int")
     return out.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")

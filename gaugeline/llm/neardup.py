@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import materialize, slices, text_blocks
+from .common import materialize, named, slices, text_blocks
 from .graph import components
 
 SHINGLE = 5
@@ -31,7 +32,7 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 BLOCK_CHARS, BLOCK_TEXTS, SEGMENT = 1 << 20, 4096, 1 << 19
 DOC_BITS = 12
-CHUNK = 512
+CHUNK, CHUNK_WORDS = 512, 1 << 20
 #: Fixed odd multipliers (of SplitMix64, and one for polynomial hashes).
 MIX_1, MIX_2, GOLDEN, BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x2545F4914F6CDD1D))
 
@@ -200,7 +201,9 @@ def overlaps(left: list[str], right: list[str]) -> np.ndarray:
 
 @F.arrow_udf(DoubleType())
 def overlap(left: pa.Array, right: pa.Array) -> pa.Array:
-    return pa.array(overlaps([t or "" for t in left.to_pylist()], [t or "" for t in right.to_pylist()]), pa.float64())
+    sizes = sum(pc.fill_null(pc.binary_length(x), 0).to_numpy(zero_copy_only=False) for x in (left, right))
+    parts = [overlaps(*([t or "" for t in x.slice(a, b - a).to_pylist()] for x in (left, right))) for a, b in slices(sizes.tolist(), BLOCK_CHARS)]
+    return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
 
 @F.arrow_udf(DoubleType())
@@ -224,13 +227,13 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, threshold:
 
 
 def block_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links between different parts within buckets: members (band, n, uid, part) with their texts (uid, text).
+    """Links between different parts within buckets: members (band, n, words, uid, part) with their texts (uid, text).
 
-    A bucket's members are dealt to chunks of about CHUNK, and each pair of chunks is compared
+    A bucket's members are dealt to chunks of about CHUNK texts and CHUNK_WORDS words, and each pair of chunks is compared
     exactly in one task that returns only links which join parts. So no pairs are emitted,
     and memory is bounded by two chunks whatever the size of the bucket.
     """
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("words") / CHUNK_WORDS)).cast("int")
     dealt = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("uid", "band"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     dealt = dealt.join(texts, "uid").withColumn("other", other)
@@ -293,18 +296,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     keys are treated as larger than others; an empty table gives an empty result.
     """
     shown = [c for c in df.columns if c not in (class_col, kept_col)] if keep_columns else [key]
-    base = df.select(F.struct(*[F.col(f"`{c}`") for c in shown]).alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.monotonically_increasing_id().alias("uid"))
+    base = df.select(F.struct(*map(named, shown)).alias("row"), named(key).alias("key"), named(text).alias("text"), F.monotonically_increasing_id().alias("uid"))
     rows = add_sketch(base, "text")
     # kept columns hold the text already
     rows = materialize(rows.drop("text") if text in shown else rows, "sketches")
     whole = F.col("row").getField(text) if text in shown else F.col("text")
-    one = F.struct(F.col("key").isNull().alias("late"), "key", "uid", "bands", "sig")
+    one = F.struct(F.col("key").isNull().alias("late"), "key", "uid", "bands", "sig", "total")
     classes = rows.filter(F.col("total") > 0).groupBy("c1", "c2").agg(F.min(one).alias("one"))
     classes = materialize(classes.select("c1", "c2", "one.*"), "classes")
 
-    spread = classes.select("uid", F.explode("bands").alias("band"))
-    buckets = spread.groupBy("band").agg(F.min("uid").alias("pivot"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    members = materialize(spread.join(buckets, "band"), "members")
+    spread = classes.select("uid", "total", F.explode("bands").alias("band"))
+    buckets = spread.groupBy("band").agg(F.min("uid").alias("pivot"), F.count(F.lit(1)).alias("n"), F.sum("total").alias("words")).filter(F.col("n") > 1)
+    members = materialize(spread.drop("total").join(buckets, "band"), "members")
     star = members.filter(F.col("uid") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("uid").alias("b")).distinct()
     # the only pass that moves whole texts: those of classes that share a bucket, a set that grows with the corpus
     asked = members.select("uid").distinct().hint("merge")
@@ -313,8 +316,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     parts = materialize(components(links), "parts")
 
     own = F.coalesce("c", F.col("uid")).alias("part")
-    placed = materialize(members.join(parts.withColumnRenamed("v", "uid"), "uid", "left").select("band", "n", "uid", own), "placed")
-    mixed = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
+    placed = materialize(members.join(parts.withColumnRenamed("v", "uid"), "uid", "left").select("band", "n", "words", "uid", own), "placed")
+    # buckets of the same members (by two sums of hashes) need one comparison
+    same = [F.sum(F.pmod(F.xxhash64(F.lit(k), "uid"), F.lit(1 << 40))).alias(f"s{k}") for k in (1, 2)]
+    mixed = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.first("n").alias("n"), *same).filter(F.col("lo") != F.col("hi"))
+    mixed = mixed.groupBy("n", "s1", "s2").agg(F.min("band").alias("band")).select("band")
     rest = materialize(placed.join(mixed, "band"), "mixed")
     more = materialize(block_links(rest, texts, threshold), "links")
     if more.limit(1).count():

@@ -3,7 +3,7 @@
 Documents are tokenized once into pieces: full pieces of ``size`` tokens and one
 remainder. The pieces are written to shared storage together with the number that
 each has among its task's pieces of the same length, so ranks follow from counts
-per (length, task) without sorting documents. Only the histogram of at most
+per (length, task) without sorting documents; a task's counts are one row. Only the histogram of at most
 ``size`` lengths reaches the driver, where the packing patterns are made;
 patterns are joined back to pieces by rank.
 """
@@ -20,10 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_blocks
+from .common import materialize, named, text_blocks
 from .token_counts import byte_alphabet
 
 BLOCK_CHARS = 1 << 20
+MOST_BROADCAST = 1 << 26
 #: The split pattern of byte-level BPE tokenizers (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -63,7 +64,7 @@ PIECES = "doc_tokens long, start long, length long, ids binary, part int, nth lo
 
 def pieces(df: DataFrame, tokenizer_path: str, size: int, end_id: int, key: str, text: str) -> DataFrame:
     """One row per piece: at most ``size`` ids, with the piece's number among those of its length in its task."""
-    kind = df.schema[key].dataType
+    kind = df.select(named(key)).schema[0].dataType
     schema = f"key {kind.simpleString()}, {PIECES}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +88,7 @@ def pieces(df: DataFrame, tokenizer_path: str, size: int, end_id: int, key: str,
                 done += len(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(x, pa.int64()) for x in (tokens, start, length)), pa.array(ids, pa.binary()), pa.array([part] * len(rows), pa.int32()), pa.array(nth, pa.int64())], names=["key", "doc_tokens", "start", "length", "ids", "part", "nth"])
 
-    return df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
+    return df.select(named(key).alias("key"), named(text).alias("text")).mapInArrow(run, schema)
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -180,6 +181,15 @@ def pack(df: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1,
         return pa.StructArray.from_arrays([pa.array(slots["base"][at] + inner // times), pa.array(slots["offset"][at] + inner % times * n)], names=["sequence_id", "offset"])
 
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = by_task.select("length", "part", F.coalesce(before, F.lit(0)).alias("before"))
-    placed = cut.join(offsets, ["length", "part"]).withColumn("at", place("length", F.col("before") + F.col("nth")))
+
+    def row_of(counts: pa.Table) -> pa.Table:
+        own = np.zeros(size + 1, np.int64)
+        own[counts["length"].to_numpy()] = counts["before"].to_numpy()
+        return pa.table({"part": counts["part"][:1], "offsets": pa.array([own], pa.list_(pa.int64()))})
+
+    offsets = by_task.select("length", "part", F.coalesce(before, F.lit(0)).alias("before")).groupBy("part").applyInArrow(row_of, "part int, offsets array<long>")
+    # a row of 8 * size bytes for each task: broadcast while that is small, else joined by an exchange
+    tasks = by_task.agg(F.max("part")).first()[0] or 0
+    offsets = F.broadcast(offsets) if tasks * 8 * size <= MOST_BROADCAST else offsets.hint("merge")
+    placed = cut.join(offsets, "part").withColumn("at", place("length", F.element_at("offsets", (F.col("length") + 1).cast("int")) + F.col("nth")))
     return placed.select(F.col("key").alias(key), "doc_tokens", "start", "length", "ids", "at.sequence_id", "at.offset")

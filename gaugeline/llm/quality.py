@@ -16,7 +16,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, text_blocks
+from .common import bounded_sample, named, text_blocks
 
 PIECE = 512
 LEVEL = 1
@@ -94,10 +94,10 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", max_rows:
     bounds the driver's memory. Rows with a null text or label are left out. With no row of one class
     that class's dictionary is empty text and scores stay near one half.
     """
-    h = F.xxhash64(F.col(f"`{text}`"))
-    at = F.pmod(h, F.greatest(F.lit(1), F.length(F.col(f"`{text}`")) - max_chars + 1)) + 1
-    rows = labelled.filter(F.col(f"`{text}`").isNotNull() & F.col(f"`{label}`").isin(0, 1))
-    rows = rows.select(h.alias("h"), F.substring(F.col(f"`{text}`"), at.cast("int"), F.lit(max_chars)).alias("t"), F.col(f"`{label}`").cast("int").alias("y"))
+    h = F.xxhash64(named(text))
+    at = F.pmod(h, F.greatest(F.lit(1), F.length(named(text)) - max_chars + 1)) + 1
+    rows = labelled.filter(named(text).isNotNull() & named(label).isin(0, 1))
+    rows = rows.select(h.alias("h"), F.substring(named(text), at.cast("int"), F.lit(max_chars)).alias("t"), named(label).cast("int").alias("y"))
     sample = bounded_sample(rows, "h", max_rows).collect()
     # every other row builds the dictionaries, the rest calibrates
     texts = {k: [r["t"] for r in sample[::2] if r["y"] == k] for k in (0, 1)}
@@ -123,5 +123,5 @@ def score_quality(df: DataFrame, model: QualityModel, text: str = "text", score_
         for batch in batches:
             yield pa.array(np.concatenate([np.empty(0), *map(model.score, text_blocks(batch, BLOCK_BYTES))]), pa.float64())
 
-    out = df.withColumn(score_col, run(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    out = df.withColumn(score_col, run(F.coalesce(named(text), F.lit(""))))
     return out.withColumn(predicted_col, (F.col(score_col) >= 0.5).cast("int"))

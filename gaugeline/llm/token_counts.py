@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_blocks
+from .common import named, slices, text_blocks
 
 CHUNK = 64
 BLOCK_CHARS = 1 << 21
@@ -310,6 +310,6 @@ def count_tokens(df: DataFrame, tokenizer_path: str, text: str = "text", limit:
         for batch in batches:
             yield pa.array(np.concatenate([np.empty(0, np.int64), *map(own.count, text_blocks(batch, BLOCK_CHARS))]), pa.int64())
 
-    n = tokens(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    out = df.withColumns({bytes_col: F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long"), tokens_col: n})
+    n = tokens(F.coalesce(named(text), F.lit("")))
+    out = df.withColumns({bytes_col: F.coalesce(F.octet_length(named(text)), F.lit(0)).cast("long"), tokens_col: n})
     return out.withColumn(over_col, F.col(tokens_col) > limit)

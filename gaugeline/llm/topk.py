@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, materialize
+from .common import bounded_sample, materialize, named
 from .embeddings import stack, usable
 
 BASE = 1.3
@@ -299,11 +299,12 @@ def top_products(df: DataFrame, is_query: Column, k: int = 5, scale: float = 256
     Shards and blocks are bounded by rows and bytes, however many rows a cell has. Every block
     meets every shard of its length of vectors.
     """
-    x = F.col(f"`{vector}`").cast("array<double>")
-    rows = df.select(F.col(f"`{key}`").cast("long").alias("id"), x.alias("x"), F.coalesce(is_query, F.lit(False)).alias("asked")).filter(usable(F.col("x")) & F.col("id").isNotNull())
+    x = named(vector).cast("array<double>")
+    rows = df.select(named(key).cast("long").alias("id"), x.alias("x"), F.coalesce(is_query, F.lit(False)).alias("asked")).filter(usable(F.col("x")) & F.col("id").isNotNull())
     rows = rows.select("id", F.monotonically_increasing_id().alias("row"), "asked", F.transform("x", lambda v: F.floor(v * F.lit(scale)).cast("double")).alias("vector"))
-    count = rows.count()
-    sample = bounded_sample(rows.select("vector", F.xxhash64("vector").alias("h")), "h", SAMPLE, count).toArrow()
+    hashed = rows.select("vector", F.xxhash64("vector").alias("h"))
+    count, different = hashed.agg(F.count(F.lit(1)), F.approx_count_distinct("h")).first()
+    sample = bounded_sample(hashed, "h", SAMPLE, different).toArrow()
     pivots = pivots_of(sample, min(MOST_PIVOTS, max(LEAST_PIVOTS, count // SHARD_ROWS)))
     schema = "id long, row long, asked boolean, vector array<double>, dim int, cell int"
     placed = materialize(rows.mapInArrow(lambda it: with_cells(it, pivots), schema), "topk-rows")

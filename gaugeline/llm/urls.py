@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, named
 from .graph import components
 
 MAX_RULES = 1000
@@ -89,7 +89,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str
     rule and no aliases. Repeated rows, null keys and null html are ordinary; an empty table
     gives an empty result. Other columns are not carried.
     """
-    u, body = F.col(f"`{url}`"), F.col(f"`{html}`")
+    u, body = named(url), named(html)
 
     def found(kind: str) -> Column:
         return F.transform(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(TAGS[kind]), F.lit(1)), lambda link: resolve(link, u))
@@ -97,7 +97,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str
     def vertex(address: Column) -> Column:
         return F.struct(alias_key(address).alias("v"), match_rule(host_of(address), path_of(address), rules)[1].alias("own"))
 
-    base = pages.select(F.col(f"`{key}`").alias("key"), u.alias("u"), F.array_distinct(F.array_compact(F.concat(found("canonical"), found("refresh")))).alias("links"))
+    base = pages.select(named(key).alias("key"), u.alias("u"), F.array_distinct(F.array_compact(F.concat(found("canonical"), found("refresh")))).alias("links"))
     rule, own = match_rule(F.col("host"), F.col("path"), rules)
     base = base.withColumns({"host": host_of(F.col("u")), "path": path_of(F.col("u")), "v": alias_key(fold_dots(F.col("u")))}).withColumns({"rule": rule, "own": own, "links": F.transform("links", vertex)})
     base = materialize(base.drop("u"), "pages")

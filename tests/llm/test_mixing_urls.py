@@ -188,3 +188,74 @@ def test_fold_dots(spark):
     cases = {"http://h/a/b/c/./../../g": "http://h/a/g", "http://h/..": "http://h/", "http://h/a/.": "http://h/a/", "http://h/a//../b#/..": "http://h/a/b#/..", "http://h/..a/b../...": "http://h/..a/b../...", "http://h?/../x": "http://h?/../x", "x/../y": "x/../y"}
     df = spark.createDataFrame(list(cases.items()), "url string, want string")
     assert {r.url: r.got for r in df.select("url", urls.fold_dots(df.url).alias("got")).collect()} == cases
+
+
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def plain_verdicts(rows):
+    """Rules, links and components in plain Python for absolute links without dot segments."""
+
+    def parts(url):
+        if url is None or "://" not in url:
+            return "", "", ""
+        host, path, query = re.match(r"([^/?#]*)([^?#]*)(\?[^#]*)?", url.split("://", 1)[1]).groups()
+        return re.sub("[A-Z]", lambda m: m.group().lower(), host), path, query or ""
+
+    def rule(url):
+        host, path, _ = parts(url)
+        fits = [(len(h + p), h + p, kind) for kind, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[1:] if fits else (None, None)
+
+    def key(url):
+        host, path, query = parts(url)
+        return (host, path.rstrip("/"), query) if host else None
+
+    edges, own = [], {}
+    for _, url, html in rows:
+        links = re.findall(r'<link rel="canonical" href="([^"]+)">|<meta http-equiv="refresh" content="0; url=([^"]+)">', html or "")
+        for to in [url, *(a or b for a, b in links)]:
+            if key(to):
+                own.setdefault(key(to), set()).add(rule(to)[1])
+                if key(url):
+                    edges.append((key(url), key(to)))
+    part = {k: k for k in own}
+
+    def root(k):
+        while part[k] != k:
+            k = part[k]
+        return k
+
+    for a, b in edges:
+        part[root(a)] = root(b)
+    votes = {}
+    for k, kinds in own.items():
+        votes.setdefault(root(k), set()).update(kinds)
+    out = []
+    for page, url, _ in rows:
+        host, path, _ = parts(url)
+        name, kind = rule(url)
+        voted = votes[root(key(url))] if key(url) else set()
+        out.append((page, host, path, name, kind or ("allow" if "allow" in voted else "block" if "block" in voted else "allow")))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_verdicts_equal_a_plain_version(spark, seed):
+    """Random redirects and canonical links with repeated rows, a hub, loops and odd rows."""
+    rng = random.Random(seed)
+    hosts = ["a.example.net", "example.net", "x.com", "www.x.com", "Example.COM", "y.org", "z.info", "w.info", "v.io", "deep.sub.net"]
+    paths = ["", "/", "/en/", "/en/a", "/de/", "/de", "/fr/b/", "/q?x=1", "/q?x=2#f", "/long/path"]
+    address = lambda: f"{rng.choice(['http', 'https'])}://{rng.choice(hosts)}{rng.choice(paths)}{rng.randrange(4) or ''}"
+    rows = []
+    for i in range(160):
+        url = address()
+        html = "<p>x</p>"
+        for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):
+            to = rng.choice([address(), url, "http://hub.info/h"]) if rng.random() < 0.6 else address()
+            html += rng.choice([f'<link rel="canonical" href="{to}">', f'<meta http-equiv="refresh" content="0; url={to}">'])
+        rows.append((i, url, html))
+    rows += rows[:5] + [(None, "http://hub.info/h/", None), (900, None, '<link rel="canonical" href="http://a.net/">'), (901, "no address", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = urls.judge_urls(df, RULES).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(plain_verdicts(rows), key=repr)

@@ -77,14 +77,16 @@ def test_kept_columns_and_large_groups(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_links_across_parts_of_a_bucket(monkeypatch, spark):
+@pytest.mark.parametrize("chunk, most", [(2, 10_000), (100, 200)])
+def test_links_across_parts_of_a_bucket(monkeypatch, spark, chunk, most):
     """A pivot that is near none of the others must not hide links among those."""
-    monkeypatch.setattr(neardup, "CHUNK", 2)
+    monkeypatch.setattr(neardup, "CHUNK", chunk)
+    monkeypatch.setattr(neardup, "CHUNK_WORDS", most)
     words = [f"w{i}" for i in range(100)]
     texts = [" ".join(words), *[" ".join(words[:60] + [f"x{j}{i}" for i in range(40)]) for j in range(3)]]
     texts += [t + " end" for t in texts[1:]]
     rows = list(enumerate(texts))
-    members = spark.createDataFrame([(1, len(rows), i, i) for i, _ in rows], "band long, n long, uid long, part long")
+    members = spark.createDataFrame([(1, len(rows), 100 * len(rows), i, i) for i, _ in rows], "band long, n long, words long, uid long, part long")
     found = neardup.block_links(members, spark.createDataFrame(rows, "uid long, text string"), 0.8).collect()
     assert sorted(tuple(sorted((r.a, r.b))) for r in found) == [(1, 4), (2, 5), (3, 6)]
 
