@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import langid, mixing, neardup, packing, pii
-from gaugeline.llm.common import held_out, materialize
+from gaugeline.llm.common import columns_of, free_name, held_out, materialize
 from gaugeline.llm.queries import tokenizer_path
 
 #: A document is rejected where no language reaches this probability, or where it has no letters.
@@ -24,26 +24,29 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``lang`` of a kept document becomes the predicted language.
     """
     model = langid.fit(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang"))
-    told = langid.identify(docs, model, lang_col="_told_lang", score_col="_told_score")
-    kept = told.filter((F.col("_told_lang") != langid.UND) & (F.col("_told_score") >= LEAST_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "_told_lang")).select(*docs.columns)
+    lang, score = free_name(docs, "told_lang"), free_name(docs, "told_score")
+    told = langid.identify(docs, model, lang_col=lang, score_col=score)
+    kept = told.filter((F.col(lang) != langid.UND) & (F.col(score) >= LEAST_LANGUAGE_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", lang)).select(*columns_of(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return neardup.near_duplicates(docs, keep_columns=True, class_col="_class", kept_col="_kept").filter("_kept").select(*docs.columns)
+    own, kept = free_name(docs, "near_class"), free_name(docs, "near_kept")
+    return neardup.near_duplicates(docs, keep_columns=True, class_col=own, kept_col=kept).filter(F.col(kept)).select(*columns_of(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data in the texts by the name of its kind; ``n_chars`` follows."""
-    clean = pii.redact(pii.find_spans(docs, pii.fit(), base_col="_base", spans_col="_spans"), spans_col="_spans")
-    n_chars = F.when(F.size("_spans") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    base, spans = free_name(docs, "base_spans"), free_name(docs, "spans")
+    clean = pii.redact(pii.find_spans(docs, pii.fit(), base_col=base, spans_col=spans), spans_col=spans)
+    n_chars = F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*columns_of(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat each document as often as the mix takes it; documents that it doesn't take go."""
-    return mixing.mixed_rows(docs).select(*docs.columns)
+    return mixing.mixed_rows(docs).select(*columns_of(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
