@@ -1,42 +1,51 @@
-"""Rule configuration: dataclasses, closed validation of dictionaries, and modes."""
+"""Rule configuration: dataclasses, closed validation of dictionaries and files, and modes."""
 
 from __future__ import annotations
 
 import hashlib
 import json
-from dataclasses import dataclass, field, fields
+from dataclasses import MISSING, dataclass, field, fields
 from typing import Any
 
 MODES = ("off", "shadow", "auto", "enforce")
 
 
+def setting(default: Any, kind: str) -> Any:
+    """A field of a rule with the kind of value that it takes (KINDS)."""
+    made = {"default_factory": lambda: default} if isinstance(default, dict) else {"default": default}
+    return field(metadata={"kind": kind}, **({} if default is MISSING else made))
+
+
+# Names, defaults and kinds of all settings are fixed values of the file format.
+
+
 @dataclass(frozen=True)
 class Reentry:
-    enabled: bool = False
-    consecutive_samples: int = 4
-    value_tolerance: float = 0.5
-    minimum_duration_seconds: float | None = 0.0
-    action: str = "shift_baseline"
+    enabled: bool = setting(False, "bool")
+    consecutive_samples: int = setting(4, "count")
+    value_tolerance: float | None = setting(0.5, "least zero or null")
+    minimum_duration_seconds: float | None = setting(0.0, "least zero or null")
+    action: str | None = setting("reset", "reset")
 
 
 @dataclass(frozen=True)
 class FieldRule:
     """History rules of one field. A threshold that is unset turns its rule off."""
 
-    window_size: int = 20
-    min_samples: int = 10
-    mad_score_threshold: float | None = None
-    epsilon: float = 1e-6
-    minimum_scale: float | None = None
-    step_threshold: float | None = None
-    rate_threshold_per_second: float | None = None
-    min_time_gap_seconds: float | None = None
-    max_time_gap_seconds: float | None = None
-    stuck_enabled: bool = False
-    stuck_tolerance: float | None = None
-    stuck_sample_count: int | None = None
-    stuck_min_duration_seconds: float | None = None
-    baseline_reentry: Reentry = Reentry()
+    window_size: int = setting(20, "count")
+    min_samples: int = setting(10, "count")
+    mad_score_threshold: float | None = setting(None, "positive or null")
+    epsilon: float = setting(1e-6, "positive")
+    minimum_scale: float | None = setting(None, "positive or null")
+    step_threshold: float | None = setting(None, "positive or null")
+    rate_threshold_per_second: float | None = setting(None, "positive or null")
+    min_time_gap_seconds: float | None = setting(None, "least zero or null")
+    max_time_gap_seconds: float | None = setting(None, "positive or null")
+    stuck_tolerance: float | None = setting(None, "least zero or null")
+    stuck_sample_count: int | None = setting(None, "count or null")
+    stuck_min_duration_seconds: float | None = setting(None, "least zero or null")
+    stuck_enabled: bool = setting(False, "bool")
+    baseline_reentry: Reentry = field(default=Reentry(), metadata={"kind": Reentry})
 
     def __post_init__(self):
         if not 1 <= self.min_samples <= self.window_size:
@@ -48,8 +57,8 @@ class FieldRule:
 
 @dataclass(frozen=True)
 class Interval:
-    expected_interval_seconds: float
-    gap_multiplier: float
+    expected_interval_seconds: float | None = setting(MISSING, "positive or null")
+    gap_multiplier: float | None = setting(MISSING, "positive or null")
 
     @property
     def limit(self) -> float:
@@ -58,115 +67,152 @@ class Interval:
 
 @dataclass(frozen=True)
 class PeerGroup:
-    rule_id: str
-    family: str
-    fields: tuple[str, ...]
-    spread_threshold: float | None
-    candidate_flag: str = "peer_disagreement"
-    field_scales: dict = field(default_factory=dict)
-    aliases: tuple[tuple[str, ...], ...] = ()
-    min_available: int = 2
+    rule_id: str = setting(MISSING, "text")
+    family: str = setting(MISSING, "text")
+    fields: tuple[str, ...] = setting(MISSING, "some texts")
+    spread_threshold: float | None = setting(None, "positive or null")
+    candidate_flag: str = setting("peer_sensor_disagreement", "text")
+    field_scales: dict = setting({}, "numbers by name")
+    aliases: tuple[tuple[str, ...], ...] = setting((), "lists of texts")
+    min_available: int = setting(2, "count")
 
 
 @dataclass(frozen=True)
 class CrossField:
-    rule_id: str
-    family: str
-    fields: tuple[str, str]
-    max_abs_difference: float
-    candidate_flag: str = "cross_field_disagreement"
-    field_scales: dict = field(default_factory=dict)
+    rule_id: str = setting(MISSING, "text")
+    family: str = setting(MISSING, "text")
+    fields: tuple[str, str] = setting(MISSING, "some texts")
+    max_abs_difference: float | None = setting(None, "positive or null")
+    candidate_flag: str = setting("cross_field_disagreement", "text")
+    field_scales: dict = setting({}, "numbers by name")
+
+    def __post_init__(self):
+        if len(self.fields) != 2:
+            raise ValueError("fields must name exactly two fields")
 
 
 @dataclass(frozen=True)
 class CrossFamily:
-    rule_id: str
-    family: str
-    context_family: str
-    field: str
-    context_field: str
-    max_abs_difference: float
-    tolerance_seconds: float | None = None
-    candidate_flag: str = "cross_family_disagreement"
-    field_scales: dict = field(default_factory=dict)
+    rule_id: str = setting(MISSING, "text")
+    family: str = setting(MISSING, "text")
+    context_family: str = setting(MISSING, "text")
+    field: str = setting(MISSING, "text")
+    context_field: str = setting(MISSING, "text")
+    max_abs_difference: float | None = setting(None, "positive or null")
+    tolerance_seconds: float | None = setting(None, "least zero or null")
+    candidate_flag: str = setting("cross_family_disagreement", "text")
+    field_scales: dict = setting({}, "numbers by name")
 
 
 @dataclass(frozen=True)
 class Events:
-    enabled: bool = False
-    minimum_points: int = 1
-    window_points: int = 10
-    maximum_gap_seconds: float | None = None
-    minimum_duration_seconds: float | None = None
-    enforcement_policy: str = "point"
+    enabled: bool = setting(False, "bool")
+    minimum_points: int = setting(3, "count")
+    window_points: int = setting(5, "count")
+    maximum_gap_seconds: float | None = setting(300.0, "positive or null")
+    minimum_duration_seconds: float | None = setting(0.0, "least zero or null")
+    enforcement_policy: str | None = setting("point", "policy")
 
     def __post_init__(self):
         if not 1 <= self.minimum_points <= self.window_points:
             raise ValueError("minimum_points must lie between 1 and window_points")
-        if self.enforcement_policy not in ("point", "confirmed_event"):
-            raise ValueError("enforcement_policy is point or confirmed_event")
 
 
 @dataclass(frozen=True)
 class ModelFilter:
-    enabled: bool = False
-    minimum_valid_records: int = 500
-    readiness_window: int = 200
-    fallback_window: int = 100
-    maximum_candidate_rate: float = 0.1
-    fallback_candidate_rate: float = 0.2
-    minimum_input_completeness: float = 0.95
-    fallback_input_completeness: float = 0.9
-
-    def __post_init__(self):
-        for f in fields(self):
-            if f.name.endswith(("rate", "completeness")) and not 0 <= getattr(self, f.name) <= 1:
-                raise ValueError(f"{f.name} must lie between 0 and 1")
+    enabled: bool = setting(True, "bool")
+    model_path: str = setting("models/autoencoder-v0", "text")
+    minimum_valid_records: int = setting(500, "count")
+    readiness_window: int = setting(200, "count")
+    fallback_window: int = setting(100, "count")
+    maximum_candidate_rate: float = setting(0.1, "rate")
+    fallback_candidate_rate: float = setting(0.2, "rate")
+    minimum_input_completeness: float = setting(0.95, "rate")
+    fallback_input_completeness: float = setting(0.9, "rate")
 
 
 @dataclass(frozen=True)
 class DynamicConfig:
     """Everything the dynamic layers need. Keys of ``fields`` are ``field`` or ``family.field``."""
 
-    enabled: bool = True
-    enabled_families: tuple[str, ...] = ()
-    allow_suspect_context: bool = False
-    allow_candidate_context: bool = False
-    context_tolerance_seconds: float | None = None
-    deduplication_capacity: int = 10_000
+    enabled: bool = setting(True, "bool")
+    enabled_families: tuple[str, ...] = setting((), "texts")
+    enabled_fields: tuple[str, ...] = setting((), "texts")
+    allow_suspect_context: bool = setting(False, "bool")
+    allow_candidate_context: bool = setting(False, "bool")
+    deduplication_capacity: int = setting(10_000, "count")
+    recent_context_tolerance_seconds: float | None = setting(None, "least zero or null")
+    peer_sensor_groups: tuple[PeerGroup, ...] = ()
+    cross_field_rules: tuple[CrossField, ...] = ()
+    cross_family_rules: tuple[CrossFamily, ...] = ()
     fields: dict[str, FieldRule] = field(default_factory=dict)
     expected_reporting: dict[str, Interval] = field(default_factory=dict)
     family_silence: dict[str, Interval] = field(default_factory=dict)
-    peer_groups: tuple[PeerGroup, ...] = ()
-    cross_field: tuple[CrossField, ...] = ()
-    cross_family: tuple[CrossFamily, ...] = ()
     events: Events = Events()
-    model: ModelFilter = ModelFilter()
+    model: ModelFilter = ModelFilter(enabled=False)
 
     def family_enabled(self, family: str) -> bool:
-        return bool(family) and (not self.enabled_families or family in self.enabled_families)
+        return not self.enabled_families or family in self.enabled_families
 
+    def field_enabled(self, family: str, name: str) -> bool:
+        return not self.enabled_fields or name in self.enabled_fields or f"{family}.{name}" in self.enabled_fields
 
-def build(kind: type, given: dict[str, Any], where: str):
-    """An instance of a rule class from a dictionary; unknown keys and wrong types are refused."""
-    known = {f.name: f for f in fields(kind)}
-    unknown = set(given) - set(known)
-    if unknown:
-        raise ValueError(f"{where}: unknown keys {sorted(unknown)}")
-    made = {}
+
+def is_number(v: Any) -> bool:
+    return isinstance(v, int | float) and not isinstance(v, bool)
+
+
+def is_text(v: Any) -> bool:
+    return isinstance(v, str) and bool(v.strip())
+
+
+def is_list(v: Any, item) -> bool:
+    return isinstance(v, list | tuple) and all(map(item, v))
+
+
+#: What a value of each kind must be. A null text takes the setting's default.
+KINDS = {
+    "bool": lambda v: isinstance(v, bool),
+    "text": is_text,
+    "reset": lambda v: v == "reset",
+    "policy": lambda v: v in ("point", "confirmed_event"),
+    "count": lambda v: is_number(v) and isinstance(v, int) and v > 0,
+    "count or null": lambda v: v is None or KINDS["count"](v),
+    "positive": lambda v: is_number(v) and v > 0,
+    "positive or null": lambda v: v is None or KINDS["positive"](v),
+    "least zero or null": lambda v: v is None or is_number(v) and v >= 0,
+    "rate": lambda v: is_number(v) and 0 < v <= 1,
+    "texts": lambda v: is_list(v, is_text),
+    "some texts": lambda v: is_list(v, is_text) and len(v) > 0,
+    "lists of texts": lambda v: is_list(v, KINDS["some texts"]),
+    "numbers by name": lambda v: isinstance(v, dict) and all(is_text(k) and is_number(x) for k, x in v.items()),
+}
+
+
+def plain(v: Any) -> Any:
+    """Texts without white space around them, lists as tuples."""
+    return v.strip() if isinstance(v, str) else tuple(map(plain, v)) if isinstance(v, list | tuple) else v
+
+
+def build(rule: type, given: Any, where: str, named: str | None = None):
+    """An instance of a rule class from a dictionary; unknown keys and wrong values are refused. ``named``: the rule_id if none is given."""
+    if not isinstance(given, dict):
+        raise ValueError(f"{where} must be an object")
+    known = {f.name: f for f in fields(rule)}
+    if set(given) - set(known):
+        raise ValueError(f"{where}: unknown keys {sorted(set(given) - set(known))}")
+    given, made = ({"rule_id": named} if named else {}) | {k: v for k, v in given.items() if not (v is None and k in ("rule_id", "candidate_flag", "action", "enforcement_policy"))}, {}
     for name, value in given.items():
-        wants = str(known[name].type)
-        if isinstance(value, list):
-            value = tuple(tuple(x) if isinstance(x, list) else x for x in value)
-        number = isinstance(value, int | float) and not isinstance(value, bool)
-        if value is None and "None" not in wants:
-            raise ValueError(f"{where}.{name} must not be null")
-        if value is not None and (("bool" in wants and not isinstance(value, bool)) or (wants.startswith(("int", "float")) and not number) or (wants.startswith("int") and int(value) != value)):
-            raise ValueError(f"{where}.{name} has the wrong type")
-        made[name] = build(Reentry, value, f"{where}.{name}") if wants == "Reentry" and isinstance(value, dict) else value
+        kind = known[name].metadata["kind"]
+        if isinstance(kind, type):
+            made[name] = build(kind, value, f"{where}.{name}")
+        elif KINDS[kind](value):
+            made[name] = plain(value)
+        else:
+            raise ValueError(f"{where}.{name} must be: {kind}")
     try:
-        return kind(**made)
-    except TypeError as e:
+        return rule(**made)
+    except (TypeError, ValueError) as e:
         raise ValueError(f"{where}: {e}") from e
 
 
@@ -178,43 +224,84 @@ def merge(base: dict, over: dict) -> dict:
     return out
 
 
-#: Default settings of a configuration file, which dictionaries are not merged with.
-FILE_DEFAULTS = {"context_tolerance_seconds": 300.0, "event_confirmation": {"enabled": True, "minimum_points": 2, "window_points": 20, "enforcement_policy": "confirmed_event"}}
+# Default settings of a configuration file (fixed values), which dictionaries are not merged with.
+FILE_DEFAULTS = {
+    "recent_context_tolerance_seconds": 300,
+    "peer_sensor_groups": [
+        {
+            "rule_id": "environment.peer_temperature_disagreement", "family": "environment",
+            "fields": ["rtd1_t_x100", "rtd2_t_x100", "rtd3_t_x100", "rtd4_t_x100", "tmp102_t_x100", "temperature_c", "temp"],
+            "field_scales": {"rtd1_t_x100": 0.01, "rtd2_t_x100": 0.01, "rtd3_t_x100": 0.01, "rtd4_t_x100": 0.01, "tmp102_t_x100": 0.01, "temperature_c": 1, "temp": 1},
+            "aliases": [["temperature_c", "temp"]], "min_available": 3, "spread_threshold": None, "candidate_flag": "peer_sensor_disagreement",
+        }
+    ],
+    "adaptive": {"default": {"baseline_reentry": {"minimum_duration_seconds": 120}}},
+    "event_confirmation": {"enabled": True, "enforcement_policy": "confirmed_event"},
+}
+GROUPS = {"peer_sensor_groups": PeerGroup, "cross_field_rules": CrossField, "cross_family_rules": CrossFamily}
+
+
+def load_object(path: str) -> dict:
+    """The object of a JSON file; anything else is an error."""
+    with open(path, encoding="utf-8") as f:
+        try:
+            loaded = json.load(f)
+        except json.JSONDecodeError as e:
+            raise ValueError(f"{path} is no JSON: {e.msg}") from e
+    if not isinstance(loaded, dict):
+        raise ValueError(f"{path} must hold an object")
+    return loaded
+
+
+def section(given: dict, name: str, known: set[str] | None = None) -> dict:
+    part = given.get(name, {})
+    if not isinstance(part, dict):
+        raise ValueError(f"{name} must be an object")
+    if known is not None and set(part) - known:
+        raise ValueError(f"{name}: unknown keys {sorted(set(part) - known)}")
+    return part
 
 
 def dynamic_config(given: dict[str, Any] | str | None) -> DynamicConfig:
     """From a dictionary as it stands, or from a JSON file merged over FILE_DEFAULTS; none gives the file defaults."""
     if given is None or isinstance(given, str):
-        loaded = {}
-        if given:
-            with open(given, encoding="utf-8-sig") as f:
-                loaded = json.load(f)
-        given = merge(FILE_DEFAULTS, loaded)
+        given = merge(FILE_DEFAULTS, load_object(given) if given else {})
     if not isinstance(given, dict):
         raise ValueError("the configuration must be an object")
-    plain = {"enabled", "enabled_families", "allow_suspect_context", "allow_candidate_context", "context_tolerance_seconds", "deduplication_capacity"}
-    unknown = set(given) - plain - {"adaptive", "context", "event_confirmation", "model_filter"}
+    simple = {f.name for f in fields(DynamicConfig) if "kind" in f.metadata}
+    unknown = set(given) - simple - set(GROUPS) - {"adaptive", "event_confirmation", "model_filter"}
     if unknown:
         raise ValueError(f"unknown keys {sorted(unknown)}")
-    adaptive, context = given.get("adaptive", {}), given.get("context", {})
-    if set(adaptive) - {"default", "fields", "expected_reporting", "family_silence"} or set(context) - {"peer_groups", "cross_field", "cross_family"}:
-        raise ValueError("unknown keys in adaptive or context")
-    default = adaptive.get("default", {})
-    rules = {name: build(FieldRule, merge(default, rule), f"adaptive.fields.{name}") for name, rule in adaptive.get("fields", {}).items()}
-    # a sequence rule without interval or multiplier is left out
-    intervals = {k: {f: build(Interval, r, f"{k}.{f}") for f, r in adaptive.get(k, {}).items() if r.get("expected_interval_seconds") is not None and r.get("gap_multiplier") is not None} for k in ("expected_reporting", "family_silence")}
-    lists = {k: tuple(build(c, r, f"context.{k}") for r in context.get(k, ())) for k, c in (("peer_groups", PeerGroup), ("cross_field", CrossField), ("cross_family", CrossFamily))}
-    simple = {k: tuple(v) if isinstance(v, list) else v for k, v in given.items() if k in plain}
-    return DynamicConfig(**simple, fields=rules, **intervals, **lists, events=build(Events, given.get("event_confirmation", {}), "event_confirmation"), model=build(ModelFilter, given.get("model_filter", {}), "model_filter"))
+    adaptive = section(given, "adaptive", {"default", "fields", "expected_reporting", "family_silence"})
+    default = section(adaptive, "default")
+    build(FieldRule, default, "adaptive.default")
+    rules = {}
+    for name, rule in section(adaptive, "fields").items():
+        if not is_text(name) or not isinstance(rule, dict):
+            raise ValueError(f"adaptive.fields.{name} must be an object with a name")
+        rules[name.strip()] = build(FieldRule, merge(default, rule), f"adaptive.fields.{name}")
+    # a sequence rule without interval or multiplier is checked and left out
+    intervals = {k: {f: build(Interval, {"expected_interval_seconds": None, "gap_multiplier": None} | r if isinstance(r, dict) else r, f"{k}.{f}") for f, r in section(adaptive, k).items()} for k in ("expected_reporting", "family_silence")}
+    intervals = {k: {f: r for f, r in own.items() if None not in (r.expected_interval_seconds, r.gap_multiplier)} for k, own in intervals.items()}
+    lists = {}
+    for name, rule in GROUPS.items():
+        if not isinstance(given.get(name, []), list):
+            raise ValueError(f"{name} must be a list")
+        lists[name] = tuple(build(rule, r, f"{name}[{i}]", f"{name}[{i}]") for i, r in enumerate(given.get(name, [])))
+    top = build(DynamicConfig, {k: v for k, v in given.items() if k in simple}, "configuration")
+    return DynamicConfig(
+        **{k: getattr(top, k) for k in simple}, **lists, fields=rules, **intervals,
+        events=build(Events, given.get("event_confirmation", {}), "event_confirmation"), model=build(ModelFilter, given.get("model_filter", {}), "model_filter"),
+    )
 
 
 def resolve_mode(mode: str | None, has_config: bool) -> str:
-    """No mode means shadow with a configuration and off without."""
+    """The mode without white space and in lower case; none means shadow with a configuration and off without."""
     if mode is None:
         return "shadow" if has_config else "off"
-    if mode not in MODES:
-        raise ValueError(f"unknown mode {mode!r}")
-    return mode
+    if str(mode).strip().lower() not in MODES:
+        raise ValueError(f"unknown mode {mode!r}; modes are {', '.join(sorted(MODES))}")
+    return str(mode).strip().lower()
 
 
 def config_hash(given: Any) -> str | None:

@@ -45,18 +45,24 @@ def is_boolean(v: Column) -> Column:
 def text_number(text: Column) -> Column:
     """A decimal number, ``nan`` or a signed ``inf``/``infinity``; null for other text."""
     t = F.lower(F.btrim(text))
-    special = F.when(t.rlike(r"^[+-]?nan$"), F.lit(float("nan"))).when(t.rlike(r"^\+?inf(inity)?$"), F.lit(float("inf"))).when(t.rlike(r"^-inf(inity)?$"), F.lit(float("-inf")))
-    return F.coalesce(special, F.when(t.rlike(NUMERIC), F.regexp_replace(t, "_", "").try_cast("double")))
+    plain = F.when(t.rlike(NUMERIC), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+    return plain.when(t.isin("nan", "+nan", "-nan"), F.lit(float("nan"))).when(t.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf"))).when(t.isin("-inf", "-infinity"), F.lit(float("-inf")))
 
 
 def number(v: Column) -> Column:
     """For the static rules: numbers and numeric text; neither booleans nor null; NaN and infinities stay."""
-    plain = F.try_variant_get(v, "$", "double")
-    return F.when(is_absent(v) | is_boolean(v), F.lit(None).cast("double")).when(is_text(v), text_number(as_text(v))).otherwise(plain)
+    # plain numbers, the usual case, are told by one look at the kind
+    return F.when(kind(v).isin("STRING", "BOOLEAN"), F.when(is_text(v), text_number(as_text(v)))).otherwise(F.try_variant_get(v, "$", "double"))
 
 
 def finite(x: Column) -> Column:
-    return F.when(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), x)
+    # NaN sorts above all numbers
+    return F.when(F.abs(x) < float("inf"), x)
+
+
+def once(x: Column, use) -> Column:
+    """``use(x)`` with ``x`` evaluated once, however often it is used."""
+    return F.transform(F.array(x), use)[0]
 
 
 def finite_number(v: Column) -> Column:
@@ -123,18 +129,17 @@ def micros(ts: Column) -> Column:
 def function_id(text: Column) -> Column:
     """``0x`` text is hexadecimal, other numbers are decimal and cut to integers; both become ``0x%02X``. Other text in capitals; blank is null."""
     t = F.btrim(text)
-    as_hex = F.when(t.rlike(r"^0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*$"), F.conv(F.regexp_replace(F.substring(t, 3, 64), "_", ""), 16, 10).cast("long"))
-    decimal = finite(text_number(t))
-    as_decimal = F.when(~F.lower(t).startswith("0x") & (F.abs(decimal) < 9e18), decimal.cast("long"))
-    n = F.coalesce(as_hex, as_decimal)
-    shown = F.concat(F.when(n < 0, F.lit("0x-")).otherwise("0x"), F.lpad(F.hex(F.abs(n)), F.greatest(F.lit(2), F.length(F.hex(F.abs(n)))), F.lit("0")))
-    return F.when(t.isNull() | (t == ""), F.lit(None).cast("string")).when(n.isNotNull(), shown).otherwise(F.upper(t))
+    as_hex = F.when(t.rlike(r"^0[xX][0-9a-fA-F]+(_[0-9a-fA-F]+)*$"), F.conv(F.replace(F.substring(t, 3, 64), F.lit("_"), F.lit("")), 16, 10).cast("long"))
+    as_decimal = once(text_number(t), lambda x: F.when(F.abs(x) < 9e18, x.cast("long")))
+    digits = lambda n: once(F.hex(F.abs(n)), lambda h: F.lpad(h, F.greatest(F.lit(2), F.length(h)), F.lit("0")))
+    shown = once(F.coalesce(as_hex, F.when(~F.lower(t).startswith("0x"), as_decimal)), lambda n: F.concat(F.when(n < 0, F.lit("0x-")).otherwise("0x"), digits(n)))
+    return F.when(t != "", F.coalesce(shown, F.upper(t)))
 
 
 def labels(values: Column) -> Column:
     """Sorted, different, trimmed and non-empty texts; null gives an empty list."""
     trimmed = F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda x: F.btrim(x))
-    return F.array_sort(F.array_distinct(F.filter(trimmed, lambda x: x.isNotNull() & (x != ""))))
+    return F.sort_array(F.array_distinct(F.filter(trimmed, lambda x: x.isNotNull() & (x != ""))))
 
 
 STATES = ("decoded", "suspect", "invalid")
@@ -163,8 +168,13 @@ def median(sorted_values: Column) -> Column:
 
 
 def median_of(values: Column) -> Column:
-    return median(F.array_sort(values))
+    return median(F.sort_array(values))
 
 
 def mad_of(values: Column, centre: Column) -> Column:
-    return median(F.array_sort(F.transform(values, lambda x: F.abs(x - centre))))
+    return median(F.sort_array(F.transform(values, lambda x: F.abs(x - centre))))
+
+
+def chosen(entries: list[tuple[Column, str]]) -> Column:
+    """The texts whose condition holds, in order."""
+    return F.array_remove(F.array(*[F.when(c, t).otherwise("") for c, t in entries]) if entries else F.array().cast("array<string>"), "")

@@ -25,7 +25,7 @@ def rolling_baseline(df: DataFrame, value: str, keys: Sequence[str] = ("device_i
     ``is_cold`` marks rows with fewer than ``min_samples`` values before them; they have no score.
     """
     history = F.collect_list(V.finite(F.col(value))).over(by_time(keys).rowsBetween(-window, -1))
-    df = df.withColumn("_history", F.array_sort(history))
+    df = df.withColumn("_history", F.sort_array(history))
     df = df.withColumn("history_samples", F.size("_history")).withColumn("is_cold", F.col("history_samples") < min_samples)
     df = df.withColumn("rolling_median", F.when(~F.col("is_cold"), V.median(F.col("_history"))))
     df = df.withColumn("mad", F.when(~F.col("is_cold"), V.mad_of(F.col("_history"), F.col("rolling_median"))))

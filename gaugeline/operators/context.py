@@ -10,18 +10,27 @@ from pyspark.sql import functions as F
 from ..functions import values as V
 
 
-def peer_spread(values: dict[str, Column], groups: Sequence[Sequence[str]] = (), scales: dict[str, float] | None = None, least: int = 2) -> tuple[Column, Column, Column]:
-    """(number of sensors, median, largest distance from it) over scaled values; fields of a group count once, the first that is present."""
+def peer_spread(df: DataFrame, values: dict[str, Column], groups: Sequence[Sequence[str]] = (), scales: dict[str, float] | None = None, least: int = 2) -> DataFrame:
+    """Add ``sensors`` (number), ``centre`` (median) and ``spread`` (largest distance from it) over scaled values; fields of a group count once, the first that is present.
+
+    Each step is a projection of its own, so that nothing is sorted twice. Fewer than ``least`` sensors have neither centre nor spread.
+    """
     scales = scales or {}
     scaled = {f: V.finite(c) * F.lit(float(scales.get(f, 1.0))) for f, c in values.items()}
     grouped = {f for g in groups for f in g}
     sensors = [F.coalesce(*[scaled[f] for f in g if f in scaled]) for g in groups if any(f in scaled for f in g)]
     sensors += [c for f, c in scaled.items() if f not in grouped]
-    found = F.array_sort(F.array_compact(F.array(*sensors)))
-    centre = V.median(found)
-    spread = F.array_max(F.transform(found, lambda x: F.abs(x - centre)))
-    enough = F.size(found) >= least
-    return F.size(found), F.when(enough, centre), F.when(enough, spread)
+    n = F.lit(0)
+    for i in range(len(sensors)):
+        n = n + F.when(F.col(f"_{i}").isNotNull(), 1).otherwise(0)
+    df = df.withColumns({f"_{i}": c for i, c in enumerate(sensors)})
+    # nulls sort to the end, where the median does not look
+    df = df.withColumns({"sensors": n, "_sorted": F.sort_array(F.array(*[F.coalesce(F.col(f"_{i}"), F.lit(float("inf"))) for i in range(len(sensors))]))})
+    low, high = F.element_at("_sorted", ((F.col("sensors") + 1) / 2).cast("int")), F.element_at("_sorted", (F.col("sensors") / 2 + 1).cast("int"))
+    enough = (F.col("sensors") >= least) & (F.col("sensors") > 0)
+    df = df.withColumn("centre", F.when(enough, (low + high) / 2))
+    spread = F.greatest(*[F.abs(F.col(f"_{i}") - F.col("centre")) for i in range(len(sensors))], F.lit(None).cast("double"))
+    return df.withColumn("spread", spread).drop("_sorted", *[f"_{i}" for i in range(len(sensors))])
 
 
 def cross_field(a: Column, b: Column, limit: float, scale_a: float = 1.0, scale_b: float = 1.0) -> tuple[Column, Column]:

@@ -55,11 +55,15 @@ def execution_slot(us: Column, minutes: int = 15) -> Column:
     return us - F.pmod(us, F.lit(width))
 
 
-def run_key(df: DataFrame, by: Sequence[str], metadata: str) -> DataFrame:
-    """An idempotency key for each group: SHA-256 of metadata and the sorted fingerprints.
+def run_key(df: DataFrame, by: Sequence[str], metadata: str, digits: int = 2) -> DataFrame:
+    """An idempotency key for each group: SHA-256 of metadata and the digests of its sorted fingerprints.
 
-    Fingerprints are gathered per group (a run), whose size is bounded by the run's records.
+    Fingerprints are digested in ranges by their first ``digits`` hex digits and then the digests in
+    order of the ranges, so that no group is gathered in one value. The key therefore differs from one
+    over all fingerprints at once.
     """
-    joined = F.array_join(F.array_sort(F.collect_list("fingerprint")), ",")
-    body = F.concat_ws("|", F.lit(metadata), *[F.col(c).cast("string") for c in by], joined)
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.concat(F.lit("run:"), F.sha2(body, 256)).alias("run_key"))
+    ranges = df.withColumn("_range", F.substring("fingerprint", 1, digits)).groupBy(*by, "_range")
+    parts = ranges.agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("fingerprint")), ","), 256).alias("_digest"))
+    digests = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_range", "_digest"))), lambda x: x["_digest"]), ",")
+    body = F.concat_ws("|", F.lit(metadata), *[F.col(c).cast("string") for c in by], digests)
+    return parts.groupBy(*by).agg(F.sum("n").alias("n"), F.concat(F.lit("run:"), F.sha2(body, 256)).alias("run_key"))

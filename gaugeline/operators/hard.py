@@ -6,8 +6,11 @@ and the payload fields to blank. Thresholds are literals, so absent rules cost n
 
 from __future__ import annotations
 
+import functools
+import json
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,27 +57,53 @@ class Verdict:
 
 
 class Fields:
-    """A payload read once, by kind, in a projection below the rules: numbers, booleans, and the names of fields that are present, text or filled text."""
+    """What a family's rules read of the payload, in two projections below the rules.
 
-    def __init__(self, payload: Column):
-        names = lambda test: F.map_keys(F.map_filter(payload, lambda _, v: test(v)))
-        nested = F.try_variant_get(payload["band_powers_db"], "$", "map<string,variant>")
-        self.columns = {
-            "_numbers": F.transform_values(payload, lambda _, v: V.number(v)), "_clock": V.boolean(payload["source_node_clock_ok"]), "_present": names(V.is_present), "_texts": names(V.is_text), "_filled": names(V.is_filled_text),
-            "_fix": unreliable_fix(payload["gpsFixStatus"]), "_nested": F.map_filter(F.transform_values(nested, lambda _, x: V.model_number(x)), lambda _, x: x.isNotNull()),
-        }
+    ``READ`` has the payload's fields, each read once by one expression for all families;
+    ``let`` keeps a condition that several results need, null for records of other families.
+    """
+
+    READ = "_read"
+
+    def __init__(self, family: str, payload: Column):
+        self.family, self.payload = family, payload
+        self.kept: list[Column] = []
+
+    def read(self, name: str, part: str) -> Column:
+        return F.col(self.READ)[name][part]
 
     def number(self, name: str) -> Column:
-        return F.col("_numbers")[name]
+        return self.read(name, "number")
 
     def present(self, name: str) -> Column:
-        return F.array_contains("_present", name)
+        kind = self.read(name, "kind")
+        return F.coalesce((kind != "VOID") & ((kind != "STRING") | self.read(name, "filled")), F.lit(False))
 
     def is_text(self, name: str) -> Column:
-        return F.array_contains("_texts", name)
+        return F.coalesce(self.read(name, "kind") == "STRING", F.lit(False))
 
     def is_filled(self, name: str) -> Column:
-        return F.array_contains("_filled", name)
+        return F.coalesce((self.read(name, "kind") == "STRING") & self.read(name, "filled"), F.lit(False))
+
+    def boolean(self, name: str) -> Column:
+        return V.boolean(self.payload[name])
+
+    def let(self, condition: Column) -> Column:
+        self.kept.append(condition)
+        return F.col(f"_{self.family}")[f"c{len(self.kept) - 1}"]
+
+    @staticmethod
+    def read_all(payload: Column) -> Column:
+        """Number, kind and whether a text is filled, for each field that the payload has."""
+
+        def one(_, v: Column) -> Column:
+            return F.struct(V.number(v).alias("number"), V.kind(v).alias("kind"), F.when(V.is_text(v), F.btrim(V.as_text(v)) != "").alias("filled"))
+
+        return F.when(F.col("family").isin(FAMILIES), F.transform_values(payload, one))
+
+    def struct(self) -> Column:
+        here = F.coalesce((F.col("family") == self.family) & self.payload.isNotNull(), F.lit(False))
+        return F.when(here, F.struct(F.lit(True).alias("here"), *[c.alias(f"c{i}") for i, c in enumerate(self.kept)]))
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -93,30 +122,31 @@ def count_of(conditions: list[Column]) -> Column:
 
 def environment(p: Fields, limits: dict) -> Verdict:
     get = p.number
-    bad = [V.outside(get(f), 0, 100) for f in ("moist_pc", "sleeper_rh", "humidity_pct")]
+    bad = [p.let(V.outside(get(f), 0, 100)) for f in ("moist_pc", "sleeper_rh", "humidity_pct")]
     flood = get("flood_flag")
-    bad.append(F.coalesce(~flood.isin(0.0, 1.0), F.lit(False)))
-    bad.append(V.below(F.coalesce(get("rain_mm"), get("rainfall_mm")), 0))
+    bad.append(p.let(F.coalesce(~flood.isin(0.0, 1.0), F.lit(False))))
+    bad.append(p.let(V.below(F.coalesce(get("rain_mm"), get("rainfall_mm")), 0)))
     limit, blank = limits["temp_abs_limit_x100"], []
     for f in ("rtd1_t_x100", "rtd2_t_x100", "rtd3_t_x100", "rtd4_t_x100", "tmp102_t_x100", "temperature_c"):
-        over = V.above(F.abs(get(f)), limit / 100 if f == "temperature_c" else limit)
+        over = p.let(V.above(F.abs(get(f)), limit / 100 if f == "temperature_c" else limit))
         bad.append(over)
         blank.append((f, over))
     missing = []
     for f, sentinel in (("year", 0xFFFF), *((part, 0xFF) for part in ("month", "day", "hour", "minute", "second"))):
-        hit = F.coalesce(~p.is_text(f) & (get(f) == float(sentinel)), F.lit(False))
+        hit = p.let(F.coalesce(~p.is_text(f) & (get(f) == float(sentinel)), F.lit(False)))
         missing.append(hit)
         blank.append((f, hit))
     wrong, no_time = any_of(bad), any_of(missing)
     return Verdict([("invalid_value", wrong), ("invalid_gps_time", no_time)], suspect=wrong | no_time, invalid_fields=count_of(bad), blank=blank)
 
 
-def structural(bad: list[Column], flag: str | None = None, incomplete: Column | None = None) -> Verdict:
+def structural(p: Fields, bad: list[Column], flag: str | None = None, incomplete: Column | None = None) -> Verdict:
     """Invalid if any field is bad; otherwise suspect with ``flag`` if ``incomplete``."""
+    bad = list(map(p.let, bad))
     wrong, flags, suspect = any_of(bad), [], F.lit(False)
     flags.append(("invalid_value", wrong))
     if flag is not None:
-        suspect = ~wrong & F.coalesce(incomplete, F.lit(False))
+        suspect = ~wrong & p.let(F.coalesce(incomplete, F.lit(False)))
         flags.append((flag, suspect))
     return Verdict(flags, suspect=suspect, invalid=wrong, invalid_fields=count_of(bad))
 
@@ -130,7 +160,7 @@ def present_but(p: Fields, name: str, wrong) -> Column:
 def gas(p: Fields) -> Verdict:
     named = p.is_filled("gasType")
     bad = [present_but(p, "gasConc", lambda x: F.lit(False)), p.present("gasType") & ~named]
-    return structural(bad, "incomplete_gas_measurement", named & ~p.present("gasConc"))
+    return structural(p, bad, "incomplete_gas_measurement", named & ~p.present("gasConc"))
 
 
 def unreliable_fix(v: Column) -> Column:
@@ -143,11 +173,11 @@ def unreliable_fix(v: Column) -> Column:
 
 def gps_status(p: Fields) -> Verdict:
     bad = [present_but(p, f, lambda x: V.below(x, 0)) for f in ("horizontalDilution", "numSatellites")]
-    return structural(bad, "gps_fix_unreliable", F.coalesce("_fix", F.lit(False)))
+    return structural(p, bad, "gps_fix_unreliable", unreliable_fix(p.payload["gpsFixStatus"]))
 
 
 def network_context(p: Fields) -> Verdict:
-    return structural([present_but(p, "Bandwidth", lambda x: V.at_most(x, 0)), present_but(p, "SpreadFactor", lambda x: V.outside(x, 6, 12))])
+    return structural(p, [present_but(p, "Bandwidth", lambda x: V.at_most(x, 0)), present_but(p, "SpreadFactor", lambda x: V.outside(x, 6, 12))])
 
 
 def device_telemetry(p: Fields) -> Verdict:
@@ -155,34 +185,33 @@ def device_telemetry(p: Fields) -> Verdict:
     bad = [present_but(p, f, lambda x: V.at_most(x, 0)) for f in ("batteryVoltage", "inputVoltage")]
     bad.append(present_but(p, "batteryCharge", lambda x: F.lit(False)))
     alone = (has["batteryCharge"] | has["MapStatus"]) & ~(has["batteryVoltage"] | has["inputVoltage"])
-    return structural(bad, "incomplete_device_telemetry", alone)
+    return structural(p, bad, "incomplete_device_telemetry", alone)
 
 
-def microphone_bands(p: Fields) -> tuple[Column, Column]:
-    """(band values by name, scale): the six linear bands if any is a number, else the map in decibels, else unknown."""
-    linear = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, BANDS)), F.array(*[p.number(b) for b in BANDS])), lambda _, x: x.isNotNull())
-    decibel = F.col("_nested")
-    has_linear = F.size(linear) > 0
-    none = F.create_map().cast("map<string,double>")
-    return F.when(has_linear, linear).otherwise(F.coalesce(decibel, none)), F.when(has_linear, "linear").when(decibel.isNotNull(), "db").otherwise("unknown")
+def quiet_decibels(payload: Column) -> Column:
+    """Whether the map in decibels holds numbers and none of them is above -90."""
+    nested = F.try_variant_get(payload["band_powers_db"], "$", "map<string,variant>")
+    levels = F.filter(F.transform(F.map_values(nested), V.model_number), lambda x: x.isNotNull())
+    return F.coalesce((F.size(levels) > 0) & F.forall(levels, lambda x: V.at_most(x, -90)), F.lit(False))
 
 
 def microphone_fft(p: Fields, limits: dict) -> Verdict:
+    """The six linear bands count if any of them is a number, else the map in decibels."""
     get = p.number
-    bands, scale = F.col("_bands"), F.col("_scale")
-    levels, is_linear = F.map_values(bands), scale == "linear"
+    bands = {b: get(b) for b in BANDS}
     power, power_db = get("total_power"), get("total_power_db")
-    wrong = V.at_most(power, 0) | V.outside(get("spectral_flatness"), 0, 1) | (is_linear & F.exists(levels, lambda x: V.below(x, 0)))
-    some = F.size(bands) > 0
-    use_linear = power.isNotNull() & some & is_linear
-    quiet = use_linear & V.at_most(power, limits["low_power_threshold"]) & F.forall(levels, lambda x: V.at_most(x, limits["low_band_power_threshold"]))
-    quiet_db = ~use_linear & power_db.isNotNull() & some & (scale == "db") & V.at_most(power_db, -100) & F.forall(levels, lambda x: V.at_most(x, -90))
+    linear = p.let(any_of([x.isNotNull() for x in bands.values()]))
+    wrong = p.let(V.at_most(power, 0) | V.outside(get("spectral_flatness"), 0, 1) | any_of([V.below(x, 0) for x in bands.values()]))
+    # conditions that are kept can't refer to others, so what they share is repeated or left to the end
+    loud = any_of([x.isNotNull() & ~V.at_most(x, limits["low_band_power_threshold"]) for x in bands.values()])
+    quiet = linear & p.let(power.isNotNull() & V.at_most(power, limits["low_power_threshold"]) & ~loud)
+    quiet_db = ~linear & p.let(power_db.isNotNull() & V.at_most(power_db, -100) & quiet_decibels(p.payload))
     wheel_band = bands["band_100_1000"]
-    wheel = use_linear & V.at_least(wheel_band, limits["flatwheel_band_threshold"]) & F.coalesce(wheel_band == F.array_max(levels), F.lit(False))
-    squeal = is_linear & V.at_least(get("peak_freq_hz"), limits["squeal_peak_freq_threshold"]) & V.at_least(get("spectral_centroid_hz"), limits["squeal_centroid_threshold"])
+    wheel = linear & p.let(power.isNotNull() & V.at_least(wheel_band, limits["flatwheel_band_threshold"]) & F.coalesce(wheel_band == F.greatest(*bands.values()), F.lit(False)))
+    squeal = V.at_least(get("peak_freq_hz"), limits["squeal_peak_freq_threshold"]) & V.at_least(get("spectral_centroid_hz"), limits["squeal_centroid_threshold"])
     for b in BANDS[4:]:
         squeal = squeal & V.at_least(bands[b], limits["high_band_threshold"])
-    return Verdict([("invalid_value", wrong)], invalid=wrong, tags=[("noise_like", ~wrong & (quiet | quiet_db)), ("flatwheel_candidate", ~wrong & wheel), ("squeal_candidate", ~wrong & squeal)])
+    return Verdict([("invalid_value", wrong)], invalid=wrong, tags=[("noise_like", ~wrong & (quiet | quiet_db)), ("flatwheel_candidate", ~wrong & wheel), ("squeal_candidate", ~wrong & linear & p.let(squeal))])
 
 
 def ae(p: Fields, limits: dict) -> Verdict:
@@ -190,11 +219,11 @@ def ae(p: Fields, limits: dict) -> Verdict:
     duration = F.coalesce(get("duration_s"), get("duration_us") / 1e6)
     energy = F.coalesce(get("energy_marse"), get("energy"))
     amplitude, floor = get("amplitude_v"), get("threshold_v")
-    clock = F.coalesce(~F.col("_clock"), F.lit(False))
-    wrong = V.at_most(duration, 0) | V.below(get("counts"), 0) | V.below(energy, 0) | V.at_most(floor, 0)
+    clock = p.let(F.coalesce(~p.boolean("source_node_clock_ok"), F.lit(False)))
+    wrong = p.let(V.at_most(duration, 0) | V.below(get("counts"), 0) | V.below(energy, 0) | V.at_most(floor, 0))
     weak = V.at_most(amplitude, floor) & V.at_most(energy, limits["low_energy_threshold"]) & floor.isNotNull()
     strong = V.at_least(amplitude, floor + limits["event_amplitude_margin"]) & V.at_least(energy, limits["event_energy_threshold"]) & floor.isNotNull()
-    return Verdict([("invalid_value", wrong), ("time_unreliable", clock)], suspect=clock, invalid=wrong, tags=[("noise_like", ~wrong & weak), ("event_candidate", ~wrong & strong)])
+    return Verdict([("invalid_value", wrong), ("time_unreliable", clock)], suspect=clock, invalid=wrong, tags=[("noise_like", ~wrong & p.let(weak)), ("event_candidate", ~wrong & p.let(strong))])
 
 
 RULES = {"environment": environment, "gas": gas, "gps_status": gps_status, "network_context": network_context, "device_telemetry": device_telemetry, "microphone_fft": microphone_fft, "ae": ae}
@@ -217,43 +246,55 @@ def apply_hard(df: DataFrame, overrides: dict | None = None) -> DataFrame:
     Adds ``invalid_fields``; payload fields that fail are blanked where the family's rule says so.
     A record of a known family without a payload object is invalid. Unknown families pass.
     """
-    limits = thresholds(overrides)
     df = normalize_semantics(df).withColumn("function_id", V.function_id(F.col("function_id")))
+    names = [*df.columns, "invalid_fields"]
+    limits = thresholds(overrides)
+    read, kept, found, payload = layers(json.dumps(limits, sort_keys=True), id(SparkContext._gateway))
+    return df.withColumns(read).withColumns(kept).withColumns(found).withColumn("payload", payload).select(*dict.fromkeys(names))
+
+
+@functools.cache
+def layers(limits_text: str, gateway: int) -> tuple[dict[str, Column], dict[str, Column], dict[str, Column], Column]:
+    """The projections of all rules, one above the other. They name columns only, so they are made once for a set of limits (and a JVM)."""
+    limits = json.loads(limits_text)
     p, family = F.col("payload"), F.coalesce(F.col("family"), F.lit(""))
     no_object = family.isin(FAMILIES) & p.isNull()
-    fields = Fields(p)
-    flags, tags, rank, count, blank = [F.when(no_object, F.lit("invalid_payload"))], [], F.when(no_object, 2).otherwise(0), F.lit(0), []
+    kept, flags, tags, blank = {}, [(no_object, "invalid_payload")], [], []
+    rank, count = F.when(no_object, 2).otherwise(0), F.lit(0)
     for name, rule in RULES.items():
+        fields = Fields(name, p)
         v = rule(fields, limits[name]) if name in limits else rule(fields)
-        here = (family == name) & p.isNotNull()
-        flags += [F.when(here & c, F.lit(f)) for f, c in v.flags]
-        tags += [F.when(here & c, F.lit(t)) for t, c in v.tags]
+        here = F.col(f"_{name}").isNotNull()
+        flags += [(here & c, f) for f, c in v.flags]
+        tags += [(here & c, t) for t, c in v.tags]
         rank = F.when(here, F.when(v.invalid, 2).when(v.suspect, 1).otherwise(0)).otherwise(rank)
         count = F.when(here, v.invalid_fields).otherwise(count)
-        blank += [F.when(here & c, F.lit(f)) for f, c in v.blank]
+        blank += [(here & c, f) for f, c in v.blank]
+        kept[f"_{name}"] = fields.struct()
     mismatch = F.lit(False)
     for name, ids in FUNCTION_IDS.items():
         mismatch = mismatch | ((family == name) & F.col("function_id").isNotNull() & ~F.col("function_id").isin(ids))
-    flags.append(F.when(mismatch, F.lit("function_family_mismatch")))
+    flags.append((mismatch, "function_family_mismatch"))
     rank = F.greatest(rank, F.when(mismatch, 1).otherwise(0), V.state_rank(F.col("quality_state")))
-    blanked = F.array_compact(F.array(*blank))
-    clean = F.when(F.size(blanked) > 0, F.map_filter(p, lambda k, _: ~F.array_contains(blanked, k))).otherwise(p)
-    names = [*df.columns, "invalid_fields"]
-    bands, scale = microphone_bands(fields)
-    return df.withColumns(fields.columns).withColumns({"_bands": bands, "_scale": scale}).withColumns({
-        "quality_flags": F.array_sort(F.array_union(F.col("quality_flags"), F.array_compact(F.array(*flags)))),
-        "analysis_tags": F.array_sort(F.array_union(F.col("analysis_tags"), F.array_compact(F.array(*tags)))) if tags else F.col("analysis_tags"),
-        "quality_state": V.state_of(rank), "invalid_fields": count, "payload": clean,
-    }).select(*dict.fromkeys(names))
+    found = {
+        "quality_flags": F.sort_array(F.array_union("quality_flags", V.chosen(flags))), "analysis_tags": F.sort_array(F.array_union("analysis_tags", V.chosen(tags))),
+        "quality_state": V.state_of(rank), "invalid_fields": count, "_blank": V.chosen(blank),
+    }
+    clean = F.when(F.size("_blank") > 0, F.map_filter(p, lambda k, _: ~F.array_contains("_blank", k))).otherwise(p)
+    return {Fields.READ: Fields.read_all(p)}, kept, found, clean
+
+
+#: Tags and flags that the report counts by family (fixed values).
+COUNTED = [("microphone_fft", "analysis_tags", t, f"microphone_{t}_count") for t in TAGS[:3]] + [("ae", "analysis_tags", t, f"ae_{t}_count") for t in ("noise_like", "event_candidate")] + [("ae", "quality_flags", "time_unreliable", "ae_time_unreliable_count")]
 
 
 def hard_report(df: DataFrame) -> DataFrame:
-    """One row of counters over cleaned records: totals, states, families, invalid fields and tags."""
+    """One row of counters over cleaned records: totals, states, families, invalid fields, tags and unreliable clocks."""
     n = lambda c: F.count_if(c)
     family, state = F.coalesce(F.col("family"), F.lit("")), F.col("quality_state")
-    aggs = [F.count(F.lit(1)).alias("total_records"), *[n(state == s).alias(f"{s}_records") for s in V.STATES]]
+    aggs = [F.count(F.lit(1)).alias("total_decoded_records"), *[n(state == s).alias(f"{s}_records") for s in V.STATES]]
     aggs += [n(family == f).alias(f"{f}_records") for f in FAMILIES]
     aggs += [n(~family.isin(FAMILIES)).alias("other_records")]
     aggs += [F.coalesce(F.sum(F.when(family == f, F.col("invalid_fields"))), F.lit(0)).cast("long").alias(f"{f}_invalid_field_count") for f in FAMILIES[:5]]
-    aggs += [n(F.array_contains("analysis_tags", t)).alias(f"{t}_count") for t in TAGS]
+    aggs += [n((family == f) & F.array_contains(column, label)).alias(name) for f, column, label, name in COUNTED]
     return df.agg(*aggs)

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ModelFilter
 from ..functions import values as V
+from ..functions.scratch import materialize
 
 # The model's input in order; the first five are temperatures in hundredths.
-FEATURES = ["rtd1_t_x100", "rtd2_t_x100", "rtd3_t_x100", "rtd4_t_x100", "tmp102_t_x100", "moist_pc", "humidity_pct"]
+FEATURES = ["rtd1_t_x100", "rtd2_t_x100", "rtd3_t_x100", "rtd4_t_x100", "tmp102_t_x100", "moist_pc", "sleeper_rh"]
 TEMPERATURES = 5
+LEAST_ROWS = 100
+CANDIDATE_FLAG = "reconstruction_outlier"
 
 
 @dataclass
@@ -49,11 +54,19 @@ class Autoencoder:
             json.dump({k: list(v) if isinstance(v, tuple | list) else v for k, v in self.__dict__.items()}, f)
 
     @classmethod
-    def load(cls, path: str) -> Autoencoder:
+    def load(cls, path: str, features: Sequence[str] | None = None) -> Autoencoder:
+        """The package that ``save`` wrote; missing parts, or another order of ``features`` than asked for, are errors."""
         with open(path, encoding="utf-8") as f:
             d = json.load(f)
+        needed = {"median", "iqr", "layers", "overall_threshold", "field_thresholds", "features", "version"}
+        if not isinstance(d, dict) or needed - set(d) or (features is not None and list(d["features"]) != list(features)):
+            raise ValueError("the model package is incomplete or has another order of features")
         return cls(**{**d, "layers": [(w, b) for w, b in d["layers"]]})
 
+    @property
+    def package_id(self) -> str:
+        return f"{self.version}:{hashlib.sha256(json.dumps(self.__dict__, sort_keys=True, default=list).encode()).hexdigest()[:16]}"
+
 
 def scaled(model: Autoencoder, inputs: Sequence[Column]) -> list[Column]:
     return [(c - F.lit(float(m))) / F.lit(float(q)) for c, m, q in zip(inputs, model.median, model.iqr, strict=True)]
@@ -118,11 +131,65 @@ def split(df: DataFrame, key: str, seed: str = "split", shares: Sequence[float]
     return df.withColumn("part", F.when(u < shares[0], 0).when(u < shares[0] + shares[1], 1).otherwise(2))
 
 
+def exact_quantiles(df: DataFrame, asked: list[tuple[Column, float]], buckets: int = 1024) -> list[float | None]:
+    """Quantiles with linear interpolation, exact and without gathering values.
+
+    Each pass counts the values between two bounds by bucket, for all quantiles at once, and narrows each
+    to the bucket that holds its ranks, until both ranks are the ends of neighbouring
+    buckets or one value is left. At most ``buckets`` counts a quantile reach the driver. Nulls and NaN are left out.
+    """
+    narrow = df.select(*[F.nanvl(c.cast("double"), F.lit(None)).alias(f"v{i}") for i, (c, _) in enumerate(asked)])
+    ends = narrow.agg(*[f(f"v{i}").alias(f"{n}{i}") for i in range(len(asked)) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    told: list[float | None] = [None] * len(asked)
+    todo: dict[int, list] = {}
+    for i, (_, q) in enumerate(asked):
+        if ends[f"n{i}"]:
+            at = q * (ends[f"n{i}"] - 1)
+            todo[i] = [ends[f"lo{i}"], ends[f"hi{i}"], int(at), at - int(at)]  # bounds, rank within them, share of the next rank
+    while todo:
+        for i in [i for i, (lo, hi, _, _) in todo.items() if lo == hi]:
+            told[i] = todo.pop(i)[0]
+        if not todo:
+            break
+        rows = []
+        for i, (lo, hi, _, _) in todo.items():
+            v = F.col(f"v{i}")
+            # halves, so that the width of no range overflows
+            bucket = F.least(F.lit(buckets - 1), F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * buckets)).cast("int")
+            rows.append(F.when((v >= lo) & (v <= hi), F.struct(F.lit(i).alias("i"), bucket.alias("b"), v.alias("v"))))
+        counts = narrow.select(F.explode(F.array(*rows)).alias("r")).filter("r is not null").groupBy("r.i", "r.b").agg(F.count(F.lit(1)).alias("n"), F.min("r.v").alias("lo"), F.max("r.v").alias("hi"))
+        by: dict[int, list] = {}
+        for r in sorted(counts.collect(), key=lambda r: (r["i"], r["b"])):
+            by.setdefault(r["i"], []).append(r)
+        for i, own in by.items():
+            rank, share = todo[i][2:]
+            for k, r in enumerate(own):
+                if rank < r["n"]:
+                    break
+                rank -= r["n"]
+            if share and rank == r["n"] - 1:
+                told[i] = r["hi"] + (own[k + 1]["lo"] - r["hi"]) * share
+                del todo[i]
+            elif not share and rank in (0, r["n"] - 1):
+                told[i] = r["lo"] if rank == 0 else r["hi"]
+                del todo[i]
+            else:
+                todo[i] = [r["lo"], r["hi"], rank, share]
+    return told
+
+
+def one_row(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
+    return df.sparkSession.createDataFrame([tuple(values.values())], ", ".join(f"`{k}` double" for k in values))
+
+
 def fit_scaler(df: DataFrame, inputs: Sequence[str]) -> DataFrame:
     """One row: median and interquartile range (at least 1e-6) of each input, with linear interpolation."""
-    quartiles = [F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in inputs]
-    one = df.agg(*quartiles)
-    return one.select(*[c for f in inputs for c in (F.element_at(f, 2).alias(f"{f}_median"), F.greatest(F.element_at(f, 3) - F.element_at(f, 1), F.lit(1e-6)).alias(f"{f}_iqr"))])
+    found = iter(exact_quantiles(df, [(F.col(c), q) for c in inputs for q in (0.25, 0.5, 0.75)]))
+    made = {}
+    for c in inputs:
+        low, mid, high = next(found), next(found), next(found)
+        made |= {f"{c}_median": mid, f"{c}_iqr": None if mid is None else max(high - low, 1e-6)}
+    return one_row(df, made)
 
 
 def train(df: DataFrame, inputs: Sequence[str], hidden: Sequence[int] = (4, 2, 4), max_rows: int = 200_000, epochs: int = 100, patience: int = 10, batch: int = 512, rate: float = 0.01, clip: float = 5.0, seed: int = 0) -> Autoencoder:
@@ -132,13 +199,19 @@ def train(df: DataFrame, inputs: Sequence[str], hidden: Sequence[int] = (4, 2, 4
     validation error and keeps the best weights. At most ``max_rows`` rows (by hash) of the two
     parts reach the driver; scaler and thresholds use all rows.
     """
+    if df.filter("part < 2").limit(LEAST_ROWS).count() < LEAST_ROWS:
+        raise ValueError(f"training needs at least {LEAST_ROWS} complete rows labelled normal")
     row = fit_scaler(df.filter("part = 0"), inputs).first()
     mid, iqr = [row[f"{c}_median"] for c in inputs], [row[f"{c}_iqr"] for c in inputs]
     count = df.filter("part < 2").count()
+    # equal rows are one with a weight, so that no input that is repeated very often comes or goes as a whole
+    alike = df.filter("part < 2").groupBy("part", *inputs).agg(F.count(F.lit(1)).alias("weight"))
     u = F.pmod(F.xxhash64(*inputs), F.lit(1_000_000)) / 1e6
-    sample = df.filter("part < 2").filter(u < max_rows / max(1, count)).select("part", *inputs).toPandas()
+    sample = alike.filter(u < max_rows / max(1, count)).orderBy("part", *inputs).limit(max_rows).toPandas()
     x = (sample[list(inputs)].to_numpy(float) - mid) / iqr
-    fit, check = x[sample["part"] == 0], x[sample["part"] == 1]
+    is_fit, weight = (sample["part"] == 0).to_numpy(), sample["weight"].to_numpy(float)
+    fit, check = x[is_fit], x[~is_fit]
+    w_fit, w_check = weight[is_fit] / max(weight[is_fit].mean(), 1e-9), weight[~is_fit]
     rng = np.random.default_rng(seed)
     sizes = [len(inputs), *hidden, len(inputs)]
     w = [rng.normal(0, 1 / np.sqrt(a), (a, b)) for a, b in zip(sizes, sizes[1:], strict=False)]
@@ -155,13 +228,13 @@ def train(df: DataFrame, inputs: Sequence[str], hidden: Sequence[int] = (4, 2, 4
     for _ in range(epochs):
         for at in np.array_split(rng.permutation(len(fit)), max(1, len(fit) // batch)):
             s = forward(fit[at])
-            d = 2 * (s[-1] - s[0]) / max(1, s[0].size)
+            d = 2 * (s[-1] - s[0]) * w_fit[at, None] / max(1, s[0].size)
             for i in reversed(range(len(w))):
                 gw, gb = s[i].T @ d, d.sum(axis=0)
                 d = (d @ w[i].T) * (1 - s[i] ** 2)
                 w[i] -= rate * len(inputs) * np.clip(gw, -clip, clip)
                 b[i] -= rate * len(inputs) * np.clip(gb, -clip, clip)
-        loss = float(np.mean((forward(check)[-1] - check) ** 2)) if len(check) else 0.0
+        loss = float(np.average(((forward(check)[-1] - check) ** 2).mean(axis=1), weights=w_check)) if len(check) else 0.0
         if loss < best:
             best, kept, stale = loss, ([x.copy() for x in w], [x.copy() for x in b]), 0
         else:
@@ -176,7 +249,9 @@ def train(df: DataFrame, inputs: Sequence[str], hidden: Sequence[int] = (4, 2, 4
 
 
 def error_thresholds(scored: DataFrame, n: int, overall: float = 0.99, per_field: float = 0.995) -> DataFrame:
-    return scored.agg(F.percentile("error", overall).alias("overall"), *[F.percentile(F.element_at("errors", i + 1), per_field).alias(f"field_{i}") for i in range(n)])
+    """One row: the quantile of the mean errors and those of each field's errors."""
+    asked = [(F.col("error"), overall), *[(F.element_at("errors", i + 1), per_field) for i in range(n)]]
+    return one_row(scored, dict(zip(["overall", *[f"field_{i}" for i in range(n)]], exact_quantiles(scored, asked), strict=True)))
 
 
 def evaluate(scored: DataFrame, label: str, kind: str) -> DataFrame:
@@ -188,8 +263,37 @@ def evaluate(scored: DataFrame, label: str, kind: str) -> DataFrame:
 # ---- automatic mode
 
 
+@dataclass
+class ModeState:
+    """What the automatic mode keeps between runs: mode and reason, scored records, and the last answers of whether a record was complete and a candidate."""
+
+    package_id: str | None = None
+    effective_mode: str = "shadow"
+    reason: str = "initial_shadow"
+    valid: int = 0
+    complete: list[bool] = field(default_factory=list)
+    candidates: list[bool] = field(default_factory=list)
+    failures: int = 0
+
+    def dump(self) -> str:
+        return json.dumps(self.__dict__, sort_keys=True)
+
+    @classmethod
+    def load(cls, text: str | None) -> ModeState:
+        return cls(**json.loads(text)) if text else cls()
+
+    def for_package(self, package_id: str | None) -> ModeState:
+        """The state at the start of a run: another package starts anew."""
+        return self if self.package_id == package_id else ModeState(package_id, reason="model_package_changed")
+
+    def after(self, part: ModeState, most: int) -> ModeState:
+        """This state, then what ``part`` has gathered from none; modes are left as they are here."""
+        failures = part.failures + (0 if part.valid else self.failures)
+        return ModeState(self.package_id, self.effective_mode, self.reason, self.valid + part.valid, [*self.complete, *part.complete][-most:], [*self.candidates, *part.candidates][-most:], failures)
+
+
 def decide(effective: str, valid: int, failures: int, complete: list[bool], candidates: list[bool], m: ModelFilter, validated: bool, events: bool) -> tuple[str, str]:
-    """The next mode and why. The first reason that holds counts; rates of an empty tail are 0."""
+    """The next mode and why. The first reason that holds counts; rates of an empty tail are 0. Reasons are fixed values."""
 
     def tail(values: list[bool], n: int) -> float:
         last = values[-n:]
@@ -198,40 +302,88 @@ def decide(effective: str, valid: int, failures: int, complete: list[bool], cand
     enforcing = effective == "enforce"
     reasons = [
         (not validated, "model_validation_not_passed"), (failures > 0, "model_failure"),
-        (enforcing and tail(candidates, m.fallback_window) > m.fallback_candidate_rate, "candidate_rate_above_fallback"),
-        (enforcing and tail(complete, m.fallback_window) < m.fallback_input_completeness, "completeness_below_fallback"),
-        (valid < m.minimum_valid_records, "waiting_for_valid_records"), (not events, "event_confirmation_disabled"),
-        (len(complete) < m.readiness_window or tail(complete, m.readiness_window) < m.minimum_input_completeness, "completeness_below_minimum"),
-        (tail(candidates, m.readiness_window) > m.maximum_candidate_rate, "candidate_rate_above_maximum"),
+        (enforcing and tail(candidates, m.fallback_window) > m.fallback_candidate_rate, "candidate_rate_above_20_percent"),
+        (enforcing and tail(complete, m.fallback_window) < m.fallback_input_completeness, "input_completeness_below_90_percent"),
+        (valid < m.minimum_valid_records, f"waiting_for_{m.minimum_valid_records}_valid_records"), (not events, "event_confirmation_disabled"),
+        (len(complete) < m.readiness_window or tail(complete, m.readiness_window) < m.minimum_input_completeness, "input_completeness_below_95_percent"),
+        (tail(candidates, m.readiness_window) > m.maximum_candidate_rate, "candidate_rate_above_10_percent"),
     ]
-    return next((("shadow", why) for hit, why in reasons if hit), ("enforce", "ready"))
+    return next((("shadow", why) for hit, why in reasons if hit), ("enforce", "readiness_requirements_met"))
 
 
-def auto_modes(series: DataFrame, m: ModelFilter, validated: bool, events: bool, keys: Sequence[str] = ("seq",)) -> DataFrame:
-    """(keys, effective_mode, reason) after each row of (keys, complete, candidate), in order of the keys.
+PART_ROWS = 1_000_000
 
-    ``complete`` null: the record says nothing about the model (another family or a duplicate);
-    ``candidate`` null: it was not scored. The mode is one chain over all records, so this narrow
-    series (three small columns) is folded in one task; scores and duplicates are found before, in parallel.
-    """
 
-    def fold(pdfs):
-        valid, effective, complete, candidates = 0, "shadow", [], []
-        most = max(m.readiness_window, m.fallback_window)
-        for pdf in pdfs:
-            modes, reasons = [], []
-            for c, k in zip(pdf["complete"], pdf["candidate"], strict=True):
-                if c is not None and c == c:
-                    complete.append(bool(c))
-                if k is not None and k == k:
-                    candidates.append(bool(k))
-                    valid += 1
-                del complete[:-most], candidates[:-most]
-                effective, why = decide(effective, valid, 0, complete, candidates, m, validated, events)
-                modes.append(effective)
-                reasons.append(why)
-            yield pdf[list(keys)].assign(effective_mode=modes, reason=reasons)
-
-    narrow = series.select(*keys, F.col("complete").cast("int"), F.col("candidate").cast("int"))
+def auto_modes(series: DataFrame, m: ModelFilter, validated: bool, events: bool, keys: Sequence[str] = ("seq",), state: ModeState | None = None, package_id: str | None = None) -> tuple[DataFrame, ModeState]:
+    """((keys, effective_mode, reason) after each row of (keys, complete, candidate) in order of the keys, the state for the next run).
+
+    ``complete`` null: the record says nothing about the model (another family or a duplicate); ``candidate`` null: it was
+    not scored; ``failed``, if there is such a column: scoring it failed. Invalid records must be left out before. The mode is one chain over
+    all records, but it needs only the last answers and one of two modes of what lies before. So ranges of
+    the keys are summed up in parallel, then folded for either mode that they may start in, and the driver joins the
+    ranges' ends, a few hundred answers for each range of ``PART_ROWS`` rows.
+    """
+    most = max(m.readiness_window, m.fallback_window)
+    begun = (state or ModeState(package_id)).for_package(package_id)
+    begun.effective_mode, begun.reason = decide(begun.effective_mode, begun.valid, begun.failures, begun.complete, begun.candidates, m, validated, events)
+    flag = lambda c: (F.col(c) if c in series.columns else F.lit(None)).cast("int").alias(c)
+    narrow = series.select(*keys, flag("complete"), flag("candidate"), flag("failed"))
+    parts = max(1, -(-narrow.count() // PART_ROWS))
+    rows = materialize(narrow.repartitionByRange(parts, *keys).withColumn("part", F.spark_partition_id()), "auto-series")
     kinds = ", ".join(f"{k} {narrow.schema[k].dataType.simpleString()}" for k in keys)
-    return narrow.coalesce(1).sortWithinPartitions(*keys).mapInPandas(fold, f"{kinds}, effective_mode string, reason string")
+
+    def step(s: ModeState, complete, candidate, failed) -> None:
+        if complete is not None and complete == complete:
+            s.complete.append(bool(complete))
+        if failed is not None and failed == failed and failed:
+            s.failures += 1
+        if candidate is not None and candidate == candidate:
+            s.candidates.append(bool(candidate))
+            s.valid, s.failures = s.valid + 1, 0
+        del s.complete[:-most], s.candidates[:-most]
+
+    def answers(pdf):
+        return zip(*(pdf[c].astype(object).where(pdf[c].notna(), None) for c in ("complete", "candidate", "failed")), strict=True)
+
+    def summary(pdf):
+        s = ModeState()
+        for x in answers(pdf.sort_values(list(keys))):
+            step(s, *x)
+        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "state": [s.dump()]})
+
+    def fold(pdf, s: ModeState):
+        for x in answers(pdf):
+            step(s, *x)
+            s.effective_mode, s.reason = decide(s.effective_mode, s.valid, s.failures, s.complete, s.candidates, m, validated, events)
+            yield s.effective_mode, s.reason
+
+    starts: dict[int, ModeState] = {}
+    now = begun
+    for r in rows.groupBy("part").applyInPandas(summary, "part int, state string").orderBy("part").collect():
+        starts[r["part"]] = now
+        now = now.after(ModeState.load(r["state"]), most)
+
+    def ends(pdf):
+        part, pdf = pdf["part"].iloc[0], pdf.sort_values(list(keys))
+        made = []
+        for mode in ("shadow", "enforce"):
+            s = ModeState.load(starts[part].dump())
+            s.effective_mode = mode
+            for _ in fold(pdf, s):
+                pass
+            made.append(s.dump())
+        return pd.DataFrame({"part": [part], "shadow": [made[0]], "enforce": [made[1]]})
+
+    mode = begun.effective_mode
+    last = begun
+    for r in rows.groupBy("part").applyInPandas(ends, "part int, shadow string, enforce string").orderBy("part").collect():
+        starts[r["part"]] = ModeState(**{**starts[r["part"]].__dict__, "effective_mode": mode})
+        last = ModeState.load(r[mode])
+        mode = last.effective_mode
+
+    def modes(pdf):
+        part, pdf = pdf["part"].iloc[0], pdf.sort_values(list(keys))
+        told = list(fold(pdf, ModeState.load(starts[part].dump())))
+        return pdf[list(keys)].assign(effective_mode=[x for x, _ in told], reason=[x for _, x in told])
+
+    return rows.groupBy("part").applyInPandas(modes, f"{kinds}, effective_mode string, reason string"), last

@@ -15,13 +15,26 @@ def state_counts(records: DataFrame) -> DataFrame:
     return records.agg(F.count(F.lit(1)).alias("total_records"), *[F.count_if(V.merge_states(F.col("quality_state")) == s).alias(f"{s}_records") for s in V.STATES])
 
 
+HARD = "array<struct<rule_id:string,flag:string,state:string>>"
+
+
 def hard_evidence(flags: Column, state: Column) -> Column:
     """An entry for each flag, and one for the state unless it is decoded."""
-    per_flag = F.transform(flags, lambda f: F.struct(F.lit("hard").alias("layer"), f.alias("rule_id")))
-    of_state = F.when(state != "decoded", F.array(F.struct(F.lit("hard").alias("layer"), F.concat(F.lit("state:"), state).alias("rule_id")))).otherwise(F.array().cast("array<struct<layer:string,rule_id:string>>"))
+    none = F.lit(None).cast("string")
+    per_flag = F.transform(flags, lambda f: F.struct(F.lit("hard.quality_flag").alias("rule_id"), f.alias("flag"), none.alias("state")))
+    of_state = F.when(state != "decoded", F.array(F.struct(F.lit("hard.quality_state").alias("rule_id"), none.alias("flag"), state.alias("state")))).otherwise(F.array().cast(HARD))
     return F.concat(per_flag, of_state)
 
 
+def evidence(mode: Column, hard: Column, findings: Column) -> Column:
+    """What each layer says about a record: mode, the static layer's entries, and the findings by layer."""
+
+    def of(layer: str) -> Column:
+        return F.filter(findings, lambda f: f["layer"] == layer).alias(layer)
+
+    return F.struct(mode.alias("mode"), hard.alias("hard"), *map(of, LAYERS))
+
+
 def trigger_counts(findings: DataFrame, by: str) -> DataFrame:
     """Candidates by rule, family or device: partial sums, then a row for each value."""
     rows = findings.filter(F.col("candidate_flag").isNotNull())
@@ -46,7 +59,9 @@ def dynamic_report(findings: DataFrame, events: DataFrame, scanned: DataFrame) -
         F.count_if(F.col("rule_id") == "model.autoencoder_reconstruction").alias("model_records_evaluated"), F.count_if(F.col("rule_id") == "model.autoencoder_not_evaluated").alias("model_records_skipped"),
     )
     e = events.agg(F.count_if(F.col("status") == "confirmed").alias("confirmed_anomaly_event_count"))
-    d = scanned.agg(F.count_if("duplicate").alias("duplicate_state_update_count"))
+    # quarantines that are open when the records end, from the states that devices' last rows carry
+    series = F.map_values(F.from_json("state", "series map<string,struct<quarantine:string>>")["series"])
+    d = scanned.agg(F.count_if("duplicate").alias("duplicate_state_update_count"), F.coalesce(F.sum(F.size(F.filter(series, lambda s: s["quarantine"].isNotNull()))), F.lit(0)).alias("quarantine_active_count"))
     return one_row(f, e, d)
 
 

@@ -13,7 +13,7 @@ import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
-from itertools import groupby
+from itertools import chain, groupby
 from statistics import median
 from typing import Any
 
@@ -172,11 +172,12 @@ class DeviceScan:
     def context(self, r: dict, snapshot: dict[str, dict]) -> list[Finding]:
         found, v = [], r["values"]
         scaled = lambda rule, name, values=v: None if values.get(name) is None else values[name] * float(rule.field_scales.get(name, 1.0))
-        for rule in self.config.peer_groups:
+        for rule in self.config.peer_sensor_groups:
             if rule.family != r["family"] or rule.spread_threshold is None:
                 continue
             grouped = {f for g in rule.aliases for f in g}
-            names = [next((f for f in g if v.get(f) is not None), None) for g in rule.aliases] + [f for f in rule.fields if f not in grouped]
+            asked = [f for f in rule.fields if self.config.field_enabled(r["family"], f)]
+            names = [next((f for f in g if f in asked and v.get(f) is not None), None) for g in rule.aliases] + [f for f in asked if f not in grouped]
             sensors = {f: scaled(rule, f) for f in names if f is not None and v.get(f) is not None}
             if len(sensors) < rule.min_available:
                 continue
@@ -184,18 +185,20 @@ class DeviceScan:
             spread = max(abs(x - centre) for x in sensors.values())
             if spread > rule.spread_threshold:
                 found.append({"layer": "context", "rule_id": rule.rule_id, "candidate_flag": rule.candidate_flag, "affected_fields": sorted(sensors), "reference": centre, "score": spread, "threshold": rule.spread_threshold})
-        for rule in self.config.cross_field:
+        for rule in self.config.cross_field_rules:
+            if rule.family != r["family"] or rule.max_abs_difference is None or not all(self.config.field_enabled(r["family"], f) for f in rule.fields):
+                continue
             a, b = (scaled(rule, f) for f in rule.fields)
-            if rule.family == r["family"] and a is not None and b is not None and abs(a - b) > rule.max_abs_difference:
+            if a is not None and b is not None and abs(a - b) > rule.max_abs_difference:
                 found.append({"layer": "context", "rule_id": rule.rule_id, "candidate_flag": rule.candidate_flag, "affected_fields": sorted(rule.fields), "score": abs(a - b), "threshold": rule.max_abs_difference})
-        for rule in self.config.cross_family:
-            if rule.family == r["family"] and r["us"] is not None:
+        for rule in self.config.cross_family_rules:
+            if rule.family == r["family"] and r["us"] is not None and rule.max_abs_difference is not None and self.config.field_enabled(r["family"], rule.field):
                 found += self.as_of(rule, r, snapshot, scaled)
         return found
 
     def as_of(self, rule: CrossFamily, r: dict, snapshot: dict[str, dict], scaled: Callable) -> list[Finding]:
         other = snapshot.get(rule.context_family)
-        limit = rule.tolerance_seconds if rule.tolerance_seconds is not None else self.config.context_tolerance_seconds
+        limit = rule.tolerance_seconds if rule.tolerance_seconds is not None else self.config.recent_context_tolerance_seconds
         if other is None or other["us"] > r["us"] or (limit is not None and seconds(r["us"], other["us"]) > limit):
             return []
         a, b = scaled(rule, rule.field), scaled(rule, rule.context_field, other["values"])
@@ -206,7 +209,7 @@ class DeviceScan:
     def rules_for(self, r: dict) -> list[tuple[str, FieldRule]]:
         """Rules whose field the payload has; a field named both with and without family is judged twice."""
         found = [(name.rpartition(".")[2], rule) for name, rule in self.config.fields.items() if name in r["keys"] or (name.startswith(f"{r['family']}.") and name[len(r["family"]) + 1 :] in r["keys"])]
-        return sorted(found, key=lambda x: x[0])
+        return sorted([x for x in found if self.config.field_enabled(r["family"], x[0])], key=lambda x: x[0])
 
     def adaptive(self, r: dict, blocked: set[str]) -> tuple[list[Finding], set[str]]:
         found, skip = [], set()
@@ -310,7 +313,11 @@ class DeviceScan:
                 if self.config.enabled:
                     self.accept(r, skip)
                 self.state.ledger.append(r["fingerprint"])
-                del self.state.ledger[: -self.config.deduplication_capacity]
+                self.seen.add(r["fingerprint"])
+        # a fingerprint holds the record's time, so repeats lie in one group or in the ledger
+        for old in self.state.ledger[: -self.config.deduplication_capacity]:
+            self.seen.discard(old)
+        del self.state.ledger[: -self.config.deduplication_capacity]
 
     def trust(self, where: dict[str, dict], r: dict) -> None:
         now = where.get(r["family"])
@@ -341,35 +348,71 @@ def as_record(row: Any, fields_: list[str]) -> dict:
     return {"seq": int(row.seq), "record_id": row.record_id or "", "family": row.family or "", "us": None if us is None or us != us else int(us), "state": row.quality_state, "values": values, "keys": set(fields_), "fingerprint": row.fingerprint, "extra": [x.asDict() if hasattr(x, "asDict") else dict(x) for x in (() if extra is None else extra)]}
 
 
+COLUMNS = ["device_id", "seq", "record_id", "duplicate", "flags", "findings", "events", "state"]
+BATCH = 4096
+
+
+def fold_device(device: str, records: Iterable[dict], config: DynamicConfig, state: DeviceState) -> Iterable[list]:
+    """A result row for each record in the order of time; the last one carries the new state."""
+    scan, ids, last = DeviceScan(device, config, state), {}, None
+
+    def noted(rows):
+        for r in rows:
+            ids[r["seq"]] = r["record_id"]
+            yield r
+
+    for x in scan.run(noted(records)):
+        if last is not None:
+            yield last
+        last = [device, x["seq"], ids.pop(x["seq"], ""), x["duplicate"], sorted(x["flags"]), [{k: f.get(k) for k in _FINDING} for f in x["findings"]], [{k: e.get(k) for k in _EVENT} for e in x["events"]], None]
+    if last is not None:
+        yield [*last[:-1], scan.state.dump()]
+
+
 def scan_rows(device: str, pdf: pd.DataFrame, fields_: list[str], config: DynamicConfig, state: DeviceState) -> pd.DataFrame:
-    """Findings of one device's rows; the last row carries the new state."""
+    """Findings of one device's rows of a micro-batch; the last row carries the new state."""
     pdf = pdf.assign(ts_us=pdf["ts_us"].astype("Int64").astype(object).where(pdf["ts_us"].notna(), None))
     pdf = pdf.sort_values(["ts_us", "family", "record_id", "seq"], na_position="last")
-    records = [as_record(r, fields_) for r in pdf.itertuples(index=False)]
-    ids = {r["seq"]: r["record_id"] for r in records}
-    scan, rows = DeviceScan(device, config, state), []
-    for x in scan.run(records):
-        rows.append([device, x["seq"], ids[x["seq"]], x["duplicate"], sorted(x["flags"]), [{k: f.get(k) for k in _FINDING} for f in x["findings"]], [{k: e.get(k) for k in _EVENT} for e in x["events"]], None])
-    if rows:
-        rows[-1][-1] = scan.state.dump()
-    return pd.DataFrame(rows, columns=["device_id", "seq", "record_id", "duplicate", "flags", "findings", "events", "state"])
+    return pd.DataFrame(list(fold_device(device, (as_record(r, fields_) for r in pdf.itertuples(index=False)), config, state)), columns=COLUMNS)
+
+
+def fold_partition(pdfs: Iterable[pd.DataFrame], fields_: list[str], config: DynamicConfig) -> Iterable[pd.DataFrame]:
+    """Fold devices one after the other, batch by batch: rows come by device, its kept state first, then by time."""
+
+    def rows():
+        for pdf in pdfs:
+            pdf = pdf.assign(ts_us=pdf["ts_us"].astype("Int64").astype(object).where(pdf["ts_us"].notna(), None))
+            yield from pdf.itertuples(index=False)
+
+    ready = []
+    for device, own in groupby(rows(), key=lambda r: r.device_id):
+        state, first = DeviceState(), next(own)
+        if first.kept is not None:
+            state, first = DeviceState.load(first.kept), next(own, None)
+        if first is None:
+            continue
+        for row in fold_device(device, (as_record(r, fields_) for r in chain([first], own)), config, state):
+            ready.append(row)
+            if len(ready) == BATCH:
+                yield pd.DataFrame(ready, columns=COLUMNS)
+                ready = []
+    yield pd.DataFrame(ready, columns=COLUMNS)
 
 
 def scan_devices(df: DataFrame, fields_: list[str], config: DynamicConfig, states: DataFrame | None = None) -> DataFrame:
     """Exact findings for records (device_id, seq, record_id, family, ts_us, quality_state, fingerprint, value columns[, extra]).
 
-    One device is one task: its state is a chain. ``ts_us`` may be null. ``states`` (device_id, state) are the states that
-    an earlier run left; ``next_states`` gives those after this one.
+    A device's records are one chain and so one task, but they stream through it in order: Spark sorts them, and
+    memory holds a device's state and its records of one time. ``ts_us`` may be null. ``states`` (device_id, state) are the
+    states that an earlier run left, one for each device; ``next_states`` gives those after this one.
     """
     needed = ["device_id", "seq", "record_id", "family", "ts_us", "quality_state", "fingerprint", *fields_, *(["extra"] if "extra" in df.columns else [])]
-    rows = df.select(*needed).groupBy("device_id")
-    if states is None:
-        return rows.applyInPandas(lambda key, pdf: scan_rows(key[0], pdf, fields_, config, DeviceState()), RESULT)
-
-    def both(key, pdf: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
-        return scan_rows(key[0], pdf, fields_, config, DeviceState.load(kept["state"].iloc[0] if len(kept) else None))
-
-    return rows.cogroup(states.select("device_id", "state").groupBy("device_id")).applyInPandas(both, RESULT)
+    rows = df.select(*needed, F.lit(None).cast("string").alias("kept"))
+    if states is not None:
+        rows = rows.unionByName(states.select("device_id", F.col("state").alias("kept")), allowMissingColumns=True)
+    order = ["device_id", F.col("kept").isNull(), F.col("ts_us").asc_nulls_last(), "family", "record_id", "seq"]
+    rows = rows.repartition("device_id").sortWithinPartitions(*order)
+    return rows.mapInPandas(lambda pdfs: fold_partition(pdfs, fields_, config), RESULT)
 
 
 def next_states(scanned: DataFrame, states: DataFrame | None = None) -> DataFrame:

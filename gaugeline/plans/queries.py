@@ -158,8 +158,8 @@ SELECT l_orderkey, l_linenumber, LEN(x)::BIGINT AS sensors, ROUND(centre, 6) AS
 def peer_spread(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     sensors = {"quantity": F.col("l_quantity"), "price": F.col("l_extendedprice"), "tax": F.when(F.col("l_tax") > 0, F.col("l_tax")), "discount": F.col("l_discount")}
-    n, centre, spread = context.peer_spread(sensors, [("tax", "discount")], {"price": 0.001, "tax": 500.0, "discount": 500.0}, least=3)
-    return li.select("l_orderkey", "l_linenumber", n.cast("long").alias("sensors"), centre.alias("centre"), spread.alias("spread")).select("l_orderkey", "l_linenumber", "sensors", *rounded("centre", "spread"))
+    out = context.peer_spread(li, sensors, [("tax", "discount")], {"price": 0.001, "tax": 500.0, "discount": 500.0}, least=3)
+    return out.select("l_orderkey", "l_linenumber", F.col("sensors").cast("long").alias("sensors"), *rounded("centre", "spread"))
 
 
 @query("SELECT l_orderkey, l_linenumber, ROUND(ABS(l_quantity - l_extendedprice * 0.001), 6) AS difference, ABS(l_quantity - l_extendedprice * 0.001) > 20 AS is_candidate FROM lineitem")
@@ -227,10 +227,10 @@ def hard_families(spark, sf_dir):
 
 
 @query(FAMILY_SQL + """
-SELECT COUNT(*) AS total_records, COUNT(*) FILTER (quality_state = 'decoded') AS decoded_records, COUNT(*) FILTER (quality_state = 'suspect') AS suspect_records, COUNT(*) FILTER (quality_state = 'invalid') AS invalid_records,
+SELECT COUNT(*) AS total_decoded_records, COUNT(*) FILTER (quality_state = 'decoded') AS decoded_records, COUNT(*) FILTER (quality_state = 'suspect') AS suspect_records, COUNT(*) FILTER (quality_state = 'invalid') AS invalid_records,
   COUNT(*) FILTER (kind = 'gas') AS gas_records, COUNT(*) FILTER (kind = 'gps_status') AS gps_status_records, COUNT(*) FILTER (kind = 'other') AS other_records, COALESCE(SUM(bad) FILTER (kind = 'gas'), 0)::BIGINT AS gas_invalid_field_count, COALESCE(SUM(bad) FILTER (kind = 'network_context'), 0)::BIGINT AS network_context_invalid_field_count FROM v""")
 def quality_report(spark, sf_dir):
-    names = ["total_records", "decoded_records", "suspect_records", "invalid_records", "gas_records", "gps_status_records", "other_records", "gas_invalid_field_count", "network_context_invalid_field_count"]
+    names = ["total_decoded_records", "decoded_records", "suspect_records", "invalid_records", "gas_records", "gps_status_records", "other_records", "gas_invalid_field_count", "network_context_invalid_field_count"]
     return hard.hard_report(families(spark, sf_dir)).select(*names)
 
 
@@ -418,8 +418,9 @@ def execution_slot(spark, sf_dir):
     return records(spark, sf_dir).groupBy(dedup.execution_slot(F.col("ts_us")).alias("slot_us")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {R}, d AS (SELECT *, {PRINT_SQL} AS fingerprint, ts_us - ts_us % 3600000000 AS slot_us FROM r)
-SELECT slot_us, COUNT(*) AS n, 'run:' || SHA256('v2|' || slot_us::VARCHAR || '|' || STRING_AGG(fingerprint, ',' ORDER BY fingerprint)) AS run_key FROM d GROUP BY slot_us""")
+@query(f"""WITH {R}, d AS (SELECT *, {PRINT_SQL} AS fingerprint, ts_us - ts_us % 3600000000 AS slot_us FROM r),
+p AS (SELECT slot_us, SUBSTR(fingerprint, 1, 2) AS part, COUNT(*) AS n, SHA256(STRING_AGG(fingerprint, ',' ORDER BY fingerprint)) AS digest FROM d GROUP BY slot_us, part)
+SELECT slot_us, SUM(n)::BIGINT AS n, 'run:' || SHA256('v2|' || slot_us::VARCHAR || '|' || STRING_AGG(digest, ',' ORDER BY part)) AS run_key FROM p GROUP BY slot_us""")
 def run_key(spark, sf_dir):
     rows = printed(records(spark, sf_dir)).withColumn("slot_us", dedup.execution_slot(F.col("ts_us"), 60))
     return dedup.run_key(rows, ["slot_us"], "v2")
@@ -557,7 +558,8 @@ SELECT seq, CASE WHEN COALESCE(was, FALSE) = (steps % 2 = 0) THEN 'enforce' ELSE
 def auto_mode(spark, sf_dir):
     limit = F.when(F.floor(F.col("seq") / 400) % 3 == 1, 25).otherwise(7)
     series = records(spark, sf_dir).select("seq", (F.col("k") % 25 != 0).alias("complete"), (F.col("k") < limit).alias("candidate"))
-    return model.auto_modes(series, ModelFilter(enabled=True, minimum_input_completeness=0.93), True, True).select("seq", "effective_mode")
+    modes, _ = model.auto_modes(series, ModelFilter(enabled=True, minimum_input_completeness=0.93), True, True)
+    return modes.select("seq", "effective_mode")
 
 
 # ---- the exact scan

@@ -13,7 +13,7 @@ AE = model.Autoencoder([20.0] * 5 + [50.0, 50.0], [5.0] * 5 + [10.0, 10.0], [([[
 
 
 def payload(moist, **more):
-    return json.dumps({**{f: 2000 for f in model.FEATURES[:5]}, "moist_pc": moist, "humidity_pct": 50, **more})
+    return json.dumps({**{f: 2000 for f in model.FEATURES[:5]}, "moist_pc": moist, "sleeper_rh": 50, **more})
 
 
 def records(spark, rows):
@@ -39,7 +39,7 @@ def test_modes(spark, mode):
         return
     report = out.dynamic_report.first()
     found = {(r.record_id, r.candidate_flag) for r in out.findings.collect() if r.candidate_flag}
-    assert found == {("r2", "step_change"), ("r4", "step_change")} | ({("r2", "autoencoder_anomaly")} if 16 / 7 > 4.0 else set())
+    assert found == {("r2", "step_change"), ("r4", "step_change")} | ({("r2", "reconstruction_outlier")} if 16 / 7 > 4.0 else set())
     assert report.duplicate_state_update_count == 1 and report.adaptive_candidate_count == 2 and report.model_records_evaluated == 6 and report.model_records_skipped == 1
     assert report.total_records == len(ROWS) and report.invalid_records == 2
     if mode == "enforce":
@@ -47,6 +47,11 @@ def test_modes(spark, mode):
     if mode == "auto":  # ready with the third complete record; r4 can't be evaluated, so completeness falls
         assert ("r2", "suspect", "step_change") in got and ("r4", "suspect", "invalid_value") in got
     assert {r.device_id for r in out.states.collect()} == {"d", "unknown"}
+    assert (report.requested_mode, report.hard_invalid_count, report.quarantine_active_count) == (mode, 2, 0)
+    assert report.enforced_suspect_count == {"shadow": 0, "enforce": 1, "auto": 1}[mode]
+    told = {r.record_id: r.filter_evidence for r in out.records.collect() if r.record_id in ("r2", "r8")}
+    assert [(x.rule_id, x.flag, x.state) for x in told["r8"].hard] == [("hard.quality_flag", "invalid_payload", None), ("hard.quality_state", None, "invalid")]
+    assert [x.rule_id for x in told["r2"].adaptive if x.candidate_flag] == ["adaptive.step_change"] and told["r2"].mode == mode and not told["r2"].hard
 
 
 def test_empty_and_no_configuration(spark):
@@ -54,7 +59,92 @@ def test_empty_and_no_configuration(spark):
     for mode in ("off", "enforce"):
         assert filter_records(nothing, ["moist_pc"], mode, C.dynamic_config(RULES)).records.count() == 0
     out = filter_records(records(spark, ROWS), mode=None, config=None)
-    assert out.hard_report.first().total_records == len(ROWS) and out.findings is None
+    assert out.hard_report.first().total_decoded_records == len(ROWS) and out.findings is None
+
+
+def test_two_runs_equal_one(spark):
+    """A run continues the devices' and the mode's state; another package starts the mode anew."""
+    rule = C.dynamic_config(RULES)
+    first, rest = ROWS[:4], ROWS[4:6]
+    one = filter_records(records(spark, first + rest), ["moist_pc"], "auto", rule, model=AE)
+    two = filter_records(records(spark, first), ["moist_pc"], "auto", rule, model=AE)
+    then = filter_records(records(spark, rest), ["moist_pc"], "auto", rule, model=AE, states=two.states, mode_state=model.ModeState.load(two.mode_state.dump()))
+    got = lambda *runs: {(r.record_id, r.quality_state, ",".join(r.quality_flags)) for x in runs for r in x.records.collect()}
+    assert got(one) == got(two, then)
+    assert then.mode_state == one.mode_state and two.mode_state.effective_mode == "enforce"
+    other = model.Autoencoder(**{**AE.__dict__, "version": "2"})
+    anew = filter_records(records(spark, rest), ["moist_pc"], "auto", rule, model=other, mode_state=two.mode_state)
+    assert anew.mode_state.valid == 1 and anew.mode_state.package_id != two.mode_state.package_id
+
+
+def test_missing_package(spark, tmp_path):
+    rule = C.dynamic_config({**RULES, "model_filter": {"model_path": str(tmp_path / "none")}})
+    out = filter_records(records(spark, ROWS), ["moist_pc"], "auto", rule)
+    r = out.dynamic_report.first()
+    assert r.effective_mode == "shadow" and "none" in r.model_load_failure and out.mode_state.failures == 1
+    assert {f.state for f in out.findings.filter("rule_id = 'model.autoencoder_unavailable'").collect()} == {"not_evaluated"}
+
+
+def plain_modes(rows, m):
+    effective, valid, complete, candidates, out = "shadow", 0, [], [], []
+    for c, k in rows:
+        if c is not None:
+            complete.append(c)
+        if k is not None:
+            candidates.append(k)
+            valid += 1
+        effective, why = model.decide(effective, valid, 0, complete, candidates, m, True, True)
+        out.append((effective, why))
+    return out
+
+
+def test_modes_of_ranges_equal_one_chain(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(model, "PART_ROWS", 37)
+    rng = random.Random(3)
+    m = C.ModelFilter(minimum_valid_records=20, readiness_window=12, fallback_window=6, minimum_input_completeness=0.6, fallback_input_completeness=0.4, maximum_candidate_rate=0.3, fallback_candidate_rate=0.4)
+    rows = [(None, None) if rng.random() < 0.1 else (True, rng.random() < (0.1 if i // 60 % 2 else 0.45)) if rng.random() < 0.8 else (False, None) for i in range(400)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, complete boolean, candidate boolean")
+    modes, last = model.auto_modes(df, m, True, True)
+    got = [(r.effective_mode, r.reason) for r in modes.orderBy("seq").collect()]
+    assert got == plain_modes(rows, m) and len({x for x, _ in got}) == 2 and (last.effective_mode, last.reason) == got[-1]
+
+
+@pytest.mark.parametrize("values", [[1.0], [3.0, 3.0, 3.0], [1.0, 2.0], [float("nan"), 5.0, None, 1.0], [-1e300, 0.0, 1e-300, 2e-300, 1e300], []])
+def test_quantiles_are_exact(spark, values):
+    import numpy as np
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    asked = (0.0, 0.25, 0.5, 0.9, 1.0)
+    got = model.exact_quantiles(df, [(F.col("v"), q) for q in asked], buckets=4)
+    some = [v for v in values if v is not None and v == v]
+    assert got == [None] * 5 if not some else np.allclose(got, np.quantile(some, asked), rtol=1e-12)
+
+
+FILE = """{"enabled": true, "enabled_families": [], "enabled_fields": ["v"], "allow_suspect_context": false, "allow_candidate_context": false, "deduplication_capacity": 10000,
+ "recent_context_tolerance_seconds": 300, "cross_family_rules": [], "cross_field_rules": [{"family": "environment", "fields": ["moist_pc", "sleeper_rh"], "max_abs_difference": null}],
+ "peer_sensor_groups": [{"rule_id": "p", "family": "environment", "fields": ["rtd1_t_x100", "temp"], "field_scales": {"temp": 1}, "aliases": [["temperature_c", "temp"]], "min_available": 3, "spread_threshold": null}],
+ "adaptive": {"default": {"mad_score_threshold": null, "baseline_reentry": {"enabled": false, "action": "reset"}}, "fields": {"environment.v": {"step_threshold": 5}}, "expected_reporting": {}, "family_silence": {}},
+ "event_confirmation": {"minimum_duration_seconds": 0}, "model_filter": {"enabled": true, "model_path": "models/x", "minimum_valid_records": 500}}"""
+
+
+def test_configuration_file(tmp_path):
+    path = tmp_path / "rules.json"
+    path.write_text(FILE)
+    c = C.dynamic_config(str(path))
+    assert c.recent_context_tolerance_seconds == 300 and c.enabled_fields == ("v",) and c.model.model_path == "models/x"
+    assert c.peer_sensor_groups[0].candidate_flag == "peer_sensor_disagreement" and c.cross_field_rules[0].rule_id == "cross_field_rules[0]"
+    assert (c.events.minimum_points, c.events.window_points, c.events.maximum_gap_seconds, c.events.enforcement_policy, c.events.enabled) == (3, 5, 300.0, "confirmed_event", True)
+    assert c.fields["environment.v"].baseline_reentry.minimum_duration_seconds == 120 and c.fields["environment.v"].step_threshold == 5
+    assert c.field_enabled("environment", "v") and not c.field_enabled("environment", "w")
+    default = C.dynamic_config(None)
+    assert default.peer_sensor_groups[0].rule_id == "environment.peer_temperature_disagreement" and default.peer_sensor_groups[0].min_available == 3
+    path.write_text("[1]")
+    for bad in (str(path), {"adaptive": {"fields": {"a": {"baseline_reentry": {"action": "shift"}}}}}, {"peer_sensor_groups": {}}, {"enabled": 1}, {"adaptive": {"family_silence": {"g": {"gap_multiplier": 0}}}}, {"event_confirmation": {"enforcement_policy": "x"}}, {"cross_field_rules": [{"family": "e", "fields": ["a"]}]}, {"model_filter": {"model_path": " "}}):
+        with pytest.raises(ValueError):
+            C.dynamic_config(bad)
+    assert C.resolve_mode(" Enforce ", False) == "enforce"
 
 
 def test_configuration_is_closed():

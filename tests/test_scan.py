@@ -70,16 +70,16 @@ def test_gap_and_silence(spark):
 
 
 def test_records_of_equal_time_see_each_other_in_both_orders(spark):
-    c = DynamicConfig(cross_family=(CrossFamily("x", "environment", "gas", "v", "v", 5.0, 0.0),))
+    c = DynamicConfig(cross_family_rules=(CrossFamily("x", "environment", "gas", "v", "v", 5.0, 0.0),))
     for env, gas in ((0, 50), (50, 0)):
         assert flags(run(spark, rows([(0, 30.0)], start=env) + rows([(0, 10.0)], "gas", start=gas), c)) == {(f"r{env:03d}", "cross_family_disagreement")}
     assert flags(run(spark, rows([(0, 30.0)]) + rows([(60, 10.0)], "gas", start=9), c)) == set()
 
 
 def test_peers_and_blocked_fields(spark):
-    c = DynamicConfig(peer_groups=(PeerGroup("p", "environment", ("v", "w"), 5.0),), fields={"v": FieldRule(step_threshold=100.0)})
+    c = DynamicConfig(peer_sensor_groups=(PeerGroup("p", "environment", ("v", "w"), 5.0),), fields={"v": FieldRule(step_threshold=100.0)})
     data = [(*r[:8], 45.0) for r in rows([(0, 20.0)])] + rows([(60, 500.0)], start=1)
-    assert flags(run(spark, data, c)) == {("r000", "peer_disagreement")}  # the first value was not accepted, so there is no step
+    assert flags(run(spark, data, c)) == {("r000", "peer_sensor_disagreement")}  # the first value was not accepted, so there is no step
 
 
 def test_one_event_of_four_points(spark):
