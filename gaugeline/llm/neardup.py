@@ -32,7 +32,7 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 BLOCK_CHARS, BLOCK_TEXTS, SEGMENT = 1 << 20, 4096, 1 << 19
 DOC_BITS = 12
-CHUNK, CHUNK_WORDS = 512, 1 << 20
+CHUNK, CHUNK_WORDS = 512, 1 << 19
 #: Fixed odd multipliers (of SplitMix64, and one for polynomial hashes).
 MIX_1, MIX_2, GOLDEN, BASE = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0x2545F4914F6CDD1D))
 

@@ -191,5 +191,8 @@ def pack(df: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1,
     # a row of 8 * size bytes for each task: broadcast while that is small, else joined by an exchange
     tasks = by_task.agg(F.max("part")).first()[0] or 0
     offsets = F.broadcast(offsets) if tasks * 8 * size <= MOST_BROADCAST else offsets.hint("merge")
-    placed = cut.join(offsets, "part").withColumn("at", place("length", F.element_at("offsets", (F.col("length") + 1).cast("int")) + F.col("nth")))
+    # rand() keeps Spark from moving this sum, and with it a whole array for each row, into the function's input
+    rank = F.when(F.rand() >= 0, F.element_at("offsets", (F.col("length") + 1).cast("int")) + F.col("nth"))
+    ranked = cut.join(offsets, "part").select("key", "doc_tokens", "start", "length", "ids", rank.alias("rank"))
+    placed = ranked.withColumn("at", place("length", "rank"))
     return placed.select(F.col("key").alias(key), "doc_tokens", "start", "length", "ids", "at.sequence_id", "at.offset")
