@@ -194,3 +194,20 @@ def remote_state(table: DataFrame, key: str) -> DataFrame:
     if not key.strip():
         raise ValueError("a state key is required")
     return table.filter(F.col("state_key") == key)
+
+
+def state_of_answer(answer: object) -> dict | None:
+    """The state in a remote store's answer; none if it says that there is none. Any other answer is an error."""
+    if not isinstance(answer, dict) or not isinstance(answer.get("found"), bool):
+        raise ValueError("the answer doesn't say whether a state was found")
+    if answer["found"] and not isinstance(answer.get("state_json"), dict):
+        raise ValueError("the answer has no state")
+    return answer["state_json"] if answer["found"] else None
+
+
+def read_object(spark: SparkSession, path: str) -> DataFrame:
+    """JSON objects, one for each file, as the variant ``object``; a file that holds anything else fails the job. An empty file has no row."""
+    v = F.try_parse_json(F.ltrim(F.col("value"), F.lit(BOM)))
+    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("not a JSON object: "), F.input_file_name())).cast("variant")
+    return spark.read.text(path, wholetext=True).select(F.when(is_object, v).otherwise(wrong).alias("object"))

@@ -19,6 +19,11 @@ LAYOUT = [
     ("year", 2, False), ("month", 1, False), ("day", 1, False), ("hour", 1, False), ("minute", 1, False), ("second", 1, False),
 ]
 META = ["ControllerName", "Site", "Location", "Area"]
+#: The columns of an export without names, in their order
+POSITIONS = [
+    "time", "Area", "ControllerName", "EighthPacket", "EleventhPacket", "FifteenthPacket", "FifthPacket", "FirstPacket", "FourteenthPacket", "FourthPacket", "Latitude",
+    "Location", "Longitude", "NinthPacket", "SecondPacket", "SeventhPacket", "Site", "SixthPacket", "TenthPacket", "ThirdPacket", "ThirteenthPacket", "TwelfthPacket",
+]
 
 
 def integer(hexes: Column, at: int, size: int, signed: bool) -> Column:
@@ -73,17 +78,32 @@ def with_frame(df: DataFrame, packets: list[Column], name: str, strict: bool = T
     return df.withColumn("_hex", last_hex(packets, strict)).withColumn(name, unpacked(F.col("_hex"))).drop("_hex")
 
 
+def by_position(values: Column, strict: bool = True) -> Column:
+    """An export row without column names (array of variants) as a map from name to value; surplus values are left out.
+
+    A row that is too short fails the job if ``strict``, else it is null. Null stays null.
+    """
+    n = len(POSITIONS)
+    out = F.when(F.size(values) >= n, F.map_from_arrays(F.array(*map(F.lit, POSITIONS)), F.slice(values, 1, n)))
+    if strict:
+        lacking = F.concat(F.lit("a row has only "), F.size(values).cast("string"), F.lit(f" of {n} values"))
+        out = out.when(values.isNotNull(), F.raise_error(lacking).cast("map<string,variant>"))
+    return out
+
+
 def export_records(rows: DataFrame, strict: bool = True, source_type: str = "sensor_export") -> DataFrame:
     """Canonical records of the export rows that hold a frame (``row``: map of variants).
 
-    Rows without a frame are dropped. A row without a time or a device, or with a coordinate that
-    is no number, fails the job if ``strict``, else it is dropped.
+    Rows without a frame are dropped. A row that lacks the column of a packet, a time or a device, or with a
+    coordinate that is no number, fails the job if ``strict``, else an absent packet counts as none and other such rows are dropped.
     """
     cell = lambda name: F.col("row")[name]
     packets = [V.as_text(cell(s)) for s in SLOTS]
     df = rows.withColumns({"_time": text_of(cell("time")), "_device": V.as_text(cell("ControllerName")), "_hex": last_hex(packets, strict)})
     ok = F.col("_time").isNotNull() & F.col("_device").isNotNull() & V.number(cell("Latitude")).isNotNull() & V.number(cell("Longitude")).isNotNull()
-    lacking = F.raise_error(F.lit("a row lacks its time, device or place")).cast("boolean") if strict else F.lit(False)
+    if strict:
+        ok = ok & F.forall(F.array(*map(F.lit, SLOTS)), lambda s: F.map_contains_key("row", s))
+    lacking = F.raise_error(F.lit("a row lacks its time, device, place or the column of a packet")).cast("boolean") if strict else F.lit(False)
     df = df.filter(F.when(ok, F.col("_hex").isNotNull()).otherwise(lacking))
     used = F.transform(F.array(*[F.struct(F.lit(s).alias("k"), text_of(cell(s)).alias("x")) for s in SLOTS]), lambda c: F.when(c["x"].isNotNull(), F.concat(c["k"], F.lit("="), c["x"])))
     identity = F.concat_ws("|", F.col("_device"), F.col("_time"), F.array_join(F.array_sort(F.array_compact(used)), "&"))

@@ -152,6 +152,68 @@ def test_ingest_can_be_repeated(spark, tmp_path):
             sinks.prepare(spark.createDataFrame(bad, "record_id string, family string, ts_us long, fingerprint string").withColumn("quality_state", F.lit("decoded")), "t").collect()
 
 
+def test_changed_records_replace_stored_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(r, "record_id string, record_fingerprint string, x long")
+    now = lambda: sorted(tuple(r) for r in sinks.current_rows(spark, path).collect())
+    counts = lambda i, u, k: {"inserted_records": i, "updated_records": u, "skipped_records": k}
+    assert sinks.upsert(rows(("a", "1", 1), ("b", "2", 1), ("b", "2", 1)), path) == counts(2, 0, 1)
+    assert sinks.upsert(rows(("a", "1", 9), ("b", "3", 2), ("c", "4", 2)), path) == counts(1, 1, 1)
+    assert now() == [("a", "1", 1), ("b", "3", 2), ("c", "4", 2)]
+    assert sinks.upsert(rows(("b", "2", 3)), path) == counts(0, 1, 0)  # back to an earlier content
+    assert sinks.upsert(rows(("b", "2", 4)), path) == counts(0, 0, 1) and sinks.upsert(rows(), path) == counts(0, 0, 0)
+    (tmp_path / "t" / "version=9").mkdir()  # a write that never ended
+    assert now() == [("a", "1", 1), ("b", "2", 3), ("c", "4", 2)]
+    for bad in ((("d", "5", 1), ("d", "6", 1)), ((None, "5", 1),), (("d", None, 1),)):
+        with pytest.raises(ValueError):
+            sinks.upsert(rows(*bad), path)
+
+
+def test_run_description():
+    run = sinks.describe_run("k", "f", "s", "t", "auto", "1", "slot")
+    assert run["state_schema_version"] == 3 and run["dynamic_config_hash"] is None and not sinks.payload_problems(run)
+    with pytest.raises(ValueError):
+        sinks.describe_run("k", " ", "s", "t", "other", "1", "slot")
+
+
+def test_remote_states():
+    assert exports.state_of_answer({"found": True, "state_json": {"a": 1}}) == {"a": 1} and exports.state_of_answer({"found": False}) is None
+    for bad in ([], {}, {"found": 1, "state_json": {}}, {"found": True}, {"found": True, "state_json": "x"}):
+        with pytest.raises(ValueError):
+            exports.state_of_answer(bad)
+
+
+def test_object_files(spark, tmp_path):
+    path = tmp_path / "o.json"
+    path.write_text("\ufeff{\n\"a\": 1}", encoding="utf-8")
+    assert json.loads(exports.read_object(spark, str(path)).first().object.toJson()) == {"a": 1}
+    for body in ("[1]", "{", " ", "5"):
+        path.write_text(body)
+        with pytest.raises(PySparkException):
+            exports.read_object(spark, str(path)).collect()
+
+
+def test_rows_by_position(spark):
+    whole = [f"v{i}" for i in range(len(packets.POSITIONS))]
+    df = spark.createDataFrame([(json.dumps([*whole, "more"]),), (None,)], "body string")
+    values = F.try_variant_get(F.try_parse_json("body"), "$", "array<variant>")
+    out = df.select(packets.by_position(values).alias("row")).collect()
+    assert {k: json.loads(v.toJson()) for k, v in out[0].row.items()} == dict(zip(packets.POSITIONS, whole, strict=True)) and out[1].row is None
+    assert sorted(packets.POSITIONS) == sorted(COLUMNS)
+    short = spark.createDataFrame([(json.dumps(whole[:-1]),)], "body string")
+    assert short.select(packets.by_position(values, strict=False).alias("row")).first().row is None
+    with pytest.raises(PySparkException):
+        short.select(packets.by_position(values)).collect()
+    given = dict(zip(COLUMNS, row({"FirstPacket": packet(*VALUES)}), strict=True))
+    body = json.dumps([given[c] for c in packets.POSITIONS])
+    rows = spark.createDataFrame([(body,)], "body string").select(packets.by_position(values).alias("row"))
+    assert packets.export_records(rows).count() == 1
+    less = rows.select(F.map_filter("row", lambda k, _: k != "NinthPacket").alias("row"))
+    assert packets.export_records(less, strict=False).count() == 1
+    with pytest.raises(PySparkException):
+        packets.export_records(less).collect()
+
+
 def test_answers():
     good = {"success": True, "run_key": "k", "inserted_records": 1, "updated_records": 0, "skipped_records": 1}
     sinks.check_answer(good, "k", 2)
