@@ -7,6 +7,7 @@ need some derive them from ``event_id`` by formulas that the SQL repeats.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import DynamicConfig, Events, FieldRule, Interval, ModelFilter, Reentry
 from ..functions import values as V
+from ..functions.scratch import scratch_root
 from ..operators import adaptive, context, dedup, hard, model, report, scan
 from ..operators import events as ev
 from ..sources import exports, packets, sinks
@@ -465,6 +467,51 @@ def envelope_rows(spark, sf_dir):
     return rows.select(V.as_text(F.col("row")["ControllerName"]).alias("device_id"), V.as_text(F.col("row")["time"]).alias("t"), exports.text_of(F.col("row")["FirstPacket"]).alias("first_packet"))
 
 
+@query(f"WITH {R} SELECT record_id, CASE WHEN record_id % 3 <> 1 THEN device_id END AS device_id, CASE WHEN record_id % 3 <> 1 THEN record_id::VARCHAR END AS t, CASE WHEN record_id % 3 <> 1 AND k % 4 <> 0 THEN k::VARCHAR END AS first_packet FROM r")
+def rows_by_position(spark, sf_dir):
+    """Export rows without names; each third row is one value short."""
+    r = records(spark, sf_dir)
+    given = {"time": F.col("record_id").cast("string"), "ControllerName": F.col("device_id"), "FirstPacket": F.when(F.col("k") % 4 != 0, F.col("k").cast("string"))}
+    cells = F.array(*[given.get(c, F.lit("x")) for c in packets.POSITIONS])
+    body = F.to_json(F.when(F.col("record_id") % 3 == 1, F.slice(cells, 1, len(packets.POSITIONS) - 1)).otherwise(cells))
+    rows = r.select("record_id", packets.by_position(F.try_variant_get(F.try_parse_json(body), "$", "array<variant>"), strict=False).alias("row"))
+    return rows.select("record_id", V.as_text(F.col("row")["ControllerName"]).alias("device_id"), V.as_text(F.col("row")["time"]).alias("t"), exports.text_of(F.col("row")["FirstPacket"]).alias("first_packet"))
+
+
+@query(f"WITH {R} SELECT record_id, CASE WHEN record_id % 8 IN (0, 2) THEN 1 WHEN record_id % 8 IN (1, 3) THEN 0 END AS label FROM r")
+def label_parse(spark, sf_dir):
+    texts = F.array(*map(F.lit, ("1", " 0", "TRUE ", "False", "yes", "", "1.0", None)))
+    return records(spark, sf_dir).select("record_id", exports.label(F.element_at(texts, (F.col("record_id") % 8 + 1).cast("int"))).alias("label"))
+
+
+IDENTITY_SQL = f"""
+WITH {R} SELECT record_id, CASE record_id % 4 WHEN 0 THEN device_id WHEN 1 THEN 'platform:c' || device_id || '||' || family || '|' WHEN 2 THEN '' ELSE 'source:t' END AS device_id,
+CASE WHEN record_id % 5 <> 0 THEN ts_us - ts_us % 1000000 END AS ts_us FROM r"""
+
+
+@query(IDENTITY_SQL)
+def record_identity(spark, sf_dir):
+    """Identity and time of records parsed from JSON: a device, a platform, a blank device, only a source."""
+    r, i = records(spark, sf_dir), F.col("record_id") % 4
+    time = F.date_format(F.timestamp_seconds(F.floor(F.col("ts_us") / 1000000)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    place = F.when(i == 1, F.struct(F.concat(F.lit("c"), F.col("device_id")).alias("ControllerName"), F.lit(" ").alias("Site"), F.col("family").alias("Location"), F.lit("null").alias("Area")))
+    fields = {"record_id": F.col("record_id").cast("string"), "device_id": F.when(i == 0, F.concat(F.lit(" "), F.col("device_id"))).when(i == 2, " "), "source_type": F.lit("t"), "platform_meta": place}
+    fields |= {"timestamp": F.when(F.col("record_id") % 5 == 0, "soon").when(F.col("record_id") % 5 > 1, time), "source_time_utc": F.when(F.col("record_id") % 5 == 1, time)}
+    lines = r.select(F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("line"))
+    return exports.with_identity(exports.parse_records(lines, "line")).select(F.col("record_id").cast("long").alias("record_id"), "device_id", "ts_us")
+
+
+@query(f"WITH {R} SELECT record_id, CASE WHEN record_id % 3 = 0 THEN k + 1 ELSE k END AS k FROM r UNION ALL SELECT -record_id, k FROM r WHERE record_id % 3 = 1")
+def stored_records(spark, sf_dir):
+    """All records are written twice; in the second write a third has changed, a third comes under new ids and a third is the same."""
+    r, part = records(spark, sf_dir), F.col("record_id") % 3
+    path = f"{scratch_root(spark)}/stored-{uuid.uuid4().hex}"
+    later = r.withColumns({"k": F.when(part == 0, F.col("k") + 1).otherwise(F.col("k")), "record_id": F.when(part == 1, -F.col("record_id")).otherwise(F.col("record_id"))})
+    for rows in (r, later):
+        sinks.upsert(rows.select("record_id", "k", F.sha2(F.concat_ws("|", "record_id", "k"), 256).alias("record_fingerprint")), path)
+    return sinks.current_rows(spark, path).select("record_id", "k")
+
+
 @query(f"WITH {R} SELECT record_id, CASE WHEN record_id % 4 <> 2 THEN k::DOUBLE END AS k, value AS v FROM r WHERE family = 'view'")
 def typed_view(spark, sf_dir):
     i = F.col("record_id") % 4
