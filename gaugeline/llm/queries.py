@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, langid, mixing, neardup, packing, pii, quality, token_counts, topk, urls
-from .common import bounded_sample, held_out
+from . import alignment, embeddings, langid, mixing, neardup, packing, phrases, pii, quality, token_counts, token_files, topk, urls
+from .common import bounded_sample, held_out, scratch_root
 
 #: Labelled documents that the quality model is fitted on, at most.
 FIT_ROWS = 4000
@@ -14,10 +16,10 @@ FIT_ROWS = 4000
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,7 +83,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_mix_sources, op4_language, op5_url_filter, op6_near_vectors, op7_pack, op8_personal_data, op9_top_products, op10_token_counts)}
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_root(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), digest=True)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_mix_sources, op4_language, op5_url_filter, op6_near_vectors, op7_pack, op8_personal_data, op9_top_products, op10_token_counts, op11_token_files, op12_phrases, op13_alignment)}
 
 ORACLE_SQL = {
     "op3_mix_sources": r"""
@@ -112,5 +128,29 @@ p AS (
     WHEN ties = 1 THEN FLOOR((budget - (upto - tied)) / tied + 0.5) ELSE (budget - (upto - tied)) / tied END AS part
   FROM g)
 SELECT doc_id, size, n::BIGINT AS source_size, target, (base * size + FLOOR(size * part + 0.5))::BIGINT AS taken FROM p
+""",
+    "op12_phrases": r"""
+WITH pieces AS (
+  SELECT lang, REGEXP_EXTRACT_ALL(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT COALESCE(lang, 'und') AS lang, UNNEST(REGEXP_SPLIT_TO_ARRAY(TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, m, UNNEST([ARRAY_TO_STRING(ws[i:i + m - 1], ' ') FOR i IN RANGE(1, LEN(ws) - m + 2)]) AS phrase
+  FROM pieces, (SELECT UNNEST(RANGE(1, 6)) AS m) WHERE LEN(ws) >= m),
+f AS (SELECT lang, m, phrase, COUNT(*) AS c FROM grams GROUP BY lang, m, phrase),
+total AS (SELECT lang, SUM(c)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, c AS a, STRING_SPLIT(phrase, ' ') AS ws FROM f WHERE m > 1 AND c >= 100),
+cuts AS (SELECT *, UNNEST(RANGE(1, m)) AS k FROM cand),
+scored AS (
+  SELECT x.lang, x.m, x.phrase, x.a, x.k, p.c AS l, q.c AS r, n, ((1000::HUGEINT * x.a * n) // (p.c::HUGEINT * q.c))::BIGINT AS score
+  FROM cuts x JOIN total USING (lang)
+    JOIN f p ON p.lang = x.lang AND p.phrase = ARRAY_TO_STRING(x.ws[1:x.k], ' ')
+    JOIN f q ON q.lang = x.lang AND q.phrase = ARRAY_TO_STRING(x.ws[x.k + 1:x.m], ' ')),
+least AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, UNNEST([ARRAY_TO_STRING(ws[i:i + s - 1], ' ') FOR i IN RANGE(1, m - s + 2)]) AS phrase, a AS longer
+  FROM cand, (SELECT UNNEST(RANGE(2, 5)) AS s) WHERE s < m),
+kept AS (SELECT * FROM least x WHERE NOT EXISTS (SELECT 1 FROM inner_parts i WHERE i.lang = x.lang AND i.phrase = x.phrase AND 100 * i.longer >= 100 * x.a))
+SELECT lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, ENCODE(phrase)) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
 """,
 }
