@@ -83,7 +83,7 @@ class Field:
         self.bits = bits
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        at = h & np.uint64((1 << FIELD_BITS) - 1)
+        at = h & np.uint64(64 * len(self.bits) - 1)
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
@@ -189,6 +189,11 @@ def phrase_counts(df: DataFrame, max_words: int, least: int, text: str = "text",
     return kept, totals
 
 
+def cut_score(a: str, n: str, left: str, right: str) -> Column:
+    """``floor(1000 * a * n / (left * right))`` in Decimal: products of counts below 10 ** 16, a whole quotient."""
+    return F.expr(f"(cast({a} as decimal(16,0)) * cast(1000 as decimal(4,0)) * cast({n} as decimal(16,0))) div (cast({left} as decimal(18,0)) * cast({right} as decimal(18,0)))")
+
+
 def collocations(df: DataFrame, max_words: int = 5, least: int = 100, first: int = 2000, covered: int = 100, text: str = "text", lang: str = "lang", unknown: str = "und") -> DataFrame:
     """The ``first`` best collocations of each language.
 
@@ -218,8 +223,7 @@ def collocations(df: DataFrame, max_words: int = 5, least: int = 100, first: int
     of = counts.select("lang", "phrase", "n")
     cuts = cuts.join(of.select("lang", F.col("phrase").alias("left"), F.col("n").alias("l")), ["lang", "left"]).join(of.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"])
     cuts = cuts.join(totals.withColumnRenamed("total", "n"), "lang")
-    score = F.expr("(cast(a as decimal(16,0)) * cast(1000 as decimal(4,0)) * cast(n as decimal(16,0))) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
-    scored = cuts.select("lang", "phrase", "a", "n", F.struct(score.alias("score"), "k", "l", "r").alias("cut")).groupBy("lang", "phrase").agg(F.min("cut").alias("cut"), F.first("a").alias("a"), F.first("n").alias("n"))
+    scored = cuts.select("lang", "phrase", "a", "n", F.struct(cut_score("a", "n", "l", "r").alias("score"), "k", "l", "r").alias("cut")).groupBy("lang", "phrase").agg(F.min("cut").alias("cut"), F.first("a").alias("a"), F.first("n").alias("n"))
     ends = F.explode(F.array(part(1, F.size("w") - 1), part(2, F.size("w") - 1)))
     inner = candidates.filter(F.size("w") > 2).select("lang", "a", ends.alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     inner = inner.select(F.col("lang").alias("of_lang"), F.col("phrase").alias("of_phrase"), "longer")

@@ -209,6 +209,8 @@ class Codebook:
         out = np.zeros((LANE, lanes), np.uint32)
         steps, last = min(n, LANE), n - (lanes - 1) * LANE
         down, mask, end = np.uint64(40 - self.bits), np.uint64((1 << self.bits) - 1), (len(raw) - 8) * 8
+        if at.max(initial=0) > end:
+            raise ValueError("damaged block: a lane begins behind its end")
         for i in range(steps):
             if i == last:  # the last lane is shorter
                 at = at[:-1]
@@ -234,21 +236,21 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
 class FileWriter:
     """Writes ids in blocks; memory is one block."""
 
-    def __init__(self, address: str, book: Codebook):
+    def __init__(self, address: str, book: Codebook, block: int = BLOCK):
         store, path = opened(address)
         store.create_dir(path.rsplit("/", 1)[0], recursive=True)
         self.out = store.open_output_stream(path)
         self.out.write(MAGIC)
-        self.book, self.waiting, self.held, self.blocks, self.offset, self.total = book, [], 0, [], len(MAGIC), 0
+        self.book, self.size, self.waiting, self.held, self.blocks, self.offset, self.total = book, block, [], 0, [], len(MAGIC), 0
 
     def add(self, ids: np.ndarray) -> None:
         self.waiting.append(ids)
         self.held += len(ids)
-        if self.held >= BLOCK:
+        if self.held >= self.size:
             ids = np.concatenate(self.waiting)
-            whole = len(ids) // BLOCK * BLOCK
-            for at in range(0, whole, BLOCK):
-                self.block(ids[at : at + BLOCK])
+            whole = len(ids) // self.size * self.size
+            for at in range(0, whole, self.size):
+                self.block(ids[at : at + self.size])
             self.waiting, self.held = [ids[whole:]], len(ids) - whole
 
     def block(self, ids: np.ndarray) -> None:
@@ -385,7 +387,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, key
 
         at = 0
         for batch in batches:
-            out = out or FileWriter(f"{path}/{name}", Codebook(lengths))
+            out = out or FileWriter(f"{path}/{name}", Codebook(lengths), BLOCK)
             done = []
             for key_, chunk, raw in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 ids = np.frombuffer(raw.as_buffer(), "<u4")
