@@ -360,6 +360,8 @@ IN_NUMBER = GAPS | frozenset("0123456789")
 MAIL, NUMBER = 1, 2
 #: Characters that are put into windows at once, and steps of sequences that are decoded side by side.
 PIECE, AREA = 1 << 16, 1 << 18
+#: Longer segments are decoded alone, in blocks of so many characters.
+LONG = 1 << 17
 #: Tags that a character may have, by MAIL + NUMBER.
 OPEN = np.array([[0] + [0 if (stretch & (MAIL if k == "email" else NUMBER)) else NEVER for k in KINDS for _ in "BI"] for stretch in range(4)], np.float32)
 
@@ -453,12 +455,76 @@ def viterbi(e: np.ndarray, sizes: np.ndarray, first: np.ndarray, moves: np.ndarr
     return tags
 
 
+def long_tags(model: TaggerModel, text: str, a: int, b: int, kinds: np.ndarray, first: np.ndarray, last: np.ndarray, block: int) -> np.ndarray:
+    """Best tags of one long segment, as ``viterbi`` gives them, with the steps of ``block`` characters in memory.
+
+    After each block the best paths to all tags are followed back to where they meet; what lies before is decided. Paths
+    that don't meet for long keep their steps, one byte for a tag, until they do.
+    """
+    tags, done, moves = np.zeros(b - a, np.int8), 0, model.moves()
+    backs = np.zeros((0, N_TAG), np.int8)  # backs[k]: from a tag at done + k + 1 to the one before it
+    best = None
+    for x in range(a, b, block):
+        y = min(x + block, b)
+        e = blended(model, [(text, p, min(p + PIECE, y)) for p in range(x, y, PIECE)]) + OPEN[kinds[x - a : y - a]]
+        own = np.zeros((len(e), N_TAG), np.int8)
+        for t in range(len(e)):
+            if best is None:
+                best = first + e[0]
+                continue
+            score = best[:, None] + moves
+            own[t] = score.argmax(axis=0)
+            best = score.max(axis=0) + e[t]
+        backs = np.concatenate((backs, own[1:] if x == a else own))
+        best = best - best.max()
+        if y == b:
+            states = np.array([(best + last).argmax()])
+        else:
+            states = np.arange(N_TAG)
+        t = len(backs)  # states are those at done + t
+        while t and (states != states[0]).any():
+            states = backs[t - 1][states]
+            t -= 1
+        if (states != states[0]).any():
+            continue
+        state, end = int(states[0]), t
+        steps = backs[:end].tolist()
+        path = [state]
+        for row in reversed(steps):
+            state = row[state]
+            path.append(state)
+        tags[done : done + end + 1] = path[::-1]
+        backs, done = backs[end:], done + end
+    return tags
+
+
+def spans_of_tags(tags: np.ndarray) -> Iterator[tuple[str, int, int]]:
+    """(kind, begin, end) of each B tag and the I tags of its kind that follow."""
+    for t in np.flatnonzero(tags % 2 == 1).tolist():
+        end, kind = t + 1, tags[t]
+        while end < len(tags) and tags[end] == kind + 1:
+            end += 1
+        yield KINDS[kind // 2], t, end
+
+
 def network_spans(model: TaggerModel, texts: list[str]) -> list[list[Span]]:
     """Spans that the network finds in each text, those whose text has the form of their kind."""
     found: list[list[Span]] = [[] for _ in texts]
     parts = [(i, a, b, kinds) for i, text in enumerate(texts) for a, b, kinds in segments(text)]
     parts.sort(key=lambda s: s[1] - s[2])
     moves, start = model.moves(), model.p["s"] + START
+
+    def note(i: int, a: int, tags: np.ndarray) -> None:
+        for name, x, y in spans_of_tags(tags):
+            if LIKELY[name](texts[i][a + x : a + y]):
+                found[i].append((name, a + x, a + y))
+
+    def ends_of(i: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        return start if a == 0 else moves[0], 0 * start if b == len(texts[i]) else moves[:, 0]
+
+    while parts and parts[0][2] - parts[0][1] > LONG:
+        i, a, b, kinds = parts.pop(0)
+        note(i, a, long_tags(model, texts[i], a, b, kinds, *ends_of(i, a, b), LONG))
     while parts:
         many = max(1, AREA // (parts[0][2] - parts[0][1]))
         own, parts = parts[:many], parts[many:]
@@ -470,17 +536,10 @@ def network_spans(model: TaggerModel, texts: list[str]) -> list[list[Span]]:
         e = np.zeros((sizes[0], len(own), N_TAG), np.float32)
         for j, n in enumerate(sizes.tolist()):
             e[:n, j] = told[ends[j] - n : ends[j]]
-        first = np.stack([start if a == 0 else moves[0] for _, a, _, _ in own])
-        last = np.stack([0 * start if b == len(texts[i]) else moves[:, 0] for i, _, b, _ in own])
+        first, last = (np.stack(x) for x in zip(*(ends_of(i, a, b) for i, a, b, _ in own), strict=True))
         tags = viterbi(e, sizes, first, moves, last)
-        for t, j in zip(*np.nonzero(tags % 2 == 1), strict=True):
-            i, a, b, _ = own[j]
-            end, kind = t + 1, tags[t, j]
-            while end < b - a and tags[end, j] == kind + 1:
-                end += 1
-            name = KINDS[kind // 2]
-            if t < b - a and LIKELY[name](texts[i][a + t : a + end]):
-                found[i].append((name, int(a + t), int(a + end)))
+        for j, (i, a, b, _) in enumerate(own):
+            note(i, a, tags[: b - a, j])
     return found
 
 
@@ -512,7 +571,8 @@ BLOCK_CHARS = 1 << 20
 def find_spans(df: DataFrame, model: TaggerModel, text: str = "text", base_col: str = "base_spans", spans_col: str = "spans") -> DataFrame:
     """Add the base spans and all spans, arrays of (kind, start, end) in code points, by kind and start.
 
-    Null and empty texts have no spans. Whole texts are read, whatever their length. Rows,
+    Null and empty texts have no spans. Whole texts are read, whatever their length, in linear time; memory is the text, two bytes for
+    each character of its longest stretch and one block of steps. Rows,
     repetitions and other columns are kept; existing columns of the two result names are replaced.
     """
 

@@ -14,13 +14,15 @@ Two deterministic transducers stand for a byte-level BPE tokenizer:
   may still grow into a vocabulary entry, with the last token and relative
   count of each of its prefixes.
 
-Memory is bounded: both the piece memo and the compiled states are dropped and
-rebuilt when they reach a fixed number of entries, which never changes results.
+Memory is bounded: the piece memo and the compiled states are dropped and
+rebuilt when they reach a fixed number of entries, also within a piece, which goes on from its current
+state; long pieces aren't kept. Long texts are counted in blocks cut before a blank. None of this changes results.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -34,7 +36,8 @@ from .common import named, slices, text_blocks
 CHUNK = 64
 BLOCK_CHARS = 1 << 21
 MEMO_PIECES = 250_000
-MAX_STATES = 400_000
+MEMO_CHARS = 64
+MAX_STATES = 150_000
 #: Characters of Unicode's White_Space property (fixed values).
 WHITE = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -203,17 +206,46 @@ class PieceTransducer:
         self.steps[state << 8 | byte] = to, change
         return to, change
 
+    def keep_only(self, state: int) -> int:
+        """Forget all states but the first and the given one; its new number."""
+        own = self.states[state]
+        self.reset()
+        if own not in self.known:
+            self.known[own] = len(self.states)
+            self.states.append(own)
+        return self.known[own]
+
     def count(self, piece: bytes) -> int:
-        if len(self.states) > MAX_STATES:
-            self.reset()
         state = total = 0
         steps = self.steps
         for byte in piece:
-            state, change = steps.get(state << 8 | byte) or self.step(state, byte)
+            found = steps.get(state << 8 | byte)
+            if found is None:
+                if len(self.states) > MAX_STATES:
+                    state = self.keep_only(state)
+                    steps = self.steps
+                found = self.step(state, byte)
+            state, change = found
             total += change
         return total
 
 
+#: Places before which a text may be cut: a blank after a visible character never continues a piece.
+CUT = re.compile(r"(?<=[A-Za-z0-9.,;:!?)]) ")
+
+
+def cut_text(text: str, most: int) -> Iterator[str]:
+    """The text in parts of about ``most`` characters, cut before blanks; without such blanks a part is longer."""
+    at = 0
+    while len(text) - at > most:
+        place = CUT.search(text, at + most)
+        if place is None:
+            break
+        yield text[at : place.start()]
+        at = place.start()
+    yield text[at:]
+
+
 class TokenCounter:
     """Counts tokens of whole texts as the ``tokenizers`` library does for a byte-level BPE file."""
 
@@ -257,9 +289,10 @@ class TokenCounter:
             memo.clear()
         words = [block[a:b] for a, b in zip(starts.tolist(), after.tolist(), strict=True)]
         count = self.pieces.count
+        long: dict[str, int] = {}
         for w in set(words).difference(memo):
-            memo[w] = count(w.encode("utf-8", "surrogatepass"))
-        counts = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+            (memo if len(w) <= MEMO_CHARS else long)[w] = count(w.encode("utf-8", "surrogatepass"))
+        counts = np.fromiter((long[w] if w in long else memo[w] for w in words) if long else map(memo.__getitem__, words), np.int64, len(words))
         total = np.concatenate(([0], np.cumsum(counts)))
         bounds = np.searchsorted(starts, np.concatenate(([0], ends + 1)))
         return total[bounds[1:]] - total[bounds[:-1]]
@@ -271,6 +304,7 @@ class TokenCounter:
         for i, text in enumerate(texts):
             parts = self.split_special(text) if any(s in text for s in self.special) else [text]
             result[i] = len(parts) - 1
+            parts = [x for p in parts for x in cut_text(p, BLOCK_CHARS)]
             flat += parts
             owner += [i] * len(parts)
         for a, b in slices([len(x) for x in flat], BLOCK_CHARS):
@@ -300,7 +334,8 @@ def count_tokens(df: DataFrame, tokenizer_path: str, text: str = "text", limit:
 
     Null texts count as empty: 0 bytes, 0 tokens. Empty texts have 0 tokens. Rows, their
     repetition and all other columns are kept as they are; existing columns of the three
-    result names are replaced. Texts of any length are read whole. ``tokenizer_path`` is a
+    result names are replaced. Texts of any length are read whole; memory is that of a block (2 million characters) or, where a text has
+    no blank for longer, of such a stretch. ``tokenizer_path`` is a
     file that every executor can open.
     """
 

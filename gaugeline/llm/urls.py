@@ -18,9 +18,12 @@ from .graph import components
 
 MAX_RULES = 1000
 ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+#: A tag reaches to the next angle bracket, so that a page of unclosed tags is read once.
+TAG = r"(?i)<(?:link|meta)\b[^<>]*+"
+#: By kind: what a tag begins with, the attribute that it must have, and its target.
 TAGS = {
-    "canonical": r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)",
-    "refresh": r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)",
+    "canonical": (r"(?i)^<link\b", r"(?i)\brel\s*+=\s*+[\"']?canonical\b", r"(?i)\bhref\s*+=\s*+[\"']?([^\"'\s>]++)"),
+    "refresh": (r"(?i)^<meta\b", r"(?i)\bhttp-equiv\s*+=\s*+[\"']?refresh\b", r"(?i)\burl\s*+=\s*+[\"']?([^\"'\s>]++)"),
 }
 
 
@@ -85,19 +88,23 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str
     (component, null without links to other addresses). Aliases are the addresses connected by canonical
     links and refresh redirects found in ``html``, and those of one ``alias_key``; targets need not be pages themselves. A page with a rule
     always follows it. Without one, an allow rule anywhere in the component wins over block
-    rules; a block rule there blocks. Every tag of a page counts. Null or malformed addresses have empty host and path, no
+    rules; a block rule there blocks. Every tag of a page counts, its first target if it has more; pages of any length are read in linear time. Null or malformed addresses have empty host and path, no
     rule and no aliases. Repeated rows, null keys and null html are ordinary; an empty table
     gives an empty result. Other columns are not carried.
     """
     u, body = named(url), named(html)
 
     def found(kind: str) -> Column:
-        return F.transform(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(TAGS[kind]), F.lit(1)), lambda link: resolve(link, u))
+        begins, has, target = TAGS[kind]
+        own = F.filter("tags", lambda t: t.rlike(begins) & t.rlike(has))
+        return F.transform(own, lambda t: resolve(F.regexp_extract(t, target, 1), F.col("u")))
 
     def vertex(address: Column) -> Column:
         return F.struct(alias_key(address).alias("v"), match_rule(host_of(address), path_of(address), rules)[1].alias("own"))
 
-    base = pages.select(named(key).alias("key"), u.alias("u"), F.array_distinct(F.array_compact(F.concat(found("canonical"), found("refresh")))).alias("links"))
+    tags = F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(TAG), F.lit(0))
+    base = pages.select(named(key).alias("key"), u.alias("u"), tags.alias("tags"))
+    base = base.select("key", "u", F.array_distinct(F.array_compact(F.concat(found("canonical"), found("refresh")))).alias("links"))
     rule, own = match_rule(F.col("host"), F.col("path"), rules)
     base = base.withColumns({"host": host_of(F.col("u")), "path": path_of(F.col("u")), "v": alias_key(fold_dots(F.col("u")))}).withColumns({"rule": rule, "own": own, "links": F.transform("links", vertex)})
     base = materialize(base.drop("u"), "pages")
