@@ -1,15 +1,15 @@
 """Phrase collocation mining: n-grams as rows, counts by hash aggregation, exact scores, maximal phrases.
 
 Texts are cut at marks into pieces and these at blanks into words. The n-grams of 1 to
-``max_words`` words become rows of a DataFrame and are counted per language by hash aggregation, in three
-rounds: words, pairs, and all longer phrases. Prefix and suffix counts are joined to every
-cut of every candidate, scores are computed in Decimal, candidates that a one-word extension covers are removed
-by an anti-join, and the best of each language are ranked by windows.
-
-A phrase is never more frequent than its parts. So rounds after the first leave out the rows of n-grams
-with a part that is known to be too rare to matter. What is known is kept in a bit field of fixed size
-(FIELD_BITS), marked with the hashes of all frequent parts and sent to the tasks. A bit that is set by another
-part only lets a row through that the aggregation then finds too rare; no bit of a frequent part is ever missing. So the result is
+``max_words`` words become rows of a DataFrame and are counted per language by hash aggregation. Prefix and suffix
+counts are joined to every cut of every candidate, scores are computed in Decimal, candidates that a one-word
+extension covers are removed by an anti-join, and the best of each language are ranked by windows.
+
+A phrase is never more frequent than its parts, so n-grams with a part that is too rare need no row. Three rounds tell:
+words are counted first; then pairs of frequent words, as hashes (two hashes that collide only add up, so no frequent pair
+is missed); then all phrases of two words or more whose pairs are frequent by their hashes, as texts. What is frequent is kept in a
+bit field of fixed size (FIELD_BITS) that is sent to the tasks. A bit that is set by another
+part only lets a row through that the aggregation then finds too rare. So the result is
 the same whatever the field holds; on a corpus whose frequent parts fill it, all n-grams become rows.
 """
 
@@ -38,7 +38,7 @@ KINDS = np.zeros(256, np.uint8)
 KINDS[[0x20, 0x09]] = 1
 KINDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 
-SCHEMA = "lang string, phrase string, words int, h long, n long"
+PHRASES, HASHES = "lang string, phrase string, n long", "h long, n long"
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -87,6 +87,24 @@ class Field:
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def hashed(phrases: DataFrame) -> DataFrame:
+    """The hashes ``h`` of (lang, phrase)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = [digest([x.split(" ") for x in batch.column(1).to_pylist()], batch.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h).view(np.int64))], names=["h"])
+
+    def digest(phrases: list[list[str]], langs: list[str]) -> np.ndarray:
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, langs), np.uint64, len(langs))
+        for i in range(max(map(len, phrases), default=0)):
+            some = np.array([len(p) > i for p in phrases])
+            h[some] = mixed(h[some], np.fromiter((xxhash.xxh3_64_intdigest(p[i]) for p in phrases if len(p) > i), np.uint64, int(some.sum())))
+        return h
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "h long")
+
+
 def field_of(parts: DataFrame) -> Field:
     """The bit field of the hashes ``h``: its 64-bit words are put together by aggregation, at most 2 ** (FIELD_BITS - 6) rows reach the driver."""
     at = F.col("h").bitwiseAND(F.lit((1 << FIELD_BITS) - 1))
@@ -97,8 +115,8 @@ def field_of(parts: DataFrame) -> Field:
     return Field(bits)
 
 
-def ngrams(rows: DataFrame, sizes: range, fields: dict[int, Field]) -> DataFrame:
-    """Rows of the n-grams of ``sizes`` words of (lang, text), equal ones of a block added up.
+def ngrams(rows: DataFrame, sizes: range, fields: dict[int, Field], as_hashes: bool = False) -> DataFrame:
+    """Rows of the n-grams of ``sizes`` words of (lang, text) as texts or as hashes, equal ones of a block added up.
 
     ``fields``: by number of words, the parts that may be frequent. An n-gram with a part of such a number of words
     that isn't among them has no row.
@@ -136,13 +154,16 @@ def ngrams(rows: DataFrame, sizes: range, fields: dict[int, Field]) -> DataFrame
                 more = at + (n - 1)
                 _, same = np.unique(same, return_inverse=True)
                 same, h = same * base + code[more], mixed(h, h_word[more])
-            if n in sizes and len(at):
+            if n in sizes and len(at) and as_hashes:
+                own, times = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "n"])
+            elif n in sizes and len(at):
                 _, first, times = np.unique(same, return_index=True, return_counts=True)
                 heads = at[first]
                 parts = [words.take(pa.array(heads + i)) for i in range(n)]
                 phrase = pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
                 lang_of = pa.array(langs, pa.string()).take(pa.array(lang[heads]))
-                yield pa.RecordBatch.from_arrays([lang_of, phrase, pa.array(np.full(len(first), n, np.int32)), pa.array(h[first].view(np.int64)), pa.array(times.astype(np.int64))], names=["lang", "phrase", "words", "h", "n"])
+                yield pa.RecordBatch.from_arrays([lang_of, phrase, pa.array(times.astype(np.int64))], names=["lang", "phrase", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {n: Field(bits) for n, bits in shared.value.items()}
@@ -157,36 +178,26 @@ def ngrams(rows: DataFrame, sizes: range, fields: dict[int, Field]) -> DataFrame
                     stop, last = min(start + WINDOW, len(words)), min(start + WINDOW + sizes[-1] - 1, len(words))
                     yield from count(words.slice(start, last - start), piece[start:last], lang[start:last], langs, stop - start, known)
 
-    return rows.mapInArrow(run, SCHEMA)
-
-
-def counted(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.max("h").alias("h"), F.sum("n").alias("n"))
+    return rows.mapInArrow(run, HASHES if as_hashes else PHRASES)
 
 
 def phrase_counts(df: DataFrame, max_words: int, least: int, text: str = "text", lang: str = "lang", unknown: str = "und") -> tuple[DataFrame, DataFrame]:
     """Counts of all phrases of 1 to ``max_words`` words that occur ``least`` times or more in their language, and the words of each language.
 
-    First result: lang, phrase, words, n; second: lang, total.
+    First result: lang, phrase, n; second: lang, total.
     """
     rows = df.select(F.coalesce(named(lang).cast("string"), F.lit(unknown)).alias("lang"), named(text).alias("text"))
-    single = materialize(counted(ngrams(rows, range(1, 2), {})), "phrase-words")
+    n = F.sum("n").alias("n")
+    single = materialize(ngrams(rows, range(1, 2), {}).groupBy("lang", "phrase").agg(n), "phrase-words")
     totals = materialize(single.groupBy("lang").agg(F.sum("n").alias("total")), "phrase-totals")
-    frequent = F.col("n") >= least
-    rounds = [single.filter(frequent)]
-    if max_words > 1:
-        fields = {1: field_of(rounds[0])}
-        rounds.append(materialize(counted(ngrams(rows, range(2, 3), fields)).filter(frequent), "phrase-pairs"))
-    if max_words > 2:
-        # a pair that is frequent consists of frequent words
-        fields = {2: field_of(rounds[1])}
-        rounds.append(materialize(counted(ngrams(rows, range(3, max_words + 1), fields)).filter(frequent), "phrase-longer"))
-    found = rounds[0]
-    for more in rounds[1:]:
-        found = found.unionByName(more)
-    kept = materialize(found.select("lang", "phrase", "words", "n"), "phrase-counts")
-    discard(single, *rounds[1:])
-    return kept, totals
+    words = materialize(single.filter(F.col("n") >= least), "phrase-frequent")
+    discard(single)
+    # hashes of frequent pairs: as numbers they move in less than half the bytes of their texts
+    pairs = ngrams(rows, range(2, 3), {1: field_of(hashed(words))}, as_hashes=True).groupBy("h").agg(n).filter(F.col("n") >= least)
+    longer = ngrams(rows, range(2, max_words + 1), {2: field_of(pairs)}).groupBy("lang", "phrase").agg(n).filter(F.col("n") >= least)
+    counts = materialize(words.unionByName(longer), "phrase-counts")
+    discard(words)
+    return counts, totals
 
 
 def cut_score(a: str, n: str, left: str, right: str) -> Column:
@@ -212,7 +223,7 @@ def collocations(df: DataFrame, max_words: int = 5, least: int = 100, first: int
     if max_words < 2 or least < 1:
         raise ValueError("phrases have two words or more and occur at least once")
     counts, totals = phrase_counts(df, max_words, least, text, lang, unknown)
-    candidates = counts.filter(F.col("words") > 1).select("lang", "phrase", F.col("n").alias("a"), F.split("phrase", " ", -1).alias("w"))
+    candidates = counts.filter(F.contains("phrase", F.lit(" "))).select("lang", "phrase", F.col("n").alias("a"), F.split("phrase", " ", -1).alias("w"))
 
     def part(start: int | Column, size: Column) -> Column:
         return F.array_join(F.slice("w", start, size), " ")

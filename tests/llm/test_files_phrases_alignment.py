@@ -222,6 +222,14 @@ def test_a_full_field_changes_nothing(spark, monkeypatch, bits):
     assert sorted(map(tuple, phrases.collocations(df, 4, 3).collect())) == plain_phrases(rows, 4, 3, 2000, 100)
 
 
+def test_hashes_of_phrases_are_those_of_their_ngrams(spark):
+    df = spark.createDataFrame([("en", "a b c a b"), ("de", "a b É")], "lang string, text string")
+    for n in (1, 2, 3):
+        plain = phrases.ngrams(df, range(n, n + 1), {})
+        want = {r.h for r in phrases.hashed(plain).collect()}
+        assert {r.h for r in phrases.ngrams(df, range(n, n + 1), {}, as_hashes=True).collect()} == want and len(want) == plain.count()
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     cases = [(10**15 - 1, 10**15 + 7, 3, 7), (10**12 + 1, 10**13 + 3, 10**12 + 1, 10**13 - 1), (999_999_999_999, 10**15, 10**12, 10**13), (2**53 + 1, 10**12, 2**53 + 1, 1000)]
     df = spark.createDataFrame(cases, "a long, n long, l long, r long")
