@@ -28,6 +28,8 @@ from .token_counts import byte_alphabet
 BLOCK_CHARS = 1 << 20
 #: Pairs whose counts are sent to all tasks: 17 bytes each.
 FREQUENT = 1 << 20
+#: Links of a group that are expanded one by one; larger groups put equal ids together first.
+SMALL_GROUP = 256
 #: Pairs of one row between the steps.
 ROW_PAIRS = 1 << 16
 #: Pairs that a task adds up before it passes them on.
@@ -146,19 +148,18 @@ class Alignment:
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """The different linked pairs (A id << 32 | B id) and how many links each has.
 
-        Groups of one A or one B token are expanded together; in others equal ids are put together first, so that a long
+        Small groups are expanded together; in others equal ids are put together first, so that a long
         group costs its different pairs and not its links.
         """
-        keys, times = [], []
-        simple = (self.n_a == 1) | (self.n_b == 1)
-        size = np.maximum(self.n_a, self.n_b)[simple]
+        links = self.n_a * self.n_b
+        small = links <= SMALL_GROUP
+        size, n_b = links[small], self.n_b[small]
         inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        at_a = np.repeat(self.at_a[simple], size) + np.where(np.repeat(self.n_a[simple], size) > 1, inner, 0)
-        at_b = np.repeat(self.at_b[simple], size) + np.where(np.repeat(self.n_b[simple], size) > 1, inner, 0)
-        keys.append(self.a[at_a] << 32 | self.b[at_b])
-        times.append(np.ones(len(at_a), np.int64))
+        n_b = np.repeat(n_b, size)
+        at_a, at_b = np.repeat(self.at_a[small], size) + inner // n_b, np.repeat(self.at_b[small], size) + inner % n_b
+        keys, times = [self.a[at_a] << 32 | self.b[at_b]], [np.ones(len(at_a), np.int64)]
         held = len(at_a)
-        for g in np.flatnonzero(~simple).tolist():
+        for g in np.flatnonzero(~small).tolist():
             a, n = np.unique(self.a[self.at_a[g] : self.at_a[g] + self.n_a[g]], return_counts=True)
             b, m = np.unique(self.b[self.at_b[g] : self.at_b[g] + self.n_b[g]], return_counts=True)
             keys.append((a[:, None] << 32 | b[None, :]).reshape(-1))
