@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scratch import materialize
+
 
 def canonical_payload(payload: Column) -> Column:
     """``key=value`` pairs of a payload map in order of the keys; values as JSON text."""
@@ -35,6 +37,70 @@ def mark_duplicates(df: DataFrame, ledger: DataFrame | None = None, order: Seque
     return out.withColumn("is_duplicate", F.coalesce("_known", F.lit(False)) | (F.struct(*order) != F.col("_first"))).drop("_first", "_known")
 
 
+def ledger_scan(df: DataFrame, ledger: DataFrame | None, capacity: int, group: Sequence[str], order: Sequence[Column | str], eligible: str) -> tuple[DataFrame, DataFrame]:
+    """Duplicates by one bounded ledger for all rows: (``df`` with ``is_duplicate``, the ledger after it).
+
+    Rows come in ``order``, whose first columns are the ``group`` (here a device and a time). A row is a duplicate if its fingerprint
+    is in the ledger or on an earlier ``eligible`` row of this run. Other eligible rows are entered after their group, and
+    what exceeds ``capacity`` goes, the oldest first; so an entry of an earlier run may be gone when its fingerprint comes again, which is then
+    entered anew. A fingerprint determines its group. ``ledger``: fingerprint, device_id, place (ascending, no order within equal ones);
+    the result has the same columns. Null fingerprints are a fingerprint like others.
+
+    Nothing is queued one by one: first rows of fingerprints are a grouped minimum; how many come before an entry's group is a
+    prefix sum over ranges; only the entries that come again, at most ``capacity``, meet on the driver, where those that are entered anew
+    move the later ones.
+    """
+    spark = df.sparkSession
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    rows = df.withColumns({"_at": F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), "_group": F.struct(*[c for i, g in enumerate(group) for c in (F.col(g).isNull().alias(f"n{i}"), F.col(g).alias(f"g{i}"))])})
+    first = rows.groupBy("fingerprint").agg(F.min(F.when(F.col(eligible), F.col("_at"))).alias("_first"), F.min("_group").alias("_group"), F.min("device_id").alias("device_id"))
+    if ledger is None:
+        ledger = spark.createDataFrame([], "fingerprint string, device_id string, place long")
+    old = ledger.orderBy(F.desc("place")).limit(capacity)  # a top-k of at most `capacity` rows
+    old = materialize(old.withColumn("_old", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("place")) - 1), "ledger")
+    size, base = old.agg(F.count(F.lit(1)), F.coalesce(F.max("place"), F.lit(-1))).first()
+    if size:
+        first = first.join(old.select("fingerprint", "_old"), "fingerprint", "left")
+    else:
+        first = first.withColumn("_old", F.lit(None).cast("int"))
+    first = materialize(first, "first-rows")
+    # at most `capacity` fingerprints
+    anew = spark.createDataFrame([(f,) for f in gone_entries(first, size, capacity)] if size else [], "fingerprint string").withColumn("_anew", F.lit(True))
+    kept = old.join(anew, "fingerprint", "left_anti").select("fingerprint", F.lit(True).alias("_known"))
+    marked = rows.join(first.select("fingerprint", "_first"), "fingerprint", "left").join(kept, "fingerprint", "left")
+    marked = marked.withColumn("is_duplicate", F.coalesce("_known", F.lit(False)) | F.coalesce(F.col("_first") < F.col("_at"), F.lit(False)))
+    inserted = first.join(anew, "fingerprint", "left").filter(F.col("_first").isNotNull() & (F.col("_old").isNull() | F.col("_anew")))
+    many = inserted.count()
+    last = inserted.orderBy(F.desc("_first")).limit(capacity)
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_first")) + F.lit(base)
+    stay = old.filter(F.col("_old") >= size + many - capacity).select("fingerprint", "device_id", "place")
+    after = stay.unionByName(last.select("fingerprint", "device_id", place.cast("long").alias("place")))
+    return marked.select(*df.columns, "is_duplicate"), materialize(after, "ledger")
+
+
+def gone_entries(first: DataFrame, size: int, capacity: int) -> list[str]:
+    """Of the ledger's entries that come again (``_old``: their number from the oldest) those that are gone by then. Those with an eligible row are entered anew."""
+    groups = first.select("_group", "_old", "fingerprint", F.col("_first").isNotNull().alias("enters"))
+    parts = max(1, first.sparkSession.sparkContext.defaultParallelism)
+    groups = materialize(groups.repartitionByRange(parts, "_group").withColumn("part", F.spark_partition_id()), "first-groups")
+    new = F.when(F.col("_old").isNull() & F.col("enters"), 1).otherwise(0)
+    # fingerprints of earlier groups in the same range; those of the ranges before are added below
+    upto = F.sum(new).over(Window.partitionBy("part").orderBy("_group")) - F.sum(new).over(Window.partitionBy("part", "_group"))
+    again = groups.withColumn("inner", upto).filter(F.col("_old").isNotNull())
+    before, total = {}, 0
+    for r in groups.groupBy("part").agg(F.sum(new).alias("n")).orderBy("part").collect():
+        before[r["part"]] = total
+        total += r["n"]
+    gone, entered, earlier, group = [], 0, 0, None
+    for r in again.orderBy("_group").collect():
+        if r["_group"] != group:
+            group, earlier = r["_group"], entered
+        if r["_old"] < size + before[r["part"]] + r["inner"] + earlier - capacity:
+            gone.append(r["fingerprint"])
+            entered += r["enters"]
+    return gone
+
+
 def ledger_tail(entries: DataFrame, capacity: int, order: Sequence[str] = ("seq",)) -> DataFrame:
     """The last ``capacity`` entries in order; a top-k, so nothing is sorted whole."""
     return entries.orderBy(*[F.desc(c) for c in order]).limit(capacity)

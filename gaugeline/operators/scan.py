@@ -1,7 +1,7 @@
 """The exact scan with feedback: one device's records in order, with bounded state.
 
 Whether a value joins a baseline depends on the findings about it, so the rules cannot be
-written as windows. The scan is a per-device fold that batch (``scan_devices``) and streaming share.
+written as windows. The scan is a per-device fold that batch (``segments.scan_devices``) and streaming share.
 Records of equal time form a group: they are judged against the state before the group, but
 for stuck runs, quarantines, silence marks and events, which move while judging.
 """
@@ -13,7 +13,7 @@ import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
-from itertools import chain, groupby
+from itertools import groupby
 from statistics import median
 from typing import Any
 
@@ -45,17 +45,47 @@ class DeviceState:
     silences: list[str] = field(default_factory=list)
     context: dict[str, dict] = field(default_factory=dict)
     open_events: dict[str, dict] = field(default_factory=dict)
-    ledger: list[str] = field(default_factory=list)
+    ledger: list[list] = field(default_factory=list)  # fingerprint, place among all insertions
 
-    def dump(self) -> str:
-        return json.dumps({**self.__dict__, "series": {k: v.__dict__ for k, v in self.series.items()}}, sort_keys=True)
+    def dump(self, ledger: bool = True) -> str:
+        parts = {**self.__dict__, "series": {k: v.__dict__ for k, v in self.series.items()}}
+        if not ledger:
+            del parts["ledger"]
+        return json.dumps(parts, sort_keys=True)
 
     @classmethod
     def load(cls, text: str | None) -> DeviceState:
         if not text:
             return cls()
         d = json.loads(text)
-        return cls(**{**d, "series": {k: Series(**v) for k, v in d["series"].items()}})
+        ledger = [[x[0], int(x[1])] if isinstance(x, list) else [x, i] for i, x in enumerate(d.get("ledger", ()))]
+        return cls(**{**d, "series": {k: Series(**v) for k, v in d["series"].items()}, "ledger": ledger})
+
+    def cell(self, kind: str, name: str):
+        """A part of the state that rules read and write on its own."""
+        if kind == "series":
+            return {k: v for k, v in self.series.get(name, Series()).__dict__.items() if k != "version"}
+        if kind == "version":
+            return self.series.get(name, Series()).version
+        if kind == "silence":
+            return f"{name}|{self.last_seen.get(name)}" in self.silences
+        return {"last": self.last_seen, "context": self.context, "event": self.open_events}[kind].get(name)
+
+    def agrees(self, other: DeviceState, cells: Iterable[tuple[str, str]]) -> bool:
+        return all(self.cell(*c) == other.cell(*c) for c in cells)
+
+    def after(self, start: DeviceState, end: DeviceState, cells: Iterable[tuple[str, str]]) -> DeviceState:
+        """This state after a segment that went from ``start`` to ``end`` and touched ``cells``, where both agree on them."""
+        out = DeviceState.load(self.dump())
+        for kind, name in cells:
+            if kind == "series" and name in end.series:
+                own, before = end.series[name], start.series.get(name, Series())
+                out.series[name] = Series(**{**own.__dict__, "version": self.series.get(name, Series()).version + own.version - before.version})
+            for mine, theirs in {"last": [(out.last_seen, end.last_seen)], "context": [(out.context, end.context)], "event": [(out.open_events, end.open_events)]}.get(kind, ()):
+                if name in theirs:
+                    mine[name] = theirs[name]
+        out.silences += [m for m in end.silences if m not in start.silences and m not in out.silences]
+        return out
 
 
 def iso(us: int) -> str:
@@ -141,7 +171,8 @@ class DeviceScan:
 
     def __init__(self, device: str, config: DynamicConfig, state: DeviceState | None = None):
         self.device, self.config, self.state = device, config, state or DeviceState()
-        self.seen = set(self.state.ledger)
+        self.seen = {fingerprint for fingerprint, _ in self.state.ledger}
+        self.touched: set[tuple[str, str]] = set()
 
     # -- eligibility
 
@@ -154,13 +185,20 @@ class DeviceScan:
 
     # -- layers
 
+    def series(self, r: dict, name: str) -> Series:
+        key = f"{r['family']}|{name}"
+        self.touched.add(("series", key))
+        return self.state.series.setdefault(key, Series())
+
     def sequence(self, r: dict) -> list[Finding]:
         found, rule = [], self.config.expected_reporting.get(r["family"])
         before = self.state.last_seen.get(r["family"])
+        self.touched.add(("last", r["family"]))
         if rule is not None and before is not None and seconds(r["us"], before) > rule.limit:
             found.append({"layer": "sequence", "rule_id": "sequence.reporting_gap", "candidate_flag": "reporting_gap", "elapsed_seconds": seconds(r["us"], before), "threshold": rule.limit})
         for family, rule in sorted(self.config.family_silence.items()):
             last = self.state.last_seen.get(family)
+            self.touched |= {("last", family), ("silence", family)}
             if family == r["family"] or last is None or not self.config.family_enabled(family):
                 continue
             mark = f"{family}|{last}"
@@ -198,6 +236,7 @@ class DeviceScan:
 
     def as_of(self, rule: CrossFamily, r: dict, snapshot: dict[str, dict], scaled: Callable) -> list[Finding]:
         other = snapshot.get(rule.context_family)
+        self.touched.add(("context", rule.context_family))
         limit = rule.tolerance_seconds if rule.tolerance_seconds is not None else self.config.recent_context_tolerance_seconds
         if other is None or other["us"] > r["us"] or (limit is not None and seconds(r["us"], other["us"]) > limit):
             return []
@@ -217,7 +256,7 @@ class DeviceScan:
             value = r["values"].get(name)
             if value is None:
                 continue
-            s = self.state.series.setdefault(f"{r['family']}|{name}", Series())
+            s = self.series(r, name)
             own = [x for x in (judge_baseline(value, rule, s), *judge_change(value, r["us"], rule, s)) if x]
             if name not in blocked:
                 own += [x for x in [judge_stuck(value, r["us"], rule, s)] if x]
@@ -229,17 +268,19 @@ class DeviceScan:
             if earlier and name not in blocked:
                 shift = quarantine(value, r["us"], rule, s)
                 if shift:
+                    self.touched.add(("version", f"{r['family']}|{name}"))
                     found.append({"layer": "adaptive", "field": name, "observed": value, **shift})
                     skip.add(name)
         return found, skip | blocked
 
     def accept(self, r: dict, skip: set[str]) -> None:
         self.state.last_seen[r["family"]] = r["us"]
+        self.touched.add(("last", r["family"]))
         for name, rule in self.rules_for(r):
             value = r["values"].get(name)
             if value is None or name in skip:
                 continue
-            s = self.state.series.setdefault(f"{r['family']}|{name}", Series())
+            s = self.series(r, name)
             s.history = [*s.history, value][-rule.window_size :]
             s.previous, s.quarantine = [value, r["us"]], None
 
@@ -251,6 +292,7 @@ class DeviceScan:
             flag = f.get("candidate_flag")
             for name in (sorted(set(f.get("affected_fields") or ())) or [f.get("field") or "record"]) if flag else ():
                 key = f"{r['family']}|{name}|{flag}"
+                self.touched.add(("event", key))
                 event = self.state.open_events.get(key)
                 if event and e.maximum_gap_seconds is not None and seconds(r["us"], event["end_us"]) > e.maximum_gap_seconds:
                     out.append({**event, "status": "closed"})
@@ -285,7 +327,8 @@ class DeviceScan:
             if r["state"] == "invalid":
                 yield {"seq": r["seq"], "findings": [], "events": [], "flags": set(), "duplicate": False}
                 continue
-            duplicate = r["fingerprint"] in self.seen
+            told = r.get("duplicate")
+            duplicate = told if told is not None else r["fingerprint"] in self.seen
             context = self.context(r, snapshot) if self.config.enabled and self.config.family_enabled(r["family"]) else []
             blocked = {f for x in context for f in x["affected_fields"]}
             own, skip, sequence = [], set(blocked), []
@@ -302,7 +345,7 @@ class DeviceScan:
             if self.config.events.enforcement_policy == "point":
                 flags = {f["candidate_flag"] for f in found if f.get("candidate_flag")}
             updates.append((r, skip, duplicate, any(f.get("candidate_flag") for f in found)))
-            if not duplicate and self.keeps_state(r):
+            if told is None and not duplicate and self.keeps_state(r):
                 self.seen.add(r["fingerprint"])
             yield {"seq": r["seq"], "findings": found, "events": summaries, "flags": flags, "duplicate": duplicate}
         for r, _, duplicate, candidate in updates:
@@ -312,22 +355,28 @@ class DeviceScan:
             if not duplicate and self.keeps_state(r):
                 if self.config.enabled:
                     self.accept(r, skip)
-                self.state.ledger.append(r["fingerprint"])
-                self.seen.add(r["fingerprint"])
+                if r.get("duplicate") is None:
+                    self.state.ledger.append([r["fingerprint"], self.state.ledger[-1][1] + 1 if self.state.ledger else 0])
+                    self.seen.add(r["fingerprint"])
         # a fingerprint holds the record's time, so repeats lie in one group or in the ledger
-        for old in self.state.ledger[: -self.config.deduplication_capacity]:
+        for old, _ in self.state.ledger[: -self.config.deduplication_capacity]:
             self.seen.discard(old)
         del self.state.ledger[: -self.config.deduplication_capacity]
 
     def trust(self, where: dict[str, dict], r: dict) -> None:
         now = where.get(r["family"])
+        self.touched.add(("context", r["family"]))
         if now is None or r["us"] >= now["us"]:
             where[r["family"]] = {"us": r["us"], "values": r["values"], "record_id": r["record_id"]}
 
     def run(self, records: Iterable[dict]) -> Iterable[dict]:
-        """Records ordered by (time, undated last; then seq)."""
-        for _, group in groupby(records, key=lambda r: r["us"]):
-            yield from self.group(list(group))
+        """Records ordered by (time, undated last; then seq). Undated records leave no state, so each is a group of its own."""
+        for us, group in groupby(records, key=lambda r: r["us"]):
+            if us is None:
+                for r in group:
+                    yield from self.group([r])
+            else:
+                yield from self.group(list(group))
 
 
 def is_confirmed(event: dict, e: Events) -> bool:
@@ -344,17 +393,21 @@ _EVENT = [x.partition(":")[0] for x in EVENT.split(",")]
 
 def as_record(row: Any, fields_: list[str]) -> dict:
     values = {f: float(x) for f in fields_ if (x := getattr(row, f)) is not None and x == x and abs(x) != float("inf")}
-    us, extra = row.ts_us, getattr(row, "extra", None)
-    return {"seq": int(row.seq), "record_id": row.record_id or "", "family": row.family or "", "us": None if us is None or us != us else int(us), "state": row.quality_state, "values": values, "keys": set(fields_), "fingerprint": row.fingerprint, "extra": [x.asDict() if hasattr(x, "asDict") else dict(x) for x in (() if extra is None else extra)]}
+    us, extra, duplicate = row.ts_us, getattr(row, "extra", None), getattr(row, "duplicate", None)
+    return {"duplicate": None if duplicate is None else bool(duplicate), "seq": int(row.seq), "record_id": row.record_id or "", "family": row.family or "", "us": None if us is None or us != us else int(us), "state": row.quality_state, "values": values, "keys": set(fields_), "fingerprint": row.fingerprint, "extra": [x.asDict() if hasattr(x, "asDict") else dict(x) for x in (() if extra is None else extra)]}
 
 
 COLUMNS = ["device_id", "seq", "record_id", "duplicate", "flags", "findings", "events", "state"]
 BATCH = 4096
 
 
-def fold_device(device: str, records: Iterable[dict], config: DynamicConfig, state: DeviceState) -> Iterable[list]:
-    """A result row for each record in the order of time; the last one carries the new state."""
-    scan, ids, last = DeviceScan(device, config, state), {}, None
+def result_row(device: str, record_id: str, x: dict) -> list:
+    return [device, x["seq"], record_id, x["duplicate"], sorted(x["flags"]), [{k: f.get(k) for k in _FINDING} for f in x["findings"]], [{k: e.get(k) for k in _EVENT} for e in x["events"]], None]
+
+
+def fold(scan: DeviceScan, records: Iterable[dict]) -> Iterable[list]:
+    """A result row for each record in the order of time, without state."""
+    ids = {}
 
     def noted(rows):
         for r in rows:
@@ -362,9 +415,16 @@ def fold_device(device: str, records: Iterable[dict], config: DynamicConfig, sta
             yield r
 
     for x in scan.run(noted(records)):
+        yield result_row(scan.device, ids.pop(x["seq"], ""), x)
+
+
+def fold_device(device: str, records: Iterable[dict], config: DynamicConfig, state: DeviceState) -> Iterable[list]:
+    """``fold`` of a device's records; the last row carries the new state."""
+    scan, last = DeviceScan(device, config, state), None
+    for row in fold(scan, records):
         if last is not None:
             yield last
-        last = [device, x["seq"], ids.pop(x["seq"], ""), x["duplicate"], sorted(x["flags"]), [{k: f.get(k) for k in _FINDING} for f in x["findings"]], [{k: e.get(k) for k in _EVENT} for e in x["events"]], None]
+        last = row
     if last is not None:
         yield [*last[:-1], scan.state.dump()]
 
@@ -376,45 +436,6 @@ def scan_rows(device: str, pdf: pd.DataFrame, fields_: list[str], config: Dynami
     return pd.DataFrame(list(fold_device(device, (as_record(r, fields_) for r in pdf.itertuples(index=False)), config, state)), columns=COLUMNS)
 
 
-def fold_partition(pdfs: Iterable[pd.DataFrame], fields_: list[str], config: DynamicConfig) -> Iterable[pd.DataFrame]:
-    """Fold devices one after the other, batch by batch: rows come by device, its kept state first, then by time."""
-
-    def rows():
-        for pdf in pdfs:
-            pdf = pdf.assign(ts_us=pdf["ts_us"].astype("Int64").astype(object).where(pdf["ts_us"].notna(), None))
-            yield from pdf.itertuples(index=False)
-
-    ready = []
-    for device, own in groupby(rows(), key=lambda r: r.device_id):
-        state, first = DeviceState(), next(own)
-        if first.kept is not None:
-            state, first = DeviceState.load(first.kept), next(own, None)
-        if first is None:
-            continue
-        for row in fold_device(device, (as_record(r, fields_) for r in chain([first], own)), config, state):
-            ready.append(row)
-            if len(ready) == BATCH:
-                yield pd.DataFrame(ready, columns=COLUMNS)
-                ready = []
-    yield pd.DataFrame(ready, columns=COLUMNS)
-
-
-def scan_devices(df: DataFrame, fields_: list[str], config: DynamicConfig, states: DataFrame | None = None) -> DataFrame:
-    """Exact findings for records (device_id, seq, record_id, family, ts_us, quality_state, fingerprint, value columns[, extra]).
-
-    A device's records are one chain and so one task, but they stream through it in order: Spark sorts them, and
-    memory holds a device's state and its records of one time. ``ts_us`` may be null. ``states`` (device_id, state) are the
-    states that an earlier run left, one for each device; ``next_states`` gives those after this one.
-    """
-    needed = ["device_id", "seq", "record_id", "family", "ts_us", "quality_state", "fingerprint", *fields_, *(["extra"] if "extra" in df.columns else [])]
-    rows = df.select(*needed, F.lit(None).cast("string").alias("kept"))
-    if states is not None:
-        rows = rows.unionByName(states.select("device_id", F.col("state").alias("kept")), allowMissingColumns=True)
-    order = ["device_id", F.col("kept").isNull(), F.col("ts_us").asc_nulls_last(), "family", "record_id", "seq"]
-    rows = rows.repartition("device_id").sortWithinPartitions(*order)
-    return rows.mapInPandas(lambda pdfs: fold_partition(pdfs, fields_, config), RESULT)
-
-
 def next_states(scanned: DataFrame, states: DataFrame | None = None) -> DataFrame:
     """(device_id, state) after a scan; devices without records keep the state they had."""
     new = scanned.filter(F.col("state").isNotNull()).select("device_id", "state")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DynamicConfig, ModelFilter, resolve_mode
 from ..functions import values as V
 from ..functions.scratch import materialize
-from ..operators import dedup, events, hard, report, scan
+from ..operators import dedup, events, hard, report, scan, segments
 from ..operators.model import CANDIDATE_FLAG, FEATURES, Autoencoder, ModeState, auto_modes, model_input, score
 
 EXTRA = "array<struct<layer:string,rule_id:string,candidate_flag:string,affected_fields:array<string>,score:double,threshold:double,state:string>>"
@@ -31,12 +31,16 @@ class Filtered:
     mode_state: ModeState | None = None
 
 
-def numbered(records: DataFrame) -> DataFrame:
-    """Add ``fingerprint`` and ``seq``, the place in the device's order: time (undated last), family, id, payload."""
+def numbered(records: DataFrame, index: str = "_index") -> DataFrame:
+    """Add ``fingerprint`` and ``seq``, ascending in the order of device, time (undated last), family, id, payload and the input's ``index``.
+
+    Ranges of (device, time) are sorted side by side; ``seq`` has gaps between ranges. It is fixed once the result is written.
+    """
     text = dedup.canonical_payload(F.col("payload"))
-    w = Window.partitionBy("device_id").orderBy(F.col("ts_us").asc_nulls_last(), "family", "record_id", "_payload")
     out = records.withColumn("_payload", text).withColumn("fingerprint", dedup.fingerprint([F.col(c) for c in ("device_id", "family", "record_id", "ts_us", "_payload")]))
-    return out.withColumn("seq", F.row_number().over(w).cast("long")).drop("_payload")
+    dated = F.col("ts_us").isNull()
+    out = out.repartitionByRange("device_id", dated, "ts_us").sortWithinPartitions("device_id", dated, "ts_us", "family", "record_id", "_payload", index)
+    return out.withColumn("seq", F.monotonically_increasing_id()).drop("_payload")
 
 
 def finding(rule: str, **parts: Column) -> Column:
@@ -82,7 +86,8 @@ def filter_records(
     if mode == "off" or not (config or DynamicConfig()).enabled:
         return Filtered(clean, hard.hard_report(clean))
     config = config or DynamicConfig()
-    clean = materialize(clean, "clean-records")
+    # the place in the input, written with the records, is the last that tells equal records apart
+    clean = materialize(clean.withColumn("_index", F.monotonically_increasing_id()), "clean-records")
     failure = None
     if config.model.enabled and model is None:
         model, failure = load_model(config.model)
@@ -94,7 +99,8 @@ def filter_records(
         none, missing = F.lit(None).cast("boolean"), finding("model.autoencoder_unavailable", state=F.lit("not_evaluated"))
         extra = F.when(F.col("quality_state") != "invalid", F.array(missing).cast(EXTRA)).otherwise(F.array().cast(EXTRA)) if failure else F.array().cast(EXTRA)
         ordered = ordered.withColumns({"extra": extra, "complete": none, "candidate": none})
-    scanned = materialize(scan.scan_devices(ordered, list(fields), config, states), "scanned-records")
+    ordered = materialize(ordered, "ordered-records")
+    scanned = materialize(segments.scan_devices(ordered, list(fields), config, states), "scanned-records")
     judged = ordered.join(scanned.select("device_id", "seq", "duplicate", "flags", "findings"), ["device_id", "seq"])
     effective = F.lit(mode)
     validated, package = bool(model and model.validated), model.package_id if model else None
@@ -111,10 +117,10 @@ def filter_records(
     told = report.evidence(F.lit(mode), report.hard_evidence(F.col("quality_flags"), F.col("quality_state")), F.col("findings"))
     judged = judged.withColumns({"filter_evidence": told, "_before": before})
     marked = events.enforce(judged, F.when(F.col("quality_state") != "invalid", F.col("flags")), effective)
-    final = marked.select(*clean.columns, "fingerprint", "seq", "duplicate", "filter_evidence")
+    final = marked.select(*[c for c in clean.columns if c != "_index"], "fingerprint", "seq", "duplicate", "filter_evidence")
     found, summaries = scan.findings_of(scanned), scan.events_of(scanned)
     more = marked.agg(F.count_if((F.col("_before") == 0) & (F.col("quality_state") == "suspect")).alias("enforced_suspect_count"), F.count_if(F.col("_before") == 2).alias("hard_invalid_count"), F.count(F.lit(1)).alias("hard_layer_records_evaluated"))
     head = {"requested_mode": mode, "filtering_mode": mode, "effective_mode": last.effective_mode, "mode_transition_reason": last.reason, "model_effective_mode": last.effective_mode, "model_load_failure": failure, "model_version": model.version if model else None}
     full = report.one_row(report.dynamic_report(found, summaries, scanned), report.state_counts(final), more)
     full = full.withColumns({k: F.lit(v).cast("string") for k, v in head.items()} | {"state_loaded": F.lit(states is not None), "state_schema_version": F.lit(STATE_VERSION)})
-    return Filtered(final, hard.hard_report(clean), found, summaries, full, scan.next_states(scanned, states), last)
+    return Filtered(final, hard.hard_report(clean.drop("_index")), found, summaries, full, scan.next_states(scanned, states), last)

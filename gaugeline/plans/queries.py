@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import DynamicConfig, Events, FieldRule, Interval, ModelFilter, Reentry
 from ..functions import values as V
 from ..functions.scratch import scratch_root
-from ..operators import adaptive, context, dedup, hard, model, report, scan
+from ..operators import adaptive, context, dedup, hard, model, report, scan, segments
 from ..operators import events as ev
 from ..sources import exports, packets, sinks
 
@@ -405,6 +405,24 @@ def ledger_fifo(spark, sf_dir):
     return dedup.ledger_tail(repeated(spark, sf_dir), 500).select("seq", "fingerprint")
 
 
+@query(REPEATED_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """
+, newest AS (SELECT fingerprint, record_id FROM d WHERE record_id % 7 = 0 AND seq < 1000000000 ORDER BY record_id DESC LIMIT 600),
+old AS (SELECT fingerprint, ROW_NUMBER() OVER (ORDER BY record_id) - 1 AS j FROM newest),
+f AS (SELECT fingerprint, MIN(device_id) AS device_id, MIN(ts_us) AS ts_us, MIN(CASE WHEN k % 9 <> 0 THEN seq END) AS first_seq FROM d GROUP BY fingerprint),
+g AS (SELECT f.*, j, COUNT(*) FILTER (j IS NULL AND first_seq IS NOT NULL) OVER w - COUNT(*) FILTER (j IS NULL AND first_seq IS NOT NULL) OVER (PARTITION BY device_id, ts_us) + (SELECT COUNT(*) FROM old) - 600 AS before
+  FROM f LEFT JOIN old USING (fingerprint) WINDOW w AS (ORDER BY device_id, ts_us)),
+o AS (SELECT *, ROW_NUMBER() OVER (ORDER BY device_id, ts_us) AS n, LAG(device_id || ':' || ts_us::VARCHAR) OVER (ORDER BY device_id, ts_us) IS NOT DISTINCT FROM device_id || ':' || ts_us::VARCHAR AS same FROM g WHERE j IS NOT NULL),
+gone AS (SELECT n, fingerprint, j < before AS is_gone, (j < before AND first_seq IS NOT NULL)::INT AS entered, 0 AS earlier FROM o WHERE n = 1
+  UNION ALL SELECT n, fingerprint, j < before + earlier, entered + (j < before + earlier AND first_seq IS NOT NULL)::INT, earlier
+    FROM (SELECT o.*, x.entered, CASE WHEN o.same THEN x.earlier ELSE x.entered END AS earlier FROM gone x JOIN o ON o.n = x.n + 1))
+SELECT seq, COALESCE(NOT is_gone, FALSE) OR COALESCE(first_seq < seq, FALSE) AS is_duplicate FROM d JOIN f USING (fingerprint) LEFT JOIN gone USING (fingerprint)""")
+def ledger_global(spark, sf_dir):
+    rows = repeated(spark, sf_dir).withColumn("eligible", F.col("k") % 9 != 0)
+    old = printed(records(spark, sf_dir).filter("record_id % 7 = 0")).select("fingerprint", "device_id", F.col("record_id").alias("place"))
+    marked, _ = dedup.ledger_scan(rows, old, 600, ("device_id", "ts_us"), ("device_id", "ts_us", "seq"), "eligible")
+    return marked.select("seq", "is_duplicate")
+
+
 @query(REPEATED_SQL + "SELECT seq FROM d WHERE record_id % 17 <> 0")
 def upload_anti_join(spark, sf_dir):
     return dedup.not_in_ledger(repeated(spark, sf_dir), ledger(spark, sf_dir)).select("seq")
@@ -617,7 +635,7 @@ def scan_input(spark, sf_dir) -> DataFrame:
 
 
 def scanned(spark, sf_dir, rule: FieldRule, **more) -> DataFrame:
-    return scan.scan_devices(scan_input(spark, sf_dir), ["value"], DynamicConfig(fields={"value": rule}, **more))
+    return segments.scan_devices(scan_input(spark, sf_dir), ["value"], DynamicConfig(fields={"value": rule}, **more))
 
 
 FOLD_SQL = f"WITH RECURSIVE {R}, o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id ORDER BY ts_us, record_id) AS n FROM r),"

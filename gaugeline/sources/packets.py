@@ -56,8 +56,12 @@ def sensor_hex(packet: Column, strict: bool = True) -> Column:
 
 
 def last_hex(packets: list[Column], strict: bool = True) -> Column:
-    """The last packet that holds environment values."""
-    return F.coalesce(*[sensor_hex(p, strict) for p in reversed(packets)])
+    """The last packet that holds environment values. If ``strict``, a packet that isn't well-formed fails the job in whatever slot it is."""
+    last = F.coalesce(*[sensor_hex(p, False) for p in reversed(packets)])
+    if not strict:
+        return last
+    wrong = F.coalesce(*[F.when(~is_empty(p) & ~is_well_formed(p), p) for p in packets])
+    return F.when(wrong.isNotNull(), F.raise_error(F.concat(F.lit("not a packet: "), wrong)).cast("string")).otherwise(last)
 
 
 def unpacked(hexes: Column) -> Column:

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gaugeline import config as C
@@ -175,3 +176,21 @@ def test_training_finds_odd_rows(spark, tmp_path):
     assert model.Autoencoder.load(str(tmp_path / "m.json")) == trained
     with pytest.raises(ValueError):
         model.Autoencoder([0.0], [0.0], [([[1.0]], [0.0])], 1.0, [1.0], ["a"])
+
+
+def test_equal_records_keep_their_own_findings(spark):
+    """Records equal in device, time, family, id and payload differ in their state: the first of the input counts, in every run."""
+    rows = [(f"r{i}", "d", "environment", i * 60_000_000, payload(50)) for i in range(5)] + [("same", "d", "environment", 300_000_000, payload(90))] * 3
+    df = records(spark, rows)
+    states = ["decoded"] * 5 + ["suspect", "decoded", "invalid"]
+    df = df.withColumn("_nth", F.monotonically_increasing_id()).coalesce(1).orderBy("_nth")
+    told = F.element_at(F.array(*map(F.lit, states)), (F.row_number().over(Window.orderBy("_nth"))).cast("int"))
+    df = df.withColumns({"quality_state": told, "quality_flags": F.when(F.col("record_id") == "same", F.array(F.concat(F.lit("own_"), told))).otherwise(F.col("quality_flags"))}).drop("_nth")
+    seen = set()
+    for _ in range(10):
+        out = filter_records(df, ["moist_pc"], "enforce", C.dynamic_config(RULES), model=AE).records.filter("record_id = 'same'")
+        seen.add(tuple(sorted((r.quality_state, tuple(r.quality_flags), r.duplicate, tuple(sorted(x.rule_id for x in r.filter_evidence.adaptive))) for r in out.collect())))
+    assert len(seen) == 1
+    (got,) = seen
+    assert [g[:3] for g in got] == [("decoded", ("own_decoded",), True), ("invalid", ("own_invalid",), False), ("suspect", ("own_suspect", "step_change"), False)]
+    assert [("adaptive.step_change" in g[3]) for g in got] == [False, False, True]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.config import CrossFamily, DynamicConfig, Events, FieldRule, Interval, PeerGroup, Reentry
-from gaugeline.operators import scan
+from gaugeline.operators import scan, segments
 from gaugeline.plans import queries
 
 SCHEMA = "device_id string, seq long, record_id string, family string, ts_us long, quality_state string, fingerprint string, v double, w double"
@@ -15,7 +15,7 @@ def rows(values, family="environment", device="d", start=0, state="decoded"):
 
 
 def run(spark, data, config, states=None):
-    out = scan.scan_devices(spark.createDataFrame(data, SCHEMA), ["v", "w"], config, states)
+    out = segments.scan_devices(spark.createDataFrame(data, SCHEMA), ["v", "w"], config, states)
     return out
 
 
@@ -111,13 +111,13 @@ def results(out):
 def test_partitioning_and_splitting_change_nothing(spark):
     df = queries.scan_input(spark, queries_sf := "/root/testdata/sf0.001")
     assert queries_sf
-    whole = results(scan.scan_devices(df, ["value"], LONG))
+    whole = results(segments.scan_devices(df, ["value"], LONG))
     for n in (1, 7):
-        assert results(scan.scan_devices(df.orderBy(F.rand(n)).repartition(n), ["value"], LONG)) == whole
+        assert results(segments.scan_devices(df.orderBy(F.rand(n)).repartition(n), ["value"], LONG)) == whole
     middle = df.approxQuantile("ts_us", [0.5], 0)[0]
-    first = scan.scan_devices(df.filter(F.col("ts_us") <= middle), ["value"], LONG)
+    first = segments.scan_devices(df.filter(F.col("ts_us") <= middle), ["value"], LONG)
     states = scan.next_states(first)
-    second = scan.scan_devices(df.filter(F.col("ts_us") > middle), ["value"], LONG, states)
+    second = segments.scan_devices(df.filter(F.col("ts_us") > middle), ["value"], LONG, states)
     assert sorted(results(first) + results(second)) == whole
     assert scan.next_states(second, states).count() == df.select("device_id").distinct().count()
     assert scan.reset_device(states, "1").filter("device_id = '1'").count() == 0
@@ -145,4 +145,4 @@ def test_stream_equals_batch(spark, tmp_path):
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
         else:
             spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-    assert results(spark.read.parquet(str(tmp_path / "out"))) == results(scan.scan_devices(df, ["value"], LONG))
+    assert results(spark.read.parquet(str(tmp_path / "out"))) == results(segments.scan_devices(df, ["value"], LONG))

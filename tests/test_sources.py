@@ -60,6 +60,13 @@ def test_malformed_packets(spark, slots):
     assert packets.export_records(rows, strict=False).count() >= 1
 
 
+def test_a_malformed_packet_before_a_good_one_is_an_error(spark):
+    rows = exports.export_rows(spark.createDataFrame([(export([row({"FirstPacket": "zz,1", "SecondPacket": packet(*VALUES)})], COLUMNS),)], "body string"))
+    with pytest.raises(PySparkException):
+        packets.export_records(rows).collect()
+    assert packets.export_records(rows, strict=False).count() == 1
+
+
 def test_rows_without_place_or_device(spark):
     body = export([row({"FirstPacket": packet(*VALUES)}, place=(None, 1.0)), row({"FirstPacket": packet(*VALUES)}, device=None), row({"FirstPacket": packet(*VALUES)}, time=" ")], COLUMNS)
     rows = exports.export_rows(spark.createDataFrame([(body,)], "body string"))
