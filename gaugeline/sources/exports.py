@@ -5,12 +5,15 @@ from __future__ import annotations
 import base64
 import json
 import os
+import time
 import urllib.error
 import urllib.request
+import uuid
 
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..functions import values as V
 
@@ -58,6 +61,73 @@ class HttpJsonSource(DataSource):
         return _HttpReader(dict(self.options))
 
 
+class SnapshotStream(DataSource):
+    """``spark.readStream.format("json_snapshots")``: the body of the source once in every slot of time, as (slot_us, body).
+
+    Options as of ``json_http``, and ``slot_seconds`` (900) and ``spool``, a folder that driver and executors share. The first read of a
+    slot puts its body into the spool, under its final name only when it is whole; a replay reads it from there, so a
+    slot is the same in every attempt and after a restart. Slots that passed while nobody read aren't made up: a
+    snapshot holds what the source has at the time. Committed slots leave the spool.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "json_snapshots"
+
+    def schema(self) -> str:
+        return "slot_us long, body string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
+        return _SnapshotReader(dict(self.options))
+
+
+class _Slot(InputPartition):
+    def __init__(self, slot: int):
+        self.slot = slot
+
+
+class _SnapshotReader(DataSourceStreamReader):
+    def __init__(self, options: dict):
+        o = {k.lower(): v for k, v in options.items()}
+        self.options, self.width = options, int(float(o.get("slot_seconds", 900)) * 1_000_000)
+        self.store, self.spool = pafs.FileSystem.from_uri(o["spool"])
+        self.spool_uri = o["spool"]
+
+    def __getstate__(self):
+        return {"options": self.options}
+
+    def __setstate__(self, state):
+        self.__init__(state["options"])
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {"slot": 0}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        now = time.time_ns() // 1000
+        return {"slot": now - now % self.width}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [_Slot(end["slot"])] if end["slot"] > start["slot"] else []
+
+    def read(self, partition: _Slot):
+        name = f"{self.spool}/{partition.slot:020d}.json"
+        if self.store.get_file_info(name).type == pafs.FileType.NotFound:
+            body = next(_HttpReader(self.options).read(None))[0]
+            own = f"{self.spool}/.{partition.slot:020d}-{uuid.uuid4().hex}"
+            self.store.create_dir(self.spool, recursive=True)
+            with self.store.open_output_stream(own) as out:
+                out.write(body.encode("utf-8"))
+            self.store.move(own, name)
+        with self.store.open_input_stream(name) as f:
+            yield (partition.slot, f.read().decode("utf-8"))
+
+    def commit(self, end: dict) -> None:
+        for f in self.store.get_file_info(pafs.FileSelector(self.spool, allow_not_found=True)):
+            slot = f.base_name.removeprefix(".").partition(".")[0].partition("-")[0]
+            if slot.isdigit() and int(slot) <= end["slot"]:
+                self.store.delete_file(f.path)
+
+
 class _HttpReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options

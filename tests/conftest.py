@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -5,6 +6,8 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+#: Python workers take the environment of the JVM's start.
+os.environ.update({"INGEST_SECRET": "s3cret", "SOURCE_USER": "u", "SOURCE_PASSWORD": "p"})
 
 
 @pytest.fixture(scope="session")

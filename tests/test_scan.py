@@ -55,11 +55,11 @@ def test_flagged_values_do_not_join_the_baseline(spark):
 
 def test_baseline_shift(spark):
     rule = {"min_samples": 3, "mad_score_threshold": 4.0, "minimum_scale": 1.0, "baseline_reentry": Reentry(enabled=True, consecutive_samples=3, value_tolerance=0.5)}
-    values = [(60 * i, x) for i, x in enumerate((20.0, 20.0, 20.0, 30.0, 30.1, 29.9, 30.0))]
+    values = [(60 * i, x) for i, x in enumerate((12.5, 12.0, 12.5, 41.0, 41.3, 40.8, 41.1))]
     out = scan.findings_of(run(spark, rows(values), config(**rule))).collect()
     assert [(r.record_id, r.threshold) for r in out if r.candidate_flag == "baseline_shift"] == [("r005", 2.0)]
     assert not [r for r in out if r.record_id == "r006" and r.candidate_flag]
-    back = [(60 * i, x) for i, x in enumerate((20.0, 20.0, 20.0, 30.0, 20.0))]
+    back = [(60 * i, x) for i, x in enumerate((12.5, 12.0, 12.5, 41.0, 12.5))]
     assert flags(run(spark, rows(back), config(**rule))) == {("r003", "adaptive_outlier")}
 
 
@@ -146,3 +146,35 @@ def test_stream_equals_batch(spark, tmp_path):
         else:
             spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert results(spark.read.parquet(str(tmp_path / "out"))) == results(segments.scan_devices(df, ["value"], LONG))
+
+
+def test_batch_then_stream_then_batch_equals_one_run(spark, tmp_path):
+    """Three parts of the records: a batch run, a stream that begins with its states, and a batch run that goes on from the stream's."""
+    from gaugeline.streaming.scan import PROVIDER, scan_stream, stream_states
+
+    df = queries.scan_input(spark, "/root/testdata/sf0.001")
+    one, two = df.approxQuantile("ts_us", [0.4, 0.7], 0)
+    parts = [df.filter(F.col("ts_us") <= one), df.filter((F.col("ts_us") > one) & (F.col("ts_us") <= two)), df.filter(F.col("ts_us") > two)]
+    first = segments.scan_devices(parts[0], ["value"], LONG)
+    kept = spark.createDataFrame(scan.next_states(first).collect(), "device_id string, state string")
+    source, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    parts[1].write.parquet(source)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    try:
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        q = scan_stream(stream, ["value"], LONG, kept).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", cp).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        states = spark.createDataFrame(stream_states(spark, cp).collect(), "device_id string, state string")
+    finally:
+        if before:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        else:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert {r.device_id for r in states.collect()} == {r.device_id for r in df.filter(F.col("ts_us") <= two).select("device_id").distinct().collect()}
+    last = segments.scan_devices(parts[2], ["value"], LONG, states)
+    assert sorted(results(first) + results(spark.read.parquet(str(tmp_path / "out"))) + results(last)) == results(segments.scan_devices(df, ["value"], LONG))
+    # a reset drops one device, which then begins anew
+    device = df.select("device_id").first()[0]
+    anew = segments.scan_devices(parts[2].filter(F.col("device_id") == device), ["value"], LONG, scan.reset_device(states, device))
+    assert results(anew) == results(segments.scan_devices(parts[2].filter(F.col("device_id") == device), ["value"], LONG))
