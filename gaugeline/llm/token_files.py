@@ -23,9 +23,12 @@ are opened by pyarrow, so the folder is one that pyarrow and Spark both reach.
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialize, named, text_blocks
+from .token_counts import byte_alphabet
 
 MAGIC = b"GTOK0001"
 BLOCK = 1 << 17
@@ -42,8 +46,9 @@ LANE = 256
 #: Ids of a document that one row carries between the steps.
 CHUNK = 1 << 15
 BLOCK_CHARS = 1 << 20
-MEMO_WORDS = 200_000
-MEMO_CHARS = 48
+MEMO_WORDS = 400_000
+MEMO_IDS = 1 << 22
+KINDS = ("<u2", "<u4")
 OUT_BYTES = 1 << 23
 
 
@@ -54,7 +59,8 @@ class WordEncoder:
     """Ids of whole texts as the ``tokenizers`` library gives them, with a memo of words.
 
     Only for files whose pieces never span white space: then a text's ids are those of its parts between blanks. Other
-    files take the library for the whole text. The memo is dropped when it is full, which never changes results.
+    files take the library for the whole text. Words of visible ASCII and Latin letters are run by tiktoken with the file's
+    merges, where ids follow their order; all others by the library. The memo is dropped when it is full, which never changes results.
     """
 
     def __init__(self, path: str):
@@ -62,37 +68,102 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.by_word = drops_blanks(path)
-        self.memo: dict[str, list[int]] = {}
-
-    def library_ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.quick = QuickWords(path) if self.by_word else None
+        self.forget()
+
+    def forget(self) -> None:
+        """The ids of known words lie one after the other in ``flat``."""
+        self.memo: dict[str, int] = {}
+        self.flat, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def library_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has."""
+        flat, size = [], []
+        for at in range(0, len(texts), 1024):
+            for e in self.library.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False):
+                ids = e.ids
+                flat.append(np.asarray(ids, np.uint32))
+                size.append(len(ids))
+        return np.concatenate([np.empty(0, np.uint32), *flat]), np.asarray(size, np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        plain = self.quick.taken(words) if self.quick.ready else []
+        other = list(set(words).difference(plain))
+        for own, (flat, size) in ((plain, self.quick.ids(plain)), (other, self.library_ids(other))):
+            at = len(self.flat) + np.cumsum(size) - size
+            self.memo.update(zip(own, range(len(self.start), len(self.start) + len(own)), strict=True))
+            self.flat, self.start, self.size = (np.concatenate(x) for x in ((self.flat, flat), (self.start, at), (self.size, size)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:
-            return [np.asarray(x, np.uint32) for x in self.library_ids(texts)]
+            flat, size = self.library_ids(texts)
+            return np.split(flat, np.cumsum(size)[:-1]) if texts else []
         parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-            memo[""] = []
-        new = list({w for p in parts for w in p}.difference(memo))
-        long = {}
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, ids in zip(some, self.library_ids(some), strict=True):
-                (memo if len(w) <= MEMO_CHARS else long)[w] = ids
-        out = []
-        for p in parts:
-            known = [memo[w] if w in memo else long[w] for w in p] if long else list(map(memo.__getitem__, p))
-            total = sum(map(len, known))
-            out.append(np.fromiter((i for ids in known for i in ids), np.uint32, total))
-        return out
+        if len(self.memo) > MEMO_WORDS or len(self.flat) > MEMO_IDS:
+            self.forget()
+        words = list(chain.from_iterable(parts))
+        self.learn(list(set(words).difference(self.memo)))
+        code = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+        size = self.size[code]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(self.start[code] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        last = np.cumsum([len(p) for p in parts])[:-1]
+        return np.split(ids, ends[last - 1])
+
+
+class QuickWords:
+    """Ids of plain words by tiktoken: the end of a piece is a zero byte, which belongs to the token before it.
+
+    ``ready`` is false for files whose ids don't follow the order of their merges.
+    """
+
+    #: Visible ASCII and Latin letters that no normalization changes but for their case.
+    TAKEN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+    #: The pieces of such words in lower case, and the end of a word.
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n")
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        back = {ch: bytes([b]) for b, ch in byte_alphabet().items()}
+        end = spec["model"].get("end_of_word_suffix") or ""
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        ranks = {}
+        for token, i in spec["model"]["vocab"].items():
+            if token not in added:
+                body, tail = (token[: -len(end)], b"\0") if end and token.endswith(end) else (token, b"")
+                ranks[b"".join(map(back.__getitem__, body)) + tail] = i
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"].get("merges", ())]
+        vocabulary = spec["model"]["vocab"]
+        self.special = list(added)
+        self.ready = bool(end) and len(ranks) == 512 + len(pairs) == len(vocabulary) - len(set(added) & set(vocabulary)) and all(vocabulary.get(a + b) == 512 + i for i, (a, b) in enumerate(pairs))
+        if self.ready:
+            import tiktoken
+
+            self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+            self.ends = np.zeros(max(ranks.values()) + 1, bool)
+            self.ends[[i for t, i in ranks.items() if t.endswith(b"\0")]] = True
+
+    def taken(self, words: list[str]) -> list[str]:
+        """Those of the words that tiktoken can encode."""
+        plain = list(filter(self.TAKEN.fullmatch, words))
+        whole = "\n".join(plain)
+        return [w for w in plain if not any(s in w for s in self.special)] if any(s in whole for s in self.special) else plain
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and how many each has."""
+        if not words:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        pieces = self.PIECE.findall("\n".join(words).lower() + "\n")
+        line = np.fromiter((p == "\n" for p in pieces), bool, len(pieces))
+        upto = np.flatnonzero(line) - np.arange(len(words))  # pieces of each word and those before it
+        ids = self.encoding.encode_to_numpy("\0".join(p for p in pieces if p != "\n") + "\0", allowed_special=set(), disallowed_special=())
+        until = np.flatnonzero(self.ends[ids])[upto - 1] + 1
+        return ids, np.diff(until, prepend=0)
 
 
 def drops_blanks(path: str) -> bool:
     """Whether the file splits at white space and drops it, so that no piece and no added token reaches over a blank."""
-    import json
-
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [spec.get("pre_tokenizer") or {}])
@@ -313,31 +384,33 @@ class FileReader:
 
 
 def encoded(df: DataFrame, tokenizer_path: str, end_id: int, key: str, text: str) -> DataFrame:
-    """Rows of at most CHUNK ids with the key, a hash of the text and the place of their row in its task."""
+    """Rows of at most CHUNK ids with the key, a hash of the text and the place of their row in its task. Ids take two bytes each where all of a row do (``wide`` is false), else four."""
     kind = df.select(named(key)).schema[0].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, nth = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32)
-        names = ["key", "tie", "part", "nth", "chunk", "ids"]
+        names = ["key", "tie", "part", "nth", "chunk", "wide", "ids"]
         for batch in batches:
             done = 0
             for texts in text_blocks(batch.column(2), BLOCK_CHARS):
-                row, place, chunk, ids = [], [], [], []
+                row, place, chunk, wide, ids = [], [], [], [], []
                 for i, found in enumerate(own.encode(texts)):
                     found = np.concatenate((found, end))
                     for at in range(0, len(found), CHUNK):
                         row.append(done + i)
                         place.append(nth)
                         chunk.append(at // CHUNK)
-                        ids.append(found[at : at + CHUNK].astype("<u4").tobytes())
+                        cut = found[at : at + CHUNK]
+                        wide.append(bool(cut.max() > 0xFFFF))
+                        ids.append(cut.astype(KINDS[wide[-1]]).tobytes())
                     nth += 1
                 done += len(texts)
                 take = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array([part] * len(row), pa.int32()), pa.array(place, pa.int64()), pa.array(chunk, pa.int32()), pa.array(ids, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array([part] * len(row), pa.int32()), pa.array(place, pa.int64()), pa.array(chunk, pa.int32()), pa.array(wide, pa.bool_()), pa.array(ids, pa.binary())], names=names)
 
     rows = df.select(named(key).alias("key"), F.xxhash64(named(text)).alias("tie"), named(text).alias("text"))
-    return rows.mapInArrow(run, f"key {kind.simpleString()}, tie long, part int, nth long, chunk int, ids binary")
+    return rows.mapInArrow(run, f"key {kind.simpleString()}, tie long, part int, nth long, chunk int, wide boolean, ids binary")
 
 
 def count_ids(rows: DataFrame) -> DataFrame:
@@ -346,15 +419,15 @@ def count_ids(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                own = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
+            for wide, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.bincount(np.frombuffer(ids.as_buffer(), KINDS[wide]))
                 if len(own) > len(total):
                     total = np.concatenate((total, np.zeros(len(own) - len(total), np.int64)))
                 total[: len(own)] += own
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
-    return rows.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return rows.select("wide", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text", tokens_per_file: int = 1 << 25) -> None:
@@ -389,13 +462,13 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, key
         for batch in batches:
             out = out or FileWriter(f"{path}/{name}", Codebook(lengths), BLOCK)
             done = []
-            for key_, chunk, raw in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                ids = np.frombuffer(raw.as_buffer(), "<u4")
+            for key_, chunk, wide, raw in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                ids = np.frombuffer(raw.as_buffer(), KINDS[wide])
                 if chunk == 0:
                     if open_doc:
                         done.append(open_doc)
                     open_doc = key_, at, 0
-                out.add(ids.copy())
+                out.add(ids.astype(np.uint32))
                 at += len(ids)
                 open_doc = *open_doc[:2], open_doc[2] + len(ids)
             if done:
@@ -407,7 +480,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, key
     dealt = ["key", "tie", "part", "nth"]
     order = [F.col("key").asc_nulls_first(), *dealt[1:]]
     parts = max(1, -(-total // tokens_per_file))
-    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "chunk").select("key", "chunk", "ids")
+    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "chunk").select("key", "chunk", "wide", "ids")
     placed.mapInArrow(run, f"key {kind}, file string, at long, n_tokens long").write.parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")
     before = F.sum("n_tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
