@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -35,6 +36,7 @@ class Autoencoder:
     features: Sequence[str]
     version: str = "own"
     validated: bool = False
+    given_id: str | None = None
 
     def __post_init__(self):
         n, width = len(self.features), len(self.features)
@@ -55,7 +57,9 @@ class Autoencoder:
 
     @classmethod
     def load(cls, path: str, features: Sequence[str] | None = None) -> Autoencoder:
-        """The package that ``save`` wrote; missing parts, or another order of ``features`` than asked for, are errors."""
+        """The package that ``save`` wrote, or a folder with ``metadata.json`` and ``weights.npz``; missing parts, or another order of ``features`` than asked for, are errors."""
+        if os.path.isdir(path):
+            return cls.load_folder(path, features)
         with open(path, encoding="utf-8") as f:
             d = json.load(f)
         needed = {"median", "iqr", "layers", "overall_threshold", "field_thresholds", "features", "version"}
@@ -63,9 +67,33 @@ class Autoencoder:
             raise ValueError("the model package is incomplete or has another order of features")
         return cls(**{**d, "layers": [(w, b) for w, b in d["layers"]]})
 
+    @classmethod
+    def load_folder(cls, path: str, features: Sequence[str] | None = None) -> Autoencoder:
+        """A package of two files: metadata with scaler, thresholds by feature and the decision, and the weights ``w1``, ``b1`` and so on."""
+        with open(os.path.join(path, "metadata.json"), encoding="utf-8") as f:
+            d = json.load(f)
+        names = d.get("feature_order")
+        needed = {"model_version", "feature_order", "median", "iqr", "overall_threshold", "field_thresholds", "validation_status", "trained_at_utc"}
+        if needed - set(d) or (features is not None and list(names) != list(features)):
+            raise ValueError("the model package is incomplete or has another order of features")
+        with np.load(os.path.join(path, "weights.npz")) as raw:
+            n = len([k for k in raw.files if k.startswith("w")])
+            layers = [(raw[f"w{i}"].tolist(), raw[f"b{i}"].tolist()) for i in range(1, n + 1)]
+        limits = [float(d["field_thresholds"][f]) for f in names]
+        return cls(d["median"], d["iqr"], layers, float(d["overall_threshold"]), limits, names, d["model_version"], d["validation_status"] == "passed", f"{d['model_version']}:{d['trained_at_utc']}")
+
+    def save_folder(self, path: str, trained_at_utc: str, metrics: dict | None = None) -> None:
+        """Write the package of two files."""
+        os.makedirs(path, exist_ok=True)
+        np.savez(os.path.join(path, "weights.npz"), **{f"{k}{i}": np.asarray(x) for i, layer in enumerate(self.layers, 1) for k, x in zip("wb", layer, strict=True)})
+        d = {"model_version": self.version, "feature_order": list(self.features), "median": list(self.median), "iqr": list(self.iqr), "overall_threshold": self.overall_threshold}
+        d |= {"field_thresholds": dict(zip(self.features, self.field_thresholds, strict=True)), "trained_at_utc": trained_at_utc, "validation_status": "passed" if self.validated else "failed", "metrics": metrics or {}}
+        with open(os.path.join(path, "metadata.json"), "w", encoding="utf-8") as f:
+            json.dump(d, f, indent=2)
+
     @property
     def package_id(self) -> str:
-        return f"{self.version}:{hashlib.sha256(json.dumps(self.__dict__, sort_keys=True, default=list).encode()).hexdigest()[:16]}"
+        return self.given_id or f"{self.version}:{hashlib.sha256(json.dumps(self.__dict__, sort_keys=True, default=list).encode()).hexdigest()[:16]}"
 
 
 def scaled(model: Autoencoder, inputs: Sequence[Column]) -> list[Column]:

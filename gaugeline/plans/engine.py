@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zipfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -64,7 +65,7 @@ def load_model(settings: ModelFilter) -> tuple[Autoencoder | None, str | None]:
     """The package at ``model_path``, or why it can't be had."""
     try:
         return Autoencoder.load(settings.model_path, FEATURES), None
-    except (OSError, ValueError, KeyError, TypeError) as e:
+    except (OSError, ValueError, KeyError, TypeError, zipfile.BadZipFile) as e:
         return None, str(e)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import DynamicConfig, Events, FieldRule, Interval, ModelFilter, Reentry
 from ..functions import values as V
 from ..functions.scratch import scratch_root
-from ..operators import adaptive, context, dedup, hard, model, report, scan, segments
+from ..operators import adaptive, context, dedup, hard, model, report, scan, segments, training
 from ..operators import events as ev
 from ..sources import exports, packets, sinks
 
@@ -606,6 +606,15 @@ def train_split(spark, sf_dir):
     return model.split(table(spark, sf_dir, "lineitem"), "l_orderkey", shares=(0.7, 0.15, 0.15)).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+WITH h AS (SELECT l_orderkey, l_linenumber, ('0x' || SUBSTR(MD5('split:' || (l_orderkey * 8 + l_linenumber)::VARCHAR), 1, 15))::BIGINT AS h FROM lineitem),
+r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY h) AS r, COUNT(*) OVER () AS n FROM h)
+SELECT l_orderkey, l_linenumber, ((r > n * 70 // 100)::INT + (r > n * 85 // 100)::INT)::INT AS part FROM r""")
+def exact_split(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("key"))
+    return training.exact_split(rows, "key").select("l_orderkey", "l_linenumber", "part")
+
+
 @query(MODEL_SQL + "SELECT CASE WHEN l_returnflag = 'N' THEN 'normal' ELSE l_linestatus || l_returnflag END AS kind, COUNT(*) AS n, ROUND(AVG((error > 0.35 OR over)::INT), 6) AS candidate_rate FROM s GROUP BY kind")
 def recall_by_type(spark, sf_dir):
     rows = scored(spark, sf_dir).withColumns({"label": F.when(F.col("l_returnflag") == "N", 0).otherwise(1), "kind": F.concat("l_linestatus", "l_returnflag")})
