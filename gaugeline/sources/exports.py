@@ -11,7 +11,7 @@ import urllib.request
 import uuid
 
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
@@ -191,19 +191,38 @@ def text_of(v: Column) -> Column:
     return F.when(~V.is_absent(v) & (F.btrim(t) != "") & (F.lower(F.btrim(t)) != "null"), t)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines as (file, number, value), numbered from 1 in each file, blank ones too.
+
+    Files are read in splits: the lines of each split are counted, and sums of the counts before it give the
+    number of its first line. Within a split ids are consecutive. No line is moved.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value").withColumn("id", F.monotonically_increasing_id())
+    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
+    return lines.join(blocks, ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first") + 1).alias("number"), "value")
+
+
 def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """JSON lines as records: the base columns, ``payload`` (map of variants, null unless an object), labels and ``record_json``.
 
-    Blank lines are skipped, and so are lines that aren't objects unless ``strict``, which fails on them. Missing
-    labels are empty lists. Unknown keys stay in ``record_json``.
+    Blank lines are skipped, and so are lines that aren't objects unless ``strict``, which fails on them and names the file
+    and the line; the lines are counted first. Missing labels are empty lists. Unknown keys stay in ``record_json``.
     """
-    lines = spark.read.text(path).select(F.btrim(F.ltrim(F.col("value"), F.lit(BOM))).alias("line")).filter(F.col("line") != "")
-    return parse_records(lines, "line", strict)
+    place = None
+    if strict:
+        text = numbered_lines(spark, path)
+        place = F.concat(F.lit("line "), F.col("number").cast("string"), F.lit(" of "), F.col("file"), F.lit(" isn't a JSON object"))
+    else:
+        text = spark.read.text(path)
+    lines = text.withColumn("line", F.btrim(F.ltrim(F.col("value"), F.lit(BOM)))).filter(F.col("line") != "")
+    return parse_records(lines, "line", strict, place)
 
 
-def parse_records(lines: DataFrame, line: str, strict: bool = False) -> DataFrame:
+def parse_records(lines: DataFrame, line: str, strict: bool = False, problem: Column | None = None) -> DataFrame:
     parsed = lines.withColumn("_v", F.try_parse_json(F.col(line))).withColumn("_o", F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
-    parsed = parsed.withColumn("_v", F.when(F.col("_o"), F.col("_v")).otherwise(F.raise_error(F.lit("a line isn't a JSON object")).cast("variant"))) if strict else parsed.filter("_o")
+    parsed = parsed.withColumn("_v", F.when(F.col("_o"), F.col("_v")).otherwise(F.raise_error(F.lit("a line isn't a JSON object") if problem is None else problem).cast("variant"))) if strict else parsed.filter("_o")
     get = lambda name, kind: F.try_variant_get("_v", f"$.{name}", kind)
     texts = [get(name, "string").alias(name) for name in BASE_TEXT]
     lists = [F.coalesce(get(name, "array<string>"), F.array().cast("array<string>")).alias(name) for name in ("quality_flags", "analysis_tags")]

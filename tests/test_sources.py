@@ -244,3 +244,36 @@ def test_numbers_of_three_kinds(spark):
     assert get("number") == [None, "100.0", "nan", None, None, "2.5", "1000.0", None]
     assert get("finite_number") == [None, "100.0", None, None, None, "2.5", "1000.0", None]
     assert get("model_number") == ["1.0", "100.0", None, None, None, "2.5", "1000.0", None]
+
+
+def test_strict_lines_name_file_and_line(spark, tmp_path):
+    """Files of several splits; blank lines, both kinds of line ends and a mark at the beginning count as they do in an editor."""
+    import random
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100b")
+    try:
+        rnd, want = random.Random(4), {}
+        (tmp_path / "in").mkdir()
+        for f in range(3):
+            lines = [rnd.choice(["", '{"record_id": "%s"}' % ("x" * rnd.randint(1, 60)), "  "]) for _ in range(120)]
+            text = "".join(x + rnd.choice(["\n", "\r\n"]) for x in lines)
+            (tmp_path / "in" / f"f{f}.jsonl").write_bytes((("\ufeff" if f else "") + text).encode())
+            want[f"f{f}.jsonl"] = [x.strip() for x in lines]
+        got = {}
+        found = exports.numbered_lines(spark, str(tmp_path / "in"))
+        assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 6
+        for r in found.collect():
+            got.setdefault(r.file.rpartition("/")[2], {})[r.number] = r.value.lstrip("\ufeff").strip()
+        assert got == {f: dict(enumerate(x, 1)) for f, x in want.items()}
+        assert exports.read_records(spark, str(tmp_path / "in"), strict=True).count() == sum(bool(x) for xs in want.values() for x in xs)
+        broken = (tmp_path / "in" / "f1.jsonl").read_bytes().splitlines(keepends=True)
+        broken[86] = b"[1]\n"
+        (tmp_path / "in" / "f1.jsonl").write_bytes(b"".join(broken))
+        with pytest.raises(PySparkException, match="line 87 of .*f1.jsonl"):
+            exports.read_records(spark, str(tmp_path / "in"), strict=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
