@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..functions.scratch import discard, materialize
+from .records import current_rows, upsert
 
 REQUIRED = ("record_id", "family")
 
@@ -108,49 +109,6 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> dict[str, int]:
     return {"inserted_records": inserted, "skipped_records": total - inserted}
 
 
-def upsert(df: DataFrame, path: str, key: str = "record_id", content: str = "record_fingerprint") -> dict[str, int]:
-    """Store rows by ``key``: new ones are inserted, those whose ``content`` changed replace the stored one, the rest is skipped.
-
-    Each call writes its rows as a version of its own and rewrites nothing, so the cost is that of ``df`` and of two
-    columns of the table; ``current_rows`` gives the newest row of each key. A version counts once it is
-    complete. Of rows with equal ``content`` one is stored; two rows of one key, or a null in either
-    column, are an error. One writer at a time.
-    """
-    spark = df.sparkSession
-    given = materialize(df, "given")
-    wrong = given.groupBy(key).agg(F.countDistinct(content).alias("n"), F.count(F.lit(1)).alias("rows"), F.count(content).alias("set"))
-    if wrong.filter(F.col(key).isNull() | (F.col("n") > 1) | (F.col("set") < F.col("rows"))).limit(1).count():
-        raise ValueError(f"{key} or {content} is null, or a {key} has rows of different {content}")
-    fresh, version = given.dropDuplicates([content]), (current_version(spark, path) or 0) + 1
-    if version > 1:
-        stored = current_rows(spark, path, key).select(key, content)
-        fresh = fresh.join(stored.select(content), content, "left_anti").join(stored.select(key, F.lit(True).alias("replaces")), key, "left")
-    else:
-        fresh = fresh.withColumn("replaces", F.lit(False))
-    fresh.withColumn("replaces", F.coalesce("replaces", F.lit(False))).select(*df.columns, "replaces").write.mode("overwrite").parquet(f"{path}/version={version}")
-    written = spark.read.parquet(f"{path}/version={version}").groupBy("replaces").count()
-    n, total = {r["replaces"]: r["count"] for r in written.collect()}, given.count()
-    discard(given)
-    inserted, updated = n.get(False, 0), n.get(True, 0)
-    return {"inserted_records": inserted, "updated_records": updated, "skipped_records": total - inserted - updated}
-
-
-def current_rows(spark: SparkSession, path: str, key: str = "record_id") -> DataFrame:
-    """The newest stored row of each key, from the complete versions of a table that ``upsert`` wrote.
-
-    Only keys that were ever replaced are looked up; whole rows aren't grouped.
-    """
-    last = current_version(spark, path)
-    fs, _ = _path(spark, path)
-    done = [f"{path}/version={v}" for v in range(1, (last or 0) + 1) if fs.exists(_path(spark, f"{path}/version={v}/_SUCCESS")[1])]
-    if not done:
-        raise ValueError("the table has no complete version")
-    rows = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*done)
-    newest = rows.filter("replaces").groupBy(key).agg(F.max("version").alias("newest"))
-    kept = rows.join(newest, key, "left").filter(F.col("newest").isNull() | (F.col("version") == F.col("newest")))
-    return kept.select(*[c for c in rows.columns if c not in ("version", "replaces")])
-
-
 def ingest(root: str, run: dict, report: DataFrame, records: DataFrame, events: DataFrame, states: DataFrame | None) -> dict:
     """Write a run into the four tables. The run's row comes last, so a run that is listed is complete; a repeat changes nothing."""
     problems = payload_problems(run)
@@ -191,8 +149,3 @@ def foreach_batch(root: str, make: callable) -> callable:
         ingest(root, *make(df, batch_id))
 
     return write
-
-
-def run_key(prefix: str, metadata: Column, fingerprints: Column) -> Column:
-    """Idempotency key over metadata and sorted fingerprints."""
-    return F.concat(F.lit(prefix), F.sha2(F.concat_ws("|", metadata, F.array_join(F.array_sort(fingerprints), ",")), 256))

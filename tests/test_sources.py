@@ -149,7 +149,7 @@ def test_ingest_can_be_repeated(spark, tmp_path):
     again = sinks.ingest(root, RUN, report, rows, events, states)
     assert (first["inserted_records"], first["skipped_records"], first["anomaly_events"]) == (5, 0, 1)
     assert (again["inserted_records"], again["skipped_records"], again["anomaly_events"]) == (0, 5, 0)
-    assert spark.read.parquet(f"{root}/ingest_runs").count() == 1 and {r.quality_state for r in spark.read.parquet(f"{root}/processed_records").collect()} == {"invalid"}
+    assert spark.read.parquet(f"{root}/ingest_runs").count() == 1 and {r.quality_state for r in sinks.current_rows(spark, f"{root}/processed_records").collect()} == {"invalid"}
     assert sinks.current_version(spark, f"{root}/dynamic_filter_state/k1") == 2 and exports.read_states(spark, f"{root}/dynamic_filter_state/k1").count() == 1
     assert exports.read_states(spark, f"{root}/none") is None
     with pytest.raises(ValueError):
@@ -169,7 +169,7 @@ def test_changed_records_replace_stored_ones(spark, tmp_path):
     assert now() == [("a", "1", 1), ("b", "3", 2), ("c", "4", 2)]
     assert sinks.upsert(rows(("b", "2", 3)), path) == counts(0, 1, 0)  # back to an earlier content
     assert sinks.upsert(rows(("b", "2", 4)), path) == counts(0, 0, 1) and sinks.upsert(rows(), path) == counts(0, 0, 0)
-    (tmp_path / "t" / "version=9").mkdir()  # a write that never ended
+    (tmp_path / "t" / "data" / "never-ended").mkdir()
     assert now() == [("a", "1", 1), ("b", "2", 3), ("c", "4", 2)]
     for bad in ((("d", "5", 1), ("d", "6", 1)), ((None, "5", 1),), (("d", None, 1),)):
         with pytest.raises(ValueError):
@@ -277,3 +277,39 @@ def test_strict_lines_name_file_and_line(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.set("spark.sql.files.openCostInBytes", cost)
+
+
+def test_two_writers_and_compaction(spark, tmp_path, monkeypatch):
+    """Writers that commit in between don't lose each other's rows; the number of folders to read stays bounded."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from gaugeline.sources import records as table
+
+    path = str(tmp_path / "t")
+    rows = lambda ids, v: spark.createDataFrame([(f"r{i}", f"{i}:{v}", v) for i in ids], "record_id string, record_fingerprint string, v int")
+    assert table.upsert(rows(range(20), 0), path)["inserted_records"] == 20
+    # a writer that is overtaken: another one commits after it has looked at the version
+    real, done = table.commit, []
+
+    def overtaken(spark_, path_, version):
+        if not done:
+            done.append(1)
+            monkeypatch.setattr(table, "commit", real)
+            table.upsert(rows(range(15, 25), 1), path)
+        return real(spark_, path_, version)
+
+    monkeypatch.setattr(table, "commit", overtaken)
+    assert table.upsert(rows(range(18, 30), 1), path) == {"inserted_records": 5, "updated_records": 0, "skipped_records": 7}
+    now = lambda: {r.record_id: r.v for r in table.current_rows(spark, path).collect()}
+    assert now() == {f"r{i}": int(i >= 15) for i in range(30)} and table.current_rows(spark, path).count() == 30
+    with ThreadPoolExecutor(3) as pool:
+        counts = list(pool.map(lambda k: table.upsert(rows(range(30 + 10 * k, 45 + 10 * k), 2), path), range(3)))
+    assert sum(c["inserted_records"] for c in counts) == 35 and sum(c["skipped_records"] for c in counts) == 10 and len(now()) == 65
+    monkeypatch.setattr(table, "COMPACT_AFTER", 4)
+    for v in range(3, 8):
+        table.upsert(rows([1, 2], v), path)
+        assert len(table.newest(spark, path).folders) <= 5
+    assert now() == {f"r{i}": 7 if i in (1, 2) else 2 if i >= 30 else int(i >= 15) for i in range(65)}
+    assert table.vacuum(spark, path) > 5 and len(now()) == 65 and not table.commit(spark, path, table.Version(1, []))
+    plan = table.stored_rows(spark, path, table.newest(spark, path), "record_id", [3], ["record_id"])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan and "Exchange" not in plan.partition("Physical Plan")[2]
