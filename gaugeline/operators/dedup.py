@@ -44,38 +44,47 @@ def ledger_scan(df: DataFrame, ledger: DataFrame | None, capacity: int, group: S
     is in the ledger or on an earlier ``eligible`` row of this run. Other eligible rows are entered after their group, and
     what exceeds ``capacity`` goes, the oldest first; so an entry of an earlier run may be gone when its fingerprint comes again, which is then
     entered anew. A fingerprint determines its group. ``ledger``: fingerprint, device_id, place (ascending, no order within equal ones);
-    the result has the same columns. Null fingerprints are a fingerprint like others.
+    the result has the same columns. Null fingerprints are told by nothing.
 
     Nothing is queued one by one: first rows of fingerprints are a grouped minimum; how many come before an entry's group is a
     prefix sum over ranges; only the entries that come again, at most ``capacity``, meet on the driver, where those that are entered anew
     move the later ones.
     """
+    known, first, after = ledger_step(df, ledger, capacity, group, order, eligible)
+    marked = df.withColumn("_at", row_place(order)).join(first.select("fingerprint", "_first"), "fingerprint", "left")
+    told = F.coalesce(F.col("_first") < F.col("_at"), F.lit(False))
+    if known is not None:
+        marked = marked.join(known.withColumn("_known", F.lit(True)), "fingerprint", "left")
+        told = told | F.coalesce("_known", F.lit(False))
+    return marked.withColumn("is_duplicate", told).select(*df.columns, "is_duplicate"), after
+
+
+def row_place(order: Sequence[Column | str]) -> Column:
+    return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)])
+
+
+def ledger_step(df: DataFrame, ledger: DataFrame | None, capacity: int, group: Sequence[str], order: Sequence[Column | str], eligible: str) -> tuple[DataFrame | None, DataFrame, DataFrame]:
+    """What ``ledger_scan`` needs: the entries that are still there when their fingerprint comes (none without a ledger), the first eligible row of each fingerprint, the ledger afterwards."""
     spark = df.sparkSession
-    keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    rows = df.withColumns({"_at": F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), "_group": F.struct(*[c for i, g in enumerate(group) for c in (F.col(g).isNull().alias(f"n{i}"), F.col(g).alias(f"g{i}"))])})
-    first = rows.groupBy("fingerprint").agg(F.min(F.when(F.col(eligible), F.col("_at"))).alias("_first"), F.min("_group").alias("_group"), F.min("device_id").alias("device_id"))
-    if ledger is None:
-        ledger = spark.createDataFrame([], "fingerprint string, device_id string, place long")
-    old = ledger.orderBy(F.desc("place")).limit(capacity)  # a top-k of at most `capacity` rows
-    old = materialize(old.withColumn("_old", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("place")) - 1), "ledger")
-    size, base = old.agg(F.count(F.lit(1)), F.coalesce(F.max("place"), F.lit(-1))).first()
-    if size:
-        first = first.join(old.select("fingerprint", "_old"), "fingerprint", "left")
-    else:
-        first = first.withColumn("_old", F.lit(None).cast("int"))
-    first = materialize(first, "first-rows")
+    groups = F.struct(*[c for i, g in enumerate(group) for c in (F.col(g).isNull().alias(f"n{i}"), F.col(g).alias(f"g{i}"))])
+    first = df.groupBy("fingerprint").agg(F.min(F.when(F.col(eligible), row_place(order))).alias("_first"), F.min(groups).alias("_group"), F.min("device_id").alias("device_id"))
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_first"))
+    old = size = None
+    if ledger is not None:
+        old = ledger.orderBy(F.desc("place")).limit(capacity)  # a top-k of at most `capacity` rows
+        old = materialize(old.withColumn("_old", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("place")) - 1), "ledger")
+        size, base = old.agg(F.count(F.lit(1)), F.max("place")).first()
+    if not size:
+        last = first.filter(F.col("_first").isNotNull()).orderBy(F.desc("_first")).limit(capacity)
+        return None, first, last.select("fingerprint", "device_id", place.cast("long").alias("place"))
+    first = materialize(first.join(old.select("fingerprint", "_old"), "fingerprint", "left"), "first-rows")
     # at most `capacity` fingerprints
-    anew = spark.createDataFrame([(f,) for f in gone_entries(first, size, capacity)] if size else [], "fingerprint string").withColumn("_anew", F.lit(True))
-    kept = old.join(anew, "fingerprint", "left_anti").select("fingerprint", F.lit(True).alias("_known"))
-    marked = rows.join(first.select("fingerprint", "_first"), "fingerprint", "left").join(kept, "fingerprint", "left")
-    marked = marked.withColumn("is_duplicate", F.coalesce("_known", F.lit(False)) | F.coalesce(F.col("_first") < F.col("_at"), F.lit(False)))
-    inserted = first.join(anew, "fingerprint", "left").filter(F.col("_first").isNotNull() & (F.col("_old").isNull() | F.col("_anew")))
-    many = inserted.count()
+    gone = spark.createDataFrame([(f,) for f in gone_entries(first, size, capacity)], "fingerprint string").withColumn("_gone", F.lit(True))
+    known = old.join(gone, "fingerprint", "left_anti").select("fingerprint")
+    inserted = first.join(gone, "fingerprint", "left").filter(F.col("_first").isNotNull() & (F.col("_old").isNull() | F.col("_gone")))
+    stay = old.filter(F.col("_old") >= size + inserted.count() - capacity).select("fingerprint", "device_id", "place")
     last = inserted.orderBy(F.desc("_first")).limit(capacity)
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_first")) + F.lit(base)
-    stay = old.filter(F.col("_old") >= size + many - capacity).select("fingerprint", "device_id", "place")
-    after = stay.unionByName(last.select("fingerprint", "device_id", place.cast("long").alias("place")))
-    return marked.select(*df.columns, "is_duplicate"), materialize(after, "ledger")
+    return known, first, materialize(stay.unionByName(last.select("fingerprint", "device_id", (place + F.lit(base)).cast("long").alias("place"))), "ledger")
 
 
 def gone_entries(first: DataFrame, size: int, capacity: int) -> list[str]:

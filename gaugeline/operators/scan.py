@@ -322,13 +322,13 @@ class DeviceScan:
         for r in records:
             if self.is_trusted(r, r.get("had_candidate", False)):
                 self.trust(snapshot, r)
-        updates = []
+        updates, own_seen = [], set()
         for r in records:
             if r["state"] == "invalid":
                 yield {"seq": r["seq"], "findings": [], "events": [], "flags": set(), "duplicate": False}
                 continue
             told = r.get("duplicate")
-            duplicate = told if told is not None else r["fingerprint"] in self.seen
+            duplicate = r["fingerprint"] in self.seen if told is None else told or r["fingerprint"] in own_seen
             context = self.context(r, snapshot) if self.config.enabled and self.config.family_enabled(r["family"]) else []
             blocked = {f for x in context for f in x["affected_fields"]}
             own, skip, sequence = [], set(blocked), []
@@ -345,8 +345,8 @@ class DeviceScan:
             if self.config.events.enforcement_policy == "point":
                 flags = {f["candidate_flag"] for f in found if f.get("candidate_flag")}
             updates.append((r, skip, duplicate, any(f.get("candidate_flag") for f in found)))
-            if told is None and not duplicate and self.keeps_state(r):
-                self.seen.add(r["fingerprint"])
+            if not duplicate and self.keeps_state(r):
+                (self.seen if told is None else own_seen).add(r["fingerprint"])
             yield {"seq": r["seq"], "findings": found, "events": summaries, "flags": flags, "duplicate": duplicate}
         for r, _, duplicate, candidate in updates:
             if not duplicate and self.is_trusted(r, candidate):

@@ -1,6 +1,6 @@
 """The exact scan of records in parallel, also within a device: segments from guessed states, run anew where a guess was wrong.
 
-Records are dealt in their order (device, time) to ranges of about equal size. What a range holds of a device is a
+Where a device is long, records are dealt in their order (device, time) to ranges of about equal size. What a range holds of a device is a
 segment. The first segment of a device begins with its kept state. Every other one begins with a guess: the state after
 the last records of the range before it. All segments are folded at once, and each notes which cells of its state (a series'
 baseline, a family's last time, an open event, ...) it touched.
@@ -30,7 +30,7 @@ from ..functions.scratch import materialize
 from . import dedup
 from .scan import BATCH, COLUMNS, RESULT, DeviceScan, DeviceState, as_record, fold
 
-SEGMENT_ROWS, LEAST_ROWS, WARM_ROWS = 100_000, 1_000, 1_000
+SEGMENT_ROWS, WARM_ROWS = 100_000, 1_000
 NEEDED = ["device_id", "seq", "record_id", "family", "ts_us", "quality_state", "fingerprint", "duplicate"]
 META = ", part int, start string, touched string"
 HELD = ("head", "begin", "was", "became", "cells")
@@ -190,8 +190,8 @@ def scan_devices(df: DataFrame, fields: list[str], config: DynamicConfig, states
     """Exact findings for records (device_id, seq, record_id, family, ts_us, quality_state, fingerprint, value columns[, extra]).
 
     The result is that of one fold over each device's records in the order of time (then family, id, seq), but a device with many records is
-    folded in segments side by side. ``parts``: ranges of records, by default at least as many as cores and one for
-    SEGMENT_ROWS records. ``ts_us`` may be null; records of one time of a device are one task's. ``states`` (device_id, state) are the
+    folded in segments side by side. ``parts``: ranges of records; by default, where a device has more than SEGMENT_ROWS records, at
+    least as many as cores and one for SEGMENT_ROWS records, else none: devices are dealt to tasks whole. ``ts_us`` may be null; records of one time of a device are one task's. ``states`` (device_id, state) are the
     states that an earlier run left, one for each device; ``next_states`` gives those after this one.
 
     Duplicates are told by one ledger for all devices, in the order of (device, time): at most ``deduplication_capacity`` fingerprints,
@@ -201,25 +201,35 @@ def scan_devices(df: DataFrame, fields: list[str], config: DynamicConfig, states
     eligible = (F.coalesce("quality_state", F.lit("")) != "invalid") & F.col("ts_us").isNotNull()
     if config.enabled_families:
         eligible = eligible & F.coalesce("family", F.lit("")).isin(*config.enabled_families)
-    marked, ledger = dedup.ledger_scan(df.drop("duplicate").withColumn("_eligible", eligible), ledger_of(states) if states is not None else None, config.deduplication_capacity, ("device_id", "ts_us"), in_order("device_id"), "_eligible")
-    needed = [*NEEDED, *fields, *(["extra"] if "extra" in df.columns else [])]
-    rows = marked.withColumnRenamed("is_duplicate", "duplicate").select(*needed)
+    given = df.drop("duplicate").withColumn("_eligible", eligible)
+    known, _, ledger = dedup.ledger_step(given, ledger_of(states) if states is not None else None, config.deduplication_capacity, ("device_id", "ts_us"), in_order("device_id"), "_eligible")
+    # repeats within the run lie in one group, where the fold sees them
+    duplicate = F.lit(False)
+    if known is not None:
+        given, duplicate = given.join(known.withColumn("_known", F.lit(True)), "fingerprint", "left"), F.coalesce("_known", F.lit(False))
+    rows = given.withColumn("duplicate", duplicate).select(*NEEDED, *fields, *(["extra"] if "extra" in df.columns else []))
     if parts is None:
-        n = df.count()
-        parts = max(-(-n // SEGMENT_ROWS), min(spark.sparkContext.defaultParallelism, -(-n // LEAST_ROWS)), 1)
-    rows = placed(rows, parts)
-    spans = rows.groupBy("device_id", "part").agg(F.count(F.lit(1)).alias("n"))
-    spans = materialize(spans.withColumn("next", F.lead("part").over(Window.partitionBy("device_id").orderBy("part"))), "scan-spans")
-    # the records before a range, of the device that goes on in it
-    continued = spans.filter(F.col("next").isNotNull()).select("device_id", "part", "next")
-    warm = rows.filter("tail").join(continued, ["device_id", "part"]).drop("part").withColumnRenamed("next", "part")
+        n, largest = df.groupBy("device_id").count().agg(F.sum("count"), F.max("count")).first()
+        parts = 0 if (largest or 0) <= SEGMENT_ROWS else max(-(-n // SEGMENT_ROWS), spark.sparkContext.defaultParallelism)
     none = F.lit(None).cast("string")
-    told = rows.withColumns({"kind": F.lit(2), "kept": none}).unionByName(warm.withColumns({"kind": F.lit(1), "kept": none}))
+    if not parts:  # no device is long: one task for several
+        told = rows.withColumns({"part": F.lit(0), "kind": F.lit(2), "kept": none})
+    else:
+        rows = placed(rows, parts)
+        spans = rows.groupBy("device_id", "part").agg(F.count(F.lit(1)).alias("n"))
+        spans = materialize(spans.withColumn("next", F.lead("part").over(Window.partitionBy("device_id").orderBy("part"))), "scan-spans")
+        # the records before a range, of the device that goes on in it
+        continued = spans.filter(F.col("next").isNotNull()).select("device_id", "part", "next")
+        warm = rows.filter("tail").join(continued, ["device_id", "part"]).drop("part").withColumnRenamed("next", "part")
+        told = rows.withColumns({"kind": F.lit(2), "kept": none}).unionByName(warm.withColumns({"kind": F.lit(1), "kept": none}))
     if states is not None:
-        first = spans.groupBy("device_id").agg(F.min("part").alias("part"))
-        told = told.unionByName(states.select("device_id", F.col("state").alias("kept"), F.lit(0).alias("kind")).join(first, "device_id"), allowMissingColumns=True)
-    told = told.repartition(parts, "part").sortWithinPartitions(*in_order("part", "device_id", "kind"))
+        kept = states.select("device_id", F.col("state").alias("kept"), F.lit(0).alias("kind"))
+        first = spans.groupBy("device_id").agg(F.min("part").alias("part")) if parts else rows.select("device_id", F.lit(0).alias("part")).distinct()
+        told = told.unionByName(kept.join(first, "device_id"), allowMissingColumns=True)
+    told = (told.repartition(parts, "part") if parts else told.repartition("device_id")).sortWithinPartitions(*in_order("part", "device_id", "kind"))
     results = materialize(told.mapInPandas(lambda pdfs: fold_parts(pdfs, fields, config), RESULT + META), "scan-results")
+    if not parts:
+        return with_states(results, None, ledger)
 
     more = 1
     while True:
@@ -235,14 +245,18 @@ def scan_devices(df: DataFrame, fields: list[str], config: DynamicConfig, states
         anew = materialize(told.mapInPandas(lambda pdfs: fold_chains(pdfs, fields, config), RESULT + META), "scan-results")
         results = results.join(anew.filter(F.col("state").isNotNull()).select("device_id", "part"), ["device_id", "part"], "left_anti").unionByName(anew)
         more *= 2
-    # the last row of each device gets the state of the whole chain and the device's part of the ledger
-    final = chain.filter(F.col("head").isNull()).select("device_id", F.col("begin").alias("whole"))
+    return with_states(results, chain.filter(F.col("head").isNull()).select("device_id", F.col("begin").alias("whole")), ledger)
+
+
+def with_states(results: DataFrame, whole: DataFrame | None, ledger: DataFrame) -> DataFrame:
+    """One row for each record. The last row of each device gets the state of its whole chain, with the device's part of the ledger; of other segments the state is left out."""
     last = results.filter(F.col("state").isNotNull())
-    top = last.groupBy("device_id").agg(F.max("part").alias("top"))
+    if whole is not None:
+        last = last.join(last.groupBy("device_id").agg(F.max("part").alias("top")), "device_id").join(whole, "device_id", "left")
+        state = F.when(F.col("part") == F.col("top"), F.coalesce("whole", "state"))
+    else:
+        state = F.col("state")
     entries = F.transform(F.array_sort(F.collect_list(F.struct("place", "fingerprint"))), lambda e: F.array(e["fingerprint"], e["place"].cast("string")))
-    ledgers = ledger.groupBy("device_id").agg(F.to_json(entries).alias("entries"))
-    last = last.join(top, "device_id").join(final, "device_id", "left").join(ledgers, "device_id", "left")
-    whole = F.coalesce("whole", "state")
-    state = F.concat(F.substring(whole, 1, F.length(whole) - 1), F.lit(', "ledger": '), F.coalesce("entries", F.lit("[]")), F.lit("}"))
-    last = last.withColumn("state", F.when(F.col("part") == F.col("top"), state))
-    return results.filter(F.col("state").isNull()).select(*COLUMNS).unionByName(last.select(*COLUMNS))
+    last = last.withColumn("state", state).join(ledger.groupBy("device_id").agg(F.to_json(entries).alias("entries")), "device_id", "left")
+    put = F.concat(F.substring("state", F.lit(1), F.length("state") - 1), F.lit(', "ledger": '), F.coalesce("entries", F.lit("[]")), F.lit("}"))
+    return results.filter(F.col("state").isNull()).select(*COLUMNS).unionByName(last.withColumn("state", put).select(*COLUMNS))
