@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import functools
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scratch import discard, materialize, scratch_root
 
-__all__ = ["bounded_sample", "columns_of", "discard", "free_name", "held_out", "materialize", "named", "scratch_root", "slices", "text_blocks"]
+__all__ = ["bounded_sample", "columns_of", "discard", "free_name", "give_back", "held_out", "materialize", "named", "scratch_root", "slices", "text_blocks"]
 
 
 def named(name: str) -> Column:
@@ -68,5 +70,25 @@ def slices(lengths: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
 def text_blocks(texts: pa.Array, most: int) -> Iterator[list[str]]:
     """The texts in order, in lists of about ``most`` bytes; null is empty. Only one list is turned into Python strings at a time."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    for a, b in slices(sizes.tolist(), most):
+    for i, (a, b) in enumerate(slices(sizes.tolist(), most)):
         yield [t or "" for t in texts.slice(a, b - a).to_pylist()]
+        if i % 8 == 7:
+            give_back()
+    give_back()
+
+
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return memory that this worker has freed to the system.
+
+    Workers are kept from stage to stage; what their allocators hold back from the largest block so
+    far would count against the executor for as long as it lives.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import materialize, named, slices, text_blocks
+from .common import give_back, materialize, named, slices, text_blocks
 from .graph import components
 
 SHINGLE = 5
@@ -203,6 +203,7 @@ def overlaps(left: list[str], right: list[str]) -> np.ndarray:
 def overlap(left: pa.Array, right: pa.Array) -> pa.Array:
     sizes = sum(pc.fill_null(pc.binary_length(x), 0).to_numpy(zero_copy_only=False) for x in (left, right))
     parts = [overlaps(*([t or "" for t in x.slice(a, b - a).to_pylist()] for x in (left, right))) for a, b in slices(sizes.tolist(), BLOCK_CHARS)]
+    give_back()
     return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
 
@@ -241,6 +242,7 @@ def block_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataF
 
     def compare(block: pa.Table) -> pa.Table:
         found = linked_parts(block["uid"].to_numpy(), block["part"].to_numpy(), [t or "" for t in block["text"].to_pylist()], threshold)
+        give_back()
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return dealt.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long").distinct()
