@@ -96,8 +96,13 @@ class Fields:
     def read_all(payload: Column) -> Column:
         """Number, kind and whether a text is filled, for each field that the payload has."""
 
+        def told(kind: Column, v: Column) -> Column:
+            text = kind == "STRING"
+            number = F.when(text, V.text_number(V.as_text(v))).when(kind != "BOOLEAN", F.try_variant_get(v, "$", "double"))
+            return F.struct(number.alias("number"), kind.alias("kind"), F.when(text, F.btrim(V.as_text(v)) != "").alias("filled"))
+
         def one(_, v: Column) -> Column:
-            return F.struct(V.number(v).alias("number"), V.kind(v).alias("kind"), F.when(V.is_text(v), F.btrim(V.as_text(v)) != "").alias("filled"))
+            return V.once(V.kind(v), lambda kind: told(kind, v))
 
         return F.when(F.col("family").isin(FAMILIES), F.transform_values(payload, one))
 

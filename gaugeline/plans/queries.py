@@ -715,3 +715,44 @@ WHERE session < (SELECT MAX(session) FROM e x WHERE x.device_id = e.device_id) A
 def events_of_scan(spark, sf_dir):
     out = scanned(spark, sf_dir, FieldRule(step_threshold=60.0), events=POLICY)
     return scan.events_of(out).select("device_id", "start_us", "end_us", "point_count", "status")
+
+
+# ---- records that can't be judged or leave no state
+
+
+@query(f"""
+WITH {R}
+SELECT record_id, CASE WHEN record_id % 5 < 3 THEN 'invalid' ELSE 'decoded' END AS quality_state, CASE WHEN record_id % 5 < 3 THEN 'invalid_payload' ELSE '' END AS flags, '' AS tags, 0::BIGINT AS invalid_fields FROM r""")
+def payload_guard(spark, sf_dir):
+    """Payloads that are no object, no JSON or absent; a family that isn't known passes."""
+    kind = F.col("record_id") % 5
+    body = F.when(kind == 0, "[1, 2]").when(kind == 1, "nope").when(kind == 2, F.lit(None).cast("string")).otherwise(F.to_json(F.struct(F.lit(1).alias("gasValue"))))
+    family = F.when(kind == 4, "unheard").otherwise("gas")
+    return verdict(hard.apply_hard(as_input(records(spark, sf_dir), body, family)))
+
+
+@query(FOLD_SQL + """
+s AS (SELECT *, CASE WHEN k % 7 = 0 THEN 'invalid' WHEN k % 5 = 0 THEN 'undated' ELSE 'ok' END AS how FROM r),
+q AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY device_id ORDER BY ts_us, record_id) AS m FROM s WHERE how = 'ok'),
+t AS (SELECT device_id, m, record_id, value AS prev, FALSE AS hit FROM q WHERE m = 1
+  UNION ALL SELECT q.device_id, q.m, q.record_id, CASE WHEN ABS(q.value - t.prev) > 60 THEN t.prev ELSE q.value END, ABS(q.value - t.prev) > 60 FROM t JOIN q ON q.device_id = t.device_id AND q.m = t.m + 1)
+SELECT record_id, 'adaptive.step_change' AS rule_id FROM t WHERE hit UNION ALL SELECT record_id, 'dynamic.timestamp_unavailable' FROM s WHERE how = 'undated'""")
+def ineligible_records(spark, sf_dir):
+    """Invalid records are passed by and undated ones are noted; neither becomes the value before the next one."""
+    rows = scan_input(spark, sf_dir)
+    invalid = F.col("k") % 7 == 0
+    rows = rows.withColumns({"quality_state": F.when(invalid, "invalid").otherwise("decoded"), "ts_us": F.when(~invalid & (F.col("k") % 5 == 0), None).otherwise(F.col("ts_us"))})
+    found = scan.findings_of(segments.scan_devices(rows, ["value"], DynamicConfig(fields={"value": FieldRule(step_threshold=60.0)})))
+    return found.select(F.col("record_id").cast("long").alias("record_id"), "rule_id")
+
+
+@query(f"""
+WITH {R},
+i AS (SELECT record_id, CASE WHEN family <> 'view' THEN 'family_not_applicable' WHEN k % 11 = 0 THEN 'missing_payload' WHEN k % 7 = 0 THEN 'missing_or_non_numeric:rtd3_t_x100' WHEN value > 100 THEN 'out_of_range:moist_pc' END AS skip_reason, value, k FROM r)
+SELECT record_id, skip_reason, CASE WHEN skip_reason IS NULL THEN ROUND(value / 100, 6) END AS first, CASE WHEN skip_reason IS NULL THEN ROUND(value, 6) END AS moisture FROM i""")
+def model_inputs(spark, sf_dir):
+    r = records(spark, sf_dir)
+    temps = [F.when(F.col("k") % 7 == 0, "x").otherwise(F.col("value").cast("string")).alias(f) if f == "rtd3_t_x100" else F.col("value").alias(f) for f in model.FEATURES[: model.TEMPERATURES]]
+    body = F.when(F.col("k") % 11 != 0, F.to_json(F.struct(*temps, F.col("value").alias("moist_pc"), F.lit(50).alias("sleeper_rh"))))
+    rows = as_input(r, body, F.when(F.col("family") == "view", "environment").otherwise("gas"))
+    return model.model_input(rows).select("record_id", "skip_reason", F.round(f"in_{model.FEATURES[0]}", 6).alias("first"), F.round("in_moist_pc", 6).alias("moisture"))
