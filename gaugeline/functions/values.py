@@ -18,10 +18,6 @@ def parse_payload(text: Column) -> Column:
     return F.from_json(text, "map<string,variant>")
 
 
-def field(payload: Column, name: str) -> Column:
-    return payload[name]
-
-
 def kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
@@ -80,15 +76,6 @@ def boolean(v: Column) -> Column:
     return F.when(is_boolean(v), F.try_variant_get(v, "$", "boolean"))
 
 
-def is_present(v: Column) -> Column:
-    """Neither null nor blank text."""
-    return ~is_absent(v) & ~(is_text(v) & (F.btrim(as_text(v)) == ""))
-
-
-def is_filled_text(v: Column) -> Column:
-    return is_text(v) & F.coalesce(F.btrim(as_text(v)) != "", F.lit(False))
-
-
 def above(x: Column, limit) -> Column:
     """``x > limit`` where NaN is above nothing; false for null."""
     return F.coalesce(~F.isnan(x) & (x > limit), F.lit(False))

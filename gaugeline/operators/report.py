@@ -41,12 +41,6 @@ def trigger_counts(findings: DataFrame, by: str) -> DataFrame:
     return rows.groupBy(F.coalesce(F.col(by), F.lit("unknown")).alias(by)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def as_map(counts: DataFrame, by: str) -> DataFrame:
-    """One row with a sorted map of counts. Its size is the number of rules, families or devices."""
-    entries = F.array_sort(F.collect_list(F.struct(F.col(by).alias("key"), F.col("n").alias("value"))))
-    return counts.agg(F.map_from_entries(entries).alias("counts"))
-
-
 def dynamic_report(findings: DataFrame, events: DataFrame, scanned: DataFrame) -> DataFrame:
     """One row of counters over (layer, rule_id, candidate_flag, state), event summaries and scanned records."""
     hit = F.col("candidate_flag").isNotNull()

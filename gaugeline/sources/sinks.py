@@ -12,8 +12,6 @@ from ..functions import values as V
 from ..functions.scratch import discard, materialize
 from .records import current_rows, upsert
 
-REQUIRED = ("record_id", "family")
-
 
 def write_records(df: DataFrame, path: str) -> None:
     """JSON lines, nulls included."""
