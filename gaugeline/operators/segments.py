@@ -21,7 +21,7 @@ from itertools import groupby
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
@@ -32,8 +32,10 @@ from .scan import BATCH, COLUMNS, RESULT, DeviceScan, DeviceState, as_record, fo
 
 SEGMENT_ROWS, WARM_ROWS = 100_000, 1_000
 NEEDED = ["device_id", "seq", "record_id", "family", "ts_us", "quality_state", "fingerprint", "duplicate"]
-META = ", part int, start string, touched string"
+META = ", part int, start string, touched string, family string"
 HELD = ("head", "begin", "was", "became", "cells")
+#: In place of a chain's head: the segment stands, but its shifts are numbered from another version.
+RENUMBERED = -1
 
 
 def in_order(*first: str) -> list:
@@ -73,7 +75,7 @@ def rows_of(pdfs: Iterable[pd.DataFrame]) -> Iterator:
 
 
 def framed(rows: Iterable[list]) -> Iterator[pd.DataFrame]:
-    ready, names = [], [*COLUMNS, "part", "start", "touched"]
+    ready, names = [], [*COLUMNS, "part", "start", "touched", "family"]
     for row in rows:
         ready.append(row)
         if len(ready) == BATCH:
@@ -85,13 +87,19 @@ def framed(rows: Iterable[list]) -> Iterator[pd.DataFrame]:
 def segment(device: str, part: int, records: Iterable[dict], config: DynamicConfig, start: DeviceState, guessed: bool) -> Iterator[list]:
     """Result rows of a segment; the last one has the end state, the start state if it was guessed, and the touched cells. Returns the end state."""
     given = start.dump(ledger=False)
-    scan, last = DeviceScan(device, config, start), None
-    for row in fold(scan, records):
+    scan, last, families = DeviceScan(device, config, start), None, {}
+
+    def noted() -> Iterator[dict]:
+        for r in records:
+            families[r["seq"]] = r["family"]
+            yield r
+
+    for row in fold(scan, noted()):
         if last is not None:
-            yield [*last, part, None, None]
+            yield [*last, part, None, None, families.pop(last[1])]
         last = row
     if last is not None:
-        yield [*last[:-1], scan.state.dump(ledger=False), part, given if guessed else None, json.dumps(sorted(scan.touched))]
+        yield [*last[:-1], scan.state.dump(ledger=False), part, given if guessed else None, json.dumps(sorted(scan.touched)), families[last[1]]]
     return scan.state
 
 
@@ -122,7 +130,8 @@ def loaded(text: str) -> list[tuple[str, str]]:
 
 def chained(metas: DataFrame, more: int) -> DataFrame:
     """Chain the segments of each device: a row for each segment that is to run anew (``head``: the first of its chain, with
-    the state ``begin``; ``was``, ``became``, ``cells``: what it did last), and one with ``head`` null and the last state for each device.
+    the state ``begin``; ``was``, ``became``, ``cells``: what it did last), one with ``head`` null and the last state for each device, and one
+    with RENUMBERED and how many versions to add by series (``cells``) for segments whose shifts are numbered anew.
     ``more`` segments behind the wrong ones go with them."""
 
     def run(pdfs: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,6 +156,9 @@ def chained(metas: DataFrame, more: int) -> DataFrame:
                     ready.append([device, r.part, head, begin, r.start, r.state, r.touched])
                 else:
                     head = None
+                    more_shifts = {name: state.series[name].version - start.series[name].version if name in start.series else state.series[name].version - 1 for kind, name in cells if kind == "version" and name in state.series}
+                    if any(more_shifts.values()):
+                        ready.append([device, r.part, RENUMBERED, None, None, None, json.dumps(more_shifts)])
                 state = state.after(start, end, cells)
             ready.append([device, part, None, state.dump(ledger=False), None, None, None])
             if len(ready) >= BATCH:
@@ -236,7 +248,7 @@ def scan_devices(df: DataFrame, fields: list[str], config: DynamicConfig, states
         ends = results.filter(F.col("state").isNotNull()).select("device_id", "part", "start", "state", "touched")
         several = ends.filter(F.col("start").isNotNull()).select("device_id").distinct()
         chain = materialize(chained(ends.join(several, "device_id", "left_semi"), more), "scan-chains")
-        wrong = chain.filter(F.col("head").isNotNull())
+        wrong = chain.filter(F.col("head") >= 0)
         if not wrong.limit(1).count():
             break
         own = rows.join(wrong.select("device_id", "part", "head"), ["device_id", "part"]).withColumns({"kind": F.lit(1), **{c: none for c in HELD[1:]}})
@@ -245,9 +257,22 @@ def scan_devices(df: DataFrame, fields: list[str], config: DynamicConfig, states
         anew = materialize(told.mapInPandas(lambda pdfs: fold_chains(pdfs, fields, config), RESULT + META), "scan-results")
         results = results.join(anew.filter(F.col("state").isNotNull()).select("device_id", "part"), ["device_id", "part"], "left_anti").unionByName(anew)
         more *= 2
+    results = renumbered(results, chain.filter(F.col("head") == RENUMBERED))
     return with_states(results, chain.filter(F.col("head").isNull()).select("device_id", F.col("begin").alias("whole")), ledger)
 
 
+def renumbered(results: DataFrame, segments: DataFrame) -> DataFrame:
+    """Add the versions of earlier segments to those that shifts of a baseline report."""
+    added = segments.select("device_id", "part", F.from_json("cells", "map<string,double>").alias("_added"))
+
+    def number(f: Column) -> Column:
+        more = F.coalesce(F.col("_added")[F.concat_ws("|", "family", f["field"])], F.lit(0.0))
+        return f.withField("threshold", F.when(f["rule_id"] == "adaptive.baseline_shift", f["threshold"] + more).otherwise(f["threshold"]))
+
+    out = results.join(added, ["device_id", "part"], "left")
+    return out.withColumn("findings", F.when(F.col("_added").isNotNull(), F.transform("findings", number)).otherwise(F.col("findings"))).select(*results.columns)
+
+
 def with_states(results: DataFrame, whole: DataFrame | None, ledger: DataFrame) -> DataFrame:
     """One row for each record. The last row of each device gets the state of its whole chain, with the device's part of the ledger; of other segments the state is left out."""
     last = results.filter(F.col("state").isNotNull())
