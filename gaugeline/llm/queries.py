@@ -69,8 +69,9 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans: str) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    kinds = F.transform("spans", lambda s: s["kind"])
-    counts = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    # the counts are of the base spans, like the digest; what the network adds is in ``spans``
+    kinds = F.transform("base_spans", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 

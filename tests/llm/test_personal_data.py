@@ -1,10 +1,11 @@
+import hashlib
 import itertools
 import re
 
 import numpy as np
 import pytest
 
-from gaugeline.llm import pii
+from gaugeline.llm import pii, queries
 
 
 @pytest.fixture(scope="module")
@@ -174,3 +175,19 @@ def test_find_and_redact(spark, model):
     assert len(out) == 6 and {(1, "to [EMAIL] and [IP]"), (2, ""), (None, ""), (3, "nothing")} <= got
     assert [r.text[-12:] for r in out if r.doc_id == 4] == ["long [EMAIL]"] and [r.text for r in out if r.doc_id == 2] == [None]
     assert pii.find_spans(df.limit(0), model).count() == 0
+
+
+def test_query_counts_the_base_spans(spark, tmp_path):
+    """What the network adds is in ``spans`` alone."""
+    texts = [*TEXTS, "call (555) 123-4567 now", "(555) 123-4567 and +1 (555) 123-4567, a@b.com", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    added = 0
+    for r in queries.op8_personal_data(spark, str(tmp_path)).collect():
+        base = slow_base(texts[r.doc_id] or "")
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == own for own, _, _ in base) for k in pii.KINDS)
+        joined = [f"{k}:{a}:{b}" for k, a, b in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest()
+        found = r.spans.split(",") if r.spans else []
+        assert set(joined) <= set(found)
+        added += len(found) > len(base)
+    assert added >= 2
