@@ -104,7 +104,7 @@ def score(df: DataFrame, model: Autoencoder, inputs: Sequence[str]) -> DataFrame
     """Add ``errors`` (squared, per feature), ``error``, ``largest``, ``affected_fields`` and ``is_candidate``.
 
     Layers are materialised as array columns one after another, so no expression is unrolled twice;
-    all stays within code generation. Rows with a null input get nulls and are no candidates.
+    filters on the result leave them as they are. Rows with a null input get nulls and are no candidates.
     """
     df = df.withColumn("_x", F.array(*scaled(model, [F.col(c) for c in inputs])))
     at = "_x"
@@ -120,7 +120,8 @@ def score(df: DataFrame, model: Autoencoder, inputs: Sequence[str]) -> DataFrame
     n = len(model.features)
     errors = F.zip_with("_x", at, lambda x, y: (x - y) * (x - y))
     complete = F.forall("_x", lambda x: x.isNotNull() & ~F.isnan(x))
-    df = df.withColumn("errors", F.when(complete, errors))
+    # an array of one: filters on what follows stay above this explode, else they would hold the layers unrolled
+    df = df.withColumn("errors", F.explode(F.array(F.when(complete, errors))))
     total = F.aggregate("errors", F.lit(0.0), lambda a, x: a + x)
     part = lambda a, b: F.aggregate(F.slice("errors", a + 1, b - a), F.lit(0.0), lambda s, x: s + x) / F.lit(float(b - a))
     names, limits = F.array(*map(F.lit, model.features)), F.array(*[F.lit(float(t)) for t in model.field_thresholds])
