@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scratch import discard, materialize, scratch_root
 
-__all__ = ["bounded_sample", "columns_of", "discard", "free_name", "give_back", "held_out", "materialize", "named", "scratch_root", "slices", "text_blocks"]
+__all__ = ["array_blocks", "bounded_sample", "columns_of", "discard", "free_name", "give_back", "held_out", "materialize", "named", "scratch_root", "slices", "text_blocks"]
 
 
 def named(name: str) -> Column:
@@ -67,16 +67,22 @@ def slices(lengths: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
-def text_blocks(texts: pa.Array, most: int) -> Iterator[list[str]]:
-    """The texts in order, in lists of about ``most`` bytes; null is empty. Only one list is turned into Python strings at a time."""
+def array_blocks(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """The texts in order, in slices of about ``most`` bytes."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     for i, (a, b) in enumerate(slices(sizes.tolist(), most)):
-        yield [t or "" for t in texts.slice(a, b - a).to_pylist()]
+        yield texts.slice(a, b - a)
         if i % 8 == 7:
             give_back()
     give_back()
 
 
+def text_blocks(texts: pa.Array, most: int) -> Iterator[list[str]]:
+    """The texts in order, in lists of about ``most`` bytes; null is empty. Only one list is turned into Python strings at a time."""
+    for block in array_blocks(texts, most):
+        yield [t or "" for t in block.to_pylist()]
+
+
 @functools.cache
 def _trim() -> Callable[[int], int] | None:
     return getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -24,20 +24,19 @@ are opened by pyarrow, so the folder is one that pyarrow and Spark both reach.
 from __future__ import annotations
 
 import json
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, named, text_blocks
+from .common import array_blocks, discard, materialize, named
 from .token_counts import byte_alphabet
 
 MAGIC = b"GTOK0001"
@@ -45,9 +44,9 @@ BLOCK = 1 << 17
 LANE = 256
 #: Ids of a document that one row carries between the steps.
 CHUNK = 1 << 15
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 22
+#: Different words that are encoded at once, at most.
 MEMO_WORDS = 400_000
-MEMO_IDS = 1 << 22
 KINDS = ("<u2", "<u4")
 OUT_BYTES = 1 << 23
 
@@ -56,11 +55,11 @@ OUT_BYTES = 1 << 23
 
 
 class WordEncoder:
-    """Ids of whole texts as the ``tokenizers`` library gives them, with a memo of words.
+    """Ids of whole texts as the ``tokenizers`` library gives them; words that are equal within a call are encoded once.
 
     Only for files whose pieces never span white space: then a text's ids are those of its parts between blanks. Other
     files take the library for the whole text. Words of visible ASCII and Latin letters are run by tiktoken with the file's
-    merges, where ids follow their order; all others by the library. The memo is dropped when it is full, which never changes results.
+    merges, where ids follow their order; all others by the library.
     """
 
     def __init__(self, path: str):
@@ -69,12 +68,6 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.by_word = drops_blanks(path)
         self.quick = QuickWords(path) if self.by_word else None
-        self.forget()
-
-    def forget(self) -> None:
-        """The ids of known words lie one after the other in ``flat``."""
-        self.memo: dict[str, int] = {}
-        self.flat, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def library_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has."""
@@ -86,28 +79,38 @@ class WordEncoder:
                 size.append(len(ids))
         return np.concatenate([np.empty(0, np.uint32), *flat]), np.asarray(size, np.int64)
 
-    def learn(self, words: list[str]) -> None:
-        plain = self.quick.taken(words) if self.quick.ready else []
-        other = list(set(words).difference(plain))
-        for own, (flat, size) in ((plain, self.quick.ids(plain)), (other, self.library_ids(other))):
-            at = len(self.flat) + np.cumsum(size) - size
-            self.memo.update(zip(own, range(len(self.start), len(self.start) + len(own)), strict=True))
-            self.flat, self.start, self.size = (np.concatenate(x) for x in ((self.flat, flat), (self.start, at), (self.size, size)))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all words, where those of each begin and how many they are."""
+        flat, starts, sizes, n = [], np.empty(len(words), np.int64), np.empty(len(words), np.int64), 0
+        for at in range(0, len(words), MEMO_WORDS):
+            own = words.slice(at, MEMO_WORDS)
+            quick = self.quick.taken(own) if self.quick.ready else np.zeros(len(own), bool)
+            for mask, run in ((quick, self.quick.ids), (~quick, lambda x: self.library_ids(x.to_pylist()))):
+                ids, size = run(own.filter(pa.array(mask)))
+                place = at + np.flatnonzero(mask)
+                sizes[place], starts[place] = size, n + np.cumsum(size) - size
+                flat.append(ids)
+                n += len(ids)
+        return np.concatenate(flat), starts, sizes
+
+    def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """The ids of each text; null is empty. Arrow splits the texts and tells which words are equal."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(texts):
+            return []
         if not self.by_word:
-            flat, size = self.library_ids(texts)
-            return np.split(flat, np.cumsum(size)[:-1]) if texts else []
-        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.memo) > MEMO_WORDS or len(self.flat) > MEMO_IDS:
-            self.forget()
-        words = list(chain.from_iterable(parts))
-        self.learn(list(set(words).difference(self.memo)))
-        code = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
-        size = self.size[code]
+            flat, size = self.library_ids(texts.to_pylist())
+            return np.split(flat, np.cumsum(size)[:-1])
+        for blank in "\n\t\r":
+            texts = pc.replace_substring(texts, blank, " ")
+        parts = pc.split_pattern(texts, " ")
+        coded = parts.flatten().dictionary_encode()
+        words, nth = coded.dictionary, coded.indices.to_numpy()
+        flat, starts, sizes = self.word_ids(words)
+        size = sizes[nth]
         ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[code] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        last = np.cumsum([len(p) for p in parts])[:-1]
+        ids = flat[np.repeat(starts[nth] - (ends - size), size) + np.arange(ends[-1])]
+        last = np.cumsum(pc.list_value_length(parts).to_numpy())[:-1]
         return np.split(ids, ends[last - 1])
 
 
@@ -118,9 +121,9 @@ class QuickWords:
     """
 
     #: Visible ASCII and Latin letters that no normalization changes but for their case.
-    TAKEN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
-    #: The pieces of such words in lower case, and the end of a word.
-    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n")
+    TAKEN = r"^[\x21-\x7eÀ-ÖØ-öø-ÿ]+$"
+    #: The pieces of such words in lower case.
+    PIECE = r"('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+)"
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -144,20 +147,21 @@ class QuickWords:
             self.ends = np.zeros(max(ranks.values()) + 1, bool)
             self.ends[[i for t, i in ranks.items() if t.endswith(b"\0")]] = True
 
-    def taken(self, words: list[str]) -> list[str]:
-        """Those of the words that tiktoken can encode."""
-        plain = list(filter(self.TAKEN.fullmatch, words))
-        whole = "\n".join(plain)
-        return [w for w in plain if not any(s in w for s in self.special)] if any(s in whole for s in self.special) else plain
+    def taken(self, words: pa.Array) -> np.ndarray:
+        """Which of the words tiktoken can encode."""
+        plain = pc.match_substring_regex(words, self.TAKEN)
+        for special in self.special:
+            plain = pc.and_not(plain, pc.match_substring(words, special))
+        return plain.to_numpy(zero_copy_only=False)
 
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words one after the other, and how many each has."""
-        if not words:
+        if not len(words):
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        pieces = self.PIECE.findall("\n".join(words).lower() + "\n")
-        line = np.fromiter((p == "\n" for p in pieces), bool, len(pieces))
-        upto = np.flatnonzero(line) - np.arange(len(words))  # pieces of each word and those before it
-        ids = self.encoding.encode_to_numpy("\0".join(p for p in pieces if p != "\n") + "\0", allowed_special=set(), disallowed_special=())
+        ended = pc.replace_substring_regex(pc.utf8_lower(words), self.PIECE, "\\1\0")
+        upto = np.cumsum(pc.count_substring(ended, "\0").to_numpy())  # pieces of each word and those before it
+        whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(ended)], pa.int32()), ended), "")[0].as_py()
+        ids = self.encoding.encode_to_numpy(whole, allowed_special=set(), disallowed_special=())
         until = np.flatnonzero(self.ends[ids])[upto - 1] + 1
         return ids, np.diff(until, prepend=0)
 
@@ -263,10 +267,15 @@ class Codebook:
             raise ValueError("an id has no code in this code book")
         ends = np.cumsum(size)
         starts = ends - size
-        which = np.repeat(np.arange(len(ids)), size)
-        shift = (ends[which] - 1 - np.arange(len(which))).astype(np.uint32)
-        bits = (self.codes[ids][which] >> shift & 1).astype(np.uint8)
-        return starts[::LANE].astype("<u4").tobytes() + np.packbits(bits).tobytes()
+        # each code within the 64 bits from the word of 32 bits on in which it begins; a code begins in every word
+        placed = self.codes[ids].astype(np.uint64) << (64 - (starts & 31) - size).astype(np.uint64)
+        first = np.flatnonzero(np.diff(starts >> 5, prepend=-1))
+        both = np.bitwise_or.reduceat(placed, first) if len(first) else placed
+        words = np.zeros(len(both) + 1, np.uint64)
+        words[:-1] = both >> np.uint64(32)
+        words[1:] |= both & np.uint64(0xFFFFFFFF)
+        codes = words.astype(">u4").tobytes()[: -(-int(size.sum()) // 8)]
+        return starts[::LANE].astype("<u4").tobytes() + codes
 
     def decode(self, data: bytes, n: int) -> np.ndarray:
         """The ``n`` ids of a block, all its lanes together."""
@@ -393,7 +402,7 @@ def encoded(df: DataFrame, tokenizer_path: str, end_id: int, key: str, text: str
         names = ["key", "tie", "part", "nth", "chunk", "wide", "ids"]
         for batch in batches:
             done = 0
-            for texts in text_blocks(batch.column(2), BLOCK_CHARS):
+            for texts in array_blocks(batch.column(2), BLOCK_CHARS):
                 row, place, chunk, wide, ids = [], [], [], [], []
                 for i, found in enumerate(own.encode(texts)):
                     found = np.concatenate((found, end))

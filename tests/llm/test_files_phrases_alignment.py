@@ -1,10 +1,12 @@
 import hashlib
 import heapq
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -110,6 +112,42 @@ def test_blocks_come_back(n):
         book.decode(data[: 4 * -(-n // token_files.LANE)], n)
 
 
+def test_each_different_word_is_encoded_once(monkeypatch):
+    """Texts come as Arrow gives them; of 6,000 words 4 are encoded."""
+    library = Tokenizer.from_file(WORDS)
+    own = token_files.WordEncoder(WORDS)
+    seen = []
+    monkeypatch.setattr(own.quick, "ids", lambda words, run=own.quick.ids: (seen.append(len(words)), run(words))[1])
+    texts = ["Don't stop", "x", None, *["Don't stop\nSTRAßE 日本 42nd"] * 1500, ""]
+    found = own.encode(pa.array(texts).slice(1))
+    assert [x.tolist() for x in found] == [library.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+    assert 0 < sum(seen) <= 5
+
+
+@pytest.mark.parametrize("limit", [9, 15, 17, 32])
+def test_codes_are_packed_as_written(limit):
+    rng = np.random.default_rng(limit)
+    counts = 2 ** np.minimum(np.arange(400), 40) if limit == 32 else rng.integers(1, 1000, 400)
+    book = token_files.Codebook(token_files.code_lengths(counts, limit))
+    for n in (0, 1, 3, 31, 700):
+        ids = rng.integers(0, 400, n)
+        bits = "".join(format(book.codes[i], f"0{book.lengths[i]}b") for i in ids)
+        starts = np.cumsum([0, *book.lengths[ids].tolist()])[: -1 if n else 0][:: token_files.LANE]
+        packed = bytes(int(bits[at : at + 8].ljust(8, "0"), 2) for at in range(0, len(bits), 8))
+        assert book.encode(ids) == starts.astype("<u4").tobytes() + packed
+
+
+def test_packing_holds_no_row_for_each_bit():
+    n = 1 << 16
+    ids = np.random.default_rng(0).integers(0, 1 << 14, n)
+    book = token_files.Codebook(token_files.code_lengths(np.ones(1 << 14, np.int64), 17))
+    tracemalloc.start()
+    book.encode(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 * n
+
+
 def plain_files(rows, end_id):
     """Ids in order of keys (nulls first); rows of one key in any order."""
     library = Tokenizer.from_file(WORDS)
